@@ -87,8 +87,18 @@ def precinct_base(e: Election) -> DataFrame:
 
 
 def reception_counts(e: Election) -> DataFrame:
-    """Result rows per RECEPTION_DATE text (null kept as a group)."""
-    return e.results.groupBy("RECEPTION_DATE").agg(F.count(F.lit(1)).alias("VCM_COUNT"))
+    """Rows of the merged fact per RECEPTION_DATE text (null kept as a group).
+
+    The merged fact repeats a result row once per matching precinct row.
+    Instead of joining the whole fact, rows are first counted per
+    (RECEPTION_DATE, PRECINCT_CODE) with a partial aggregate, then scaled by
+    the number of precinct rows sharing that code (1 when unmatched).
+    """
+    per = e.results.groupBy("RECEPTION_DATE", "PRECINCT_CODE").agg(F.count(F.lit(1)).alias("_n"))
+    mult = e.precincts.groupBy(F.col("CLUSTERED_PREC").alias("_pk")).agg(F.count(F.lit(1)).alias("_k"))
+    j = per.join(mult, F.col("PRECINCT_CODE") == F.col("_pk"), "left")
+    scaled = F.col("_n") * F.coalesce(F.col("_k"), F.lit(1))
+    return j.groupBy("RECEPTION_DATE").agg(F.sum(scaled).cast("bigint").alias("VCM_COUNT"))
 
 
 def reception_times(e: Election) -> DataFrame:

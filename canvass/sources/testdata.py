@@ -52,8 +52,13 @@ def precincts_full(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def results_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_linenumber", "l_quantity")
-    o = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    return results_from(_read(spark, sf_dir, "lineitem"), _read(spark, sf_dir, "orders"))
+
+
+def results_from(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
+    """Result rows from lineitem (batch or stream) joined to orders."""
+    li = lineitem.select("l_orderkey", "l_suppkey", "l_linenumber", "l_quantity")
+    o = orders.select("o_orderkey", "o_custkey")
     k = F.col("o_custkey")
     line = F.col("l_linenumber")
     contest = (
