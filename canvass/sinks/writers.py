@@ -28,9 +28,17 @@ def write_partitioned_csv(
 ) -> None:
     """One folder per key value (``KEY=value/part-*.csv``), rows sorted by
     ``order`` inside each file. Spaces in values are kept in folder names
-    and a null value becomes ``__HIVE_DEFAULT_PARTITION__``."""
+    and a null value becomes ``__HIVE_DEFAULT_PARTITION__``. Overwrite is
+    dynamic: only the key folders present in ``df`` are replaced, so two
+    reports (national, local) can share one output tree."""
     out = df.repartition(*keys).sortWithinPartitions(*keys, *order)
-    out.write.mode(mode).partitionBy(*keys).option("header", True).csv(path)
+    (
+        out.write.mode(mode)
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*keys)
+        .option("header", True)
+        .csv(path)
+    )
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:

@@ -1,0 +1,54 @@
+"""The named-report job end to end on CSV input."""
+
+import os
+
+import pytest
+
+from canvass import job
+from canvass.session import scratch_path
+from tests.test_io import FILES, _write
+
+
+def test_job_all_writes_every_output(spark, tmp_path):
+    _write(str(tmp_path), FILES)
+    out = scratch_path(spark, "t-job")
+    e = job.load_election(spark, str(tmp_path))
+    done = job.run(spark, e, out, ["all"], log=lambda *_: None)
+    assert all(v is not None for v in done.values()), done
+    local = out.replace("file:", "")
+    for name in [
+        "contest/CONTEST_CODE=199000",
+        "province/CONTEST_CODE=199000/PRV_KEY=ILOCOS_NORTE",
+        "map/CONTEST_CODE=199000",
+        "map_stats.json",
+        "voter_stats.json",
+        "vcm_received",
+        "voter_turnout_by_precinct",
+        "spoiled_ballots_analysis",
+        "candidate_performance_by_region",
+        "turnout_spoiled_correlation.json",
+        "vcm_reception_rate",
+        "corrected/vcm_received_by_time",
+    ]:
+        assert os.path.isdir(f"{local}/{name}"), name
+    text = "".join(
+        open(f"{local}/map_stats.json/{f}").read() for f in os.listdir(f"{local}/map_stats.json") if f.startswith("part")
+    )
+    assert text.startswith('{"ILOCOS NORTE":{"number_of_voters_not_transmitted":0,')
+
+
+def test_unknown_report_is_rejected(spark):
+    with pytest.raises(ValueError):
+        job.run(spark, None, "/nonexistent", ["no-such-report"])
+
+
+def test_failing_report_does_not_stop_others(spark, tmp_path, monkeypatch):
+    _write(str(tmp_path), FILES)
+
+    def boom(r):
+        raise RuntimeError("boom")
+
+    monkeypatch.setitem(job.REPORTS, "tally-local", boom)
+    e = job.load_election(spark, str(tmp_path))
+    done = job.run(spark, e, scratch_path(spark, "t-job2"), ["tally-local", "tally-national"], log=lambda *_: None)
+    assert done["tally-local"] is None and done["tally-national"] is not None
