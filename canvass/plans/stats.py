@@ -39,11 +39,16 @@ def _pb(e: Election, precincts: DataFrame | None) -> DataFrame:
 # ---------------------------------------------------------------- transmission
 
 
-def transmission_flag(e: Election) -> DataFrame:
+def transmission_flag(e: Election, reported: DataFrame | None = None) -> DataFrame:
     """Precincts (CLUSTERED_PREC, PRV_NAME, REGISTERED_VOTERS) with
-    TRANSMITTED: does the precinct appear in the results (null key -> null)."""
+    TRANSMITTED: does the precinct appear in the results (null key -> null).
+
+    ``reported``: any frame with a PRECINCT_CODE column covering the codes
+    in the results (e.g. the precinct base), to avoid another fact scan.
+    """
     p = e.precincts.select("CLUSTERED_PREC", "PRV_NAME", "REGISTERED_VOTERS")
-    return with_existence_flag(p, "CLUSTERED_PREC", e.results, "PRECINCT_CODE", "TRANSMITTED")
+    keys = e.results if reported is None else reported
+    return with_existence_flag(p, "CLUSTERED_PREC", keys, "PRECINCT_CODE", "TRANSMITTED")
 
 
 def precincts_reported(e: Election) -> DataFrame:
@@ -56,11 +61,11 @@ def precincts_missing(e: Election) -> DataFrame:
     return e.precincts.join(rep, F.col("CLUSTERED_PREC") == F.col("PRECINCT_CODE"), "left_anti")
 
 
-def transmission_by_province(e: Election) -> DataFrame:
+def transmission_by_province(e: Election, reported: DataFrame | None = None) -> DataFrame:
     t = F.col("TRANSMITTED")
     key = F.col("CLUSTERED_PREC")
     return (
-        transmission_flag(e)
+        transmission_flag(e, reported)
         .groupBy("PRV_NAME")
         .agg(
             F.count(key).alias("total_clustered_precincts"),
@@ -99,7 +104,8 @@ def map_stats(e: Election, precincts: DataFrame | None = None) -> DataFrame:
     """Transmission and voter statistics per province (full outer join on
     PRV_NAME, missing numbers -> 0). A null-province row (results of
     precincts absent from the precinct table) is kept here."""
-    j = transmission_by_province(e).join(voter_stats_by_province(e, precincts), "PRV_NAME", "full").fillna(0)
+    reported = None if precincts is None else precincts.select("PRECINCT_CODE")
+    j = transmission_by_province(e, reported).join(voter_stats_by_province(e, precincts), "PRV_NAME", "full").fillna(0)
     return j.select("PRV_NAME", *MAP_STATS_FIELDS)
 
 
