@@ -1,8 +1,11 @@
 """Vote tallies: national, local, national per province, leaders, regions.
 
 Each report accepts the shared bases (``votes`` = :func:`vote_base`,
-``precincts`` = :func:`precinct_base`) so the job computes them once; when
-omitted they are derived from the bundle. The contest / province split of
+``precincts`` = :func:`precinct_base`) so the job computes them once. When
+``votes`` is omitted the report aggregates the narrow merged fact
+(:func:`merged_votes`) directly: every report only filters on and sums
+over columns both frames share, so either input gives the same result, and
+a standalone report saves one shuffle. The contest / province split of
 the output files is a column here and a ``partitionBy`` at write time.
 """
 
@@ -13,7 +16,7 @@ from pyspark.sql import functions as F
 
 from canvass.functions import nan_to_zero, ratio, sum0
 from canvass.operators import top1_per_group, with_group_total
-from canvass.plans.base import precinct_base, vote_base
+from canvass.plans.base import merged_votes, precinct_base
 from canvass.sources.bundle import Election, national_flag
 
 V = "VOTES_AMOUNT"
@@ -26,14 +29,14 @@ def _named(df: DataFrame, candidates: DataFrame) -> DataFrame:
 
 
 def votes_by_contest_candidate(e: Election, votes: DataFrame | None = None) -> DataFrame:
-    votes = vote_base(e) if votes is None else votes
+    votes = merged_votes(e) if votes is None else votes
     return votes.groupBy("CONTEST_CODE", "CANDIDATE_CODE").agg(sum0(V).alias(V))
 
 
 def votes_by_province_candidate(e: Election, votes: DataFrame | None = None) -> DataFrame:
     """National votes by (CONTEST_CODE, PRV_NAME, CANDIDATE_CODE); the
     null-province group of unmatched precincts is kept."""
-    votes = vote_base(e) if votes is None else votes
+    votes = merged_votes(e) if votes is None else votes
     return (
         votes.where(national_flag())
         .groupBy("CONTEST_CODE", "PRV_NAME", "CANDIDATE_CODE")
@@ -51,7 +54,7 @@ def tally_national(e: Election, votes: DataFrame | None = None, precincts: DataF
     100 * votes / voters of every reporting precinct (multi-seat contests
     therefore add up to more than 100). Names are attached after the
     percentage, so unknown candidates vanish without changing it."""
-    votes = vote_base(e) if votes is None else votes
+    votes = merged_votes(e) if votes is None else votes
     precincts = precinct_base(e) if precincts is None else precincts
     nat = (
         votes.where(national_flag())
@@ -67,7 +70,7 @@ def tally_local(e: Election, votes: DataFrame | None = None) -> DataFrame:
     """Per local contest (every code that is not national): PERCENTAGE =
     100 * votes / all votes of the contest, fixed before names are joined
     (unknown candidates stay in the denominator)."""
-    votes = vote_base(e) if votes is None else votes
+    votes = merged_votes(e) if votes is None else votes
     loc = votes.where(~national_flag()).groupBy("CONTEST_CODE", "CANDIDATE_CODE").agg(sum0(V).alias(V))
     loc = with_group_total(loc, ["CONTEST_CODE"], V, "_contest_votes")
     loc = loc.withColumn("PERCENTAGE", ratio(F.col(V) * 100, F.col("_contest_votes")))
@@ -105,7 +108,7 @@ def candidate_by_region(e: Election, votes: DataFrame | None = None) -> DataFram
     precincts that match the precinct table; PERCENTAGE = votes / all
     national votes of the region * 100 (NaN -> 0). Unknown candidates are
     dropped before the denominator is taken."""
-    votes = vote_base(e) if votes is None else votes
+    votes = merged_votes(e) if votes is None else votes
     reg = (
         votes.where(national_flag() & F.col("MATCHED"))
         .groupBy("REG_NAME", "CANDIDATE_CODE")

@@ -183,3 +183,16 @@ def test_reception_rate_text_slices(clock):
 def test_reception_rate_by_minute(clock):
     got = rows(stats.reception_rate_by_minute(clock))
     assert got[0] == ("2022-05-09 00:30", 1) and len(got) == 5
+
+
+def test_shared_bases_give_the_same_reports(e):
+    """The job feeds pre-aggregated bases; standalone reports read the fact."""
+    from canvass.plans.base import precinct_base, vote_base
+
+    votes, pb = vote_base(e), precinct_base(e)
+    assert rows(tallies.tally_national(e, votes, pb)) == rows(tallies.tally_national(e))
+    assert rows(tallies.tally_local(e, votes)) == rows(tallies.tally_local(e))
+    assert rows(tallies.tally_national_province(e, votes, pb)) == rows(tallies.tally_national_province(e))
+    assert rows(tallies.leading_candidate_province(e, votes)) == rows(tallies.leading_candidate_province(e))
+    assert rows(tallies.candidate_by_region(e, votes)) == rows(tallies.candidate_by_region(e))
+    assert rows(stats.map_stats(e, pb)) == rows(stats.map_stats(e))
