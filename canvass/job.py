@@ -79,13 +79,17 @@ class Run:
     def precincts(self) -> DataFrame:
         return self._table(base.precinct_base(self.e), "precincts")
 
+    @cached_property
+    def pairs(self) -> DataFrame:
+        return self._table(base.reception_pairs(self.e), "reception-pairs")
+
     @cached_property
     def counts(self) -> DataFrame:
-        return self._table(base.reception_counts(self.e), "reception-counts")
+        return base.reception_counts(self.e, self.pairs)
 
     @cached_property
     def times(self) -> DataFrame:
-        return self._table(base.reception_times(self.e), "reception-times")
+        return base.reception_times(self.e, self.pairs)
 
     def path(self, name: str) -> str:
         return f"{self.out}/{name}"

@@ -86,7 +86,15 @@ def precinct_base(e: Election) -> DataFrame:
     )
 
 
-def reception_counts(e: Election) -> DataFrame:
+def reception_pairs(e: Election) -> DataFrame:
+    """Result rows per (RECEPTION_DATE, PRECINCT_CODE): one row per machine
+    and reception text, computed with a partial aggregate on the fact. Both
+    reception bases derive from it, so the fact is read once for them and
+    the timestamp text is parsed once per pair, not once per result row."""
+    return e.results.groupBy("RECEPTION_DATE", "PRECINCT_CODE").agg(F.count(F.lit(1)).alias("_n"))
+
+
+def reception_counts(e: Election, pairs: DataFrame | None = None) -> DataFrame:
     """Rows of the merged fact per RECEPTION_DATE text (null kept as a group).
 
     The merged fact repeats a result row once per matching precinct row.
@@ -94,19 +102,20 @@ def reception_counts(e: Election) -> DataFrame:
     (RECEPTION_DATE, PRECINCT_CODE) with a partial aggregate, then scaled by
     the number of precinct rows sharing that code (1 when unmatched).
     """
-    per = e.results.groupBy("RECEPTION_DATE", "PRECINCT_CODE").agg(F.count(F.lit(1)).alias("_n"))
+    per = reception_pairs(e) if pairs is None else pairs
     mult = e.precincts.groupBy(F.col("CLUSTERED_PREC").alias("_pk")).agg(F.count(F.lit(1)).alias("_k"))
     j = per.join(mult, F.col("PRECINCT_CODE") == F.col("_pk"), "left")
     scaled = F.col("_n") * F.coalesce(F.col("_k"), F.lit(1))
     return j.groupBy("RECEPTION_DATE").agg(F.sum(scaled).cast("bigint").alias("VCM_COUNT"))
 
 
-def reception_times(e: Election) -> DataFrame:
+def reception_times(e: Election, pairs: DataFrame | None = None) -> DataFrame:
     """Earliest parsed reception time per precinct (PRECINCT_CODE, RECEPTION_TS).
 
     Text that does not match the documented layout parses to null.
     """
     from canvass.schema import RECEPTION_FORMAT
 
+    per = reception_pairs(e) if pairs is None else pairs
     ts = F.try_to_timestamp(F.col("RECEPTION_DATE"), F.lit(RECEPTION_FORMAT))
-    return e.results.groupBy("PRECINCT_CODE").agg(F.min(ts).alias("RECEPTION_TS"))
+    return per.groupBy("PRECINCT_CODE").agg(F.min(ts).alias("RECEPTION_TS"))
