@@ -11,8 +11,9 @@ from canvass.schema import RECEPTION_FORMAT
 def reception_rate(results: DataFrame, delay: str = "10 minutes") -> DataFrame:
     """Count each PRECINCT_CODE once (duplicates within the watermark delay
     are dropped) in the 1-minute window of its reception time. Rows whose
-    RECEPTION_DATE does not parse are ignored. State is bounded by the
-    watermark: dedup keys and windows older than ``delay`` are evicted."""
+    RECEPTION_DATE does not parse are ignored. Dedup keys older than the
+    watermark are evicted; window counts are evicted too in append / update
+    mode, while complete mode keeps one row per minute of the feed."""
     ts = F.try_to_timestamp(F.col("RECEPTION_DATE"), F.lit(RECEPTION_FORMAT))
     s = results.select("PRECINCT_CODE", ts.alias("RECEPTION_TS")).where(F.col("RECEPTION_TS").isNotNull())
     return (
