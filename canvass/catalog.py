@@ -82,7 +82,7 @@ _EXPORTS: dict[tuple[str, str], str] = {}
 def exported_tables(spark: SparkSession, sf_dir: str) -> str:
     """Write the five election tables derived from ``sf_dir`` as
     pipe-delimited CSV (once per application) and return their folder."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.conf.get("spark.app.id", ""), sf_dir)
     if key not in _EXPORTS:
         root = scratch_path(spark, "tables")
         write_delimited_tables(full_tables(spark, sf_dir), root)

@@ -40,15 +40,22 @@ def checkpoint_root(spark: SparkSession) -> str:
     a private folder set here. On a cluster the setting is required, since a
     machine-local folder is not visible to other executors.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    master = spark.sparkContext.master
-    if not master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-    root = tempfile.mkdtemp(prefix="canvass-ckpt-")
-    spark.sparkContext.setCheckpointDir(root)
-    return root
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect sessions expose no SparkContext
+        sc = None
+    if sc is not None:
+        root = sc.getCheckpointDir()
+        if root:
+            return root.rstrip("/")
+        if sc.master.startswith("local"):
+            root = tempfile.mkdtemp(prefix="canvass-ckpt-")
+            sc.setCheckpointDir(root)
+            return root
+    raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
