@@ -16,11 +16,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from canvass import schema as S
+from canvass.functions import is_national
 from canvass.operators import reported_precincts
 from canvass.plans import base, stats, tallies
 from canvass.session import scratch_path
 from canvass.sinks import read_csv, write_csv, write_delimited_tables, write_partitioned_csv
-from canvass.sources.bundle import Election, merged_results, national_flag
+from canvass.sources.bundle import Election, merged_results
 from canvass.sources.delimited import read_table
 from canvass.sources.testdata import election_from_testdata, full_tables, results_from
 from canvass.streaming import reception as live
@@ -37,10 +38,10 @@ ELECTION_QUERIES: dict[str, Callable[[Election], DataFrame]] = {
         "PRECINCT_CODE", "PRV_NAME", "UNDERVOTE", "OVERVOTE", "NUMBER_VOTERS", "REGISTERED_VOTERS"
     ),
     "filter_national": lambda e: merged_results(e)
-    .where(national_flag())
+    .where(is_national())
     .select("PRV_NAME", "CONTEST_CODE", "CANDIDATE_CODE", "VOTES_AMOUNT"),
     "filter_local": lambda e: merged_results(e)
-    .where(~national_flag())
+    .where(~is_national())
     .select("CONTEST_CODE", "CANDIDATE_CODE", "VOTES_AMOUNT"),
     "transmission_flag": stats.transmission_flag,
     "precincts_reported": stats.precincts_reported,

@@ -47,6 +47,20 @@ def nan_to_zero(c: ColumnOrName) -> Column:
     return F.nanvl(_c(c), F.lit(0.0))
 
 
+def is_national(c: ColumnOrName = "CONTEST_CODE") -> Column:
+    """CONTEST_CODE is one of the national contests. Null stays null, so a
+    null code passes neither this filter nor its negation."""
+    from canvass.schema import NATIONAL_CONTESTS
+
+    return _c(c).isin(*NATIONAL_CONTESTS)
+
+
+def json_number(c: ColumnOrName) -> Column:
+    """A double as a JSON-safe value: NaN and +-inf become null."""
+    c = _c(c)
+    return F.when(is_finite(c), c)
+
+
 def sum0(c: ColumnOrName) -> Column:
     """Sum that is 0 (not null) for an empty or all-null group, as bigint."""
     c = _c(c)

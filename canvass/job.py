@@ -39,6 +39,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from canvass.functions import json_number
 from canvass.plans import base, stats, tallies
 from canvass.session import checkpoint_root, get_spark, scratch_path
 from canvass.sinks import write_csv, write_partitioned_csv, write_text
@@ -95,6 +96,13 @@ class Run:
         return f"{self.out}/{name}"
 
 
+def _correlation_json(df: DataFrame) -> DataFrame:
+    """``{"correlation": r}``; NaN / inf (not valid JSON) and a degenerate
+    input are written as null."""
+    doc = F.struct(json_number("correlation").alias("correlation"))
+    return df.select(F.to_json(doc, {"ignoreNullFields": "false"}).alias("value"))
+
+
 def _tally_file(df: DataFrame) -> DataFrame:
     return df.select("CONTEST_CODE", "CANDIDATE_NAME", "VOTES_AMOUNT", "PERCENTAGE")
 
@@ -135,8 +143,7 @@ def run_stats(r: Run) -> None:
     write_csv(stats.turnout_by_precinct(e, pb), r.path("voter_turnout_by_precinct"))
     write_csv(stats.spoiled_ballots(e, pb), r.path("spoiled_ballots_analysis"))
     write_csv(tallies.candidate_by_region(e, r.votes), r.path("candidate_performance_by_region"))
-    corr = stats.turnout_spoiled_correlation(e, pb).select(F.to_json(F.struct("correlation")).alias("value"))
-    write_text(corr, r.path("turnout_spoiled_correlation.json"))
+    write_text(_correlation_json(stats.turnout_spoiled_correlation(e, pb)), r.path("turnout_spoiled_correlation.json"))
     rate = stats.reception_rate_text(e, r.counts).orderBy(
         "RECEPTION_DATE_ONLY", "RECEPTION_HOUR", "RECEPTION_MINUTE"
     )
@@ -147,9 +154,7 @@ def run_corrected(r: Run) -> None:
     e = r.e
     write_csv(stats.vcm_received_by_time(e, r.times).orderBy("RECEPTION_TIME"), r.path("corrected/vcm_received_by_time"))
     write_csv(stats.reception_rate_by_minute(e, r.times), r.path("corrected/reception_rate_by_minute"))
-    corr = stats.turnout_spoiled_correlation_finite(e, r.precincts).select(
-        F.to_json(F.struct("correlation")).alias("value")
-    )
+    corr = _correlation_json(stats.turnout_spoiled_correlation_finite(e, r.precincts))
     write_text(corr, r.path("corrected/turnout_spoiled_correlation.json"))
 
 

@@ -14,10 +14,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from canvass.functions import nan_to_zero, ratio, sum0
+from canvass.functions import is_national, nan_to_zero, ratio, sum0
 from canvass.operators import top1_per_group, with_group_total
 from canvass.plans.base import merged_votes, precinct_base
-from canvass.sources.bundle import Election, national_flag
+from canvass.sources.bundle import Election
 
 V = "VOTES_AMOUNT"
 
@@ -38,7 +38,7 @@ def votes_by_province_candidate(e: Election, votes: DataFrame | None = None) ->
     null-province group of unmatched precincts is kept."""
     votes = merged_votes(e) if votes is None else votes
     return (
-        votes.where(national_flag())
+        votes.where(is_national())
         .groupBy("CONTEST_CODE", "PRV_NAME", "CANDIDATE_CODE")
         .agg(sum0(V).alias(V))
     )
@@ -57,7 +57,7 @@ def tally_national(e: Election, votes: DataFrame | None = None, precincts: DataF
     votes = merged_votes(e) if votes is None else votes
     precincts = precinct_base(e) if precincts is None else precincts
     nat = (
-        votes.where(national_flag())
+        votes.where(is_national())
         .groupBy("CONTEST_CODE", "CANDIDATE_CODE")
         .agg(sum0(V).alias(V))
         .withColumn("_voters", total_voters(precincts))
@@ -71,7 +71,7 @@ def tally_local(e: Election, votes: DataFrame | None = None) -> DataFrame:
     100 * votes / all votes of the contest, fixed before names are joined
     (unknown candidates stay in the denominator)."""
     votes = merged_votes(e) if votes is None else votes
-    loc = votes.where(~national_flag()).groupBy("CONTEST_CODE", "CANDIDATE_CODE").agg(sum0(V).alias(V))
+    loc = votes.where(~is_national()).groupBy("CONTEST_CODE", "CANDIDATE_CODE").agg(sum0(V).alias(V))
     loc = with_group_total(loc, ["CONTEST_CODE"], V, "_contest_votes")
     loc = loc.withColumn("PERCENTAGE", ratio(F.col(V) * 100, F.col("_contest_votes")))
     return _named(loc, e.candidates).select("CONTEST_CODE", "CANDIDATE_NAME", V, "PERCENTAGE")
@@ -110,7 +110,7 @@ def candidate_by_region(e: Election, votes: DataFrame | None = None) -> DataFram
     dropped before the denominator is taken."""
     votes = merged_votes(e) if votes is None else votes
     reg = (
-        votes.where(national_flag() & F.col("MATCHED"))
+        votes.where(is_national() & F.col("MATCHED"))
         .groupBy("REG_NAME", "CANDIDATE_CODE")
         .agg(F.sum(V).alias(V))
     )

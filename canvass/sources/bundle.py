@@ -5,7 +5,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
 @dataclass(frozen=True)
@@ -41,9 +40,3 @@ def merged_results(e: Election) -> DataFrame:
     p = e.precincts.select("CLUSTERED_PREC", "REG_NAME", "PRV_NAME", "REGISTERED_VOTERS")
     r = e.results
     return r.join(p, r["PRECINCT_CODE"] == p["CLUSTERED_PREC"], "left").drop(p["CLUSTERED_PREC"])
-
-
-def national_flag(col: str = "CONTEST_CODE"):
-    from canvass.schema import NATIONAL_CONTESTS
-
-    return F.col(col).isin(*NATIONAL_CONTESTS)
