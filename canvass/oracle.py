@@ -230,9 +230,9 @@ g2 AS (SELECT *, CAST(sum(VOTES_AMOUNT) OVER (PARTITION BY REG_NAME) AS BIGINT)
 
 MAP_STATS = q(f"SELECT PRV_NAME, {', '.join(MAP_FIELDS)} FROM ms", MAP)
 MAP_STATS_JSON = q(
-    "SELECT PRV_NAME, to_json(struct_pack("
+    "SELECT PRV_NAME, CAST(to_json(struct_pack("
     + ", ".join(f"{f} := {f}" for f in MAP_FIELDS)
-    + ")) AS STATS_JSON FROM ms WHERE PRV_NAME IS NOT NULL",
+    + ")) AS VARCHAR) AS STATS_JSON FROM ms WHERE PRV_NAME IS NOT NULL",
     MAP,
 )
 VOTER_STATS_FIELDS = (
@@ -349,9 +349,9 @@ def all_sql() -> dict[str, str]:
         "map_stats_json": MAP_STATS_JSON,
         "voter_stats": q(f"SELECT {', '.join(VOTER_STATS_FIELDS)} FROM vs", VOTER_STATS),
         "voter_stats_json": q(
-            "SELECT to_json(struct_pack("
+            "SELECT CAST(to_json(struct_pack("
             + ", ".join(f"{f} := {f}" for f in VOTER_STATS_FIELDS)
-            + ")) AS VOTER_STATS_JSON FROM vs",
+            + ")) AS VARCHAR) AS VOTER_STATS_JSON FROM vs",
             VOTER_STATS,
         ),
         "vcm_received": VCM_RECEIVED,

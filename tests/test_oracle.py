@@ -37,13 +37,16 @@ def test_every_query_has_an_oracle():
     assert set(entry.queries()) == set(entry.oracle_sql())
 
 
+DUCK_TO_SPARK = {"BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean"}
+
+
 @pytest.mark.parametrize("key", sorted(entry.queries()))
 def test_query_matches_oracle(spark, con, key):
     df = entry.queries()[key](spark, SF)
-    res = con.execute(entry.oracle_sql()[key])
-    d_cols = [c[0] for c in res.description]
-    assert sorted(df.columns) == sorted(d_cols)
-    assert _canon(df.columns, [tuple(r) for r in df.collect()]) == _canon(d_cols, res.fetchall())
+    rel = con.sql(entry.oracle_sql()[key])
+    d_types = {c: DUCK_TO_SPARK.get(str(t), str(t)) for c, t in zip(rel.columns, rel.types)}
+    assert dict(df.dtypes) == d_types
+    assert _canon(df.columns, [tuple(r) for r in df.collect()]) == _canon(rel.columns, rel.fetchall())
 
 
 def test_entry_smoke(spark):
