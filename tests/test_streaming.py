@@ -46,3 +46,34 @@ def test_running_tally_stream_equals_batch(spark):
     run_available(running_tally(stream), overwrite_table(out), scratch_path(spark, "t-ckpt"))
     assert rows(spark.read.parquet(out)) == rows(running_tally(e.results))
     assert os.path.basename(out).startswith("t-tally")
+
+
+def test_late_older_drop_is_ignored(spark):
+    newer = make_election(spark, [result_row(1, PRES, A, 3)], [(1, "R", "P", 5)])
+    older = make_election(spark, [result_row(1, PRES, B, 99)], [(1, "R", "P", 5)])
+    drops = scratch_path(spark, "t-drops-late")
+    out, ckpt = scratch_path(spark, "t-late-out"), scratch_path(spark, "t-late-ckpt")
+    write_delimited_tables(_tables(newer), f"{drops}/05-10-22--09-00")
+    publish_newest_drop(spark, drops, out, ckpt, tallies.tally_national)
+    # an older drop lands afterwards; the restarted stream sees only it
+    write_delimited_tables(_tables(older), f"{drops}/05-09-22--09-00")
+    got = publish_newest_drop(spark, drops, out, ckpt, tallies.tally_national)
+    assert rows(got, "CANDIDATE_NAME", "VOTES_AMOUNT") == [(f"CAND {A}", 3)]
+
+
+def test_reception_rate_stream_equals_batch(spark):
+    from canvass.plans import stats
+    from canvass.streaming import reception as live
+
+    times = ["05/09/2022 - 07:08:48 PM", "05/09/2022 - 07:08:05 PM", "05/09/2022 - 12:01:00 AM", "bad text"]
+    res = [result_row(i + 1, PRES, A, 1, date=d) for i, d in enumerate(times)]
+    res.append(result_row(1, PRES, B, 1, date=times[0]))  # same machine again: counted once
+    e = make_election(spark, res, [])
+    src = scratch_path(spark, "t-rate-feed")
+    e.results.coalesce(1).write.parquet(src)
+    stream = spark.readStream.schema(RESULTS).parquet(src)
+    out = scratch_path(spark, "t-rate")
+    run_available(live.reception_rate(stream), overwrite_table(out, live.flatten_windows), scratch_path(spark, "t-ckpt"))
+    got = rows(spark.read.parquet(out))
+    assert got == rows(stats.reception_rate_by_minute(e))
+    assert got == [("2022-05-09 00:01", 1), ("2022-05-09 19:08", 2)]
