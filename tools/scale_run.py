@@ -1,19 +1,28 @@
 """Scale measurement: the sf tables replicated N times, then the full job.
 
-usage: python tools/scale_run.py [sf_dir] [copies] [cpus]
+usage: python tools/scale_run.py [sf_dir] [copies] [cpus] [skew]
 
 Copy k shifts every precinct code by k * 10,000,000 (results and
 precincts alike), so the fact grows N-fold with N-fold distinct precincts
 while contests / candidates / provinces stay the same. Copies are made with
-a generator (explode of a sequence), not a cross join. Prints one JSON line
-with rows and seconds per step.
+a generator (explode of a sequence), not a cross join. With skew=1, a third
+of all result rows (chosen by a hash of the row) is moved to ONE precinct
+code, the hot-key case the plans are designed for.
+
+Spark's event log is written to the scratch folder; the output JSON line
+reports seconds per step and, per job step, the worst stage's longest and
+median task time (a hot key that lands in one task shows up as a large
+ratio).
 """
 
 from __future__ import annotations
 
+import glob
 import json
+import statistics
 import sys
 import time
+from collections import defaultdict
 
 sys.path.insert(0, ".")
 
@@ -32,6 +41,14 @@ def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     copies = int(sys.argv[2]) if len(sys.argv) > 2 else 60
     cpus = int(sys.argv[3]) if len(sys.argv) > 3 else 8
+    skew = len(sys.argv) > 4 and sys.argv[4] == "1"
+    from canvass.session import checkpoint_root
+    import uuid
+
+    log_dir = f"/tmp/checkpoints/canvass/eventlog-{uuid.uuid4().hex}"
+    import os
+
+    os.makedirs(log_dir, exist_ok=True)
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("canvass-scale")
@@ -39,10 +56,15 @@ def main() -> None:
         .config("spark.sql.shuffle.partitions", str(4 * cpus))
         .config("spark.driver.memory", "16g")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.eventLog.enabled", "true")
+        .config("spark.eventLog.dir", log_dir)
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    out: dict[str, object] = {"sf_dir": sf_dir, "copies": copies}
+    checkpoint_root(spark)
+    out: dict[str, object] = {"sf_dir": sf_dir, "copies": copies, "skew": skew}
+    sc = spark.sparkContext
+    sc.setJobDescription("base-ingest")
     t0 = time.perf_counter()
     base_wh = scratch_path(spark, "scale-base")
     src = full_tables(spark, sf_dir, spread=cpus)
@@ -55,7 +77,11 @@ def main() -> None:
     base = load_warehouse(spark, base_wh)
     k = F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("_k")
     shift = F.col("_k").cast("bigint") * SHIFT
-    res = base.results.select("*", k).withColumn("PRECINCT_CODE", F.col("PRECINCT_CODE") + shift).drop("_k")
+    res = base.results.select("*", k).withColumn("PRECINCT_CODE", F.col("PRECINCT_CODE") + shift)
+    if skew:
+        hot = F.abs(F.xxhash64("PRECINCT_CODE", "CONTEST_CODE", "CANDIDATE_CODE", "_k")) % 3 == 0
+        res = res.withColumn("PRECINCT_CODE", F.when(hot, F.lit(7)).otherwise(F.col("PRECINCT_CODE")))
+    res = res.drop("_k")
     pre = (
         spark.read.parquet(f"{base_wh}/precincts")
         .select("*", k)
@@ -64,6 +90,7 @@ def main() -> None:
         .drop("_k")
     )
     wh = scratch_path(spark, "scale-wh")
+    sc.setJobDescription("replicate")
     t0 = time.perf_counter()
     ingest(
         {
@@ -78,11 +105,53 @@ def main() -> None:
     out["replicate_sec"] = round(time.perf_counter() - t0, 2)
     e = load_warehouse(spark, wh)
     out["result_rows"] = e.results.count()
+    sc.setJobDescription("job")
     t0 = time.perf_counter()
     out["job_reports_sec"] = job.run(spark, e, scratch_path(spark, "scale-out"), ["all"], log=lambda *_: None)
     out["job_all_sec"] = round(time.perf_counter() - t0, 2)
-    print(json.dumps(out))
+    sc.setJobDescription(None)
+    if skew:
+        out["hot_precinct_rows"] = e.results.where(F.col("PRECINCT_CODE") == 7).count()
     spark.stop()
+    out["stage_tasks"] = stage_task_times(log_dir)
+    print(json.dumps(out))
+
+
+def stage_task_times(log_dir: str) -> dict[str, object]:
+    """Per step (job description), the three stages with the longest task:
+    task count, longest and median task time in ms."""
+    import io
+
+    import zstandard
+
+    tasks: dict[int, list[int]] = defaultdict(list)
+    step_of: dict[int, str] = {}
+    for path in glob.glob(f"{log_dir}/**/events_*", recursive=True):
+        raw = open(path, "rb")
+        if path.endswith(".zstd"):
+            raw = zstandard.ZstdDecompressor().stream_reader(raw)
+        with io.TextIOWrapper(raw, encoding="utf-8") as fh:
+            for line in fh:
+                if '"SparkListenerJobStart"' in line:
+                    ev = json.loads(line)
+                    step = (ev.get("Properties") or {}).get("spark.job.description") or "other"
+                    for sid in ev["Stage IDs"]:
+                        step_of[sid] = step
+                    continue
+                if '"SparkListenerTaskEnd"' not in line:
+                    continue
+                ev = json.loads(line)
+                info = ev["Task Info"]
+                tasks[ev["Stage ID"]].append(info["Finish Time"] - info["Launch Time"])
+    report: dict[str, object] = {}
+    for step in sorted(set(step_of.values())):
+        mine = [(sid, d) for sid, d in tasks.items() if step_of.get(sid) == step]
+        worst = sorted(mine, key=lambda kv: -max(kv[1]))[:3]
+        report[step] = {
+            f"stage {sid}": {"tasks": len(d), "max_ms": max(d), "median_ms": int(statistics.median(d))}
+            for sid, d in worst
+        }
+    return report
 
 
 if __name__ == "__main__":
