@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from canvass.operators import first_row_per_key
+from canvass.operators import first_row_per_key, join_dimension
 from canvass.sources.bundle import Election
 
 # Fixed order that picks the representative row of a precinct: lowest
@@ -36,7 +36,7 @@ def merged_votes(e: Election) -> DataFrame:
         F.col("CLUSTERED_PREC").alias("_pk"), "REG_NAME", "PRV_NAME", F.lit(True).alias("_m")
     )
     r = e.results.select("PRECINCT_CODE", "CONTEST_CODE", "CANDIDATE_CODE", "VOTES_AMOUNT")
-    j = r.join(p, F.col("PRECINCT_CODE") == F.col("_pk"), "left")
+    j = join_dimension(r, p, "PRECINCT_CODE", "_pk", "left")
     return j.select(
         "PRECINCT_CODE",
         "CONTEST_CODE",

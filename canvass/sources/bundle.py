@@ -33,10 +33,10 @@ def merged_results(e: Election) -> DataFrame:
     Adds REG_NAME, PRV_NAME, REGISTERED_VOTERS; the right key is dropped.
     Unmatched results keep null precinct attributes; a duplicated
     CLUSTERED_PREC multiplies its result rows, a null key never matches.
-    The precinct side is broadcast by Catalyst when its estimated size is
-    under the broadcast threshold, else the join shuffles on the precinct
-    key and AQE splits hot precincts.
+    The precinct side is broadcast after a size check; beyond it the join
+    shuffles with hot precinct codes salted (see ``join_dimension``).
     """
+    from canvass.operators.joins import join_dimension
+
     p = e.precincts.select("CLUSTERED_PREC", "REG_NAME", "PRV_NAME", "REGISTERED_VOTERS")
-    r = e.results
-    return r.join(p, r["PRECINCT_CODE"] == p["CLUSTERED_PREC"], "left").drop(p["CLUSTERED_PREC"])
+    return join_dimension(e.results, p, "PRECINCT_CODE", "CLUSTERED_PREC", "left").drop("CLUSTERED_PREC")

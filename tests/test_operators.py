@@ -59,3 +59,22 @@ def test_existence_flag_true_false_null(spark):
     keys = spark.createDataFrame([(1,), (1,), (None,)], "q bigint")
     out = with_existence_flag(left, "p", keys, "q", "hit")
     assert rows(out) == [(1, True), (2, False), (None, None)]
+
+
+def test_join_dimension_equals_plain_join_on_both_paths(spark):
+    from canvass.operators import join_dimension
+
+    # key 7 is hot (a third of the rows), dimension has a duplicate key and a null
+    fact = spark.createDataFrame(
+        [(7 if i % 3 == 0 else i % 50, i % 5, i) for i in range(600)] + [(None, 1, 999)],
+        "p bigint, c bigint, v bigint",
+    )
+    dim = spark.createDataFrame(
+        [(k, f"R{k % 4}") for k in range(0, 40)] + [(7, "DUP"), (None, "NULLKEY")], "pk bigint, reg string"
+    )
+    for how in ("left", "inner"):
+        plain = rows(fact.join(dim, F.col("p") == F.col("pk"), how))
+        small = rows(join_dimension(fact, dim, "p", "pk", how))  # broadcast path
+        salted = rows(join_dimension(fact, dim, "p", "pk", how, broadcast_bytes=0, rows_per_task=20))
+        assert small == plain
+        assert salted == plain

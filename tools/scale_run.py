@@ -1,13 +1,16 @@
 """Scale measurement: the sf tables replicated N times, then the full job.
 
-usage: python tools/scale_run.py [sf_dir] [copies] [cpus] [skew]
+usage: python tools/scale_run.py [sf_dir] [copies] [cpus] [skew] [nobroadcast]
 
 Copy k shifts every precinct code by k * 10,000,000 (results and
 precincts alike), so the fact grows N-fold with N-fold distinct precincts
 while contests / candidates / provinces stay the same. Copies are made with
 a generator (explode of a sequence), not a cross join. With skew=1, a third
 of all result rows (chosen by a hash of the row) is moved to ONE precinct
-code, the hot-key case the plans are designed for.
+code, the hot-key case the plans are designed for. With nobroadcast=1 the
+broadcast thresholds are set to -1, so every join takes the shuffle path
+(the path used when the precinct table is too large to broadcast) and AQE's
+skew-join split has to handle the hot precinct.
 
 Spark's event log is written to the scratch folder; the output JSON line
 reports seconds per step and, per job step, the worst stage's longest and
@@ -30,7 +33,7 @@ from pyspark.sql import SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from canvass import job  # noqa: E402
-from canvass.session import scratch_path  # noqa: E402
+from canvass.session import get_spark, scratch_path  # noqa: E402
 from canvass.sources.testdata import full_tables  # noqa: E402
 from canvass.sources.warehouse import ingest, load_warehouse  # noqa: E402
 
@@ -42,6 +45,7 @@ def main() -> None:
     copies = int(sys.argv[2]) if len(sys.argv) > 2 else 60
     cpus = int(sys.argv[3]) if len(sys.argv) > 3 else 8
     skew = len(sys.argv) > 4 and sys.argv[4] == "1"
+    nobroadcast = len(sys.argv) > 5 and sys.argv[5] == "1"
     from canvass.session import checkpoint_root
     import uuid
 
@@ -49,20 +53,26 @@ def main() -> None:
     import os
 
     os.makedirs(log_dir, exist_ok=True)
-    spark = (
-        SparkSession.builder.master(f"local[{cpus}]")
-        .appName("canvass-scale")
-        .config("spark.ui.enabled", "false")
-        .config("spark.sql.shuffle.partitions", str(4 * cpus))
-        .config("spark.driver.memory", "16g")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.eventLog.enabled", "true")
-        .config("spark.eventLog.dir", log_dir)
-        .getOrCreate()
-    )
+    conf = {
+        "spark.sql.shuffle.partitions": str(4 * cpus),
+        "spark.driver.memory": "16g",
+        "spark.eventLog.enabled": "true",
+        "spark.eventLog.dir": log_dir,
+        # small-data stand-ins: AQE splits a skewed partition into pieces of
+        # the advisory size (64 MB by default), and at this scale the hot
+        # precinct's shuffle block is only tens of MB (at 100 TB it is TBs)
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(16 << 20),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(8 << 20),
+        # one task's worth of rows at this scale (16M rows over 32 tasks)
+        "spark.canvass.skew.rowsPerTask": "500000",
+    }
+    if nobroadcast:
+        conf["spark.sql.autoBroadcastJoinThreshold"] = "-1"
+        conf["spark.sql.adaptive.autoBroadcastJoinThreshold"] = "-1"
+    spark = get_spark("canvass-scale", f"local[{cpus}]", conf)
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_root(spark)
-    out: dict[str, object] = {"sf_dir": sf_dir, "copies": copies, "skew": skew}
+    out: dict[str, object] = {"sf_dir": sf_dir, "copies": copies, "skew": skew, "nobroadcast": nobroadcast}
     sc = spark.sparkContext
     sc.setJobDescription("base-ingest")
     t0 = time.perf_counter()
