@@ -30,6 +30,22 @@ def _broadcast_limit(fact: DataFrame, override: int | None) -> int:
     return max(value, 0)
 
 
+_FITS: dict[tuple[str, int, int], bool] = {}
+
+
+def fits_broadcast(dim: DataFrame, limit: int) -> bool:
+    """Row count x estimated width of ``dim`` is within ``limit`` bytes.
+
+    Decided once per application and dimension plan (``semanticHash``): both
+    join strategies return the same rows, so a stale decision can only cost
+    speed, never change a result.
+    """
+    key = (dim.sparkSession.conf.get("spark.app.id", ""), dim.semanticHash(), limit)
+    if key not in _FITS:
+        _FITS[key] = limit > 0 and dim.count() * _width(dim.schema) <= limit
+    return _FITS[key]
+
+
 def join_dimension(
     fact: DataFrame,
     dim: DataFrame,
@@ -63,7 +79,7 @@ def join_dimension(
     if rows_per_task is None:
         rows_per_task = int(fact.sparkSession.conf.get(ROWS_PER_TASK_CONF, str(DEFAULT_ROWS_PER_TASK)))
     cond = F.col(fact_key) == F.col(dim_key)
-    if dim.count() * _width(dim.schema) <= _broadcast_limit(fact, broadcast_bytes):
+    if fits_broadcast(dim, _broadcast_limit(fact, broadcast_bytes)):
         return fact.join(F.broadcast(dim), cond, how)
 
     hot = (
