@@ -19,8 +19,10 @@ def bucketed_running_total(df: DataFrame, order: str, value: str, bucket: Column
     (window partitioned by bucket) -> add the bucket offset. A bucket holds
     at most one row per distinct ``order`` value inside it (86,400 for a day
     of second-precision times), whatever the raw row count. The offsets table
-    has one row per bucket, so its broadcast size is bounded by the number of
-    buckets (days), not by the data.
+    has one row per bucket (per day for well-formed times); it is joined
+    without a broadcast hint, so Catalyst / AQE broadcast it only when its
+    measured size allows, and the ordered pass over it is as long as the
+    number of buckets, not the data.
     """
     b = df.withColumn("_bucket", bucket)
     totals = b.groupBy("_bucket").agg(F.sum(value).alias("_btot"))
@@ -33,5 +35,5 @@ def bucketed_running_total(df: DataFrame, order: str, value: str, bucket: Column
         Window.unboundedPreceding, Window.currentRow
     )
     run = b.withColumn("_run", F.sum(value).over(within))
-    j = run.join(F.broadcast(offsets), F.col("_bucket").eqNullSafe(F.col("_ob")), "inner")
+    j = run.join(offsets, F.col("_bucket").eqNullSafe(F.col("_ob")), "inner")
     return j.withColumn(out, (F.col("_off") + F.col("_run")).cast("bigint")).drop("_bucket", "_ob", "_off", "_run")

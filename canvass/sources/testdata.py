@@ -52,12 +52,12 @@ def precincts_full(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def results_raw(spark: SparkSession, sf_dir: str, spread: int | None = None) -> DataFrame:
-    """``spread``: round-robin the lineitem scan over this many tasks before
-    the per-row work (the test files hold a single row group, which Spark
-    cannot split; split inputs should leave this None)."""
+    """``spread``: hash-partition the lineitem scan by order key over this
+    many tasks before the per-row work (the test files hold a single row
+    group, which Spark cannot split; split inputs should leave this None)."""
     lineitem = _read(spark, sf_dir, "lineitem")
     if spread:
-        lineitem = lineitem.repartition(spread)
+        lineitem = lineitem.repartition(spread, "l_orderkey")
     return results_from(lineitem, _read(spark, sf_dir, "orders"))
 
 
