@@ -19,6 +19,8 @@ unless noted):
   province/CONTEST_CODE=<c>/PRV_KEY=<p>/  national tallies per province
   map/CONTEST_CODE=<code>/                leading candidate per province
   map_stats.json/                         JSON lines {"<province>": {...}}
+  map_stats_unassigned.json/              {"unassigned": {...}} for results whose
+                                          precinct is not in the precinct table
   voter_stats.json/                       one JSON object
   vcm_received/, voter_turnout_by_precinct/, spoiled_ballots_analysis/,
   candidate_performance_by_region/, vcm_reception_rate/,
@@ -135,9 +137,13 @@ def leading_candidate_province(r: Run) -> None:
 
 def run_stats(r: Run) -> None:
     e, pb = r.e, r.precincts
-    ms = stats.map_stats(e, pb).where(F.col("PRV_NAME").isNotNull())
+    ms = stats.map_stats(e, pb)
     doc = F.to_json(F.create_map(F.col("PRV_NAME"), F.struct(*stats.MAP_STATS_FIELDS)))
-    write_text(ms.select(doc.alias("value")), r.path("map_stats.json"))
+    write_text(ms.where(F.col("PRV_NAME").isNotNull()).select(doc.alias("value")), r.path("map_stats.json"))
+    # results of precincts missing from the precinct table have no province:
+    # not a valid JSON key, so they are reported on their own
+    side = F.to_json(F.struct(F.struct(*stats.MAP_STATS_FIELDS).alias("unassigned")))
+    write_text(ms.where(F.col("PRV_NAME").isNull()).select(side.alias("value")), r.path("map_stats_unassigned.json"))
     write_text(stats.voter_stats_json(e, pb).toDF("value"), r.path("voter_stats.json"))
     write_csv(stats.vcm_received(e, r.counts).orderBy(F.col("RECEPTION_DATE").asc_nulls_first()), r.path("vcm_received"))
     write_csv(stats.turnout_by_precinct(e, pb), r.path("voter_turnout_by_precinct"))

@@ -37,6 +37,19 @@ def test_job_all_writes_every_output(spark, tmp_path):
     assert text.startswith('{"ILOCOS NORTE":{"number_of_voters_not_transmitted":0,')
 
 
+def test_job_reports_unassigned_results_separately(spark, tmp_path):
+    files = dict(FILES)
+    files["results.csv"] = FILES["results.csv"] + "00000099|00199000|0019900001|0|4|1|50|2|0|05/09/2022 - 08:09:00 PM\n"
+    _write(str(tmp_path), files)
+    out = scratch_path(spark, "t-job3")
+    job.run(spark, job.load_election(spark, str(tmp_path)), out, ["stats"], log=lambda *_: None)
+    local = out.replace("file:", "")
+    folder = f"{local}/map_stats_unassigned.json"
+    text = "".join(open(f"{folder}/{f}").read() for f in os.listdir(folder) if f.startswith("part"))
+    assert text.startswith('{"unassigned":{"number_of_voters_not_transmitted":0,')
+    assert '"total_voters":50' in text
+
+
 def test_unknown_report_is_rejected(spark):
     with pytest.raises(ValueError):
         job.run(spark, None, "/nonexistent", ["no-such-report"])
