@@ -11,7 +11,7 @@ from canvass.sources import load_election, merged_results
 
 FILES = {
     "candidates.csv": "CONTEST_CODE|CANDIDATE_CODE|CANDIDATE_NAME\n00199000|0019900001|\"JOSE RIZAL (IND)\"\n",
-    "contests.csv": "CONTEST_CODE|CONTEST_NAME\n00199000|PRESIDENT PHILIPPINES\n",
+    "contests.csv": "CONTEST_CODE|CONTEST_NAME\n00199000|PRESIDENT\n",
     "parties.csv": "PARTIES_CODE|PARTIES_NAME|PARTIES_ALIAS\n000|INDEPENDENT|IDP\n",
     "precincts.csv": (
         "VCM_ID|REG_NAME|PRV_NAME|MUN_NAME|BRGY_NAME|POLLPLACE|CLUSTERED_PREC|REGISTERED_VOTERS\n"
