@@ -1,9 +1,11 @@
 """Snapshot drops: each arriving folder is a complete copy of the tables.
 
 Layout: ``{drops}/{stamp}/{results,candidates,contests,parties,precincts}.csv``
-with ``stamp`` formatted ``MM-dd-yy--HH-mm`` (the arrival time). The results
-files are read as a file stream; every micro-batch keeps only the newest
-drop it contains (stamps are parsed to timestamps: as text they do not sort
+with ``stamp`` formatted ``MM-dd-yy--HH-mm`` (the arrival time). One small
+table of each drop (``precincts.csv`` by default; the producer writes it
+last) is read as a file stream and serves as the arrival signal, so the
+large results files are parsed only once, by the report. Every micro-batch
+keeps only the newest drop it contains (stamps are parsed to timestamps: as text they do not sort
 across years), re-runs the report on the whole of that drop (results and
 dimensions read from its folder, so a drop split over several micro-batches
 is never published half-read), and overwrites the output. A drop older
@@ -25,20 +27,24 @@ from canvass.streaming.common import run_available
 STAMP_FORMAT = "MM-dd-yy--HH-mm"
 
 
-def _stamp_of_path(path_col) -> F.Column:
-    return F.regexp_extract(path_col, r"([^/]+)/results\.csv(/[^/]*)?$", 1)
+SIGNAL_TABLE = "precincts"
 
 
-def results_stream(spark: SparkSession, drops: str) -> DataFrame:
-    """Arrival signal: one DROP_STAMP / DROP_TS per result row of each new drop."""
+def _stamp_of_path(path_col, table: str = SIGNAL_TABLE) -> F.Column:
+    return F.regexp_extract(path_col, rf"([^/]+)/{table}\.csv(/[^/]*)?$", 1)
+
+
+def arrival_stream(spark: SparkSession, drops: str, table: str = SIGNAL_TABLE) -> DataFrame:
+    """Arrival signal: DROP_STAMP / DROP_TS for every row of ``table`` in
+    each new drop folder."""
     raw = (
-        spark.readStream.schema(S.RESULTS)
+        spark.readStream.schema(S.TABLES[table])
         .option("header", True)
         .option("sep", "|")
         .option("mode", "FAILFAST")
-        .csv(f"{drops.rstrip('/')}/*/results.csv")
+        .csv(f"{drops.rstrip('/')}/*/{table}.csv")
     )
-    stamp = _stamp_of_path(F.col("_metadata.file_path"))
+    stamp = _stamp_of_path(F.col("_metadata.file_path"), table)
     return raw.select(stamp.alias("DROP_STAMP")).withColumn(
         "DROP_TS", F.try_to_timestamp(F.col("DROP_STAMP"), F.lit(STAMP_FORMAT))
     )
@@ -97,5 +103,5 @@ def publish_newest_drop(
     spark: SparkSession, drops: str, out: str, checkpoint: str, report: Callable[[Election], DataFrame]
 ) -> DataFrame:
     """Run the drop stream over everything present, return the published report."""
-    run_available(results_stream(spark, drops), snapshot_sink(spark, drops, out, report), checkpoint, "append")
+    run_available(arrival_stream(spark, drops), snapshot_sink(spark, drops, out, report), checkpoint, "append")
     return spark.read.parquet(out)
