@@ -82,3 +82,20 @@ def test_partitioned_write_one_folder_per_key_sorted(spark):
     assert len(part) == 1
     with open(f"{folder}/{part[0]}") as fh:
         assert fh.read().splitlines() == ["CANDIDATE_NAME,VOTES_AMOUNT", "B,9", "A,5"]
+
+
+def test_ingest_to_parquet_gives_the_same_reports(spark):
+    from canvass.plans import stats, tallies
+    from canvass.sources.testdata import election_from_testdata, full_tables
+    from canvass.sources.warehouse import ingest, load_warehouse
+    from tests.conftest import rows
+
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        pytest.skip("driver test tables not present")
+    wh = scratch_path(spark, "t-wh")
+    ingest(full_tables(spark, sf), wh, spread=4)
+    stored, direct = load_warehouse(spark, wh), election_from_testdata(spark, sf)
+    assert stored.results.count() == direct.results.count()
+    for report in (tallies.tally_national_province, tallies.tally_local, stats.map_stats, stats.vcm_received):
+        assert rows(report(stored)) == rows(report(direct))
