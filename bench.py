@@ -5,12 +5,13 @@ file listing caches) is reported under ``cold_*``, the second is the
 headline. Pipeline measured in each pass, as it would run in production:
 1. ``ingest``: the five election tables (derived from the driver tables)
    are written once as Parquet to the shared checkpoint folder;
-2. every headline report runs standalone over that copy, executed in full
-   with the ``noop`` sink (no driver collect) and timed;
-3. ``job_all_sec`` (reported separately): the named-report job writing all
-   outputs, with the shared bases computed once.
+2. ``queries``: every headline report standalone over that copy, executed
+   in full with the ``noop`` sink (no driver collect), one at a time;
+3. ``job_all_sec``: the named-report job producing every output file (all
+   reports, shared bases computed once), i.e. the whole program run.
 
-value = ingest + sum of standalone report times.
+value = ingest + job_all_sec: the end-to-end "all reports" run, the
+workload the original program's own benchmark measured.
 """
 
 from __future__ import annotations
@@ -91,8 +92,9 @@ def main() -> None:
     print(
         json.dumps(
             {
-                "metric": "ingest_plus_headline_reports",
-                "value": round(sum(times.values()), 3),
+                "metric": "ingest_plus_all_reports_job",
+                "value": round(times["ingest"] + job_all, 3),
+                "standalone_total_sec": round(sum(times.values()), 3),
                 "unit": "sec",
                 "queries": times,
                 "sf": float(m.group(1)) if m else sf_dir,

@@ -6,8 +6,8 @@
 REPORT is one of tally-national, tally-local, leading-candidate-province,
 tally-national-province, stats, corrected, read-results or all. The tables
 are loaded once; the shared bases (votes by contest / candidate / province,
-one row per precinct, reception counts) are computed once per run and
-written as Parquet tables under the shared ``spark.checkpoint.dir``, which
+one row per precinct, reception pairs / counts / times) are computed once
+per run and written as Parquet tables under the shared ``spark.checkpoint.dir``, which
 cuts their lineage (a lost executor does not replay the fact scan) and
 gives every report a column-pruned scan of a small table. Each report runs
 even if another failed; the exit status is 1 when any report failed.
@@ -88,11 +88,11 @@ class Run:
 
     @cached_property
     def counts(self) -> DataFrame:
-        return base.reception_counts(self.e, self.pairs)
+        return self._table(base.reception_counts(self.e, self.pairs), "reception-counts")
 
     @cached_property
     def times(self) -> DataFrame:
-        return base.reception_times(self.e, self.pairs)
+        return self._table(base.reception_times(self.e, self.pairs), "reception-times")
 
     def path(self, name: str) -> str:
         return f"{self.out}/{name}"
@@ -137,13 +137,14 @@ def leading_candidate_province(r: Run) -> None:
 
 def run_stats(r: Run) -> None:
     e, pb = r.e, r.precincts
-    ms = stats.map_stats(e, pb)
+    ms = stats.map_stats(e, pb).cache()  # one row per province, read by two outputs
     doc = F.to_json(F.create_map(F.col("PRV_NAME"), F.struct(*stats.MAP_STATS_FIELDS)))
     write_text(ms.where(F.col("PRV_NAME").isNotNull()).select(doc.alias("value")), r.path("map_stats.json"))
     # results of precincts missing from the precinct table have no province:
     # not a valid JSON key, so they are reported on their own
     side = F.to_json(F.struct(F.struct(*stats.MAP_STATS_FIELDS).alias("unassigned")))
     write_text(ms.where(F.col("PRV_NAME").isNull()).select(side.alias("value")), r.path("map_stats_unassigned.json"))
+    ms.unpersist()
     write_text(stats.voter_stats_json(e, pb).toDF("value"), r.path("voter_stats.json"))
     write_csv(stats.vcm_received(e, r.counts).orderBy(F.col("RECEPTION_DATE").asc_nulls_first()), r.path("vcm_received"))
     write_csv(stats.turnout_by_precinct(e, pb), r.path("voter_turnout_by_precinct"))
