@@ -65,3 +65,36 @@ def test_failing_report_does_not_stop_others(spark, tmp_path, monkeypatch):
     e = job.load_election(spark, str(tmp_path))
     done = job.run(spark, e, scratch_path(spark, "t-job2"), ["tally-local", "tally-national"], log=lambda *_: None)
     assert done["tally-local"] is None and done["tally-national"] is not None
+
+
+def test_job_contest_files_hold_the_tallies(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from canvass.plans import tallies
+    from canvass.sinks import read_csv
+    from tests.conftest import rows
+
+    files = dict(FILES)
+    files["results.csv"] = FILES["results.csv"] + (
+        "00000007|00199000|0019900002|0|4|1|100|3|1|05/09/2022 - 08:07:08 PM\n"
+        "00000007|02000001|0200000101|0|6|5|100|3|1|05/09/2022 - 08:07:08 PM\n"
+    )
+    files["candidates.csv"] = FILES["candidates.csv"] + "00199000|0019900002|\"B\"\n02000001|0200000101|\"L\"\n"
+    _write(str(tmp_path), files)
+    e = job.load_election(spark, str(tmp_path))
+    out = scratch_path(spark, "t-job4")
+    job.run(spark, e, out, ["tally-national", "tally-local"], log=lambda *_: None)
+    schema = T.StructType(
+        [
+            T.StructField("CANDIDATE_NAME", T.StringType()),
+            T.StructField("VOTES_AMOUNT", T.LongType()),
+            T.StructField("PERCENTAGE", T.DoubleType()),
+            T.StructField("CONTEST_CODE", T.LongType()),
+        ]
+    )
+    back = read_csv(spark, f"{out}/contest", schema)
+    want = tallies.tally_national(e).unionByName(tallies.tally_local(e))
+    assert rows(back, "CONTEST_CODE", "CANDIDATE_NAME", "VOTES_AMOUNT", "PERCENTAGE") == rows(
+        want, "CONTEST_CODE", "CANDIDATE_NAME", "VOTES_AMOUNT", "PERCENTAGE"
+    )
+    assert back.count() == 3
