@@ -18,6 +18,27 @@ def overwrite_table(path: str, prepare: Callable[[DataFrame], DataFrame] | None
     return _write
 
 
+def append_table(path: str, prepare: Callable[[DataFrame], DataFrame] | None = None):
+    """foreachBatch function for append / update output: each epoch goes to
+    its own ``epoch_id=<n>`` folder, written with overwrite, so a replayed
+    epoch replaces itself instead of duplicating rows. Read the table back
+    with :func:`read_appended`."""
+
+    def _write(batch: DataFrame, epoch_id: int) -> None:
+        out = prepare(batch) if prepare else batch
+        out.write.mode("overwrite").parquet(f"{path.rstrip('/')}/epoch_id={epoch_id}")
+
+    return _write
+
+
+def read_appended(spark, path: str, schema) -> DataFrame:
+    """All epochs written by :func:`append_table` (schema of the rows)."""
+    from pyspark.sql import types as T
+
+    full = T.StructType([*schema.fields, T.StructField("epoch_id", T.LongType())])
+    return spark.read.schema(full).parquet(path).drop("epoch_id")
+
+
 def run_available(stream: DataFrame, sink, checkpoint: str, output_mode: str = "complete") -> None:
     """Process everything available now, then stop (``availableNow``)."""
     q = (

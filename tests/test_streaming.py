@@ -77,3 +77,26 @@ def test_reception_rate_stream_equals_batch(spark):
     got = rows(spark.read.parquet(out))
     assert got == rows(stats.reception_rate_by_minute(e))
     assert got == [("2022-05-09 00:01", 1), ("2022-05-09 19:08", 2)]
+
+
+def test_reception_rate_append_mode_holds_back_open_windows(spark):
+    """Append mode emits a minute only once the watermark (latest time seen
+    minus the 10-minute delay) has passed it; the rest wait for later data."""
+    from pyspark.sql import types as T
+
+    from canvass.streaming import reception as live
+    from canvass.streaming.common import append_table, read_appended
+
+    times = ["05/09/2022 - 12:01:10 AM", "05/09/2022 - 12:05:00 AM", "05/09/2022 - 12:30:00 AM", "05/09/2022 - 12:31:59 AM"]
+    e = make_election(spark, [result_row(i + 1, PRES, A, 1, date=d) for i, d in enumerate(times)], [])
+    src = scratch_path(spark, "t-append-feed")
+    e.results.coalesce(1).write.parquet(src)
+    stream = spark.readStream.schema(RESULTS).parquet(src)
+    out = scratch_path(spark, "t-append")
+    run_available(
+        live.reception_rate(stream), append_table(out, live.flatten_windows), scratch_path(spark, "t-ckpt"), "append"
+    )
+    schema = T.StructType([T.StructField("RECEPTION_MINUTE", T.StringType()), T.StructField("VCM_COUNT", T.LongType())])
+    got = rows(read_appended(spark, out, schema))
+    # watermark = 00:31:59 - 10 min = 00:21:59: the 00:01 and 00:05 minutes are final
+    assert got == [("2022-05-09 00:01", 1), ("2022-05-09 00:05", 1)]
