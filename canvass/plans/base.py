@@ -6,12 +6,14 @@
                          per-region tallies (sums are additive, so exact).
 * :func:`precinct_base`  one deterministic row per precinct: feeds turnout,
                          spoiled ballots, voter statistics, denominators.
-* :func:`reception_counts` result rows per RECEPTION_DATE value.
+* :func:`reception_pairs` one row per (reception text, precinct); from it
+                         :func:`reception_counts` (merged rows per text) and
+                         :func:`reception_times` (first parsed time per
+                         precinct).
 
 They are small next to the fact table (bounded by contests x provinces x
-candidates, by precincts, and by distinct reception times), which is why
-the job materialises them once (``Election`` bases) instead of caching the
-wide merged fact.
+candidates, by precincts, and by machines x reception texts), which is why
+the job materialises them once instead of caching the wide merged fact.
 """
 
 from __future__ import annotations
