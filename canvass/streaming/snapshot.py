@@ -5,11 +5,10 @@ with ``stamp`` formatted ``MM-dd-yy--HH-mm`` (the arrival time). One small
 table of each drop (``precincts.csv`` by default; the producer writes it
 last) is read as a file stream and serves as the arrival signal, so the
 large results files are parsed only once, by the report. Every micro-batch
-keeps only the newest drop it contains (stamps are parsed to timestamps: as text they do not sort
-across years), re-runs the report on the whole of that drop (results and
-dimensions read from its folder, so a drop split over several micro-batches
-is never published half-read), and overwrites the output. A drop older
-than the one already published is ignored.
+keeps only the newest drop it contains (stamps are parsed to timestamps: as
+text they do not sort across years), re-runs the report on the whole of
+that drop (results and dimensions read from its folder), and overwrites the
+output. A drop older than the one already published is ignored.
 """
 
 from __future__ import annotations
@@ -24,9 +23,8 @@ from canvass.sources.bundle import Election
 from canvass.sources.delimited import read_table
 from canvass.streaming.common import run_available
 
+# Fixed value: drop folders are named by arrival time in this layout.
 STAMP_FORMAT = "MM-dd-yy--HH-mm"
-
-
 SIGNAL_TABLE = "precincts"
 
 
