@@ -19,6 +19,7 @@ unless noted):
   province/CONTEST_CODE=<c>/PRV_KEY=<p>/  national tallies per province
   map/CONTEST_CODE=<code>/                leading candidate per province
   map_stats.json/                         JSON lines {"<province>": {...}}
+  map_stats_document.json/                the same as one document, sorted keys
   map_stats_unassigned.json/              {"unassigned": {...}} for results whose
                                           precinct is not in the precinct table
   voter_stats.json/                       one JSON object
@@ -144,6 +145,13 @@ def run_stats(r: Run) -> None:
     # not a valid JSON key, so they are reported on their own
     side = F.to_json(F.struct(F.struct(*stats.MAP_STATS_FIELDS).alias("unassigned")))
     write_text(ms.where(F.col("PRV_NAME").isNull()).select(side.alias("value")), r.path("map_stats_unassigned.json"))
+    # the same provinces as ONE JSON document with sorted keys; its input is
+    # the per-province table (one row per province), not the fact
+    entries = F.array_sort(
+        F.collect_list(F.struct(F.col("PRV_NAME").alias("key"), F.struct(*stats.MAP_STATS_FIELDS).alias("value")))
+    )
+    whole = ms.where(F.col("PRV_NAME").isNotNull()).agg(F.to_json(F.map_from_entries(entries)).alias("value"))
+    write_text(whole, r.path("map_stats_document.json"))
     ms.unpersist()
     write_text(stats.voter_stats_json(e, pb).toDF("value"), r.path("voter_stats.json"))
     write_csv(stats.vcm_received(e, r.counts).orderBy(F.col("RECEPTION_DATE").asc_nulls_first()), r.path("vcm_received"))

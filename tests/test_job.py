@@ -35,6 +35,9 @@ def test_job_all_writes_every_output(spark, tmp_path):
         open(f"{local}/map_stats.json/{f}").read() for f in os.listdir(f"{local}/map_stats.json") if f.startswith("part")
     )
     assert text.startswith('{"ILOCOS NORTE":{"number_of_voters_not_transmitted":0,')
+    folder = f"{local}/map_stats_document.json"
+    doc = "".join(open(f"{folder}/{f}").read() for f in os.listdir(folder) if f.startswith("part"))
+    assert doc.strip() == text.strip()  # one province: the document equals its single line
 
 
 def test_job_reports_unassigned_results_separately(spark, tmp_path):
