@@ -141,14 +141,26 @@ MAP_FIELDS = (
 )
 _MAP_INT = set(MAP_FIELDS) - {"vcm_transmitted_percentile", "voter_turnout"}
 
+_MAP_FROM_TRANSMISSION = {
+    "number_of_voters_not_transmitted",
+    "total_clustered_precincts",
+    "vcm_not_transmitted",
+    "vcm_transmitted",
+    "vcm_transmitted_percentile",
+}
+
+
+def _map_field(f: str) -> str:
+    side = "t" if f in _MAP_FROM_TRANSMISSION else "v"
+    zero = "0" if f in _MAP_INT else "CAST(0 AS DOUBLE)"
+    return f"coalesce({side}.{f}, {zero}) AS {f}"
+
+
 MAP = f"""{TBP},
 {VSP},
 ms AS (
   SELECT coalesce(t.PRV_NAME, v.PRV_NAME) AS PRV_NAME,
-         {', '.join(
-             f"coalesce({'t' if f in ('number_of_voters_not_transmitted', 'total_clustered_precincts', 'vcm_not_transmitted', 'vcm_transmitted', 'vcm_transmitted_percentile') else 'v'}.{f}, "
-             f"{'0' if f in _MAP_INT else 'CAST(0 AS DOUBLE)'}) AS {f}"
-             for f in MAP_FIELDS)}
+         {', '.join(_map_field(f) for f in MAP_FIELDS)}
   FROM tbp t FULL OUTER JOIN vsp v ON t.PRV_NAME = v.PRV_NAME)"""
 
 VOTER_STATS = """vs AS (
