@@ -29,15 +29,21 @@ def _path(root: str, table: str) -> str:
     return f"{root.rstrip('/')}/{table}.csv"
 
 
+def read_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """All five tables with every source column (e.g. for ``ingest``)."""
+    return {name: read_table(spark, _path(root, name), name) for name in S.TABLES}
+
+
 def load_election(spark: SparkSession, root: str) -> Election:
     """Read ``{root}/{candidates,contests,parties,precincts,results}.csv``.
 
     Each ``.csv`` may be a single file or a folder of part files.
     """
+    t = read_tables(spark, root)
     return Election(
-        results=read_table(spark, _path(root, "results"), "results"),
-        candidates=read_table(spark, _path(root, "candidates"), "candidates"),
-        precincts=read_table(spark, _path(root, "precincts"), "precincts").select(*S.PRECINCT_COLUMNS),
-        contests=read_table(spark, _path(root, "contests"), "contests").select(*S.CONTEST_COLUMNS),
-        parties=read_table(spark, _path(root, "parties"), "parties"),
+        results=t["results"],
+        candidates=t["candidates"],
+        precincts=t["precincts"].select(*S.PRECINCT_COLUMNS),
+        contests=t["contests"].select(*S.CONTEST_COLUMNS),
+        parties=t["parties"],
     )

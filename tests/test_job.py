@@ -101,3 +101,13 @@ def test_job_contest_files_hold_the_tallies(spark, tmp_path):
         want, "CONTEST_CODE", "CANDIDATE_NAME", "VOTES_AMOUNT", "PERCENTAGE"
     )
     assert back.count() == 3
+
+
+def test_cli_ingests_then_reports(spark, tmp_path):
+    _write(str(tmp_path / "drop"), FILES)
+    wh, out = scratch_path(spark, "t-cli-wh"), scratch_path(spark, "t-cli-out")
+    code = job.main(["--input", str(tmp_path / "drop"), "--ingest-to", wh, "--output", out, "tally-national"])
+    assert code == 0
+    assert spark.read.parquet(f"{wh}/results").count() == 1
+    assert os.path.isdir(out.replace("file:", "") + "/contest/CONTEST_CODE=199000")
+    assert job.main(["--input", str(tmp_path / "drop"), "--output", out, "no-such-report"]) == 2
