@@ -26,6 +26,13 @@ class Election:
     def merged(self) -> DataFrame:
         return merged_results(self)
 
+    def register_views(self, prefix: str = "") -> None:
+        """Temporary views ``{prefix}results``, ``candidates``, ``precincts``,
+        ``contests``, ``parties`` and ``merged_results`` for ``spark.sql``."""
+        for name in ("results", "candidates", "precincts", "contests", "parties"):
+            getattr(self, name).createOrReplaceTempView(f"{prefix}{name}")
+        self.merged.createOrReplaceTempView(f"{prefix}merged_results")
+
 
 def merged_results(e: Election) -> DataFrame:
     """results LEFT JOIN precincts ON PRECINCT_CODE = CLUSTERED_PREC.

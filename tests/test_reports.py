@@ -196,3 +196,12 @@ def test_shared_bases_give_the_same_reports(e):
     assert rows(tallies.leading_candidate_province(e, votes)) == rows(tallies.leading_candidate_province(e))
     assert rows(tallies.candidate_by_region(e, votes)) == rows(tallies.candidate_by_region(e))
     assert rows(stats.map_stats(e, pb)) == rows(stats.map_stats(e))
+
+
+def test_views_allow_plain_sql(spark, e):
+    e.register_views("t_")
+    got = spark.sql(
+        "SELECT CONTEST_CODE, CANDIDATE_CODE, sum(VOTES_AMOUNT) AS VOTES_AMOUNT "
+        "FROM t_merged_results WHERE CONTEST_CODE = 199000 GROUP BY 1, 2"
+    )
+    assert rows(got) == rows(tallies.votes_by_contest_candidate(e).where("CONTEST_CODE = 199000"))
