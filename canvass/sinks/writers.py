@@ -30,7 +30,12 @@ def write_partitioned_csv(
     ``order`` inside each file. Spaces in values are kept in folder names
     and a null value becomes ``__HIVE_DEFAULT_PARTITION__``. Overwrite is
     dynamic: only the key folders present in ``df`` are replaced, so two
-    reports (national, local) can share one output tree."""
+    reports (national, local) can share one output tree.
+
+    Meant for report-sized data (the tallies: one row per candidate per
+    contest / province): rows are clustered by key, so each key's rows are
+    written by one task, which yields one sorted file per folder.
+    """
     out = df.repartition(*keys).sortWithinPartitions(*keys, *order)
     (
         out.write.mode(mode)
