@@ -1,7 +1,8 @@
 """Named-report batch job.
 
     python -m canvass.job --input URI [--input-format csv|parquet]
-                          [--ingest-to URI] --output URI REPORT [REPORT ...]
+                          [--ingest-to URI] --output URI [--export-flat URI]
+                          REPORT [REPORT ...]
 
 REPORT is one of tally-national, tally-local, leading-candidate-province,
 tally-national-province, stats, corrected, read-results or all. With
@@ -48,7 +49,7 @@ from pyspark.sql import functions as F
 from canvass.functions import json_number
 from canvass.plans import base, stats, tallies
 from canvass.session import checkpoint_root, get_spark, scratch_path
-from canvass.sinks import write_csv, write_partitioned_csv, write_text
+from canvass.sinks import export_flat, write_csv, write_partitioned_csv, write_text
 from canvass.sources.bundle import Election
 from canvass.sources.delimited import load_election, read_tables
 from canvass.sources.warehouse import ingest, load_warehouse
@@ -219,6 +220,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--input-format", choices=("csv", "parquet"), default="csv")
     ap.add_argument("--ingest-to", help="write a Parquet copy of a csv input here first and read from it")
     ap.add_argument("--output", required=True)
+    ap.add_argument("--export-flat", help="also copy the outputs to the original flat file names here")
     ap.add_argument("reports", nargs="+")
     a = ap.parse_args(argv)
     spark = get_spark("canvass-job")
@@ -234,6 +236,8 @@ def main(argv: list[str] | None = None) -> int:
     except ValueError as ex:
         print(ex, file=sys.stderr)
         return 2
+    if a.export_flat:
+        export_flat(a.output, a.export_flat)
     return 1 if any(v is None for v in done.values()) else 0
 
 

@@ -1,3 +1,4 @@
+from canvass.sinks.export import export_flat  # noqa: F401
 from canvass.sinks.writers import (  # noqa: F401
     read_csv,
     write_csv,

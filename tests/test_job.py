@@ -111,3 +111,28 @@ def test_cli_ingests_then_reports(spark, tmp_path):
     assert spark.read.parquet(f"{wh}/results").count() == 1
     assert os.path.isdir(out.replace("file:", "") + "/contest/CONTEST_CODE=199000")
     assert job.main(["--input", str(tmp_path / "drop"), "--output", out, "no-such-report"]) == 2
+
+
+def test_export_flat_names(spark, tmp_path):
+    from canvass.sinks import export_flat
+
+    files = dict(FILES)
+    files["results.csv"] = FILES["results.csv"] + "00000007|00199000|0019900002|0|4|1|100|3|1|05/09/2022 - 08:09:00 PM\n"
+    files["candidates.csv"] = FILES["candidates.csv"] + "00199000|0019900002|\"B\"\n"
+    _write(str(tmp_path / "drop"), files)
+    out = scratch_path(spark, "t-flat-out")
+    job.run(spark, job.load_election(spark, str(tmp_path / "drop")), out, ["all"], log=lambda *_: None)
+    dest = str(tmp_path / "static")
+    names = export_flat(out, dest)
+    assert {"199000.csv", "map-199000.csv", "ILOCOS_NORTE_199000.csv", "vcm_received.csv", "map_stats.json", "voter_stats.json"} <= set(names)
+    with open(f"{dest}/199000.csv") as fh:
+        assert fh.read().splitlines() == [
+            "CANDIDATE_NAME,VOTES_AMOUNT,PERCENTAGE",
+            "JOSE RIZAL (IND),9,9.0",
+            "B,4,4.0",
+        ]
+    with open(f"{dest}/vcm_received.csv") as fh:
+        lines = fh.read().splitlines()
+    assert lines[0] == "RECEPTION_DATE,VCM_RECEIVED" and lines.count(lines[0]) == 1 and lines[-1].endswith(",2")
+    with open(f"{dest}/map_stats.json") as fh:
+        assert fh.read().startswith('{"ILOCOS NORTE":{')
