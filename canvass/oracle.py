@@ -11,7 +11,7 @@ from __future__ import annotations
 
 NATIONAL = "(199000, 299000, 399000, 1199000)"
 
-ADAPTER = f"""
+DRIVER_TABLES = f"""
 precincts_all AS (
   SELECT CAST(c.c_custkey + 10000000 AS BIGINT) AS VCM_ID,
          r.r_name AS REG_NAME, n.n_name AS PRV_NAME,
@@ -66,8 +66,9 @@ parties AS (
   SELECT PARTIES_CODE, concat('PARTY ', CAST(PARTIES_CODE AS VARCHAR)) AS PARTIES_NAME,
          concat('P', CAST(PARTIES_CODE AS VARCHAR)) AS PARTIES_ALIAS
   FROM (SELECT DISTINCT CAST(l_suppkey % 7 AS BIGINT) AS PARTIES_CODE FROM lineitem) d
-),
-merged AS (
+)"""
+
+DERIVED = """merged AS (
   SELECT r.*, p.REG_NAME, p.PRV_NAME, p.REGISTERED_VOTERS, p.CLUSTERED_PREC IS NOT NULL AS MATCHED
   FROM results r LEFT JOIN precincts p ON r.PRECINCT_CODE = p.CLUSTERED_PREC
 ),
@@ -83,6 +84,16 @@ pb AS (
   WHERE rn = 1
 )"""
 
+ADAPTER = DRIVER_TABLES + ",\n" + DERIVED
+
+
+
+def over_tables(sql: str, tables: str) -> str:
+    """The same statement over other input tables: ``tables`` must define
+    the CTEs results, precincts (5 load-time columns), candidates, contests
+    and parties; it replaces the mapping from the driver tables."""
+    return sql.replace(DRIVER_TABLES, tables, 1)
+
 
 def q(select: str, extra: str = "") -> str:
     ctes = ADAPTER + (",\n" + extra if extra else "")
