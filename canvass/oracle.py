@@ -138,6 +138,7 @@ vsp AS (
                  ELSE CAST(0 AS DOUBLE) END AS voter_turnout
   FROM vsp0)"""
 
+# Output field names (sorted), as in the Spark reports.
 MAP_FIELDS = (
     "number_of_voters_not_transmitted",
     "total_clustered_precincts",

@@ -10,6 +10,8 @@ from canvass.operators import bucketed_running_total, reported_precincts, with_e
 from canvass.plans.base import precinct_base, reception_counts, reception_times
 from canvass.sources.bundle import Election
 
+# Field names of the province statistics and of the overall
+# voter statistics documents, in their (sorted) output order.
 MAP_STATS_FIELDS = (
     "number_of_voters_not_transmitted",
     "total_clustered_precincts",

@@ -22,6 +22,7 @@ from urllib.parse import unquote
 
 from pyarrow import fs as pafs
 
+# Flat file names of the original output layout.
 FLAT_CSV = {"vcm_received": "vcm_received.csv"}
 FLAT_JSON = {"map_stats_document.json": "map_stats.json", "voter_stats.json": "voter_stats.json"}
 
