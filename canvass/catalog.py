@@ -156,12 +156,18 @@ def _results_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_running_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T2: the results feed aggregated statefully (complete mode) into votes
+    by contest and candidate; run to completion, the table equals the batch
+    sum over the results table."""
     out = scratch_path(spark, "running_tally")
     run_available(running_tally(_results_feed(spark, sf_dir)), overwrite_table(out), scratch_path(spark, "ckpt"))
     return spark.read.parquet(out)
 
 
 def stream_reception_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T3: the results feed with a 10-minute watermark, each machine counted
+    once (dropDuplicatesWithinWatermark) in the minute window of its
+    reception time; complete mode, so every minute is in the table."""
     out = scratch_path(spark, "reception_rate")
     stream = live.reception_rate(_results_feed(spark, sf_dir))
     run_available(stream, overwrite_table(out, live.flatten_windows), scratch_path(spark, "ckpt"))
