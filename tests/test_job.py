@@ -136,3 +136,16 @@ def test_export_flat_names(spark, tmp_path):
     assert lines[0] == "RECEPTION_DATE,VCM_RECEIVED" and lines.count(lines[0]) == 1 and lines[-1].endswith(",2")
     with open(f"{dest}/map_stats.json") as fh:
         assert fh.read().startswith('{"ILOCOS NORTE":{')
+
+
+def test_job_on_a_drop_without_results(spark, tmp_path):
+    """The first drop, before any machine has transmitted: every report runs."""
+    files = dict(FILES)
+    files["results.csv"] = FILES["results.csv"].splitlines()[0] + "\n"
+    _write(str(tmp_path / "drop"), files)
+    out = scratch_path(spark, "t-empty")
+    done = job.run(spark, job.load_election(spark, str(tmp_path / "drop")), out, ["all"], log=lambda *_: None)
+    assert all(v is not None for v in done.values()), done
+    from canvass.sinks import export_flat
+
+    assert "voter_stats.json" in export_flat(out, str(tmp_path / "static"))
