@@ -1,0 +1,65 @@
+"""Earliest reception time per machine on a stream, exact under reordering.
+
+``reception.reception_rate`` counts a machine when its first row *arrives*.
+Here a machine's time is the earliest one seen, even when an earlier time
+arrives in a later micro-batch, as long as it is not behind the watermark.
+Per-machine state holds that earliest time (epoch microseconds) until the
+watermark passes it; then the time is final (anything earlier would now be
+late and dropped), one row is emitted, and a small tombstone stays so that
+later copies of the same machine are ignored. State therefore holds one
+entry per machine seen, not per row.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+from canvass.schema import RECEPTION_FORMAT
+
+OUTPUT = "PRECINCT_CODE long, RECEPTION_US long"
+STATE = "first_us long, emitted boolean"
+
+
+def _earliest(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    if state.hasTimedOut:
+        first_us, emitted = state.get
+        if not emitted:
+            state.update((first_us, True))
+            yield pd.DataFrame({"PRECINCT_CODE": [key[0]], "RECEPTION_US": [first_us]})
+        return
+    seen = min(int(b["RECEPTION_US"].min()) for b in batches)
+    if state.exists:
+        first_us, emitted = state.get
+        if emitted:
+            return
+        seen = min(seen, first_us)
+    state.update((seen, False))
+    # fires once the watermark has passed the earliest time
+    state.setTimeoutTimestamp(max(seen // 1000, state.getCurrentWatermarkMs() + 1))
+
+
+def first_reception(results: DataFrame, delay: str = "10 minutes") -> DataFrame:
+    """(PRECINCT_CODE, RECEPTION_US): each machine once, at its earliest
+    reception time (epoch microseconds), emitted in append mode when final.
+    Rows with a null code or an unparseable time are ignored."""
+    ts = F.try_to_timestamp(F.col("RECEPTION_DATE"), F.lit(RECEPTION_FORMAT))
+    s = (
+        results.select("PRECINCT_CODE", ts.alias("RECEPTION_TS"))
+        .where(F.col("RECEPTION_TS").isNotNull() & F.col("PRECINCT_CODE").isNotNull())
+        .withWatermark("RECEPTION_TS", delay)
+        .withColumn("RECEPTION_US", F.unix_micros("RECEPTION_TS"))
+    )
+    return s.groupBy("PRECINCT_CODE").applyInPandasWithState(
+        _earliest, OUTPUT, STATE, "append", GroupStateTimeout.EventTimeTimeout
+    )
+
+
+def machines_per_minute(first_times: DataFrame) -> DataFrame:
+    """Batch step over the emitted rows: machines per clock minute."""
+    minute = F.date_format(F.date_trunc("minute", F.timestamp_micros("RECEPTION_US")), "yyyy-MM-dd HH:mm")
+    return first_times.groupBy(minute.alias("RECEPTION_MINUTE")).agg(F.count(F.lit(1)).alias("VCM_COUNT"))

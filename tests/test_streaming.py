@@ -100,3 +100,29 @@ def test_reception_rate_append_mode_holds_back_open_windows(spark):
     got = rows(read_appended(spark, out, schema))
     # watermark = 00:31:59 - 10 min = 00:21:59: the 00:01 and 00:05 minutes are final
     assert got == [("2022-05-09 00:01", 1), ("2022-05-09 00:05", 1)]
+
+
+def test_first_reception_is_exact_under_reordering(spark):
+    """An earlier time that arrives in a later micro-batch wins; a machine is
+    emitted once, when the watermark has passed its earliest time."""
+    from pyspark.sql import types as T
+
+    from canvass.streaming.common import append_table, read_appended
+    from canvass.streaming.first_reception import first_reception, machines_per_minute
+
+    def row(p, d):
+        return result_row(p, PRES, A, 1, date=f"05/09/2022 - {d}")
+
+    batches = [
+        [row(1, "10:05:00 AM"), row(2, "10:06:00 AM")],
+        [row(1, "10:01:00 AM"), row(3, "10:07:30 AM")],  # machine 1's earlier time arrives late
+        [row(4, "10:30:00 AM"), row(1, "10:31:00 AM")],  # watermark moves to 10:21
+    ]
+    src, ckpt, out = scratch_path(spark, "t-first-feed"), scratch_path(spark, "t-ckpt"), scratch_path(spark, "t-first")
+    schema = T.StructType([T.StructField("PRECINCT_CODE", T.LongType()), T.StructField("RECEPTION_US", T.LongType())])
+    for b in batches:
+        make_election(spark, b, []).results.coalesce(1).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(RESULTS).parquet(src)
+        run_available(first_reception(stream), append_table(out), ckpt, "append")
+    got = rows(machines_per_minute(read_appended(spark, out, schema)))
+    assert got == [("2022-05-09 10:01", 1), ("2022-05-09 10:06", 1), ("2022-05-09 10:07", 1)]
