@@ -99,3 +99,20 @@ def test_ingest_to_parquet_gives_the_same_reports(spark):
     assert stored.results.count() == direct.results.count()
     for report in (tallies.tally_national_province, tallies.tally_local, stats.map_stats, stats.vcm_received):
         assert rows(report(stored)) == rows(report(direct))
+
+
+def test_export_flat_unescapes_partition_values(spark, tmp_path):
+    from canvass.sinks import export_flat
+
+    df = spark.createDataFrame(
+        [(199000, "SUR: NORTH", "A", 3, 30.0)],
+        "CONTEST_CODE bigint, PRV_KEY string, CANDIDATE_NAME string, VOTES_AMOUNT bigint, PERCENTAGE double",
+    )
+    out = scratch_path(spark, "t-escape")
+    write_partitioned_csv(df, f"{out}/province", ["CONTEST_CODE", "PRV_KEY"], [F.col("VOTES_AMOUNT").desc()])
+    local = out.replace("file:", "")
+    assert os.listdir(f"{local}/province/CONTEST_CODE=199000")[0].startswith("PRV_KEY=SUR%3A")
+    names = export_flat(out, str(tmp_path / "flat"))
+    assert names == ["SUR: NORTH_199000.csv"]
+    with open(tmp_path / "flat" / "SUR: NORTH_199000.csv") as fh:
+        assert fh.read().splitlines() == ["CANDIDATE_NAME,VOTES_AMOUNT,PERCENTAGE", "A,3,30.0"]
