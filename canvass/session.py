@@ -21,17 +21,31 @@ JOB_CONF: dict[str, str] = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    "spark.ui.enabled": "false",
 }
+# Static setting for a batch job: no web UI.
+STATIC_CONF: dict[str, str] = {"spark.ui.enabled": "false"}
 
 
 def get_spark(app: str = "canvass", master: str | None = None, conf: dict[str, str] | None = None) -> SparkSession:
+    """Session for the job. The SQL defaults in ``JOB_CONF`` are set at
+    runtime only where the submitter left them unset (``spark-submit --conf``
+    and spark-defaults.conf win); ``conf`` given here overrides both."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for k, v in {**JOB_CONF, **(conf or {})}.items():
+    for k, v in {**STATIC_CONF, **(conf or {})}.items():
         builder = builder.config(k, v)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    try:
+        submitted = spark.sparkContext.getConf()
+    except Exception:  # Spark Connect: no SparkContext, nothing to compare with
+        submitted = None
+    for k, v in JOB_CONF.items():
+        if conf and k in conf:
+            continue
+        if submitted is None or not submitted.contains(k):
+            spark.conf.set(k, v)
+    return spark
 
 
 def checkpoint_root(spark: SparkSession) -> str:
