@@ -7,12 +7,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from canvass.llm import sentencepiece_bpe, sharding, token_count
+from canvass.llm import chat_format, sentencepiece_bpe, sharding, token_count
 from canvass.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+# The one conversation that op2 adds to the table (fixed by its contract).
+ADDED_CONVERSATION = """
+SELECT -1L AS conv_id, turn, role, '</s>[INST] ok [/INST]' AS text
+FROM VALUES (0L, 'user'), (1L, 'assistant') AS t(turn, role)
+"""
+
+
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    messages = chat_format.conversation_messages(conversations.unionByName(spark.sql(ADDED_CONVERSATION)))
+    return chat_format.conversation_digests(chat_format.format_conversations(messages))
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_bpe.digests(table(spark, sf_dir, "documents"))
 
@@ -26,9 +39,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_chat_format": op2_chat_format,
     "op4_sentencepiece": op4_sentencepiece,
     "op9_token_counts": op9_token_counts,
     "op10_sharding": op10_sharding,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op2_chat_format": chat_format.ORACLE_SQL}
