@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from canvass.llm import chat_format, sentencepiece_bpe, sharding, token_count
+from canvass.llm import chat_format, sentencepiece_bpe, sharding, simhash, token_count
 from canvass.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,10 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_bpe.digests(table(spark, sf_dir, "documents"))
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_classes(table(spark, sf_dir, "documents"), shingle=4, radius=4)
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_documents(table(spark, sf_dir, "documents"))
 
@@ -41,6 +45,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_chat_format": op2_chat_format,
     "op4_sentencepiece": op4_sentencepiece,
+    "op8_simhash": op8_simhash,
     "op9_token_counts": op9_token_counts,
     "op10_sharding": op10_sharding,
 }
