@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from canvass.llm import chat_format, sentencepiece_bpe, sharding, simhash, token_count
+from canvass.llm import chat_format, sentencepiece_bpe, sharding, simhash, token_count, winnowing
 from canvass.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,10 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.conversation_digests(chat_format.format_conversations(messages))
 
 
+def op3_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.edited_likeness(table(spark, sf_dir, "documents"))
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_bpe.digests(table(spark, sf_dir, "documents"))
 
@@ -44,6 +48,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_chat_format": op2_chat_format,
+    "op3_winnowing": op3_winnowing,
     "op4_sentencepiece": op4_sentencepiece,
     "op8_simhash": op8_simhash,
     "op9_token_counts": op9_token_counts,

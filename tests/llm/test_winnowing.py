@@ -1,0 +1,90 @@
+import hashlib
+import random
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from canvass.llm import winnowing as N
+from canvass.llm.catalog import QUERIES
+from tests.llm.helpers import DOC, ODD, by_id, documents
+
+TESTDATA = "/root/testdata/sf0.001"
+
+
+def brute_winnow(text, k=N.K, w=N.W):
+    grams = [text[i : i + k] for i in range(max(1, len(text) - k + 1))] if text else []
+    h = [int(N.kgram_hashes(np.array([ord(c) for c in g]), k)[0]) for g in grams]
+    kept = []
+    for i in range(max(1, len(h) - w + 1) if h else 0):
+        win = h[i : i + w]
+        at = i + max(j for j, x in enumerate(win) if x == min(win))
+        if not kept or kept[-1] != at:
+            kept.append(at)
+    return [h[i] for i in kept], kept
+
+
+def test_winnow_equals_definition():
+    rng = random.Random(2)
+    for n in [0, 1, 5, 23, 24, 25, 70, 71, 72, 73, 300, 700]:
+        for alphabet in ("a", "ab", "abcdefgh é中"):
+            t = "".join(rng.choice(alphabet) for _ in range(n))
+            h, p = N.winnow(t)
+            assert (h.tolist(), p.tolist()) == brute_winnow(t)
+            entries = bytes.fromhex(N.as_text(h, p))
+            assert np.cumsum(list(entries[4::5])).tolist() == p.tolist()
+
+
+def test_shared_passage_is_always_caught():
+    rng = random.Random(7)
+    word = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n))
+    for _ in range(50):
+        shared = word(N.W + N.K - 1)
+        a, b = word(rng.randint(0, 400)) + shared + word(200), word(rng.randint(0, 400)) + shared
+        assert set(N.winnow(a)[0].tolist()) & set(N.winnow(b)[0].tolist())
+
+
+def brute(texts):
+    ids = sorted(texts, reverse=True)
+    out = {}
+    for i, d in enumerate(ids):
+        t, nxt = texts[d] or "", texts[ids[(i + 1) % len(ids)]] or ""
+        cut = len(t) // 3
+        e = t[: len(t) - cut] + nxt[:cut]
+        sets = [set(brute_winnow(x)[0]) for x in (t, e, nxt)]
+        like = lambda a, b: 1.0 if not a | b else len(a & b) / len(a | b)
+        out[d] = (len(t), hashlib.sha256(e.encode()).hexdigest(), like(sets[0], sets[1]), like(sets[0], sets[2]))
+    return out
+
+
+def check(got, texts):
+    want = brute({d: (t or "")[:0] + (t or "") for d, t in texts.items()})
+    assert {d: (r.n_chars, r.edited_sha256, r.near_edited, r.near_next) for d, r in got.items()} == want
+
+
+def test_odd_texts_and_clashing_columns(spark):
+    texts = [t if t is None or len(t) < 9000 else t[:9000] for t in ODD]
+    docs = documents(spark, texts).withColumn("part", F.lit("clash")).withColumn("k", F.lit(1))
+    check(by_id(N.edited_likeness(docs)), dict(enumerate(texts)))
+    one = spark.createDataFrame([(4, "abc def", None, None, None)], DOC)
+    assert N.edited_likeness(one).first().edited_sha256 == hashlib.sha256(b"abc dab").hexdigest()
+    assert N.edited_likeness(spark.createDataFrame([], DOC)).count() == 0
+    twice = spark.createDataFrame([(None, "x", None, None, None)] * 2 + [(4, None, None, None, None)] * 3, DOC)
+    assert N.edited_likeness(twice).count() == 5
+
+
+def test_query_on_fixture(spark):
+    docs = spark.read.parquet(f"{TESTDATA}/documents.parquet").where(F.length("text") < 2500)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    got = by_id(N.edited_likeness(docs))
+    check(got, texts)
+    by_text = {}
+    for d, r in got.items():
+        assert by_text.setdefault(texts[d], r.fingerprint) == r.fingerprint
+        hashes = bytes.fromhex(r.fingerprint)
+        assert len(hashes) % 5 == 0
+    assert QUERIES["op3_winnowing"](spark, TESTDATA).count() == spark.read.parquet(f"{TESTDATA}/documents.parquet").count()
+
+
+def test_array_columns(spark):
+    r = by_id(N.fingerprint_documents(documents(spark, ["a" * 80, None])))
+    assert list(r[0].winnow_positions) == brute_winnow("a" * 80)[1] and list(r[1].winnow_hashes) == []
