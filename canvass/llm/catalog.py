@@ -7,12 +7,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from canvass.llm import chat_format, sentencepiece_bpe, sharding, simhash, token_count, winnowing
+from canvass.llm import chat_format, language_id, sentencepiece_bpe, sharding, simhash, token_count, winnowing
 from canvass.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.predict_languages(table(spark, sf_dir, "documents"))
+
+
 # The one conversation that op2 adds to the table (fixed by its contract).
 ADDED_CONVERSATION = """
 SELECT -1L AS conv_id, turn, role, '</s>[INST] ok [/INST]' AS text
@@ -47,6 +51,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_language_id": op1_language_id,
     "op2_chat_format": op2_chat_format,
     "op3_winnowing": op3_winnowing,
     "op4_sentencepiece": op4_sentencepiece,
