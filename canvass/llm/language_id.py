@@ -49,8 +49,9 @@ ORDER = 5
 MIN_SHARE = 5e-6
 CALIBRATION = 8
 MIN_SCORE = 0.5
-WORDS_KEPT = 400_000
-FLUSH_WORDS = 300_000
+WORDS_KEPT = 250_000
+WORDS_AT_ONCE = 20_000
+FLUSH_WORDS = 150_000
 START, STOP = "^", "$"
 UND = "und"
 _MUL = np.uint64(0x9E3779B97F4A7C15)
@@ -202,9 +203,10 @@ class Scorer:
             self.__init__(self.model)
         new = [w for w in set().union(*texts) if w not in self.index] if texts else []
         if new:
-            total, size = self.model.word_scores(new)
+            parts = [self.model.word_scores(new[i : i + WORDS_AT_ONCE]) for i in range(0, len(new), WORDS_AT_ONCE)]
             self.index.update(zip(new, range(len(self.index), len(self.index) + len(new))))
-            self.total, self.size = np.concatenate((self.total, total)), np.concatenate((self.size, size))
+            self.total = np.concatenate((self.total, *(t for t, _ in parts)))
+            self.size = np.concatenate((self.size, *(n for _, n in parts)))
 
     def entropies(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(nats per character by language, characters) of each text."""
@@ -241,7 +243,7 @@ def _predict(model: LanguageModel, texts: list[str]) -> pd.DataFrame:
     return out
 
 
-def _batched(texts: list[str], chars: int = 1 << 22) -> Iterator[tuple[int, int]]:
+def _batched(texts: list[str], chars: int = 1 << 20) -> Iterator[tuple[int, int]]:
     start = size = 0
     for i, t in enumerate(texts):
         size += len(t)
@@ -285,8 +287,8 @@ def _count_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         for text, lang in zip(pdf["text"], pdf["lang"]):
             words.setdefault(lang, Counter()).update(words_of(text))
-        if sum(map(len, words.values())) > FLUSH_WORDS:
-            yield from flush()
+            if sum(map(len, words.values())) > FLUSH_WORDS:
+                yield from flush()
     yield from flush()
 
 
