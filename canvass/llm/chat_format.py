@@ -78,18 +78,21 @@ def reply_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
     )
     # up: the ancestor 2^k steps above (null beyond the root); n and s: the
     # messages from this one up to that ancestor (not included), their score.
-    jumps = [materialise(jump, "jump")]
+    # A round joins only messages that have not reached their root yet.
+    state = materialise(jump, "jump")
+    jumps, reached = [state.where(F.col("up").isNotNull())], state.where(F.col("up").isNull())
     rows = m.count()
-    while jumps[-1].where(F.col("up").isNotNull()).limit(1).count() and (1 << (len(jumps) - 1)) <= rows:
-        a, b = jumps[-1].alias("a"), jumps[-1].alias("b")
-        step = a.join(b, F.col("a.t").eqNullSafe(F.col("b.t")) & (F.col("a.up") == F.col("b.id")), "left").select(
+    while jumps[-1].limit(1).count() and (1 << (len(jumps) - 1)) <= rows:
+        a, b = jumps[-1].alias("a"), jumps[-1].unionByName(reached).alias("b")
+        step = a.join(b, F.col("a.t").eqNullSafe(F.col("b.t")) & (F.col("a.up") == F.col("b.id"))).select(
             F.col("a.t").alias("t"), F.col("a.id").alias("id"), F.col("b.up").alias("up"),
-            (F.col("a.n") + F.coalesce(F.col("b.n"), F.lit(0))).alias("n"),
-            (F.col("a.s") + F.coalesce(F.col("b.s"), F.lit(0.0))).alias("s"),
+            (F.col("a.n") + F.col("b.n")).alias("n"), (F.col("a.s") + F.col("b.s")).alias("s"),
         )
-        jumps.append(materialise(step, "jump"))
-    reached = jumps[-1].where(F.col("up").isNull())  # the rest hangs on a cycle
-    parents = jumps[0].where(F.col("up").isNotNull()).select("t", F.col("up").alias("id")).distinct()
+        state = materialise(step, "jump")
+        jumps.append(state.where(F.col("up").isNotNull()))
+        reached = reached.unionByName(state.where(F.col("up").isNull()))
+    parents = jumps[0].select("t", F.col("up").alias("id")).distinct()
+    # Messages that hang on a cycle are never among ``reached``.
     leaves = reached.alias("a").join(
         parents.alias("b"), F.col("a.t").eqNullSafe(F.col("b.t")) & (F.col("a.id") == F.col("b.id")), "left_anti"
     )
@@ -97,7 +100,7 @@ def reply_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
     paths = leaves.withColumn("_r", rank).where(F.col("_r") <= branches)
     paths = paths.select("t", F.col("id").alias("leaf"), "id", (F.col("n") - 1).alias("pos"))
     for k, j in enumerate(jumps):
-        a, b = paths.alias("a"), j.where(F.col("up").isNotNull()).alias("b")
+        a, b = paths.alias("a"), j.alias("b")
         more = a.join(b, F.col("a.t").eqNullSafe(F.col("b.t")) & (F.col("a.id") == F.col("b.id"))).select(
             F.col("a.t").alias("t"), F.col("a.leaf").alias("leaf"), F.col("b.up").alias("id"),
             (F.col("a.pos") - F.lit(1 << k)).alias("pos"),
