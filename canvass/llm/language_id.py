@@ -50,8 +50,8 @@ MIN_SHARE = 5e-6
 CALIBRATION = 8
 MIN_SCORE = 0.5
 WORDS_KEPT = 250_000
-WORDS_AT_ONCE = 20_000
-FLUSH_WORDS = 150_000
+WORDS_AT_ONCE = 10_000
+FLUSH_WORDS = 100_000
 START, STOP = "^", "$"
 UND = "und"
 _MUL = np.uint64(0x9E3779B97F4A7C15)
@@ -99,28 +99,26 @@ class LanguageModel:
     def log_probs(self, codes: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Log-probability, in each language, of the characters at ``at``
         given those before."""
-
-        def of(k: int, at: np.ndarray) -> np.ndarray:
-            if not k:
-                return np.full((len(at), len(self.languages)), self.uniform)
-            h = hashes[k][at]
-            i = np.searchsorted(self.keys[k - 1], h)
-            i[i == len(self.keys[k - 1])] = 0
-            out = self.logp[k - 1][i].astype(np.float64)
-            new = np.flatnonzero(self.keys[k - 1][i] != h)
-            if len(new):
-                below = of(k - 1, at[new])
-                c = hashes[k - 1][at[new] - 1] if k > 1 else np.zeros(len(new), np.uint64)
-                j = np.searchsorted(self.context_keys[k - 1], c)
-                j[j == len(self.context_keys[k - 1])] = 0
-                known = self.context_keys[k - 1][j] == c
-                out[new] = below + np.where(known[:, None], self.log_gamma[k - 1][j], 0.0)
-            return out
-
         if not self.languages:
             return np.zeros((len(at), 0))
-        hashes = [None] + [_hashes(codes, k) for k in range(1, ORDER + 1)]
-        return of(ORDER, at)
+        return self._of_order(ORDER, [None] + [_hashes(codes, k) for k in range(1, ORDER + 1)], at)
+
+    def _of_order(self, k: int, hashes: list, at: np.ndarray) -> np.ndarray:
+        if not k:
+            return np.full((len(at), len(self.languages)), self.uniform)
+        h = hashes[k][at]
+        i = np.searchsorted(self.keys[k - 1], h)
+        i[i == len(self.keys[k - 1])] = 0
+        out = self.logp[k - 1][i].astype(np.float64)
+        new = np.flatnonzero(self.keys[k - 1][i] != h)
+        if len(new):
+            below = self._of_order(k - 1, hashes, at[new])
+            c = hashes[k - 1][at[new] - 1] if k > 1 else np.zeros(len(new), np.uint64)
+            j = np.searchsorted(self.context_keys[k - 1], c)
+            j[j == len(self.context_keys[k - 1])] = 0
+            known = self.context_keys[k - 1][j] == c
+            out[new] = below + np.where(known[:, None], self.log_gamma[k - 1][j], 0.0)
+        return out
 
     def word_scores(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Summed log-probabilities of each word in each language, and the
@@ -243,7 +241,7 @@ def _predict(model: LanguageModel, texts: list[str]) -> pd.DataFrame:
     return out
 
 
-def _batched(texts: list[str], chars: int = 1 << 20) -> Iterator[tuple[int, int]]:
+def _batched(texts: list[str], chars: int = 1 << 19) -> Iterator[tuple[int, int]]:
     start = size = 0
     for i, t in enumerate(texts):
         size += len(t)
