@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from canvass.llm import chat_format, language_id, sentencepiece_bpe, sharding, simhash, token_count, winnowing
+from canvass.llm import chat_format, language_id, pii, sentencepiece_bpe, sharding, simhash, token_count, winnowing
 from canvass.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,10 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_bpe.digests(table(spark, sf_dir, "documents"))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.span_report(table(spark, sf_dir, "documents"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_classes(table(spark, sf_dir, "documents"), shingle=4, radius=4)
 
@@ -55,6 +59,7 @@ QUERIES: dict[str, Query] = {
     "op2_chat_format": op2_chat_format,
     "op3_winnowing": op3_winnowing,
     "op4_sentencepiece": op4_sentencepiece,
+    "op5_pii": op5_pii,
     "op8_simhash": op8_simhash,
     "op9_token_counts": op9_token_counts,
     "op10_sharding": op10_sharding,
