@@ -99,10 +99,10 @@ def test_skip_ties_spread_a_label_to_repeats(spark):
 
 
 def test_odd_rows_and_mask(spark):
-    docs = documents(spark, [*ODD, "a@b.co, +1 (555) 867-5309. 10.0.0.1 x 4111 1111 1111 1111"]).withColumn("r", F.lit(1)).withColumn("h", F.lit("clash"))
+    docs = documents(spark, [*ODD, "a@b.co, +1 (555) 867-5309, on 10.0.0.1 x 4111 1111 1111 1111"]).withColumn("r", F.lit(1)).withColumn("h", F.lit("clash"))
     got = by_id(P.span_report(docs))
     assert got[0].spans == "" and got[0].n_email == 0 and got[len(ODD)].n_card == 1
     assert P.span_report(spark.createDataFrame([], DOC)).count() == 0
     out = by_id(docs.select("doc_id", "text", P.masked(F.col("text"), None).alias("m")))
-    assert out[len(ODD)].m == "[EMAIL], [PHONE]. [IP] x [CARD]" and out[0].m is None
+    assert out[len(ODD)].m == "[EMAIL], [PHONE], on [IP] x [CARD]" and out[0].m is None
     assert all(r.m == r.text for i, r in out.items() if i < len(ODD))
