@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from canvass.llm import chat_format, decontaminate, language_id, pii, sentencepiece_bpe, sharding, simhash, token_count, winnowing
+from canvass.llm import chat_format, decontaminate, language_id, pii, quality, sentencepiece_bpe, sharding, simhash, token_count, winnowing
 from canvass.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,10 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.span_report(table(spark, sf_dir, "documents"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -64,6 +68,7 @@ QUERIES: dict[str, Query] = {
     "op3_winnowing": op3_winnowing,
     "op4_sentencepiece": op4_sentencepiece,
     "op5_pii": op5_pii,
+    "op6_quality": op6_quality,
     "op7_decontaminate": op7_decontaminate,
     "op8_simhash": op8_simhash,
     "op9_token_counts": op9_token_counts,
