@@ -292,6 +292,18 @@ def find_leaks(search: Search, texts: list[str | None]) -> list[tuple[int, int,
     return out
 
 
+def _runs(texts: list[str]) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about ``TEXT_AT_ONCE`` characters."""
+    i = 0
+    while i < len(texts):
+        j, size = i, 0
+        while j < len(texts) and (j == i or size < TEXT_AT_ONCE):
+            size += len(texts[j])
+            j += 1
+        yield i, j
+        i = j
+
+
 def _item_blocks(benchmark: DataFrame) -> Iterator[list[tuple[int | None, list[bytes]]]]:
     block: list = []
     size = 0
@@ -324,16 +336,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             search = shared.value
             for pdf in batches:
                 ids, texts = pdf["doc_id"].tolist(), pdf["text"].tolist()
-                out, i = [], 0
-                while i < len(texts):
-                    j, size = i, 0
-                    while j < len(texts) and (j == i or size < TEXT_AT_ONCE):
-                        size += len(texts[j])
-                        j += 1
+                out = []
+                for i, j in _runs(texts):
                     for d, k, *rest in find_leaks(search, texts[i:j]):
                         doc = ids[i + d]
                         out.append((None if pd.isna(doc) else int(doc), search.items[k][0], *rest))
-                    i = j
                 if out:
                     got = pd.DataFrame(out, columns=["doc_id", "item_id", "cosine", "lcs_share", "answer"])
                     yield got.astype({"doc_id": "Int64", "item_id": "Int64"})
@@ -343,6 +350,31 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return found
 
 
+def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that hold no benchmark item. A row filter, so
+    null and repeated ids need no care and no text is shuffled."""
+    spark = docs.sparkSession
+    for items in _item_blocks(benchmark):
+        shared = spark.sparkContext.broadcast(build_search(docs.select("doc_id", "text"), items))
+        docs = docs.where(_clean(shared)(F.coalesce(F.col("text"), F.lit(""))))
+    return docs
+
+
+def _clean(shared):
+    """Function of a text column: no item of the broadcast search is in it."""
+
+    @F.pandas_udf("boolean")
+    def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for s in batches:
+            ok = np.ones(len(s), bool)
+            texts = s.tolist()
+            for i, j in _runs(texts):
+                ok[[i + d for d, *_ in find_leaks(shared.value, texts[i:j])]] = False
+            yield pd.Series(ok)
+
+    return clean
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``doc_id`` of documents that hold a benchmark item, once each."""
     return leaks(docs, benchmark).select("doc_id").distinct()

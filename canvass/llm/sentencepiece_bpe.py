@@ -242,6 +242,22 @@ def decode_documents(docs: DataFrame, model: str = DEFAULT_MODEL, ids: str = "to
     return docs.withColumn("decoded", texts(F.coalesce(F.col(ids), empty)))
 
 
+def encode_checked(docs: DataFrame, model: str = DEFAULT_MODEL, text: str = "text") -> DataFrame:
+    """``docs`` with ``encoding`` added: a struct of token_ids, n_tokens, and
+    whether decoding gives the text back (a word mark in a text decodes to a
+    space)."""
+
+    @F.pandas_udf("token_ids array<int>, n_tokens long, round_trip boolean")
+    def checked(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        enc = encoder(model)
+        for s in batches:
+            ids = [enc.encode(t) for t in s]
+            same = [enc.decode(x) == t for x, t in zip(ids, s)]
+            yield pd.DataFrame({"token_ids": ids, "n_tokens": list(map(len, ids)), "round_trip": same})
+
+    return docs.withColumn("encoding", checked(F.coalesce(F.col(text), F.lit(""))))
+
+
 def digests(docs: DataFrame, model: str = DEFAULT_MODEL) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every text: both
     directions in one pass over the rows, ids not sent back to the JVM."""

@@ -162,15 +162,22 @@ def simhash_links(fingerprints: DataFrame, radius: int = RADIUS) -> DataFrame:
     return dealt.groupBy("left").applyInPandas(compare, "u long, v long")
 
 
-def simhash_components(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """``doc_id, fp, component_id`` of every row of ``docs``: the smallest
-    doc_id reachable over links, its own included."""
+def _classes(docs: DataFrame, shingle: int, radius: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, fp) of every row, and (fp, root, component_id) of every
+    fingerprint."""
     prints = materialise(docs.select("doc_id", simhash(F.col("text"), shingle).alias("fp")), "simhash")
     distinct = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("low")), "simhash-distinct")
     roots = connected_components(simhash_links(distinct.select("fp"), radius))
     of = distinct.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
     lowest = of.groupBy("root").agg(F.min("low").alias("component_id"))
-    of = of.join(lowest, "root").select(F.col("fp").alias("of_fp"), "component_id")
+    return prints, of.join(lowest, "root").select("fp", "root", "component_id")
+
+
+def simhash_components(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """``doc_id, fp, component_id`` of every row of ``docs``: the smallest
+    doc_id reachable over links, its own included."""
+    prints, of = _classes(docs, shingle, radius)
+    of = of.select(F.col("fp").alias("of_fp"), "component_id")
     return prints.join(of, F.col("fp") == F.col("of_fp")).select("doc_id", "fp", "component_id")
 
 
@@ -178,3 +185,26 @@ def simhash_classes(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
     """``doc_id, fingerprint`` (16 hex digits)``, component_id``."""
     c = simhash_components(docs, shingle, radius)
     return c.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_one_of_each(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """``docs`` with one row of each component: the one of smallest doc_id.
+    Rows with a null or repeated id, which an id cannot tell apart, are found
+    by their fingerprints, and one of equal ones stays (null ids last)."""
+    prints, of = _classes(docs, shingle, radius)
+    of = of.select(F.col("fp").alias("of_fp"), "root")
+    rows = prints.groupBy("doc_id", "fp").agg(F.count(F.lit(1)).alias("n")).join(of, F.col("fp") == F.col("of_fp"))
+    rows = materialise(rows.select("doc_id", "fp", "n", "root"), "simhash-rows")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp")).alias("first")
+    chosen = materialise(rows.groupBy("root").agg(first).select("first.doc_id", "first.fp"), "simhash-chosen")
+    odd = rows.groupBy("doc_id").agg(F.sum("n").alias("n")).where((F.col("n") > 1) | F.col("doc_id").isNull()).select("doc_id")
+    odd = materialise(odd, "simhash-odd")
+    stay = docs.join(rows.join(chosen, ["doc_id", "fp"], "left_anti").select("doc_id").unionByName(odd), "doc_id", "left_anti")
+    stay = stay.where(F.col("doc_id").isNotNull())
+    if not odd.limit(1).count():
+        return stay.select(*docs.columns)
+    some = docs.alias("d").join(odd.alias("o"), F.col("d.doc_id").eqNullSafe(F.col("o.doc_id")), "left_semi")
+    some = some.withColumn("_fp", simhash(F.col("text"), shingle))
+    pick = chosen.select(F.col("doc_id").alias("_id"), F.col("fp").alias("_chosen"))
+    some = some.join(pick, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_fp") == F.col("_chosen")), "left_semi")
+    return stay.select(*docs.columns).unionByName(some.dropDuplicates(["doc_id", "_fp"]).select(*docs.columns))
