@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +28,18 @@ def id_hash(c: Column, *more: Column) -> Column:
     return F.xxhash64(c, *more).bitwiseAND(F.lit((1 << 63) - 1))
 
 
+_held: list[tuple[str, Callable[[], None]]] = []
+
+
+def hold_alone(name: str, forget: Callable[[], None]) -> None:
+    """Called by a Python worker's large memory of words before use: the
+    memory that another operator left in a reused worker is dropped."""
+    if _held and _held[0][0] != name:
+        _held.pop()[1]()
+    if not _held:
+        _held.append((name, forget))
+
+
 def by_bytes(texts: list[str], limit: int) -> Iterator[list[str]]:
     """Consecutive slices of ``texts`` of about ``limit`` characters each
     (a longer text is a slice of its own)."""

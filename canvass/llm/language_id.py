@@ -43,7 +43,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from canvass.llm.common import materialise
+from canvass.llm.common import hold_alone, materialise
 
 ORDER = 5
 MIN_SHARE = 5e-6
@@ -223,6 +223,7 @@ class Scorer:
 
 
 def _predict(model: LanguageModel, texts: list[str]) -> pd.DataFrame:
+    hold_alone("language", _seen.clear)
     scorer = _seen.get(model.name)
     if scorer is None:
         _seen.clear()

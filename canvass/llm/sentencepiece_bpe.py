@@ -33,14 +33,17 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from canvass.llm.common import hold_alone
 from canvass.llm.token_count import DEFAULT_MODEL, MARK, tokenizer_path
 
-WORDS_KEPT = 400_000
-PAIRS_KEPT = 1_000_000
+WORDS_KEPT = 250_000
+PAIRS_KEPT = 200_000
+ROWS_AT_ONCE = 500
 
 
 class PrefixTableEncoder:
@@ -89,7 +92,8 @@ class PrefixTableEncoder:
         self.chunks = re.compile(self._chunk_pattern()).findall
         self.pairs: dict[str, dict[str, bool]] = {}
         self.pairs_kept = 0
-        self.words: dict[str, tuple[tuple[int, ...], str]] = {}
+        self.words: dict[str, tuple[int, ...]] = {}
+        self.decimal = [str(i) for i in range(len(proto.pieces))]
 
     def _chunk_pattern(self) -> str:
         """Where text may be cut: before a run of marks, around a line end,
@@ -177,7 +181,7 @@ class PrefixTableEncoder:
                 out.append(self.unknown)
         return out
 
-    def _word(self, chunk: str) -> tuple[tuple[int, ...], str]:
+    def _word(self, chunk: str) -> tuple[int, ...]:
         if len(self.words) >= WORDS_KEPT:
             self.words.clear()
         word = chunk.lstrip(MARK)
@@ -189,32 +193,33 @@ class PrefixTableEncoder:
             toks = [*self.merge(MARK * left), *rest]
         else:
             toks = self.tokens(chunk)
-        ids = tuple(self._ids(toks))
-        self.words[chunk] = got = (ids, ",".join(map(str, ids)))
+        self.words[chunk] = got = tuple(self._ids(toks))
         return got
 
-    def _parts(self, text: str) -> list[tuple[tuple[int, ...], str]]:
+    def encode(self, text: str | None) -> list[int]:
         if not text:
             return []
         words, new = self.words.get, self._word
-        return [words(c) or new(c) for c in self.chunks(MARK + text.replace(" ", MARK))]
-
-    def encode(self, text: str | None) -> list[int]:
-        return [i for ids, _ in self._parts(text or "") for i in ids]
+        out: list[int] = []
+        for c in self.chunks(MARK + text.replace(" ", MARK)):
+            out.extend(words(c) or new(c))
+        return out
 
-    def encode_with_text(self, text: str | None) -> tuple[list[int], str]:
-        """The ids and their decimal forms joined by commas."""
-        parts = self._parts(text or "")
-        return [i for ids, _ in parts for i in ids], ",".join([p[1] for p in parts])
+    def written(self, ids: list[int]) -> str:
+        """Decimal ids joined by commas."""
+        return ",".join(map(self.decimal.__getitem__, ids))
 
     def decode(self, ids: list[int]) -> str:
         return self.sp.decode(ids)
 
 
-@lru_cache(maxsize=2)
+_kept = lru_cache(maxsize=1)(PrefixTableEncoder)
+
+
 def encoder(model: str = DEFAULT_MODEL) -> PrefixTableEncoder:
     """One encoder per Python worker and model."""
-    return PrefixTableEncoder(model)
+    hold_alone("pieces", _kept.cache_clear)
+    return _kept(model)
 
 
 def encode_documents(docs: DataFrame, model: str = DEFAULT_MODEL, text: str = "text") -> DataFrame:
@@ -224,7 +229,8 @@ def encode_documents(docs: DataFrame, model: str = DEFAULT_MODEL, text: str = "t
     def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         enc = encoder(model)
         for s in batches:
-            yield pd.Series([enc.encode(t) for t in s])
+            for i in range(0, len(s), ROWS_AT_ONCE):
+                yield pd.Series([np.array(enc.encode(t), np.int32) for t in s.iloc[i : i + ROWS_AT_ONCE]], dtype=object)
 
     return docs.withColumn("token_ids", ids(F.coalesce(F.col(text), F.lit(""))))
 
@@ -251,9 +257,12 @@ def encode_checked(docs: DataFrame, model: str = DEFAULT_MODEL, text: str = "tex
     def checked(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         enc = encoder(model)
         for s in batches:
-            ids = [enc.encode(t) for t in s]
-            same = [enc.decode(x) == t for x, t in zip(ids, s)]
-            yield pd.DataFrame({"token_ids": ids, "n_tokens": list(map(len, ids)), "round_trip": same})
+            for i in range(0, len(s), ROWS_AT_ONCE):
+                rows = []
+                for t in s.iloc[i : i + ROWS_AT_ONCE]:
+                    ids = enc.encode(t)
+                    rows.append((np.array(ids, np.int32), len(ids), enc.decode(ids) == t))
+                yield pd.DataFrame(rows, columns=["token_ids", "n_tokens", "round_trip"])
 
     return docs.withColumn("encoding", checked(F.coalesce(F.col(text), F.lit(""))))
 
@@ -268,11 +277,11 @@ def digests(docs: DataFrame, model: str = DEFAULT_MODEL) -> DataFrame:
         for s in batches:
             rows = []
             for t in s:
-                ids, joined = enc.encode_with_text(t)
+                ids = enc.encode(t)
                 rows.append(
                     (
                         len(ids),
-                        hashlib.sha256(joined.encode()).hexdigest(),
+                        hashlib.sha256(enc.written(ids).encode()).hexdigest(),
                         hashlib.sha256(enc.decode(ids).encode("utf-8")).hexdigest(),
                     )
                 )
