@@ -10,7 +10,20 @@ from pyspark.sql import functions as F
 from canvass.session import scratch_path
 
 
+# Rows of text go to Python workers in batches of this size at most, so that
+# a worker's memory does not depend on how long the texts are.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "2000"), "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "8m")}
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Set the batch limits above for this session where they are unset."""
+    for key, (default, value) in BATCH.items():
+        if spark.conf.get(key, default) == default:
+            spark.conf.set(key, value)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

@@ -40,7 +40,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from canvass.llm.common import materialise
+from canvass.llm.common import hold_alone, materialise
 
 COMMON = 0.02
 LEAST_TERMS = 4
@@ -365,6 +365,7 @@ def _clean(shared):
 
     @F.pandas_udf("boolean")
     def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        hold_alone("none", int)
         for s in batches:
             ok = np.ones(len(s), bool)
             texts = s.tolist()

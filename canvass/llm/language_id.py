@@ -49,7 +49,7 @@ ORDER = 5
 MIN_SHARE = 5e-6
 CALIBRATION = 8
 MIN_SCORE = 0.5
-WORDS_KEPT = 250_000
+WORDS_KEPT = 150_000
 WORDS_AT_ONCE = 10_000
 FLUSH_WORDS = 100_000
 START, STOP = "^", "$"
@@ -264,7 +264,8 @@ def raw_prediction(text: Column, shared) -> Column:
             parts = [_predict(shared.value, texts[a:b]) for a, b in _batched(texts)]
             yield pd.concat(parts, ignore_index=True) if parts else _predict(shared.value, [])
 
-    return predict(F.coalesce(text, F.lit("")))
+    # else a filter on the result would be pushed below and predict again
+    return predict.asNondeterministic()(F.coalesce(text, F.lit("")))
 
 
 def _count_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -42,6 +42,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from canvass.llm.common import hold_alone
+
 KINDS = ["email", "ip", "card", "phone"]
 SAMPLE_DOCS, SAMPLE_TOKENS = 2000, 200
 FEATURES = 1 << 12
@@ -397,6 +399,7 @@ def masked(text: Column, w: Field | None) -> Column:
 
     @F.pandas_udf("string")
     def hide(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        hold_alone("none", int)
         for s in batches:
             yield pd.Series([mask(t, every) for t, _, every in _each(s, w)], dtype=object)
 

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from canvass.llm.common import id_hash, materialise
+from canvass.llm.common import hold_alone, id_hash, materialise
 from canvass.llm.components import connected_components
 
 SHINGLE, RADIUS, SEED = 4, 4, 42
@@ -69,6 +69,7 @@ def fingerprint_bytes(text: bytes, shingle: int = SHINGLE) -> int:
 
 def simhash(text: Column, shingle: int = SHINGLE) -> Column:
     def values(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        hold_alone("none", int)
         for s in batches:
             yield pd.Series([fingerprint_bytes((t or "").encode(), shingle) for t in s], dtype="int64")
 
