@@ -25,12 +25,17 @@ from canvass.sources.bundle import Election, merged_results
 from canvass.sources.delimited import read_table
 from canvass.sources.testdata import election_from_testdata, full_tables, results_from
 from canvass.streaming import reception as live
-from canvass.streaming.common import overwrite_table, run_available
+from canvass.streaming.common import append_table, overwrite_table, read_appended, run_available
 from canvass.streaming.running_tally import running_tally
 from canvass.streaming.snapshot import publish_newest_drop
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+
+def _rounded(correlation: DataFrame) -> DataFrame:
+    return correlation.select(F.round("correlation", 9).alias("correlation"))
+
+
 # Reports and operators that only need the election bundle.
 ELECTION_QUERIES: dict[str, Callable[[Election], DataFrame]] = {
     "merged_results": merged_results,
@@ -71,12 +76,15 @@ ELECTION_QUERIES: dict[str, Callable[[Election], DataFrame]] = {
     "reception_rate_text": stats.reception_rate_text,
     "turnout_by_precinct": stats.turnout_by_precinct,
     "spoiled_ballots": stats.spoiled_ballots,
-    "turnout_spoiled_correlation": stats.turnout_spoiled_correlation,
-    "turnout_spoiled_correlation_finite": stats.turnout_spoiled_correlation_finite,
+    # rounded here only: sums in another order differ in the last digits
+    "turnout_spoiled_correlation": lambda e: _rounded(stats.turnout_spoiled_correlation(e)),
+    "turnout_spoiled_correlation_finite": lambda e: _rounded(stats.turnout_spoiled_correlation_finite(e)),
     "vcm_received_by_time": stats.vcm_received_by_time,
     "reception_rate_by_minute": stats.reception_rate_by_minute,
 }
 
+FEED_FILES = 6  # files, and so micro-batches, of the reception feed
+
 _EXPORTS: dict[tuple[str, str], str] = {}
 
 
@@ -165,13 +173,18 @@ def stream_running_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_reception_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T3: the results feed with a 10-minute watermark, each machine counted
-    once (dropDuplicatesWithinWatermark) in the minute window of its
-    reception time; complete mode, so every minute is in the table."""
-    out = scratch_path(spark, "reception_rate")
-    stream = live.reception_rate(_results_feed(spark, sf_dir))
-    run_available(stream, overwrite_table(out, live.flatten_windows), scratch_path(spark, "ckpt"))
-    return spark.read.parquet(out)
+    """T3: the results table arrives as ``FEED_FILES`` files whose rows are
+    in no time order, one file per micro-batch. The stream keeps each
+    machine's earliest reception time and writes every change per epoch; the
+    result counts machines per minute of their earliest time, as the batch
+    report does."""
+    feed, out = scratch_path(spark, "reception-feed"), scratch_path(spark, "reception-rate")
+    results = full_tables(spark, sf_dir)["results"]
+    part = F.pmod(F.xxhash64("PRECINCT_CODE", "CANDIDATE_CODE", "RECEPTION_DATE"), F.lit(FEED_FILES))
+    results.repartition(FEED_FILES, part).write.parquet(feed)
+    stream = spark.readStream.schema(results.schema).option("maxFilesPerTrigger", 1).parquet(feed)
+    run_available(live.earliest_reception(stream), append_table(out), scratch_path(spark, "ckpt"), "update")
+    return live.machines_per_minute(read_appended(spark, out, live.EARLIEST))
 
 
 def stream_snapshot_tally(spark: SparkSession, sf_dir: str) -> DataFrame:

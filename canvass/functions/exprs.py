@@ -80,8 +80,8 @@ def is_finite(c: ColumnOrName) -> Column:
     return c.isNotNull() & ~c.isNaN() & (F.abs(c) != F.lit(float("inf")))
 
 
-def pearson(x: ColumnOrName, y: ColumnOrName, digits: int = 9) -> Column:
-    """Pearson r as an aggregate, rounded to ``digits``.
+def pearson(x: ColumnOrName, y: ColumnOrName) -> Column:
+    """Pearson r as an aggregate, in full precision.
 
     Feed only rows where both inputs are non-null (``stddev_pop`` on one
     column would otherwise see rows the covariance skips). Degenerate input
@@ -90,5 +90,4 @@ def pearson(x: ColumnOrName, y: ColumnOrName, digits: int = 9) -> Column:
     runs map-side on every partition and merges once.
     """
     x, y = _c(x), _c(y)
-    r = F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
-    return F.round(r, digits)
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))

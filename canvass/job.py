@@ -73,6 +73,15 @@ class Run:
         self.spark = spark
         self.e = e
         self.out = out.rstrip("/")
+        self._begun: set[str] = set()
+
+    def by_key(self, df: DataFrame, name: str, keys: list[str], order: list) -> None:
+        """Write ``df`` split by ``keys`` into output tree ``name``. The first
+        report of the run replaces the tree of an earlier run, further ones
+        add to it (their keys are disjoint)."""
+        mode = "append" if name in self._begun else "overwrite"
+        write_partitioned_csv(df, self.path(name), keys, order, mode)
+        self._begun.add(name)
 
     def _table(self, df: DataFrame, name: str) -> DataFrame:
         path = scratch_path(self.spark, f"base-{name}")
@@ -116,12 +125,12 @@ def _tally_file(df: DataFrame) -> DataFrame:
 
 def tally_national(r: Run) -> None:
     df = _tally_file(tallies.tally_national(r.e, r.votes, r.precincts))
-    write_partitioned_csv(df, r.path("contest"), ["CONTEST_CODE"], [F.col("VOTES_AMOUNT").desc()])
+    r.by_key(df, "contest", ["CONTEST_CODE"], [F.col("VOTES_AMOUNT").desc()])
 
 
 def tally_local(r: Run) -> None:
     df = _tally_file(tallies.tally_local(r.e, r.votes))
-    write_partitioned_csv(df, r.path("contest"), ["CONTEST_CODE"], [F.col("VOTES_AMOUNT").desc()])
+    r.by_key(df, "contest", ["CONTEST_CODE"], [F.col("VOTES_AMOUNT").desc()])
 
 
 def tally_national_province(r: Run) -> None:
@@ -132,12 +141,12 @@ def tally_national_province(r: Run) -> None:
         "VOTES_AMOUNT",
         "PERCENTAGE",
     )
-    write_partitioned_csv(df, r.path("province"), ["CONTEST_CODE", "PRV_KEY"], [F.col("VOTES_AMOUNT").desc()])
+    r.by_key(df, "province", ["CONTEST_CODE", "PRV_KEY"], [F.col("VOTES_AMOUNT").desc()])
 
 
 def leading_candidate_province(r: Run) -> None:
     df = tallies.leading_candidate_province(r.e, r.votes)
-    write_partitioned_csv(df, r.path("map"), ["CONTEST_CODE"], ["PRV_NAME"])
+    r.by_key(df, "map", ["CONTEST_CODE"], ["PRV_NAME"])
 
 
 def run_stats(r: Run) -> None:

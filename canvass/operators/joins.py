@@ -4,46 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 # One shuffle task's worth of fact rows (~100-200 MB of a narrow projection);
 # the session setting below overrides it.
 DEFAULT_ROWS_PER_TASK = 2_000_000
 ROWS_PER_TASK_CONF = "spark.canvass.skew.rowsPerTask"
 
 
-def _width(schema: T.StructType) -> int:
-    """Estimated bytes per row (Spark's default sizes: string 20, long 8)."""
-    size = {T.StringType: 20, T.BooleanType: 1, T.IntegerType: 4, T.DateType: 4}
-    return 8 + sum(size.get(type(f.dataType), 8) for f in schema.fields)
-
-
-def _broadcast_limit(fact: DataFrame, override: int | None) -> int:
-    if override is not None:
-        return override
-    raw = fact.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", None)
+def catalyst_broadcasts(dim: DataFrame, limit: int | None = None) -> bool:
+    """Catalyst's own size estimate of ``dim`` is within its broadcast
+    threshold (``limit`` replaces the threshold), so a plain join needs no
+    shuffle. Nothing is forced: the planner decides again when the join is
+    planned. False where the estimate is not available (Spark Connect)."""
     try:
-        value = int(str(raw).rstrip("bB"))
-    except (TypeError, ValueError):
-        return DEFAULT_BROADCAST_BYTES
-    return max(value, 0)
-
-
-_FITS: dict[tuple[str, int, int], bool] = {}
-
-
-def fits_broadcast(dim: DataFrame, limit: int) -> bool:
-    """Row count x estimated width of ``dim`` is within ``limit`` bytes.
-
-    Decided once per application and dimension plan (``semanticHash``): both
-    join strategies return the same rows, so a stale decision can only cost
-    speed, never change a result.
-    """
-    key = (dim.sparkSession.conf.get("spark.app.id", ""), dim.semanticHash(), limit)
-    if key not in _FITS:
-        _FITS[key] = limit > 0 and dim.count() * _width(dim.schema) <= limit
-    return _FITS[key]
+        if limit is None:
+            limit = dim.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+        size = dim._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString()
+    except AttributeError:
+        return False
+    return int(size) <= limit
 
 
 def join_dimension(
@@ -58,47 +37,67 @@ def join_dimension(
     """``fact JOIN dim ON fact[fact_key] = dim[dim_key]`` (``how`` = left or
     inner), same rows as the plain join, planned for a hot fact key.
 
-    1. Size check: the dimension's rows are counted (a job over the small
-       side only) and multiplied by an estimated row width. Under the limit
-       (the session's broadcast threshold unless given) the dimension is
-       broadcast: the fact is not shuffled at all, so skew cannot arise.
-    2. Otherwise a shuffle join with salted hot keys. A key holding more
-       than ``rows_per_task`` fact rows (default: session setting
-       ``spark.canvass.skew.rowsPerTask``, else 2,000,000) is hot; the hot keys are found with
-       a partial aggregate over the fact key column, and there are at most
-       fact_rows / rows_per_task of them, so that list is broadcast with a
-       proven bound. A hot key's fact rows are spread over
-       ceil(rows / rows_per_task) salts (by a hash of the row, so retries
-       land identically) and its dimension rows are replicated once per
-       salt; every other key keeps salt 0. No task receives more than about
-       ``rows_per_task`` rows of one key, whatever the byte-size statistics
-       say (AQE's skew split is byte-based and misses compressible hot keys).
+    1. If Catalyst would broadcast the dimension (its own estimate against
+       the session's threshold), a plain join: no shuffle, no skew.
+    2. Otherwise the fact rows go three ways. Rows with a null key match
+       nothing and pass by the join (left) or drop out (inner). Rows of keys
+       with at most ``rows_per_task`` fact rows (default: session setting
+       ``spark.canvass.skew.rowsPerTask``, else 2,000,000) take a plain join.
+       Rows of hotter keys are first collapsed, map-side, to distinct rows
+       with a count, the counts cut into chunks of at most ``rows_per_task``,
+       and the chunks of a row dealt to successive salts, as many as the key needs;
+       its dimension rows are repeated once per salt, and the chunks are
+       expanded after the join. So neither distinct nor identical rows of a
+       hot key gather in one task, and a rerun task deals its rows as before.
+
+    The hot keys are found with a partial aggregate over the key column;
+    there are at most fact rows / ``rows_per_task`` of them, which bounds the
+    list that is broadcast. The price of the second way is a scan of the fact
+    for that list and for each branch.
     """
     if how not in ("left", "inner"):
         raise ValueError("join_dimension supports left and inner joins")
     if rows_per_task is None:
         rows_per_task = int(fact.sparkSession.conf.get(ROWS_PER_TASK_CONF, str(DEFAULT_ROWS_PER_TASK)))
     cond = F.col(fact_key) == F.col(dim_key)
-    if fits_broadcast(dim, _broadcast_limit(fact, broadcast_bytes)):
-        return fact.join(F.broadcast(dim), cond, how)
+    if catalyst_broadcasts(dim, broadcast_bytes):
+        return fact.join(dim, cond, how)
 
     hot = (
-        fact.groupBy(F.col(fact_key).alias("_hot_key"))
+        fact.where(F.col(fact_key).isNotNull())
+        .groupBy(F.col(fact_key).alias("_hot_key"))
         .agg(F.count(F.lit(1)).alias("_hot_rows"))
         .where(F.col("_hot_rows") > rows_per_task)
         .select("_hot_key", F.ceil(F.col("_hot_rows") / rows_per_task).cast("int").alias("_salts"))
     )
     hot = F.broadcast(hot)
-    row_hash: Column = F.xxhash64(*[F.col(c) for c in fact.columns])
-    f = (
-        fact.join(hot, F.col(fact_key) == F.col("_hot_key"), "left")
-        .withColumn("_fsalt", F.when(F.col("_salts").isNull(), F.lit(0)).otherwise(F.pmod(row_hash, F.col("_salts"))))
-        .drop("_hot_key", "_salts")
+    keyed = fact.where(F.col(fact_key).isNotNull())
+    plain = keyed.join(hot, F.col(fact_key) == F.col("_hot_key"), "left_anti").join(dim, cond, how)
+
+    rows = [F.col(c) for c in fact.columns]
+    last = F.floor((F.col("_n") - 1) / F.lit(rows_per_task))
+    salt: Column = F.pmod(F.pmod(F.xxhash64(*rows), F.col("_salts")) + F.col("_chunk"), F.col("_salts"))
+    h = (
+        keyed.join(hot, F.col(fact_key) == F.col("_hot_key"))
+        .groupBy(*rows, "_salts")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+        .withColumn("_fsalt", salt)
+        .repartition(F.col(fact_key), F.col("_fsalt"))  # also where the join turns out to need no shuffle
     )
     d = (
-        dim.join(hot, F.col(dim_key) == F.col("_hot_key"), "left")
-        .withColumn("_dsalt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)))
-        .drop("_hot_key", "_salts")
+        dim.join(hot.withColumnRenamed("_salts", "_dsalts"), F.col(dim_key) == F.col("_hot_key"))
+        .withColumn("_dsalt", F.explode(F.sequence(F.lit(0), F.col("_dsalts") - 1)))
+        .drop("_hot_key", "_dsalts")
+    )
+    copies = F.least(F.col("_n") - F.col("_chunk") * rows_per_task, F.lit(rows_per_task).cast("long"))
+    spread = (
+        h.join(d, cond & (F.col("_fsalt") == F.col("_dsalt")), how)
+        .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), copies)))
+        .drop("_salts", "_n", "_chunk", "_fsalt", "_dsalt", "_copy")
     )
-    j = f.join(d, cond & (F.col("_fsalt") == F.col("_dsalt")), how)
-    return j.drop("_fsalt", "_dsalt")
+    out = plain.unionByName(spread.select(*plain.columns))
+    if how == "left":
+        missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in dim.schema.fields]
+        out = out.unionByName(fact.where(F.col(fact_key).isNull()).select("*", *missing))
+    return out

@@ -195,7 +195,7 @@ def _correlation(pairs: DataFrame) -> DataFrame:
 
 def turnout_spoiled_correlation(e: Election, precincts: DataFrame | None = None) -> DataFrame:
     """Pearson r of turnout vs spoiled percentage (NaN when any input is
-    inf or NaN, null when degenerate), rounded to 9 digits."""
+    inf or NaN, null when degenerate)."""
     return _correlation(join_turnout_spoiled(e, precincts))
 
 

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from canvass.functions import is_national, nan_to_zero, ratio, sum0
 from canvass.operators import top1_per_group, with_group_total
@@ -72,7 +73,8 @@ def tally_local(e: Election, votes: DataFrame | None = None) -> DataFrame:
     (unknown candidates stay in the denominator)."""
     votes = merged_votes(e) if votes is None else votes
     loc = votes.where(~is_national()).groupBy("CONTEST_CODE", "CANDIDATE_CODE").agg(sum0(V).alias(V))
-    loc = with_group_total(loc, ["CONTEST_CODE"], V, "_contest_votes")
+    # one row per candidate by now: a window, so the fact is scanned once
+    loc = loc.withColumn("_contest_votes", F.sum(V).over(Window.partitionBy("CONTEST_CODE")))
     loc = loc.withColumn("PERCENTAGE", ratio(F.col(V) * 100, F.col("_contest_votes")))
     return _named(loc, e.candidates).select("CONTEST_CODE", "CANDIDATE_NAME", V, "PERCENTAGE")
 

@@ -20,7 +20,6 @@ JOB_CONF: dict[str, str] = {
     "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 # Static setting for a batch job: no web UI.
 STATIC_CONF: dict[str, str] = {"spark.ui.enabled": "false"}

@@ -28,9 +28,10 @@ def write_partitioned_csv(
 ) -> None:
     """One folder per key value (``KEY=value/part-*.csv``), rows sorted by
     ``order`` inside each file. Spaces in values are kept in folder names
-    and a null value becomes ``__HIVE_DEFAULT_PARTITION__``. Overwrite is
-    dynamic: only the key folders present in ``df`` are replaced, so two
-    reports (national, local) can share one output tree.
+    and a null value becomes ``__HIVE_DEFAULT_PARTITION__``. Overwrite
+    replaces the whole tree, so a key that ``df`` no longer holds is gone;
+    a second report (local after national) goes into the tree with
+    ``mode="append"``.
 
     Meant for report-sized data (the tallies: one row per candidate per
     contest / province): rows are clustered by key, so each key's rows are
@@ -39,7 +40,7 @@ def write_partitioned_csv(
     out = df.repartition(*keys).sortWithinPartitions(*keys, *order)
     (
         out.write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static")
         .partitionBy(*keys)
         .option("header", True)
         .csv(path)

@@ -4,5 +4,5 @@
                        one (the polling-loop ingestion re-aimed as a file
                        stream with ``foreachBatch``).
 * :mod:`running_tally` append-only result feed -> stateful running tally.
-* :mod:`reception`     live machines-received-per-minute with a watermark.
+* :mod:`reception`     live machines per minute from each machine's earliest time.
 """

@@ -116,3 +116,34 @@ def test_export_flat_unescapes_partition_values(spark, tmp_path):
     assert names == ["SUR: NORTH_199000.csv"]
     with open(tmp_path / "flat" / "SUR: NORTH_199000.csv") as fh:
         assert fh.read().splitlines() == ["CANDIDATE_NAME,VOTES_AMOUNT,PERCENTAGE", "A,3,30.0"]
+
+
+@pytest.mark.parametrize(
+    "header, row, error",
+    [
+        ("CANDIDATE_CODE|NOTE|CANDIDATE_NAME|CONTEST_CODE", "5|x|ANN|0019", None),
+        ("CANDIDATE_CODE|CANDIDATE_NAME", "5|ANN", "no single column CONTEST_CODE"),
+        ("CONTEST_CODE|CANDIDATE_CODE|CANDIDATE_NAME|CONTEST_CODE", "1|5|ANN|2", "no single column CONTEST_CODE"),
+    ],
+)
+def test_columns_are_found_by_header_name(spark, tmp_path, header, row, error):
+    from canvass.sources.delimited import read_table
+
+    path = tmp_path / "candidates.csv"
+    path.write_text(f"{header}\n{row}\n")
+    if error:
+        with pytest.raises(ValueError, match=error):
+            read_table(spark, str(path), "candidates")
+    else:
+        assert read_table(spark, str(path), "candidates").collect() == [(19, 5, "ANN")]
+
+
+@pytest.mark.parametrize("bad", ["1|5", "1|5|ANN|more"])
+def test_ragged_rows_fail_whichever_column_is_read(spark, tmp_path, bad):
+    from canvass.sources.delimited import read_table
+
+    path = tmp_path / "candidates.csv"
+    path.write_text(f"CONTEST_CODE|CANDIDATE_CODE|CANDIDATE_NAME\n1|4|BOB\n{bad}\n")
+    for cols in (["CONTEST_CODE"], ["CANDIDATE_NAME", "CANDIDATE_CODE"]):
+        with pytest.raises(Exception, match="MALFORMED|Malformed"):
+            read_table(spark, str(path), "candidates").select(*cols).collect()

@@ -75,6 +75,40 @@ def test_join_dimension_equals_plain_join_on_both_paths(spark):
     for how in ("left", "inner"):
         plain = rows(fact.join(dim, F.col("p") == F.col("pk"), how))
         small = rows(join_dimension(fact, dim, "p", "pk", how))  # broadcast path
-        salted = rows(join_dimension(fact, dim, "p", "pk", how, broadcast_bytes=0, rows_per_task=20))
+        salted = rows(join_dimension(fact, dim, "p", "pk", how, broadcast_bytes=-1, rows_per_task=20))
         assert small == plain
         assert salted == plain
+
+
+def _largest_output_task(df):
+    from pyspark.sql import functions as F
+
+    return df.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+
+
+def test_join_dimension_spreads_null_identical_and_distinct_hot_rows(spark):
+    from pyspark.sql import functions as F
+
+    from canvass.operators import join_dimension
+
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        dim = spark.range(1000).select(F.col("id").alias("pk"), (F.col("id") * 2).alias("v"))
+        ids = spark.range(0, 100_000, 1, 20)
+        hot = F.when(F.col("id") % 2 == 0, F.lit(7)).otherwise(F.col("id") % 1000)
+        for key, value in (
+            (F.when(F.col("id") % 2 == 0, F.lit(None)).otherwise(F.col("id") % 1000), F.col("id")),  # half null
+            (hot, F.lit(1)),  # half identical rows
+            (hot, F.col("id")),  # half distinct rows of one key
+        ):
+            fact = ids.select(key.cast("long").alias("p"), value.alias("x"))
+            for how in ("left", "inner"):
+                got = join_dimension(fact, dim, "p", "pk", how, broadcast_bytes=-1, rows_per_task=5000)
+                want = fact.join(dim, F.col("p") == F.col("pk"), how)
+                assert got.columns == want.columns
+                assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0
+                assert _largest_output_task(got) <= 20_000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")

@@ -61,68 +61,33 @@ def test_late_older_drop_is_ignored(spark):
     assert rows(got, "CANDIDATE_NAME", "VOTES_AMOUNT") == [(f"CAND {A}", 3)]
 
 
-def test_reception_rate_stream_equals_batch(spark):
-    from canvass.plans import stats
-    from canvass.streaming import reception as live
-
-    times = ["05/09/2022 - 07:08:48 PM", "05/09/2022 - 07:08:05 PM", "05/09/2022 - 12:01:00 AM", "bad text"]
-    res = [result_row(i + 1, PRES, A, 1, date=d) for i, d in enumerate(times)]
-    res.append(result_row(1, PRES, B, 1, date=times[0]))  # same machine again: counted once
-    e = make_election(spark, res, [])
-    src = scratch_path(spark, "t-rate-feed")
-    e.results.coalesce(1).write.parquet(src)
-    stream = spark.readStream.schema(RESULTS).parquet(src)
-    out = scratch_path(spark, "t-rate")
-    run_available(live.reception_rate(stream), overwrite_table(out, live.flatten_windows), scratch_path(spark, "t-ckpt"))
-    got = rows(spark.read.parquet(out))
-    assert got == rows(stats.reception_rate_by_minute(e))
-    assert got == [("2022-05-09 00:01", 1), ("2022-05-09 19:08", 2)]
-
-
-def test_reception_rate_append_mode_holds_back_open_windows(spark):
-    """Append mode emits a minute only once the watermark (latest time seen
-    minus the 10-minute delay) has passed it; the rest wait for later data."""
-    from pyspark.sql import types as T
-
+def _reception(spark, batches):
+    """The feed as one file per batch, one micro-batch each, in this order."""
     from canvass.streaming import reception as live
     from canvass.streaming.common import append_table, read_appended
 
-    times = ["05/09/2022 - 12:01:10 AM", "05/09/2022 - 12:05:00 AM", "05/09/2022 - 12:30:00 AM", "05/09/2022 - 12:31:59 AM"]
-    e = make_election(spark, [result_row(i + 1, PRES, A, 1, date=d) for i, d in enumerate(times)], [])
-    src = scratch_path(spark, "t-append-feed")
-    e.results.coalesce(1).write.parquet(src)
-    stream = spark.readStream.schema(RESULTS).parquet(src)
-    out = scratch_path(spark, "t-append")
-    run_available(
-        live.reception_rate(stream), append_table(out, live.flatten_windows), scratch_path(spark, "t-ckpt"), "append"
-    )
-    schema = T.StructType([T.StructField("RECEPTION_MINUTE", T.StringType()), T.StructField("VCM_COUNT", T.LongType())])
-    got = rows(read_appended(spark, out, schema))
-    # watermark = 00:31:59 - 10 min = 00:21:59: the 00:01 and 00:05 minutes are final
-    assert got == [("2022-05-09 00:01", 1), ("2022-05-09 00:05", 1)]
-
+    src, ckpt, out = scratch_path(spark, "t-rate-feed"), scratch_path(spark, "t-ckpt"), scratch_path(spark, "t-rate")
+    for b in batches:
+        make_election(spark, b, []).results.coalesce(1).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(RESULTS).parquet(src)
+        run_available(live.earliest_reception(stream), append_table(out), ckpt, "update")
+    return rows(live.machines_per_minute(read_appended(spark, out, live.EARLIEST)))
 
-def test_first_reception_is_exact_under_reordering(spark):
-    """An earlier time that arrives in a later micro-batch wins; a machine is
-    emitted once, when the watermark has passed its earliest time."""
-    from pyspark.sql import types as T
 
-    from canvass.streaming.common import append_table, read_appended
-    from canvass.streaming.first_reception import first_reception, machines_per_minute
+def test_reception_rate_stream_equals_batch_in_any_order(spark):
+    """Machines report again hours apart, earlier times arrive in later
+    micro-batches, and text that does not parse is ignored."""
+    from canvass.plans import stats
 
     def row(p, d):
         return result_row(p, PRES, A, 1, date=f"05/09/2022 - {d}")
 
     batches = [
-        [row(1, "10:05:00 AM"), row(2, "10:06:00 AM")],
-        [row(1, "10:01:00 AM"), row(3, "10:07:30 AM")],  # machine 1's earlier time arrives late
-        [row(4, "10:30:00 AM"), row(1, "10:31:00 AM")],  # watermark moves to 10:21
+        [row(1, "07:00:10 PM"), row(9, "bad text")],
+        [row(2, "06:00:00 PM"), row(1, "08:00:00 PM"), row(1, "08:00:00 PM")],
+        [row(3, "06:05:00 PM"), row(1, "09:00:00 PM"), row(2, "11:00:00 PM")],
+        [row(1, "12:01:00 AM"), row(4, "09:00:30 PM")],
     ]
-    src, ckpt, out = scratch_path(spark, "t-first-feed"), scratch_path(spark, "t-ckpt"), scratch_path(spark, "t-first")
-    schema = T.StructType([T.StructField("PRECINCT_CODE", T.LongType()), T.StructField("RECEPTION_US", T.LongType())])
-    for b in batches:
-        make_election(spark, b, []).results.coalesce(1).write.mode("append").parquet(src)
-        stream = spark.readStream.schema(RESULTS).parquet(src)
-        run_available(first_reception(stream), append_table(out), ckpt, "append")
-    got = rows(machines_per_minute(read_appended(spark, out, schema)))
-    assert got == [("2022-05-09 10:01", 1), ("2022-05-09 10:06", 1), ("2022-05-09 10:07", 1)]
+    got = _reception(spark, batches)
+    assert got == rows(stats.reception_rate_by_minute(make_election(spark, [r for b in batches for r in b], [])))
+    assert got == [("2022-05-09 00:01", 1), ("2022-05-09 18:00", 1), ("2022-05-09 18:05", 1), ("2022-05-09 21:00", 1)]
