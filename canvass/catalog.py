@@ -188,10 +188,13 @@ def stream_reception_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_snapshot_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The derived tables land as one snapshot drop; the drop stream
-    publishes the national tally of the newest drop."""
+    """Two snapshot drops land, the older one with only the even precincts'
+    results; the drop stream publishes the national tally of the newer."""
     drops = scratch_path(spark, "drops")
-    write_delimited_tables(full_tables(spark, sf_dir), f"{drops}/05-09-22--20-00")
+    tables = full_tables(spark, sf_dir)
+    older = {**tables, "results": tables["results"].where(F.col("PRECINCT_CODE") % 2 == 0)}
+    write_delimited_tables(tables, f"{drops}/01-02-22--08-00")
+    write_delimited_tables(older, f"{drops}/12-31-21--23-59")
     out = scratch_path(spark, "snapshot_tally")
     return publish_newest_drop(spark, drops, out, scratch_path(spark, "ckpt"), tallies.tally_national)
 

@@ -7,14 +7,17 @@ last) is read as a file stream and serves as the arrival signal, so the
 large results files are parsed only once, by the report. Every micro-batch
 keeps only the newest drop it contains (stamps are parsed to timestamps: as
 text they do not sort across years), re-runs the report on the whole of
-that drop (results and dimensions read from its folder), and overwrites the
-output. A drop older than the one already published is ignored.
+that drop (results and dimensions read from its folder) into a fresh folder,
+which one row in a log then makes the published one. A drop older than that
+is ignored.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +29,7 @@ from canvass.streaming.common import run_available
 # Fixed value: drop folders are named by arrival time in this layout.
 STAMP_FORMAT = "MM-dd-yy--HH-mm"
 SIGNAL_TABLE = "precincts"
+PUBLISHED = "DROP_STAMP string, DROP_TS timestamp, ROOT string"
 
 
 def _stamp_of_path(path_col, table: str = SIGNAL_TABLE) -> F.Column:
@@ -59,20 +63,25 @@ def election_of_drop(spark: SparkSession, drops: str, stamp: str, results: DataF
     )
 
 
-def snapshot_sink(spark: SparkSession, drops: str, out: str, report: Callable[[Election], DataFrame]):
-    """foreachBatch function publishing ``report`` of the newest drop to
-    ``out`` and its stamp to ``out + '_drop'``."""
-    marker = out.rstrip("/") + "_drop"
-    published: dict[str, object] = {}
+def published(spark: SparkSession, out: str) -> tuple | None:
+    """(DROP_TS, root) of the newest published drop under ``out``, None when
+    there is none yet. Any failure but a missing log is raised."""
+    try:
+        log = spark.read.schema(PUBLISHED).parquet(f"{out.rstrip('/')}/published")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    row = log.agg(F.max(F.struct("DROP_TS", "ROOT")).alias("last")).first()
+    return None if row.last is None else (row.last.DROP_TS, row.last.ROOT)
 
-    def _published_ts():
-        if "ts" not in published:  # first batch of this run: pick up an earlier run's marker
-            try:
-                row = spark.read.parquet(marker).first()
-            except Exception:  # nothing published yet
-                row = None
-            published["ts"] = None if row is None else row["DROP_TS"]
-        return published["ts"]
+
+def snapshot_sink(spark: SparkSession, drops: str, out: str, write: Callable[[Election, str], None]):
+    """foreachBatch function: ``write(election, root)`` puts the outputs of
+    the newest drop under a fresh ``root`` below ``out``; when it has ended,
+    one row in the log ``out/published`` makes that root the current one. A
+    run that dies before leaves the published one as it was, and the same or
+    an older drop is not published again."""
 
     def _sink(batch: DataFrame, epoch_id: int) -> None:
         newest = (
@@ -82,17 +91,14 @@ def snapshot_sink(spark: SparkSession, drops: str, out: str, report: Callable[[E
         )
         if newest is None or newest["ts"] is None:
             return
-        done = _published_ts()
-        if done is not None and newest["ts"] <= done:
+        done = published(spark, out)
+        if done is not None and newest["ts"] <= done[0]:
             return
-        root = f"{drops.rstrip('/')}/{newest['stamp']}"
-        e = election_of_drop(spark, drops, newest["stamp"], read_table(spark, f"{root}/results.csv", "results"))
-        report(e).write.mode("overwrite").parquet(out)
-        marker_row = spark.createDataFrame(
-            [(newest["stamp"], newest["ts"])], "DROP_STAMP string, DROP_TS timestamp"
-        )
-        marker_row.write.mode("overwrite").parquet(marker)
-        published["ts"] = newest["ts"]
+        source = f"{drops.rstrip('/')}/{newest['stamp']}"
+        root = f"{out.rstrip('/')}/{newest['stamp']}-{uuid.uuid4().hex}"
+        write(election_of_drop(spark, drops, newest["stamp"], read_table(spark, f"{source}/results.csv", "results")), root)
+        row = spark.createDataFrame([(newest["stamp"], newest["ts"], root)], PUBLISHED)
+        row.coalesce(1).write.mode("append").parquet(f"{out.rstrip('/')}/published")
 
     return _sink
 
@@ -100,6 +106,23 @@ def snapshot_sink(spark: SparkSession, drops: str, out: str, report: Callable[[E
 def publish_newest_drop(
     spark: SparkSession, drops: str, out: str, checkpoint: str, report: Callable[[Election], DataFrame]
 ) -> DataFrame:
-    """Run the drop stream over everything present, return the published report."""
-    run_available(arrival_stream(spark, drops), snapshot_sink(spark, drops, out, report), checkpoint, "append")
-    return spark.read.parquet(out)
+    """Run the drop stream over everything present with one report; returns
+    the published one."""
+    sink = snapshot_sink(spark, drops, out, lambda e, root: report(e).write.parquet(root))
+    run_available(arrival_stream(spark, drops), sink, checkpoint, "append")
+    return spark.read.parquet(published(spark, out)[1])
+
+
+def publish_all_reports(spark: SparkSession, drops: str, out: str, checkpoint: str, cmds: tuple[str, ...] = ("all",)) -> str:
+    """Run the drop stream over everything present; every newer drop runs the
+    named reports of the batch job into a root of its own, published only if
+    all of them ended well. Returns the published root."""
+    from canvass import job
+
+    def write(e: Election, root: str) -> None:
+        failed = [name for name, sec in job.run(spark, e, root, list(cmds)).items() if sec is None]
+        if failed:
+            raise RuntimeError(f"reports failed, drop not published: {', '.join(failed)}")
+
+    run_available(arrival_stream(spark, drops), snapshot_sink(spark, drops, out, write), checkpoint, "append")
+    return published(spark, out)[1]

@@ -149,3 +149,47 @@ def test_job_on_a_drop_without_results(spark, tmp_path):
     from canvass.sinks import export_flat
 
     assert "voter_stats.json" in export_flat(out, str(tmp_path / "static"))
+
+
+def test_a_rerun_serves_no_key_of_the_run_before(spark):
+    from canvass import job
+    from canvass.session import scratch_path
+    from tests.conftest import make_election, result_row
+
+    out = scratch_path(spark, "t-rerun")
+    both = make_election(spark, [result_row(1, 199000, 19900001, 3), result_row(1, 5501, 550101, 2), result_row(2, 299000, 29900001, 1)], [(1, "R", "P", 5), (2, "R", "Q", 5)])
+    job.run(spark, both, out, ["all"], log=lambda *_: None)
+    one = make_election(spark, [result_row(1, 199000, 19900001, 3)], [(1, "R", "P", 5)])
+    job.run(spark, one, out, ["all"], log=lambda *_: None)
+    for tree in ("contest", "province", "map"):
+        keys = {int(r.CONTEST_CODE) for r in spark.read.csv(f"{out}/{tree}", header=True).collect()}
+        assert keys == {199000}, tree
+
+
+def test_job_correlation_has_full_precision(spark):
+    import json
+
+    from canvass import job
+    from canvass.session import scratch_path
+    from tests.conftest import make_election, result_row
+
+    rows = [result_row(p, 199000, 19900001, 1, nv=40 + 7 * p, under=p % 3, over=p % 2) for p in range(1, 9)]
+    e = make_election(spark, rows, [(p, "R", "P", 100 + p) for p in range(1, 9)])
+    out = scratch_path(spark, "t-corr")
+    job.run(spark, e, out, ["stats"], log=lambda *_: None)
+    got = json.loads(spark.read.text(f"{out}/turnout_spoiled_correlation.json").first().value)["correlation"]
+    assert abs(got - round(got, 9)) > 1e-13  # not cut off
+
+
+def test_local_tally_scans_the_results_once(spark, tmp_path):
+    from canvass.plans import tallies
+    from canvass.sources.bundle import Election
+    from tests.conftest import make_election, result_row
+
+    e = make_election(spark, [result_row(1, 5501, 550101, 2)], [(1, "R", "P", 5)])
+    names = ("results", "candidates", "precincts", "contests", "parties")
+    for n in names:
+        getattr(e, n).write.parquet(f"{tmp_path}/{n}")
+    e = Election(**{n: spark.read.parquet(f"{tmp_path}/{n}") for n in names})
+    plan = tallies.tally_local(e)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [PRECINCT_CODE") == 1

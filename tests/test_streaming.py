@@ -74,6 +74,36 @@ def _reception(spark, batches):
     return rows(live.machines_per_minute(read_appended(spark, out, live.EARLIEST)))
 
 
+def test_every_report_is_republished_for_a_newer_drop(spark):
+    from canvass.streaming.snapshot import publish_all_reports, published
+
+    first = make_election(spark, [result_row(1, PRES, A, 3), result_row(1, 5501, B, 2)], [(1, "R", "P", 5)])
+    second = make_election(spark, [result_row(1, PRES, A, 8)], [(1, "R", "P", 5)], candidates=[(PRES, A, "ANN")])
+    drops, out, ckpt = scratch_path(spark, "t-all"), scratch_path(spark, "t-all-out"), scratch_path(spark, "t-ckpt")
+    write_delimited_tables(_tables(first), f"{drops}/05-09-22--09-00")
+    one = publish_all_reports(spark, drops, out, ckpt)
+    assert spark.read.csv(f"{one}/contest", header=True).count() == 2
+    write_delimited_tables(_tables(second), f"{drops}/05-09-22--10-00")
+    two = publish_all_reports(spark, drops, out, ckpt)
+    assert published(spark, out)[1] == two != one
+    got = spark.read.csv(f"{two}/contest", header=True).collect()
+    assert [(r.CANDIDATE_NAME, r.VOTES_AMOUNT, int(r.CONTEST_CODE)) for r in got] == [("ANN", "8", PRES)]
+    for name in ("map_stats.json", "voter_stats.json", "vcm_received", "voter_turnout_by_precinct", "corrected/vcm_received_by_time"):
+        assert spark.read.text(f"{two}/{name}").count() > 0
+
+
+def test_marker_failures_are_raised(spark, tmp_path):
+    import pytest
+
+    from canvass.streaming.snapshot import published
+
+    assert published(spark, str(tmp_path / "none")) is None
+    (tmp_path / "bad" / "published").mkdir(parents=True)
+    (tmp_path / "bad" / "published" / "part-0.parquet").write_text("not parquet")
+    with pytest.raises(Exception):  # noqa: B017 - whatever the reader raises must come through
+        published(spark, str(tmp_path / "bad"))
+
+
 def test_reception_rate_stream_equals_batch_in_any_order(spark):
     """Machines report again hours apart, earlier times arrive in later
     micro-batches, and text that does not parse is ignored."""
