@@ -16,13 +16,12 @@ def catalyst_broadcasts(dim: DataFrame, limit: int | None = None) -> bool:
     threshold (``limit`` replaces the threshold), so a plain join needs no
     shuffle. Nothing is forced: the planner decides again when the join is
     planned. False where the estimate is not available (Spark Connect)."""
-    try:
-        if limit is None:
-            limit = dim.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-        size = dim._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString()
-    except AttributeError:
+    jdf = getattr(dim, "_jdf", None)
+    if jdf is None:
         return False
-    return int(size) <= limit
+    if limit is None:
+        limit = dim.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return int(str(jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= limit
 
 
 def join_dimension(
