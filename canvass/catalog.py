@@ -14,13 +14,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from canvass import schema as S
 from canvass.functions import is_national
 from canvass.operators import reported_precincts
 from canvass.plans import base, stats, tallies
 from canvass.session import scratch_path
-from canvass.sinks import read_csv, write_csv, write_delimited_tables, write_partitioned_csv
+from canvass.sinks import LINE_ORDER, read_csv, with_line_order, write_csv, write_delimited_tables, write_partitioned_csv, write_text
 from canvass.sources.bundle import Election, merged_results
 from canvass.sources.delimited import read_table
 from canvass.sources.testdata import election_from_testdata, full_tables, results_from
@@ -66,6 +67,7 @@ ELECTION_QUERIES: dict[str, Callable[[Election], DataFrame]] = {
     "tally_national_province": tallies.tally_national_province,
     "leading_candidate_province": tallies.leading_candidate_province,
     "candidate_by_region": tallies.candidate_by_region,
+    "candidate_by_region_once": tallies.candidate_by_region_once,
     "transmission_by_province": stats.transmission_by_province,
     "voter_stats_by_province": stats.voter_stats_by_province,
     "map_stats": stats.map_stats,
@@ -128,17 +130,16 @@ def sink_by_contest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """National and local tallies written as one file set per contest
     (``CONTEST_CODE=<code>/``, rows by votes descending), read back."""
     e = election_from_testdata(spark, sf_dir)
-    votes = base.vote_base(e)
-    df = tallies.tally_national(e, votes).unionByName(tallies.tally_local(e, votes))
+    df = tallies.tally_national(e).unionByName(tallies.tally_local(e))
     path = scratch_path(spark, "tally_by_contest")
     write_partitioned_csv(df, path, ["CONTEST_CODE"], [F.col("VOTES_AMOUNT").desc()])
     schema = T.StructType([*_TALLY_FILE.fields, T.StructField("CONTEST_CODE", T.LongType())])
     return read_csv(spark, path, schema)
 
 
-def sink_by_province(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _province_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-province national tallies, one file set per contest x province
-    (spaces in the province become '_'), read back."""
+    (spaces in the province become '_', rows by votes descending), read back."""
     df = tallies.tally_national_province(election_from_testdata(spark, sf_dir)).select(
         "CANDIDATE_NAME",
         "VOTES_AMOUNT",
@@ -154,6 +155,54 @@ def sink_by_province(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, path, schema)
 
 
+def sink_by_province(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _province_files(spark, sf_dir)
+
+
+def sink_province_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order of the rows in the per-province files: the votes at each place
+    (equal votes may stand in any order)."""
+    place = Window.partitionBy("CONTEST_CODE", "PRV_KEY").orderBy(*LINE_ORDER)
+    rows = with_line_order(_province_files(spark, sf_dir)).withColumn("POSITION", F.row_number().over(place))
+    return rows.select("CONTEST_CODE", "PRV_KEY", "POSITION", "VOTES_AMOUNT")
+
+
+def sink_reception_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order of the rows in the cumulative reception file: each row's place
+    among the rows of its date."""
+    df = stats.vcm_received(election_from_testdata(spark, sf_dir))
+    path = scratch_path(spark, "reception-file")
+    write_csv(df.orderBy(F.col("RECEPTION_DATE").asc_nulls_first()), path)
+    place = Window.partitionBy(F.substring("RECEPTION_DATE", 1, 10)).orderBy(*LINE_ORDER)
+    rows = with_line_order(read_csv(spark, path, df.schema)).withColumn("POSITION", F.row_number().over(place))
+    return rows.select("RECEPTION_DATE", "VCM_RECEIVED", "POSITION")
+
+
+def sink_map_leaders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leading candidates, one file set per contest, read back."""
+    df = tallies.leading_candidate_province(election_from_testdata(spark, sf_dir))
+    path = scratch_path(spark, "map-leaders")
+    write_partitioned_csv(df, path, ["CONTEST_CODE"], ["PRV_NAME"])
+    return read_csv(spark, path, df.select("PRV_NAME", "CANDIDATE_NAME", "VOTES_AMOUNT", "CONTEST_CODE").schema)
+
+
+def sink_correlation_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The correlation document, written and parsed back."""
+    path = scratch_path(spark, "correlation-json")
+    write_text(stats.correlation_json(stats.turnout_spoiled_correlation_finite(election_from_testdata(spark, sf_dir))), path)
+    doc = F.from_json("value", "correlation double")
+    return _rounded(spark.read.text(path).select(doc.alias("d")).select("d.correlation"))
+
+
+def sink_map_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The one document of all provinces, written and parsed back: POSITION
+    is the place of the province among the document's keys."""
+    path = scratch_path(spark, "map-document")
+    write_text(stats.map_stats_document(stats.map_stats(election_from_testdata(spark, sf_dir))), path)
+    doc = spark.read.text(path).select(F.from_json("value", "map<string,string>").alias("d"))
+    return doc.select(F.posexplode("d").alias("POSITION", "PRV_NAME", "STATS_JSON"))
+
+
 def _results_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The results table as a stream: lineitem is read as a file stream and
     joined to the static orders table (stream-static join)."""
@@ -217,6 +266,11 @@ def all_queries() -> dict[str, Query]:
             "sink_csv_roundtrip": sink_csv_roundtrip,
             "sink_by_contest": sink_by_contest,
             "sink_by_province": sink_by_province,
+            "sink_province_order": sink_province_order,
+            "sink_reception_order": sink_reception_order,
+            "sink_map_leaders": sink_map_leaders,
+            "sink_correlation_json": sink_correlation_json,
+            "sink_map_document": sink_map_document,
             "stream_snapshot_tally": stream_snapshot_tally,
             "stream_running_tally": stream_running_tally,
             "stream_reception_rate": stream_reception_rate,

@@ -13,7 +13,8 @@ once; the shared bases (votes by contest / candidate / province,
 one row per precinct, reception pairs / counts / times) are computed once
 per run and written as Parquet tables under the shared ``spark.checkpoint.dir``, which
 cuts their lineage (a lost executor does not replay the fact scan) and
-gives every report a column-pruned scan of a small table. Each report runs
+gives every report a column-pruned scan of a small table; they are deleted
+when the run ends. Each report runs
 even if another failed; the exit status is 1 when any report failed.
 
 Output layout under ``--output`` (one dataset per report, CSV with header
@@ -31,7 +32,8 @@ unless noted):
   candidate_performance_by_region/, vcm_reception_rate/,
   turnout_spoiled_correlation.json/
   corrected/vcm_received_by_time/, corrected/reception_rate_by_minute/,
-  corrected/turnout_spoiled_correlation.json/
+  corrected/turnout_spoiled_correlation.json/,
+  corrected/candidate_performance_by_region/
 """
 
 from __future__ import annotations
@@ -46,9 +48,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from canvass.functions import json_number
 from canvass.plans import base, stats, tallies
-from canvass.session import checkpoint_root, get_spark, scratch_path
+from canvass.session import checkpoint_root, discard, get_spark, scratch_path
 from canvass.sinks import export_flat, write_csv, write_partitioned_csv, write_text
 from canvass.sources.bundle import Election
 from canvass.sources.delimited import load_election, read_tables
@@ -74,6 +75,7 @@ class Run:
         self.e = e
         self.out = out.rstrip("/")
         self._begun: set[str] = set()
+        self._bases: list[str] = []
 
     def by_key(self, df: DataFrame, name: str, keys: list[str], order: list) -> None:
         """Write ``df`` split by ``keys`` into output tree ``name``. The first
@@ -85,9 +87,15 @@ class Run:
 
     def _table(self, df: DataFrame, name: str) -> DataFrame:
         path = scratch_path(self.spark, f"base-{name}")
-        df.write.mode("overwrite").parquet(path)
+        self._bases.append(path)
+        df.write.parquet(path)
         return self.spark.read.parquet(path)
 
+    def close(self) -> None:
+        """Delete the bases of this run; its outputs do not depend on them."""
+        while self._bases:
+            discard(self.spark, self._bases.pop())
+
     @cached_property
     def votes(self) -> DataFrame:
         return self._table(base.vote_base(self.e), "votes")
@@ -112,13 +120,6 @@ class Run:
         return f"{self.out}/{name}"
 
 
-def _correlation_json(df: DataFrame) -> DataFrame:
-    """``{"correlation": r}``; NaN / inf (not valid JSON) and a degenerate
-    input are written as null."""
-    doc = F.struct(json_number("correlation").alias("correlation"))
-    return df.select(F.to_json(doc, {"ignoreNullFields": "false"}).alias("value"))
-
-
 def _tally_file(df: DataFrame) -> DataFrame:
     return df.select("CONTEST_CODE", "CANDIDATE_NAME", "VOTES_AMOUNT", "PERCENTAGE")
 
@@ -160,18 +161,14 @@ def run_stats(r: Run) -> None:
     write_text(ms.where(F.col("PRV_NAME").isNull()).select(side.alias("value")), r.path("map_stats_unassigned.json"))
     # the same provinces as ONE JSON document with sorted keys; its input is
     # the per-province table (one row per province), not the fact
-    entries = F.array_sort(
-        F.collect_list(F.struct(F.col("PRV_NAME").alias("key"), F.struct(*stats.MAP_STATS_FIELDS).alias("value")))
-    )
-    whole = ms.where(F.col("PRV_NAME").isNotNull()).agg(F.to_json(F.map_from_entries(entries)).alias("value"))
-    write_text(whole, r.path("map_stats_document.json"))
+    write_text(stats.map_stats_document(ms), r.path("map_stats_document.json"))
     ms.unpersist()
     write_text(stats.voter_stats_json(e, pb).toDF("value"), r.path("voter_stats.json"))
     write_csv(stats.vcm_received(e, r.counts).orderBy(F.col("RECEPTION_DATE").asc_nulls_first()), r.path("vcm_received"))
     write_csv(stats.turnout_by_precinct(e, pb), r.path("voter_turnout_by_precinct"))
     write_csv(stats.spoiled_ballots(e, pb), r.path("spoiled_ballots_analysis"))
     write_csv(tallies.candidate_by_region(e, r.votes), r.path("candidate_performance_by_region"))
-    write_text(_correlation_json(stats.turnout_spoiled_correlation(e, pb)), r.path("turnout_spoiled_correlation.json"))
+    write_text(stats.correlation_json(stats.turnout_spoiled_correlation(e, pb)), r.path("turnout_spoiled_correlation.json"))
     rate = stats.reception_rate_text(e, r.counts).orderBy(
         "RECEPTION_DATE_ONLY", "RECEPTION_HOUR", "RECEPTION_MINUTE"
     )
@@ -182,7 +179,8 @@ def run_corrected(r: Run) -> None:
     e = r.e
     write_csv(stats.vcm_received_by_time(e, r.times).orderBy("RECEPTION_TIME"), r.path("corrected/vcm_received_by_time"))
     write_csv(stats.reception_rate_by_minute(e, r.times), r.path("corrected/reception_rate_by_minute"))
-    corr = _correlation_json(stats.turnout_spoiled_correlation_finite(e, r.precincts))
+    write_csv(tallies.candidate_by_region_once(e, r.votes), r.path("corrected/candidate_performance_by_region"))
+    corr = stats.correlation_json(stats.turnout_spoiled_correlation_finite(e, r.precincts))
     write_text(corr, r.path("corrected/turnout_spoiled_correlation.json"))
 
 
@@ -211,15 +209,18 @@ def run(spark: SparkSession, e: Election, out: str, cmds: list[str], log=print)
     checkpoint_root(spark)  # make sure bases have a shared place to land
     r = Run(spark, e, out)
     done: dict[str, float | None] = {}
-    for c in cmds:
-        t0 = time.perf_counter()
-        try:
-            REPORTS[c](r)
-            done[c] = round(time.perf_counter() - t0, 3)
-            log(f"{c} took {done[c]:.3f} seconds")
-        except Exception:  # noqa: BLE001 - one failing report must not stop the others
-            done[c] = None
-            log(f"{c} failed:\n{traceback.format_exc()}")
+    try:
+        for c in cmds:
+            t0 = time.perf_counter()
+            try:
+                REPORTS[c](r)
+                done[c] = round(time.perf_counter() - t0, 3)
+                log(f"{c} took {done[c]:.3f} seconds")
+            except Exception:  # noqa: BLE001 - one failing report must not stop the others
+                done[c] = None
+                log(f"{c} failed:\n{traceback.format_exc()}")
+    finally:
+        r.close()
     return done
 
 

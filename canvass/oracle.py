@@ -17,7 +17,7 @@ precincts_all AS (
          r.r_name AS REG_NAME, n.n_name AS PRV_NAME,
          c.c_mktsegment AS MUN_NAME, c.c_name AS BRGY_NAME,
          concat('SCHOOL ', CAST(c.c_custkey AS VARCHAR)) AS POLLPLACE,
-         CAST(c.c_custkey AS BIGINT) AS CLUSTERED_PREC,
+         CAST(CASE WHEN c.c_custkey % 100 = 52 THEN c.c_custkey - 1 ELSE c.c_custkey END AS BIGINT) AS CLUSTERED_PREC,
          CAST(CASE WHEN c.c_custkey % 97 = 0 THEN 0 ELSE 600 + c.c_custkey % 300 END AS BIGINT) AS REGISTERED_VOTERS
   FROM customer c
   JOIN nation n ON c.c_nationkey = n.n_nationkey
@@ -237,20 +237,27 @@ lead AS (
   FROM nat_prv)""",
 )
 
-CANDIDATE_BY_REGION = q(
-    """SELECT REG_NAME, CANDIDATE_CODE, CANDIDATE_NAME, VOTES_AMOUNT,
+
+
+def _by_region(source: str) -> str:
+    """``source``: merged (joined to the precincts a second time) or results."""
+    return q(
+        """SELECT REG_NAME, CANDIDATE_CODE, CANDIDATE_NAME, VOTES_AMOUNT,
        CASE WHEN isnan(VOTES_AMOUNT / rv * 100) THEN CAST(0 AS DOUBLE) ELSE VOTES_AMOUNT / rv * 100 END
          AS PERCENTAGE
 FROM g2""",
-    f"""g AS (
+        f"""g AS (
   SELECT p.REG_NAME, c.CANDIDATE_CODE, c.CANDIDATE_NAME, {_s('r.VOTES_AMOUNT', 'VOTES_AMOUNT')}
-  FROM results r
+  FROM {source} r
   JOIN precincts p ON r.PRECINCT_CODE = p.CLUSTERED_PREC
   JOIN candidates c ON r.CANDIDATE_CODE = c.CANDIDATE_CODE
   WHERE r.CONTEST_CODE IN {NATIONAL}
   GROUP BY 1, 2, 3),
 g2 AS (SELECT *, CAST(sum(VOTES_AMOUNT) OVER (PARTITION BY REG_NAME) AS BIGINT) AS rv FROM g)""",
-)
+    )
+
+
+CANDIDATE_BY_REGION = _by_region("merged")
 
 MAP_STATS = q(f"SELECT PRV_NAME, {', '.join(MAP_FIELDS)} FROM ms", MAP)
 MAP_STATS_JSON = q(
@@ -311,6 +318,13 @@ loc2 AS (SELECT *, CAST(sum(VOTES_AMOUNT) OVER (PARTITION BY CONTEST_CODE) AS BI
 )
 
 
+CORRELATION_FINITE = q(
+    "SELECT round(corr(SPOILED_PERCENTAGE, VOTER_TURNOUT), 9) AS correlation FROM jts "
+    "WHERE isfinite(VOTER_TURNOUT) AND isfinite(SPOILED_PERCENTAGE)",
+    JTS,
+)
+
+
 def all_sql() -> dict[str, str]:
     return {
         # sources (written as pipe-delimited files, read back with the schema)
@@ -363,6 +377,7 @@ def all_sql() -> dict[str, str]:
         "tally_national_province": TALLY_NATIONAL_PROVINCE,
         "leading_candidate_province": LEADING,
         "candidate_by_region": CANDIDATE_BY_REGION,
+        "candidate_by_region_once": _by_region("results"),
         "transmission_by_province": q(
             "SELECT PRV_NAME, total_clustered_precincts, vcm_transmitted, vcm_not_transmitted, "
             "number_of_voters_not_transmitted, vcm_transmitted_percentile FROM tbp",
@@ -394,11 +409,7 @@ def all_sql() -> dict[str, str]:
             "WHERE VOTER_TURNOUT IS NOT NULL AND SPOILED_PERCENTAGE IS NOT NULL",
             JTS,
         ),
-        "turnout_spoiled_correlation_finite": q(
-            "SELECT round(corr(SPOILED_PERCENTAGE, VOTER_TURNOUT), 9) AS correlation FROM jts "
-            "WHERE isfinite(VOTER_TURNOUT) AND isfinite(SPOILED_PERCENTAGE)",
-            JTS,
-        ),
+        "turnout_spoiled_correlation_finite": CORRELATION_FINITE,
         # corrected variants
         "vcm_received_by_time": q(
             """SELECT strftime(ts, '%Y-%m-%d %H:%M:%S') AS RECEPTION_TIME,
@@ -415,6 +426,18 @@ FROM c""",
             "FROM tnp",
             TALLY_NATIONAL_PROVINCE_CTE,
         ),
+        "sink_province_order": q(
+            "SELECT CONTEST_CODE, replace(PRV_NAME, ' ', '_') AS PRV_KEY, "
+            "CAST(row_number() OVER (PARTITION BY CONTEST_CODE, PRV_NAME ORDER BY VOTES_AMOUNT DESC) AS INTEGER) AS POSITION, "
+            "VOTES_AMOUNT FROM tnp",
+            TALLY_NATIONAL_PROVINCE_CTE,
+        ),
+        "sink_reception_order": "SELECT *, CAST(row_number() OVER (PARTITION BY substring(RECEPTION_DATE, 1, 10) "
+        f"ORDER BY RECEPTION_DATE NULLS FIRST) AS INTEGER) AS POSITION FROM ({VCM_RECEIVED}) v",
+        "sink_map_leaders": LEADING,
+        "sink_correlation_json": CORRELATION_FINITE,
+        "sink_map_document": "SELECT CAST(row_number() OVER (ORDER BY PRV_NAME) - 1 AS INTEGER) AS POSITION, "
+        f"PRV_NAME, STATS_JSON FROM ({MAP_STATS_JSON}) m",
         # streaming (run to completion with availableNow)
         "stream_snapshot_tally": TALLY_NATIONAL,
         "stream_running_tally": q(

@@ -31,12 +31,32 @@ RESULT_ORDER = ("CONTEST_CODE", "CANDIDATE_CODE", "UNDERVOTE", "OVERVOTE", "NUMB
 PRECINCT_ORDER = ("PRV_NAME", "REG_NAME", "REGISTERED_VOTERS")
 
 
-def merged_votes(e: Election) -> DataFrame:
-    """Narrow merged fact: (PRECINCT_CODE, CONTEST_CODE, CANDIDATE_CODE,
-    VOTES_AMOUNT, MATCHED, REG_NAME, PRV_NAME)."""
-    p = e.precincts.select(
-        F.col("CLUSTERED_PREC").alias("_pk"), "REG_NAME", "PRV_NAME", F.lit(True).alias("_m")
+def _places_with_copies(precincts: DataFrame) -> DataFrame:
+    """Precinct rows (_pk, REG_NAME, PRV_NAME) with COPIES, the number of
+    rows of their code. Equal rows are counted before the rows of a code come
+    together, and expanded again after, so a code that repeats often does not
+    gather its rows; aggregates alone, which keep the size estimate that the
+    dimension join goes by."""
+    places = precincts.where(F.col("CLUSTERED_PREC").isNotNull()).groupBy(
+        F.col("CLUSTERED_PREC").alias("_pk"), "REG_NAME", "PRV_NAME"
     )
+    place = F.struct("REG_NAME", "PRV_NAME", "_n")
+    codes = places.agg(F.count(F.lit(1)).alias("_n")).groupBy("_pk")
+    codes = codes.agg(F.collect_list(place).alias("_places"), F.sum("_n").alias("COPIES"))
+    one = codes.select("_pk", "COPIES", F.explode("_places").alias("_p"))
+    again = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_p._n"))).alias("_i")
+    return one.select("_pk", F.col("_p.REG_NAME").alias("REG_NAME"), F.col("_p.PRV_NAME").alias("PRV_NAME"), "COPIES", again).drop("_i")
+
+
+def merged_votes(e: Election, copies: bool = False) -> DataFrame:
+    """Narrow merged fact: (PRECINCT_CODE, CONTEST_CODE, CANDIDATE_CODE,
+    VOTES_AMOUNT, MATCHED, REG_NAME, PRV_NAME); ``copies`` adds COPIES, the
+    number of precinct rows that share the code (null if unmatched)."""
+    if copies:
+        p = _places_with_copies(e.precincts)
+    else:
+        p = e.precincts.select(F.col("CLUSTERED_PREC").alias("_pk"), "REG_NAME", "PRV_NAME")
+    p = p.withColumn("_m", F.lit(True))
     r = e.results.select("PRECINCT_CODE", "CONTEST_CODE", "CANDIDATE_CODE", "VOTES_AMOUNT")
     j = join_dimension(r, p, "PRECINCT_CODE", "_pk", "left")
     return j.select(
@@ -47,16 +67,18 @@ def merged_votes(e: Election) -> DataFrame:
         F.coalesce(F.col("_m"), F.lit(False)).alias("MATCHED"),
         "REG_NAME",
         "PRV_NAME",
+        *(["COPIES"] if copies else []),
     )
 
 
 def vote_base(e: Election) -> DataFrame:
     """Sum of VOTES_AMOUNT by CONTEST_CODE, CANDIDATE_CODE, MATCHED,
     REG_NAME, PRV_NAME over the merged fact (null sums stay null here and
-    are turned into 0 by the reports)."""
+    are turned into 0 by the reports). COPIES, the number of precinct rows of
+    the code, is one for all but duplicated codes and is a key too."""
     return (
-        merged_votes(e)
-        .groupBy("CONTEST_CODE", "CANDIDATE_CODE", "MATCHED", "REG_NAME", "PRV_NAME")
+        merged_votes(e, copies=True)
+        .groupBy("CONTEST_CODE", "CANDIDATE_CODE", "MATCHED", "REG_NAME", "PRV_NAME", "COPIES")
         .agg(F.sum("VOTES_AMOUNT").alias("VOTES_AMOUNT"))
     )
 

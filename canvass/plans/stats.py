@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from canvass.functions import is_finite, n_unique, nan_to_zero, pct_guarded, pearson, ratio, sum0
+from canvass.functions import is_finite, json_number, n_unique, nan_to_zero, pct_guarded, pearson, ratio, sum0
 from canvass.operators import bucketed_running_total, reported_precincts, with_existence_flag
 from canvass.plans.base import precinct_base, reception_counts, reception_times
 from canvass.sources.bundle import Election
@@ -118,6 +118,15 @@ def map_stats_json(e: Election, precincts: DataFrame | None = None) -> DataFrame
     return m.select("PRV_NAME", F.to_json(F.struct(*MAP_STATS_FIELDS)).alias("STATS_JSON"))
 
 
+def map_stats_document(provinces: DataFrame) -> DataFrame:
+    """The rows of :func:`map_stats` with a province as one JSON document,
+    keys sorted. It gathers a row per province (the report itself, whatever
+    the size of the results)."""
+    entry = F.struct(F.col("PRV_NAME").alias("key"), F.struct(*MAP_STATS_FIELDS).alias("value"))
+    named = provinces.where(F.col("PRV_NAME").isNotNull())
+    return named.agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(entry)))).alias("value"))
+
+
 def precinct_count(e: Election) -> DataFrame:
     return e.precincts.agg(n_unique("CLUSTERED_PREC").alias("total_number_of_precincts"))
 
@@ -205,6 +214,13 @@ def turnout_spoiled_correlation_finite(e: Election, precincts: DataFrame | None
     return _correlation(p.where(is_finite(F.col("VOTER_TURNOUT")) & is_finite(F.col("SPOILED_PERCENTAGE"))))
 
 
+def correlation_json(correlation: DataFrame) -> DataFrame:
+    """``{"correlation": r}``; NaN / inf (not valid JSON) and a degenerate
+    input are written as null."""
+    doc = F.struct(json_number("correlation").alias("correlation"))
+    return correlation.select(F.to_json(doc, {"ignoreNullFields": "false"}).alias("value"))
+
+
 # --------------------------------------------------------------------- reception
 
 

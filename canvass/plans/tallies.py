@@ -11,7 +11,7 @@ the output files is a column here and a ``partitionBy`` at write time.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -109,12 +109,23 @@ def candidate_by_region(e: Election, votes: DataFrame | None = None) -> DataFram
     """National votes by (REG_NAME, CANDIDATE_CODE, CANDIDATE_NAME) over
     precincts that match the precinct table; PERCENTAGE = votes / all
     national votes of the region * 100 (NaN -> 0). Unknown candidates are
-    dropped before the denominator is taken."""
-    votes = merged_votes(e) if votes is None else votes
+    dropped before the denominator is taken. As in the original, the merged
+    rows meet the precinct table a second time: a code with k precinct rows
+    counts each of them k times (``candidate_by_region_once`` does not)."""
+    votes = merged_votes(e, copies=True) if votes is None else votes
+    return _by_region(e, votes, F.col(V) * F.col("COPIES"))
+
+
+def candidate_by_region_once(e: Election, votes: DataFrame | None = None) -> DataFrame:
+    """The same with the precinct table joined once, as in every other report."""
+    return _by_region(e, merged_votes(e) if votes is None else votes, F.col(V))
+
+
+def _by_region(e: Election, votes: DataFrame, amount: Column) -> DataFrame:
     reg = (
         votes.where(is_national() & F.col("MATCHED"))
         .groupBy("REG_NAME", "CANDIDATE_CODE")
-        .agg(F.sum(V).alias(V))
+        .agg(F.sum(amount).alias(V))
     )
     g = _named(reg, e.candidates).groupBy("REG_NAME", "CANDIDATE_CODE", "CANDIDATE_NAME").agg(sum0(V).alias(V))
     g = with_group_total(g, ["REG_NAME"], V, "_reg_votes")

@@ -72,6 +72,18 @@ def checkpoint_root(spark: SparkSession) -> str:
     raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
 
 
+def hadoop_path(spark: SparkSession, uri: str) -> tuple:
+    """(file system, path) of a URI, as Spark itself resolves it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(uri)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def discard(spark: SparkSession, uri: str) -> None:
+    """Delete a folder that the caller made (none there: nothing happens)."""
+    fs, path = hadoop_path(spark, uri)
+    fs.delete(path, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused folder under the checkpoint root."""
     return f"{checkpoint_root(spark)}/canvass/{name}-{uuid.uuid4().hex}"

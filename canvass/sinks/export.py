@@ -1,87 +1,117 @@
-"""Copy the job's partitioned outputs to the original flat file names.
+"""The job's outputs under the original flat file names.
 
-The job writes one partitioned dataset per report (``contest/CONTEST_CODE=
-<code>/part-*.csv`` ...). Consumers of the original layout read flat files:
+The job writes one dataset per report (``contest/CONTEST_CODE=<code>/part-*``
+...). Consumers of the original layout read flat files:
 
   contest/CONTEST_CODE=<c>/             -> <c>.csv
   map/CONTEST_CODE=<c>/                 -> map-<c>.csv
   province/CONTEST_CODE=<c>/PRV_KEY=<p> -> <p>_<c>.csv
   map_stats_document.json/              -> map_stats.json
-  voter_stats.json/                     -> voter_stats.json
-  vcm_received/                         -> vcm_received.csv
+  other reports                         -> see FLAT_CSV and FLAT_JSON
 
-Every per-key folder holds the single file its task wrote; report datasets
-with several part files (ordered output) are concatenated in part order with
-one header. Only report-sized files pass through here, never the fact.
-``pyarrow.fs`` resolves the URI (local, s3://, hdfs://, ...).
+Spark tasks write the bytes: one file per key of a dataset, in the row order
+of the source, below a folder of its own in the destination. The driver only
+lists and renames those files (Spark's file system API, so any place and
+credentials that Spark itself uses). A report without keys is one file and
+so one task's work; these hold a row per precinct, province or minute.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Sequence
 from urllib.parse import unquote
 
-from pyarrow import fs as pafs
-
-# Flat file names of the original output layout.
-FLAT_CSV = {"vcm_received": "vcm_received.csv"}
-FLAT_JSON = {"map_stats_document.json": "map_stats.json", "voter_stats.json": "voter_stats.json"}
-
-
-def _filesystem(uri: str):
-    if uri.startswith("file:") and not uri.startswith("file://"):
-        uri = "file://" + uri[len("file:"):]
-    if "://" not in uri:
-        return pafs.LocalFileSystem(), uri
-    return pafs.FileSystem.from_uri(uri)
-
-
-def _parts(f, folder: str) -> list[str]:
-    infos = f.get_file_info(pafs.FileSelector(folder, allow_not_found=True))
-    return sorted(i.path for i in infos if i.type == pafs.FileType.File and i.base_name.startswith("part-"))
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
+from canvass.session import discard, hadoop_path
+from canvass.sinks.writers import LINE_ORDER, with_line_order
 
-def _subdirs(f, folder: str, key: str) -> list[tuple[str, str]]:
-    infos = f.get_file_info(pafs.FileSelector(folder, allow_not_found=True))
-    prefix = f"{key}="
-    return sorted(
-        (i.path, unquote(i.base_name[len(prefix):]))
-        for i in infos
-        if i.type == pafs.FileType.Directory and i.base_name.startswith(prefix)
-    )
-
-
-def _concat(src_fs, dst_fs, parts: list[str], target: str, header: bool) -> None:
-    with dst_fs.open_output_stream(target) as out:
-        for n, part in enumerate(parts):
-            with src_fs.open_input_stream(part) as src:
-                data = src.read()
-            if header and n > 0 and b"\n" in data:
-                data = data.split(b"\n", 1)[1]  # drop the repeated header line
-            out.write(data)
-
-
-def export_flat(out_root: str, dest: str) -> list[str]:
+# Flat file names of the original output layout.
+FLAT_CSV = {
+    "vcm_received": "vcm_received.csv",
+    "voter_turnout_by_precinct": "voter_turnout_by_precinct.csv",
+    "spoiled_ballots_analysis": "spoiled_ballots_analysis.csv",
+    "candidate_performance_by_region": "candidate_performance_by_region.csv",
+    "vcm_reception_rate": "vcm_reception_rate.csv",
+}
+FLAT_JSON = {
+    "map_stats_document.json": "map_stats.json",
+    "voter_stats.json": "voter_stats.json",
+    "turnout_spoiled_correlation.json": "turnout_spoiled_correlation.json",
+}
+# Trees by key, and the flat name of a key.
+FLAT_BY_KEY = {
+    "contest": (["CONTEST_CODE"], "{0}.csv"),
+    "map": (["CONTEST_CODE"], "map-{0}.csv"),
+    "province": (["CONTEST_CODE", "PRV_KEY"], "{1}_{0}.csv"),
+}
+
+
+def _files(spark: SparkSession, folder: str, depth: int = 0) -> list[tuple[tuple[str, ...], object]]:
+    """(key values, path) of the part files ``depth`` key folders down."""
+    fs, path = hadoop_path(spark, folder)
+    found: list[tuple[tuple[str, ...], object]] = []
+    todo = [((), path)] if fs.exists(path) else []
+    while todo:
+        keys, at = todo.pop()
+        for s in fs.listStatus(at):
+            name = s.getPath().getName()
+            if s.isDirectory() and len(keys) < depth and "=" in name:
+                todo.append(((*keys, unquote(name.split("=", 1)[1])), s.getPath()))
+            elif not s.isDirectory() and len(keys) == depth and name.startswith("part-"):
+                found.append((keys, s.getPath()))
+    return sorted(found, key=lambda f: (f[0], str(f[1])))
+
+
+def _read_strings(spark: SparkSession, path: str) -> DataFrame:
+    names = spark.read.option("header", True).csv(path).columns
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
+    return spark.read.schema(schema).option("header", True).csv(path)
+
+
+def _one_file_per_key(df: DataFrame, keys: Sequence[str], path: str) -> None:
+    rows = with_line_order(df)
+    rows = rows.repartition(*keys) if keys else rows.repartition(1)
+    rows = rows.sortWithinPartitions(*keys, *LINE_ORDER).drop(*LINE_ORDER)
+    out = rows.write.option("header", True).option("maxRecordsPerFile", 0)
+    (out.partitionBy(*keys) if keys else out).csv(path)
+
+
+def export_flat(out_root: str, dest: str, spark: SparkSession | None = None) -> list[str]:
     """Write the flat files for every job output present under ``out_root``
-    into ``dest``; returns the names written."""
-    f, root = _filesystem(out_root.rstrip("/"))
-    g, target = _filesystem(dest.rstrip("/"))
-    g.create_dir(target, recursive=True)
-    written: list[str] = []
-
-    def emit(parts: list[str], name: str, header: bool) -> None:
-        if parts:
-            _concat(f, g, parts, f"{target}/{name}", header)
-            written.append(name)
-
-    for folder, code in _subdirs(f, f"{root}/contest", "CONTEST_CODE"):
-        emit(_parts(f, folder), f"{code}.csv", True)
-    for folder, code in _subdirs(f, f"{root}/map", "CONTEST_CODE"):
-        emit(_parts(f, folder), f"map-{code}.csv", True)
-    for folder, code in _subdirs(f, f"{root}/province", "CONTEST_CODE"):
-        for sub, prv in _subdirs(f, folder, "PRV_KEY"):
-            emit(_parts(f, sub), f"{prv}_{code}.csv", True)
-    for src, name in FLAT_CSV.items():
-        emit(_parts(f, f"{root}/{src}"), name, True)
-    for src, name in FLAT_JSON.items():
-        emit(_parts(f, f"{root}/{src}"), name, False)
-    return written
+    into ``dest``, replacing files of the same name; returns the names."""
+    spark = spark or SparkSession.active()
+    root, dest = out_root.rstrip("/"), dest.rstrip("/")
+    work = f"{dest}/_export-{uuid.uuid4().hex}"
+    fs, base = hadoop_path(spark, dest)
+    if fs.getUri().getScheme() == "file":
+        fs = fs.getRaw()  # local files without checksum files beside them
+    fs.mkdirs(base)
+    names: list[str] = []
+
+    def publish(folder: str, depth: int, name: str) -> None:
+        for keys, path in _files(spark, folder, depth):
+            _, target = hadoop_path(spark, f"{dest}/{name.format(*keys)}")
+            fs.delete(target, False)
+            if not fs.rename(path, target):
+                raise OSError(f"could not write {target}")
+            names.append(target.getName())
+
+    try:
+        for tree, (keys, name) in FLAT_BY_KEY.items():
+            if _files(spark, f"{root}/{tree}", len(keys)):
+                _one_file_per_key(_read_strings(spark, f"{root}/{tree}"), keys, f"{work}/{tree}")
+                publish(f"{work}/{tree}", len(keys), name)
+        for report, name in FLAT_CSV.items():
+            if _files(spark, f"{root}/{report}"):
+                _one_file_per_key(_read_strings(spark, f"{root}/{report}"), [], f"{work}/{report}")
+                publish(f"{work}/{report}", 0, name)
+        for report, name in FLAT_JSON.items():
+            if _files(spark, f"{root}/{report}"):
+                spark.read.text(f"{root}/{report}").repartition(1).write.text(f"{work}/{report}")
+                publish(f"{work}/{report}", 0, name)
+    finally:
+        discard(spark, work)
+    return names

@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
@@ -53,6 +54,18 @@ def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
 
 
+LINE_ORDER = ("_file", "_block", "_line")
+
+
+def with_line_order(df: DataFrame) -> DataFrame:
+    """A frame just read from files, with columns that sort its rows as they
+    stand there: files by name, then by place in the file."""
+    file = F.col("_metadata.file_name")
+    named = F.struct(F.length(file).alias("n"), file.alias("name"))
+    place = (named, F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    return df.select("*", *(c.alias(n) for c, n in zip(place, LINE_ORDER)))
+
+
 def write_text(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """One line per row of a single string column (JSON lines)."""
     df.write.mode(mode).text(path)

@@ -4,7 +4,8 @@ This only produces stand-in rows in the election schemas; no report logic
 lives here. Mapping (fixed by the test fixtures):
 
 precincts  = customer x nation x region, customers with
-             ``c_custkey % 50 = 13`` left out (their results stay unmatched).
+             ``c_custkey % 50 = 13`` left out (their results stay unmatched);
+             ``c_custkey % 100 = 52`` repeats the code of the customer before.
 results    = lineitem x orders, orders with ``o_custkey % 10 = 7`` left out
              (their customers become precincts that did not transmit).
 candidates = distinct (contest, candidate) of results; local candidates
@@ -45,7 +46,7 @@ def precincts_full(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("c_mktsegment").alias("MUN_NAME"),
             F.col("c_name").alias("BRGY_NAME"),
             F.concat(F.lit("SCHOOL "), _text(k)).alias("POLLPLACE"),
-            k.cast("bigint").alias("CLUSTERED_PREC"),
+            F.when(k % 100 == 52, k - 1).otherwise(k).cast("bigint").alias("CLUSTERED_PREC"),
             F.when(k % 97 == 0, F.lit(0)).otherwise(600 + k % 300).cast("bigint").alias("REGISTERED_VOTERS"),
         )
     )
@@ -155,6 +156,22 @@ def full_tables(
     }
 
 
+COPY_SHIFT = 10_000_000
+
+
+def copies_of(results: DataFrame, precincts: DataFrame, copies: int) -> tuple[DataFrame, DataFrame]:
+    """(results, precincts) ``copies`` times over, for measurements: copy k
+    (column ``_k``) has its precinct codes shifted by k * ``COPY_SHIFT``, so
+    precincts multiply and contests, candidates and provinces stay."""
+    k = F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("_k")
+    shift = F.col("_k").cast("bigint") * COPY_SHIFT
+    res = results.select("*", k).withColumn("PRECINCT_CODE", F.col("PRECINCT_CODE") + shift)
+    pre = precincts.select("*", k)
+    for c in ("CLUSTERED_PREC", "VCM_ID"):
+        pre = pre.withColumn(c, F.col(c) + shift)
+    return res, pre
+
+
 def election_from_testdata(spark: SparkSession, sf_dir: str) -> Election:
     t = full_tables(spark, sf_dir)
     return Election(

@@ -6,6 +6,7 @@ import pytest
 
 from canvass import job
 from canvass.session import scratch_path
+from tests.conftest import make_election, result_row
 from tests.test_io import FILES, _write
 
 
@@ -136,6 +137,26 @@ def test_export_flat_names(spark, tmp_path):
     assert lines[0] == "RECEPTION_DATE,VCM_RECEIVED" and lines.count(lines[0]) == 1 and lines[-1].endswith(",2")
     with open(f"{dest}/map_stats.json") as fh:
         assert fh.read().startswith('{"ILOCOS NORTE":{')
+    reports = ("voter_turnout_by_precinct", "spoiled_ballots_analysis", "candidate_performance_by_region", "vcm_reception_rate")
+    for name in reports:
+        with open(f"{dest}/{name}.csv") as fh:
+            lines = fh.read().splitlines()
+        assert len(lines) > 1 and lines.count(lines[0]) == 1, name
+    assert "turnout_spoiled_correlation.json" in names
+    again = export_flat(out, dest)
+    assert again == names and not [n for n in os.listdir(dest) if n.startswith("_export")]
+
+
+def test_bases_are_deleted_after_the_run(spark):
+    from canvass.session import hadoop_path
+
+    e = make_election(spark, [result_row(1, 199000, 19900001, 3)], [(1, "R", "P", 5)])
+    r = job.Run(spark, e, scratch_path(spark, "t-bases"))
+    r.votes, r.precincts  # noqa: B018
+    made = list(r._bases)
+    assert len(made) == 2 and all(hadoop_path(spark, p)[0].exists(hadoop_path(spark, p)[1]) for p in made)
+    r.close()
+    assert not any(hadoop_path(spark, p)[0].exists(hadoop_path(spark, p)[1]) for p in made)
 
 
 def test_job_on_a_drop_without_results(spark, tmp_path):

@@ -39,7 +39,7 @@ def test_every_query_has_an_oracle():
     assert set(OWN) == set(OWN) & set(entry.oracle_sql()) and set(OWN) <= set(entry.queries())
 
 
-DUCK_TO_SPARK = {"BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean"}
+DUCK_TO_SPARK = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean"}
 
 
 @pytest.mark.parametrize("key", sorted(OWN))

@@ -32,6 +32,7 @@ KEYS = [
     "tally_national_province",
     "leading_candidate_province",
     "candidate_by_region",
+    "candidate_by_region_once",
     "transmission_by_province",
     "voter_stats_by_province",
     "map_stats",

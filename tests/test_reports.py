@@ -6,6 +6,7 @@ import math
 import pytest
 
 from canvass.plans import stats, tallies
+from canvass.plans.base import vote_base
 from tests.conftest import make_election, result_row, rows
 
 PRES, LOCAL = 199000, 2000001
@@ -72,6 +73,14 @@ def test_candidate_by_region_matched_only(e):
     assert got == [("R1", A, "A", 65, 65 / 110 * 100), ("R1", B, "B", 45, 45 / 110 * 100)]
 
 
+def test_region_votes_of_a_repeated_precinct_code(spark):
+    twice = make_election(spark, [result_row(1, PRES, A, 5), result_row(2, PRES, A, 1)], [(1, "R", "P", 10), (1, "S", "Q", 10), (2, "R", "P", 10)])
+    votes = lambda df: {r.REG_NAME: r.VOTES_AMOUNT for r in df.collect()}
+    assert votes(tallies.candidate_by_region(twice)) == {"R": 11, "S": 10}
+    assert votes(tallies.candidate_by_region_once(twice)) == {"R": 6, "S": 5}
+    assert votes(tallies.candidate_by_region_once(twice, vote_base(twice))) == {"R": 6, "S": 5}
+
+
 def test_transmission_by_province(e):
     got = {r["PRV_NAME"]: r.asDict() for r in stats.transmission_by_province(e).collect()}
     assert got["CEBU"]["total_clustered_precincts"] == 1

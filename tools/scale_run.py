@@ -24,6 +24,7 @@ import glob
 import json
 import statistics
 import sys
+import tempfile
 import time
 from collections import defaultdict
 
@@ -34,11 +35,9 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from canvass import job  # noqa: E402
 from canvass.session import get_spark, scratch_path  # noqa: E402
-from canvass.sources.testdata import full_tables  # noqa: E402
+from canvass.sources.testdata import copies_of, full_tables  # noqa: E402
 from canvass.sources.warehouse import ingest, load_warehouse  # noqa: E402
 
-SHIFT = 10_000_000
-
 
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
@@ -47,12 +46,8 @@ def main() -> None:
     skew = len(sys.argv) > 4 and sys.argv[4] == "1"
     nobroadcast = len(sys.argv) > 5 and sys.argv[5] == "1"
     from canvass.session import checkpoint_root
-    import uuid
-
-    log_dir = f"/tmp/checkpoints/canvass/eventlog-{uuid.uuid4().hex}"
-    import os
 
-    os.makedirs(log_dir, exist_ok=True)
+    log_dir = tempfile.mkdtemp(prefix="canvass-eventlog-")
     conf = {
         "spark.sql.shuffle.partitions": str(4 * cpus),
         "spark.driver.memory": "16g",
@@ -85,20 +80,12 @@ def main() -> None:
     out["base_ingest_sec"] = round(time.perf_counter() - t0, 2)
 
     base = load_warehouse(spark, base_wh)
-    k = F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("_k")
-    shift = F.col("_k").cast("bigint") * SHIFT
-    res = base.results.select("*", k).withColumn("PRECINCT_CODE", F.col("PRECINCT_CODE") + shift)
+    res, pre = copies_of(base.results, spark.read.parquet(f"{base_wh}/precincts"), copies)
     if skew:
         hot = F.abs(F.xxhash64("PRECINCT_CODE", "CONTEST_CODE", "CANDIDATE_CODE", "_k")) % 3 == 0
         res = res.withColumn("PRECINCT_CODE", F.when(hot, F.lit(7)).otherwise(F.col("PRECINCT_CODE")))
     res = res.drop("_k")
-    pre = (
-        spark.read.parquet(f"{base_wh}/precincts")
-        .select("*", k)
-        .withColumn("CLUSTERED_PREC", F.col("CLUSTERED_PREC") + shift)
-        .withColumn("VCM_ID", F.col("VCM_ID") + shift)
-        .drop("_k")
-    )
+    pre = pre.drop("_k")
     wh = scratch_path(spark, "scale-wh")
     sc.setJobDescription("replicate")
     t0 = time.perf_counter()
