@@ -11,7 +11,7 @@ Benchmark items go to all documents in blocks of bounded size. For a block:
    its own terms, searched apart.
 2. A distributed randomised SVD (subspace iteration on A'A, sums per
    partition) of the TF-IDF passages of a bounded sample of documents
-   (``SAMPLE_DOCS``, lowest hash of id first) and of all item parts gives a
+   (``SAMPLE_DOCS``, lowest hash of id first, one text an id) and of all item parts gives a
    latent space of rank ``RANK``.
 3. Every document is cut into passages of 32 and 64 words that start every
    16 words. A passage is a candidate for an item part (at most 48 words) if
@@ -211,7 +211,8 @@ def _space(docs: DataFrame, items: list[tuple[int, list]], weight_of: dict[bytes
     key = F.xxhash64(F.col("doc_id"), F.lit("lsa"))
     chosen = docs.select(key.alias("_h")).orderBy("_h").limit(SAMPLE_DOCS).distinct()
     sample = docs.select(key.alias("h"), "text").join(F.broadcast(chosen), F.col("h") == F.col("_h"), "left_semi")
-    sample = sample.select("text").mapInPandas(rows, "ids array<int>, vals array<float>")
+    sample = sample.groupBy("h").agg(F.min("text").alias("text"))  # one text of an id, however often it repeats
+    sample = sample.select("text").where(F.col("text").isNotNull()).mapInPandas(rows, "ids array<int>, vals array<float>")
     v = latent_vectors(materialise(own.unionByName(sample), "passages"), len(number))
     vectors = (v * weight[:, None]).astype(np.float32)
     latent = np.array([r[1] @ v[r[0]] * norm for r, (_, norm) in zip(parts, owner)], np.float32)
