@@ -204,8 +204,7 @@ def keep_one_of_each(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADI
     stay = stay.where(F.col("doc_id").isNotNull())
     if not odd.limit(1).count():
         return stay.select(*docs.columns)
-    some = docs.alias("d").join(odd.alias("o"), F.col("d.doc_id").eqNullSafe(F.col("o.doc_id")), "left_semi")
-    some = some.withColumn("_fp", simhash(F.col("text"), shingle))
-    pick = chosen.select(F.col("doc_id").alias("_id"), F.col("fp").alias("_chosen"))
-    some = some.join(pick, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_fp") == F.col("_chosen")), "left_semi")
-    return stay.select(*docs.columns).unionByName(some.dropDuplicates(["doc_id", "_fp"]).select(*docs.columns))
+    some = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), F.col("text").alias("whole"))
+    some = some.join(odd, F.col("id").eqNullSafe(odd["doc_id"]), "left_semi").withColumn("print", simhash(F.col("whole"), shingle))
+    some = some.join(chosen, F.col("id").eqNullSafe(chosen["doc_id"]) & (F.col("print") == chosen["fp"]), "left_semi")
+    return stay.select(*docs.columns).unionByName(some.dropDuplicates(["id", "print"]).select("row.*"))

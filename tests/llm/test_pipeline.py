@@ -49,9 +49,13 @@ def test_stages_take_odd_rows(spark):
     rows += [(100 + i, "the then there thin that this other and more of it", None, None, None) for i in range(3)]
     rows += [(None, "the then there thin that this other and more of it", None, None, None)] * 2 + [(200, "in inner to inn ten tin", "en", "s", 3)] * 3
     docs = spark.createDataFrame(rows, DOC).withColumn("root", F.lit("clash")).withColumn("language", F.lit(1))
-    for name, stage in C.STAGES:
-        out = stage(spark, docs, TESTDATA)
-        assert out.count() <= len(rows)
+    for c in ("_lang", "row", "_p", "_fp", "_id", "fp", "id", "print", "score"):
+        docs = docs.withColumn(c, F.lit(f"own {c}"))
+    for i, (name, stage) in enumerate(C.STAGES):
+        out = stage(spark, docs, TESTDATA).collect()
+        assert len(out) <= len(rows)
+        for r in out if i < 4 else []:
+            assert r["language"] == 1 and r["root"] == "clash" and r["_fp"] == "own _fp" and r["row"] == "own row" and r["score"] == "own score"
         assert stage(spark, docs.limit(0), TESTDATA).count() == 0
     one = simhash.keep_one_of_each(docs).collect()
     assert len([r for r in one if r.doc_id == 200]) == 1 and not [r for r in one if r.doc_id is None]
