@@ -13,8 +13,12 @@ Benchmark items go to all documents in blocks of bounded size. For a block:
    partition) of the TF-IDF passages of a bounded sample of documents
    (``SAMPLE_DOCS``, lowest hash of id first, one text an id) and of all item parts gives a
    latent space of rank ``RANK``.
-3. Every document is cut into passages of 32 and 64 words that start every
-   16 words. A passage is a candidate for an item part (at most 48 words) if
+3. Shared words give every candidate there is. An item that loses at most
+   ``spare`` of its words must show ``least`` of its rarest ``spare + least``
+   ones (``Shared``); every stretch of a document that does is a candidate,
+   whatever the weights, the lengths and the rank of the space.
+   Besides, every document is cut into passages of 32 and 64 words that start
+   every 16 words. A passage is a candidate for an item part (at most 48 words) if
    the cosine in latent space is at least ``COSINE`` and the passage holds at
    least ``COVER`` of the part's weight along its direction. Passages shorter
    than the second condition allows are skipped beforehand, exactly.
@@ -31,6 +35,7 @@ columns are ignored; texts are read whole, whatever their length.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -51,6 +56,7 @@ COSINE, COVER = 0.55, 0.45
 LCS, PARAPHRASE, ANSWER = 0.8, 0.6, 4
 ITEMS_AT_ONCE, BYTES_AT_ONCE = 2000, 4 << 20
 TEXT_AT_ONCE = 1 << 19
+PAIRS_AT_ONCE = 1 << 20
 
 _KEEP = bytes(c if 48 <= c < 58 or 97 <= c < 123 or c >= 128 else c + 32 if 65 <= c < 91 else 32 for c in range(256))
 
@@ -78,14 +84,24 @@ def masks(words: list) -> dict:
     return out
 
 
+def least_of(n: int) -> float:
+    """The words of an item of ``n`` that have to be there in order."""
+    return (PARAPHRASE if n >= 8 else 1.0) * n
+
+
+def stretch(n: int) -> int:
+    """Length of the stretches of text in which an item of ``n`` is sought."""
+    return n + n // 2 + 2
+
+
 def verify(item: list, region: list) -> tuple[float, bool] | None:
     """(LCS share, answer found) of the best stretch of ``region``, or None
     if it holds too little of the item."""
     n = len(item)
-    m, least = masks(item), (PARAPHRASE if n >= 8 else 1.0) * n
+    m, least = masks(item), least_of(n)
     if lcs_length(m, region) < least:
         return None
-    size, step = n + n // 2 + 2, max(1, n // 4)
+    size, step = stretch(n), max(1, n // 4)
     best, at = 0, 0
     for i in range(0, max(1, len(region) - size + step), step):
         if (k := lcs_length(m, region[i : i + size])) > best:
@@ -111,10 +127,24 @@ class Space:
     part_item: np.ndarray
 
 
+@dataclass
+class Shared:
+    """The rarest words of every item, as many as may be missing from it and
+    ``least`` more: word -> its items (a range of ``item``), and per item the
+    length of a stretch and the least number of these words in one."""
+
+    vocabulary: dict[bytes, int]
+    first: np.ndarray
+    item: np.ndarray
+    stretch: np.ndarray
+    least: np.ndarray
+
+
 @dataclass
 class Search:
     items: list[tuple[int | None, list[bytes]]]
     spaces: list[Space]
+    shared: Shared
 
 
 def _split_item(words: list) -> list[list]:
@@ -234,7 +264,75 @@ def build_search(docs: DataFrame, items: list[tuple[int | None, list[bytes]]]) -
         of = {w: weight[terms[w]] for _, words in group for w in words if weight[terms[w]] > 0}
         if of:
             spaces.append(_space(docs, group, of))
-    return Search(items, spaces)
+    return Search(items, spaces, _shared(items, terms, df))
+
+
+def _shared(items: list[tuple[int | None, list[bytes]]], terms: dict[bytes, int], df: np.ndarray) -> Shared:
+    held: dict[bytes, list[int]] = {}
+    sizes, least = [], []
+    for i, (_, words) in enumerate(items):
+        n, count = len(words), Counter(words)
+        need = math.ceil(least_of(n))
+        hits = min(need, 1 + n // 5)  # more need commoner words, fewer leave more to the LCS check
+        left = n - need + hits
+        for w in sorted(count, key=lambda w: (df[terms[w]], w)):
+            if left <= 0:
+                break
+            held.setdefault(w, []).append(i)
+            left -= count[w]
+        sizes.append(stretch(n))
+        least.append(hits)
+    first = np.cumsum([0, *map(len, held.values())])
+    item = np.array([i for x in held.values() for i in x], np.int64)
+    return Shared({w: k for k, w in enumerate(held)}, first, item, np.array(sizes, np.int64), np.array(least, np.int64))
+
+
+def _sharing(shared: Shared, split: list[list[bytes]]) -> Iterator[tuple[int, int, int]]:
+    """All candidates (document, first word of a stretch, item) of a few texts
+    by shared words. Texts are cut into stretches of each item's length; one
+    that an item could be in lies within two neighbouring ones."""
+    get = shared.vocabulary.get
+    lengths = np.array([len(w) for w in split])
+    ids = np.fromiter((get(w, -1) for words in split for w in words), np.int64, lengths.sum())
+    hit = np.flatnonzero(ids >= 0)
+    if not len(hit):
+        return
+    text = np.repeat(np.arange(len(split)), lengths)[hit]
+    place = hit - (np.cumsum(lengths) - lengths)[text]
+    base = np.cumsum(lengths + 2) - (lengths + 2)  # no stretch is next to one of another text
+    width = int(base[-1] + lengths[-1] + 2)
+    start, pairs = shared.first[ids[hit]], np.diff(shared.first)[ids[hit]]
+    ends = np.cumsum(pairs)
+    keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    a = 0
+    while a < len(hit):
+        b = max(a + 1, int(np.searchsorted(ends, ends[a] - pairs[a] + PAIRS_AT_ONCE, "right")))
+        of = np.repeat(np.arange(a, b), pairs[a:b])
+        i = shared.item[start[of] + np.arange(len(of)) - (ends - pairs)[of] + (ends[a] - pairs[a])]
+        new, n = np.unique(i * width + base[text[of]] + place[of] // shared.stretch[i], return_counts=True)
+        keys, back = np.unique(np.concatenate((keys, new)), return_inverse=True)
+        counts = np.bincount(back, np.concatenate((counts, n)), len(keys)).astype(np.int64)
+        a = b
+    following = np.append(np.where(np.diff(keys) == 1, counts[1:], 0), 0)
+    i = keys // width
+    ok = np.flatnonzero(counts + following >= shared.least[i])
+    at = keys[ok] % width
+    d = np.searchsorted(base, at, "right") - 1
+    for x in zip(d.tolist(), ((at - base[d]) * shared.stretch[i[ok]]).tolist(), i[ok].tolist()):
+        yield x
+
+
+def _cosine(search: Search, i: int, words: list[bytes]) -> float:
+    """Cosine of a passage and the nearest part of an item, 0 if the passage
+    has no weight."""
+    best = 0.0
+    for space in search.spaces:
+        mine = space.part_item == i
+        known = [k for w in words if (k := space.vocabulary.get(w)) is not None]
+        if mine.any() and known:
+            v = space.vectors[known].sum(0)
+            best = max(best, float((space.parts[mine] @ v).max() / max(np.linalg.norm(v), 1e-9)))
+    return best
 
 
 def _windows(space: Space, split: list[list[bytes]]):
@@ -290,6 +388,14 @@ def find_leaks(search: Search, texts: list[str | None]) -> list[tuple[int, int,
             if got := verify(item, split[d][max(0, start - n) : start + 4 * BLOCK_WORDS + n]):
                 tried.add(None)
                 out.append((d, i, cosine, *got))
+    for d, start, i in _sharing(search.shared, split):
+        tried = done.setdefault((d, i), set())
+        if None not in tried:
+            size = int(search.shared.stretch[i])
+            region = split[d][max(0, start - size) : start + 2 * size]
+            if got := verify(search.items[i][1], region):
+                tried.add(None)
+                out.append((d, i, _cosine(search, i, region), *got))
     return out
 
 

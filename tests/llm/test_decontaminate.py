@@ -79,6 +79,18 @@ def test_item_that_is_all_over_the_corpus(spark):
     assert got == {(d, 1) for d in range(0, 300, 3)}
 
 
+def test_paraphrase_in_a_third_of_the_documents(spark):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(5))
+    item = [word() for _ in range(30)]
+    near = [word() if k in (3, 8, 13, 18, 23) else w for k, w in enumerate(item)]
+    rows = [(d, " ".join([word() for _ in range(80)] + (near if d % 3 == 0 else []) + [word() for _ in range(30)]), "en", "s", 1) for d in range(300)]
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    docs = spark.createDataFrame(rows, DOC)
+    assert {(r.doc_id, r.item_id) for r in D.leaks(docs, bench).collect()} == {(d, 1) for d in range(0, 300, 3)}
+    assert D.without_leaks(docs, bench).count() == 200
+
+
 def test_blocks_odd_rows_and_empty_tables(spark, monkeypatch):
     bench = spark.createDataFrame([(7, "the ererwh onthend an thinore the ererwh onthend an"), (8, "zz yy xx ww vv uu tt ss")], "item_id long, text string")
     docs = documents(spark, [*ODD, "aa zz yy xx ww vv uu tt ss bb", "aa zz yy xx ww vv uu tt ss bb"])
