@@ -91,6 +91,16 @@ def test_paraphrase_in_a_third_of_the_documents(spark):
     assert D.without_leaks(docs, bench).count() == 200
 
 
+def test_short_items_among_other_words_of_the_block(spark):
+    rng = random.Random(6)
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(5)) for _ in range(6000)]
+    items = [" ".join(rng.sample(words, rng.randint(5, 12))) for _ in range(600)]
+    texts = [" ".join([*rng.sample(words, 40), items[d], *rng.sample(words, 40)]) for d in range(300)]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = [(r.doc_id, r.item_id) for r in D.leaks(documents(spark, texts), bench).collect()]
+    assert sorted(got) == [(d, d) for d in range(300)]
+
+
 def test_blocks_odd_rows_and_empty_tables(spark, monkeypatch):
     bench = spark.createDataFrame([(7, "the ererwh onthend an thinore the ererwh onthend an"), (8, "zz yy xx ww vv uu tt ss")], "item_id long, text string")
     docs = documents(spark, [*ODD, "aa zz yy xx ww vv uu tt ss bb", "aa zz yy xx ww vv uu tt ss bb"])
