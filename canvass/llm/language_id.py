@@ -8,9 +8,10 @@ interpolation weights follow from them. Per order the model is a sorted array
 of n-gram hashes with the interpolated log-probability in every language,
 and a sorted array of context hashes with the back-off weights.
 
-Size bound: only highest-order n-grams with at least ``MIN_SHARE`` of their
-language's n-gram count are kept, so at most 1 / ``MIN_SHARE`` per language
-at any corpus size. That table is what the driver assembles and broadcasts.
+Size: no n-gram is dropped, so that totals, context types, continuation counts
+and discounts of every order are those of all training texts. The driver
+assembles and broadcasts one row per distinct n-gram, however often it occurs;
+it grows with the distinct strings of ``ORDER`` characters, not with the rows.
 
 A text goes to the language with the lowest cross-entropy per character. Its
 margin is the gap to the next language, or to a uniform choice among the
@@ -46,7 +47,6 @@ from pyspark.sql import functions as F
 from canvass.llm.common import hold_alone, materialise
 
 ORDER = 5
-MIN_SHARE = 5e-6
 CALIBRATION = 8
 MIN_SCORE = 0.5
 WORDS_KEPT = 150_000
@@ -144,9 +144,8 @@ class LanguageModel:
         return 1.0 / (1.0 + np.exp(-np.clip(self.offset + self.slope * margin, -30, 30)))
 
 
-def build_model(grams: pd.DataFrame, languages: list[str], singles: dict[str, tuple[int, int]] | None = None) -> LanguageModel:
-    """Model from highest-order counts (columns lang, gram, n); ``singles``:
-    per language the number of grams seen once and twice in all the data."""
+def build_model(grams: pd.DataFrame, languages: list[str]) -> LanguageModel:
+    """Model from all highest-order counts (columns lang, gram, n)."""
     m = LanguageModel(languages, name=uuid.uuid4().hex)
     if not languages or not len(grams):
         m.languages = []
@@ -159,8 +158,6 @@ def build_model(grams: pd.DataFrame, languages: list[str], singles: dict[str, tu
     levels = []
     for k in range(ORDER, 0, -1):
         n1, n2 = (c == 1).sum(0), (c == 2).sum(0)
-        if k == ORDER and singles:
-            n1, n2 = (np.array([singles[x][i] for x in languages]) for i in (0, 1))
         d = np.clip(n1 / np.maximum(n1 + 2 * n2, 1), 0.1, 0.9)
         ctx, contexts = pd.factorize(np.array([x[:-1] for x in g], object))
         total, types = (np.zeros((len(contexts), len(languages))) for _ in range(2))
@@ -312,13 +309,8 @@ def train(docs: DataFrame) -> LanguageModel:
     counted = rows.where(~_calibrates(F.col("doc_id"))).select("text", "lang")
     grams = counted.mapInPandas(_count_grams, "lang string, gram string, n long")
     grams = materialise(grams.groupBy("lang", "gram").agg(F.sum("n").alias("n")), "grams")
-    once = lambda k: F.count_if(F.col("n") == k)
-    totals = grams.groupBy("lang").agg(F.sum("n").alias("total"), once(1).alias("n1"), once(2).alias("n2"))
-    singles = {r.lang: (r.n1, r.n2) for r in totals.collect()}
-    floor = totals.select(F.col("lang").alias("of"), (F.col("total") * F.lit(MIN_SHARE)).alias("least"))
-    kept = grams.join(floor, (F.col("lang") == F.col("of")) & (F.col("n") >= F.col("least")))
-    kept = kept.select("lang", "gram", "n").toPandas()  # at most 1 / MIN_SHARE rows per language
-    model = build_model(kept.sort_values(["lang", "gram"]), sorted(singles), singles)
+    kept = grams.toArrow().to_pandas()  # a row per language and distinct gram
+    model = build_model(kept.sort_values(["lang", "gram"]), sorted(kept["lang"].unique()))
     if model.languages:
         calibrate(model, rows.where(_calibrates(F.col("doc_id"))))
     return model

@@ -1,4 +1,5 @@
 import math
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -57,6 +58,18 @@ def test_probabilities_sum_to_one():
     assert math.isclose(known + unknown, 1.0, rel_tol=1e-5)
 
 
+def test_trained_model_covers_rare_grams_of_a_large_corpus(spark):
+    rare = ["xylem", "quiz", "fjord", "zephyr"]
+    text = "the then there thin that other " * 10
+    texts = [text + (rare[d // 400 % 4] if d % 400 < 2 else "") for d in range(4000)]
+    fold = lambda d: zlib.crc32(str(d).encode())
+    corpus = [w for d, t in enumerate(texts) if fold(d) % 4 != 2 and fold(d) // 4 % L.CALIBRATION for w in t.split()]
+    assert sum(len(w) + 1 for w in corpus) > 600_000 and set(rare) <= set(corpus)
+    m = L.train(documents(spark, texts))
+    words = [*rare, "zephyrs", "thequiz"]
+    np.testing.assert_allclose(m.word_scores(words)[0][:, 0], [brute_logp(corpus, w) for w in words], rtol=1e-5)
+
+
 def test_held_out_accuracy_and_inputs(spark):
     truth = {r.doc_id: r.lang for r in spark.read.parquet(f"{TESTDATA}/documents.parquet").collect()}
     got = by_id(QUERIES["op1_language_id"](spark, TESTDATA))
