@@ -19,10 +19,12 @@ under a base span are observed. Loopy sum-product passes messages over both
 kinds of ties until they settle, and a token takes a kind if its marginal is
 over one half. Runs of one kind that touch no base span become added spans.
 
-Training is by pseudo-likelihood with the base spans as labels, on the tokens
-of at most ``SAMPLE_DOCS`` documents, ``SAMPLE_TOKENS`` from each (a bounded
-sample of documents with candidate tokens, lowest hash of id first). Every
-text is then labelled whole.
+Training is by pseudo-likelihood with the base spans as labels, on a bounded
+sample found in a scan of all rows: for every kind ``KIND_DOCS`` documents with
+a base span of it, and ``SAMPLE_DOCS`` of all documents with candidate tokens
+(lowest hash of id and text first, equal rows once). ``SAMPLE_TOKENS`` come
+from each, from anywhere in the text: up to half around its base spans, kinds
+in turn, the rest by hash of their place. Every text is then labelled whole.
 
 Edge cases: null is the empty text, without spans; a table without candidate
 tokens trains nothing and adds nothing; spans are code points, end exclusive;
@@ -32,6 +34,7 @@ repeated rows are labelled each; an empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
 import zlib
 from collections.abc import Iterator
@@ -42,10 +45,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from canvass.llm.common import hold_alone
+from canvass.llm.common import hold_alone, materialise
 
 KINDS = ["email", "ip", "card", "phone"]
-SAMPLE_DOCS, SAMPLE_TOKENS = 2000, 200
+SAMPLE_DOCS, KIND_DOCS, SAMPLE_TOKENS = 2000, 500, 200
 FEATURES = 1 << 12
 ROUNDS, SETTLED, DAMPING = 30, 1e-4, 0.3
 SAME = 2.0  # prior skip potential of equal labels
@@ -175,12 +178,10 @@ def graph(texts: list[str], spans: list[list[Span]], most: int | None = None) ->
         words = [text[a:b] for a, b in toks]
         hub: dict[str, int] = {}
         mine: list[tuple[str, int]] = []
-        last, left, first = -2, 0, len(doc)
+        last, left = -2, 0
         for i, w in enumerate(words):
             if not _candidate(w):
                 continue
-            if most is not None and len(doc) - first >= most:
-                break
             a, b = toks[i]
             while left < len(base) and max(x[2] for x in base[left : left + 1]) <= a:
                 left += 1
@@ -200,7 +201,37 @@ def graph(texts: list[str], spans: list[list[Span]], most: int | None = None) ->
         skip += [(hub[k], n) for k, n in mine if hub[k] != n]
     as_int = lambda x, *shape_: np.array(x, np.int64).reshape(len(x), *shape_)
     width = 14
-    return Graph(as_int(doc), as_int(start), as_int(stop), as_int(feats, width), as_int(label), as_int(chain, 2), as_int(skip, 2))
+    g = Graph(as_int(doc), as_int(start), as_int(stop), as_int(feats, width), as_int(label), as_int(chain, 2), as_int(skip, 2))
+    return g if most is None else _part(g, most)
+
+
+def _part(g: Graph, most: int) -> Graph:
+    """At most ``most`` tokens of each document, with the ties among them."""
+    keep = np.zeros(len(g.label), bool)
+    tied: dict[int, list[int]] = {}
+    for a, b in np.concatenate((g.chain, g.skip[:, ::-1])).tolist():
+        tied.setdefault(a, []).append(b)  # the token after, and the one a repeat is tied to
+    for a, b in g.chain.tolist():
+        tied.setdefault(b, []).append(a)
+    for d in np.unique(g.doc):
+        mine = np.flatnonzero(g.doc == d)
+        if len(mine) <= most:
+            keep[mine] = True
+            continue
+        mine = mine[np.argsort(pd.util.hash_array(g.start[mine]), kind="stable")]
+        kinds = [mine[g.label[mine] == k].tolist() for k in range(1, LABELS)]
+        turns = [x for t in itertools.zip_longest(*kinds) for x in t if x is not None]
+        rest = mine[g.label[mine] < 0].tolist()
+        taken: set[int] = set()
+        for order, room in ((turns, most // 2), (rest, most), (turns, most)):
+            for i in order:
+                new = {i, *tied.get(i, ())} - taken
+                if len(taken) + len(new) <= room:
+                    taken |= new
+        keep[list(taken)] = True
+    number = np.cumsum(keep) - 1
+    among = lambda ties: number[ties[keep[ties].all(1)]]
+    return Graph(g.doc[keep], g.start[keep], g.stop[keep], g.features[keep], g.label[keep], among(g.chain), among(g.skip))
 
 
 @dataclass
@@ -235,7 +266,7 @@ def fit(g: Graph, steps: int = 300, rate: float = 0.2, decay: float = 1e-3) -> F
     a, b = g.chain.T
     p, q = g.skip.T
     for _ in range(steps):
-        s = w.unary[g.features].sum(1)
+        s = sum(w.unary[f] for f in g.features.T)
         np.add.at(s, a, w.chain[:, y[b]].T)
         np.add.at(s, b, w.chain[y[a]])
         np.add.at(s, p, w.skip[y[q]])
@@ -316,9 +347,20 @@ def find_spans(texts: list[str], w: Field | None) -> list[tuple[list[Span], list
 
 
 def train(docs: DataFrame) -> Field | None:
-    rows = docs.select(F.xxhash64(F.col("doc_id"), F.lit("pii")).alias("h"), "doc_id", "text").where(F.col("text").rlike("[0-9@]"))
-    chosen = rows.select("h", "doc_id").orderBy("h", "doc_id").limit(SAMPLE_DOCS).distinct()
-    sample = rows.join(F.broadcast(chosen.select(F.col("h").alias("ch"))), F.col("h") == F.col("ch"), "left_semi")
+    rows = docs.select(F.xxhash64("doc_id", "text", F.lit("pii")).alias("h"), "text").where(F.col("text").rlike("[0-9@]"))
+
+    @F.pandas_udf("int")
+    def kinds(texts: pd.Series) -> pd.Series:
+        return pd.Series([sum(1 << k for k in {k for _, k, _ in base_spans(t)}) for t in texts], dtype="int32")
+
+    held = materialise(rows.select("h", kinds("text").alias("kinds")), "pii-kinds")
+    lowest = lambda some, n: some.select("h").distinct().orderBy("h").limit(n)
+    chosen = lowest(held, SAMPLE_DOCS)
+    for k in range(len(KINDS)):
+        chosen = chosen.unionByName(lowest(held.where(F.col("kinds").bitwiseAND(1 << k) > 0), KIND_DOCS))
+    chosen = chosen.distinct().select(F.col("h").alias("ch"))
+    sample = rows.join(F.broadcast(chosen), F.col("h") == F.col("ch"), "left_semi")
+    sample = sample.groupBy("h").agg(F.min("text").alias("text"))  # equal rows once
 
     def tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -336,7 +378,7 @@ def train(docs: DataFrame) -> Field | None:
                     )
 
     got = sample.select("h", "text").mapInPandas(tokens, "h long, features array<int>, label array<int>, chain array<int>, skip array<int>")
-    got = got.orderBy("h", "features").limit(SAMPLE_DOCS).toPandas()
+    got = got.orderBy("h").toPandas()  # SAMPLE_DOCS and KIND_DOCS of each kind at most
     if not len(got):
         return None
     sizes = got["label"].map(len).to_numpy()

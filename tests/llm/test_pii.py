@@ -98,6 +98,30 @@ def test_skip_ties_spread_a_label_to_repeats(spark):
     assert sum(len(r.spans.split(",")) for d, r in got.items() if d % 2 and d < 240) == 120
 
 
+def test_a_rare_kind_is_trained_on(spark, monkeypatch):
+    monkeypatch.setattr(P, "SAMPLE_DOCS", 20)
+    plain = [f"version {i % 9}.{i % 7} of {1900 + i % 99} then on the" for i in range(600)]
+    rare = [t for t in training_texts() if "+1" in t][:6]
+    docs = documents(spark, [*plain, *rare, "call +1 (555) 867-5309 the of on in then 867-5309 of 2.0"])
+    got = by_id(P.span_report(docs))
+    text = docs.where(F.col("doc_id") == max(got)).first().text
+    spans = got[max(got)].spans.split(",")
+    assert [text[int(s.split(":")[1]) : int(s.split(":")[2])] for s in spans] == ["+1 (555) 867-5309", "867-5309"]
+    assert all(got[d].spans == "" for d in range(len(plain)))
+
+
+def test_sampled_tokens_come_from_the_whole_text():
+    text = " ".join(f"{i}.5" for i in range(3000)) + " mail a@b.co or 10.0.0.1 then " + " ".join(f"{i}.7" for i in range(3000))
+    g = P.graph([text], [P.base_spans(text)], P.SAMPLE_TOKENS)
+    assert {1, 2} <= set(g.label.tolist()) and 0.9 * P.SAMPLE_TOKENS <= len(g.label) <= P.SAMPLE_TOKENS
+    assert g.start.min() < len(text) / 4 and g.start.max() > len(text) * 3 / 4
+    assert g.chain.max() < len(g.label) and (np.diff(g.chain, axis=1) == 1).all()
+    whole = P.graph([text], [P.base_spans(text)])
+    at = {a: i for i, a in enumerate(whole.start.tolist())}
+    same = [at[a] for a in g.start.tolist()]
+    assert (whole.features[same] == g.features).all() and (whole.label[same] == g.label).all()
+
+
 def test_odd_rows_and_mask(spark):
     docs = documents(spark, [*ODD, "a@b.co, +1 (555) 867-5309, on 10.0.0.1 x 4111 1111 1111 1111"]).withColumn("r", F.lit(1)).withColumn("h", F.lit("clash"))
     got = by_id(P.span_report(docs))
