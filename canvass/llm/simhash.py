@@ -11,13 +11,16 @@ fingerprints in tiles with numpy exclusive-or and bit counts. A tile holds
 fingerprints whose two halves have the same population counts; two
 fingerprints differ in at least the sum of the differences of these counts,
 so tile pairs beyond the radius are skipped and every other pair is compared
-in full. Large tiles are dealt into parts, so no task grows with a hot tile.
+in full. Large tiles are dealt into parts, and the tiles one is compared to
+into bundles of about a tile's rows, so a group of rows that a task reads is
+a tile and a bundle, at most about ``3 * TILE_MOST`` fingerprints.
 A task reduces its links to a spanning forest, so a group of copies sends a
 row per copy and not per pair; the components are those of all links. Copies
 of one fingerprint are collapsed before and joined back after.
 
 Work grows with the square of the number of distinct fingerprints (that is
-the method); what is shuffled is a fingerprint per neighbouring tile.
+the method); what is shuffled is a fingerprint per neighbouring tile and
+bundle.
 
 Edge cases: null text counts as empty; null ids keep a row and take the
 component id of the others in their component (null if all are null);
@@ -39,7 +42,8 @@ from canvass.llm.components import connected_components
 
 SHINGLE, RADIUS, SEED = 4, 4, 42
 TILE_ROWS = 32_768
-TILES = 256  # tiles in all grow no further: beyond, tiles grow instead
+TILES = 256  # beyond about as many, tiles grow first ...
+TILE_MOST = 1 << 20  # ... up to this, then their number again
 HALF = (1 << 32) - 1
 
 
@@ -122,45 +126,60 @@ def close_pairs(left: np.ndarray, right: np.ndarray, radius: int, rows: int = 25
                 yield p + i, q + j
 
 
-def simhash_links(fingerprints: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """``u, v``: links that connect all fingerprints (column ``fp``, distinct)
-    within ``radius`` bits of each other, as spanning forests per tile."""
+def deal(fingerprints: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """``fp, tile, g, left, first``: the fingerprints of every group ``g``, which
+    compares tile ``left`` to a bundle of near tiles with higher numbers (the
+    first bundle holds the tile itself too)."""
     low = F.bit_count(F.col("fp").bitwiseAND(F.lit(HALF)))
     cells = fingerprints.select("fp", low.alias("a"), (F.bit_count("fp") - low).alias("b"))
     sizes = {(r.a, r.b): r.n for r in cells.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).collect()}  # 33 x 33 at most
-    tile_rows = max(TILE_ROWS, sum(sizes.values()) // TILES)
+    tile_rows = max(TILE_ROWS, min(TILE_MOST, sum(sizes.values()) // TILES))
     parts = {c: -(-n // tile_rows) for c, n in sizes.items()}
+    tiles = [(c, k) for c in sorted(parts) for k in range(parts[c])]
     first: dict[tuple[int, int], int] = {}
-    number = 0
-    for c in sorted(parts):
-        first[c] = number
-        number += parts[c]
-    rows = []  # (cell, part) -> the tile itself and the tiles it is compared to as the right side
-    for (a, b), n in parts.items():
-        near = [c for c in parts if abs(c[0] - a) + abs(c[1] - b) <= radius]
-        for s in range(n):
-            own = first[a, b] + s
-            groups = [first[c] + k for c in near for k in range(parts[c]) if first[c] + k <= own]
-            rows.append((a, b, s, own, groups))
-    schema = "a int, b int, s int, tile int, groups array<int>"
+    for t, (c, _) in enumerate(tiles):
+        first.setdefault(c, t)
+    groups: list[list[tuple[int, int, bool]]] = [[] for _ in tiles]  # of a tile: (group, its left tile, first bundle)
+    g = -1
+    for left, ((a, b), _) in enumerate(tiles):
+        held, own = tile_rows, None
+        for c in sorted(c for c in parts if abs(c[0] - a) + abs(c[1] - b) <= radius):
+            for t in range(max(left + 1, first[c]), first[c] + parts[c]):
+                if held >= tile_rows:
+                    g, held, own = g + 1, 0, own is None
+                    groups[left].append((g, left, own))
+                groups[t].append((g, left, own))
+                held += -(-sizes[c] // parts[c])
+        if own is None:  # no other is near it
+            g += 1
+            groups[left].append((g, left, True))
+    rows = [(*c, k, t, groups[t]) for t, (c, k) in enumerate(tiles)]
+    schema = "a int, b int, s int, tile int, groups array<struct<g: int, left: int, first: boolean>>"
     plan = fingerprints.sparkSession.createDataFrame(rows, schema)
     split = F.coalesce(*[F.when((F.col("a") == a) & (F.col("b") == b), F.lit(n)) for (a, b), n in parts.items() if n > 1], F.lit(1))
     cells = cells.withColumn("s", F.pmod(id_hash(F.col("fp")), split).cast("int"))
-    # plan has at most TILES + 33 * 33 rows of at most as many numbers.
-    dealt = cells.join(F.broadcast(plan), ["a", "b", "s"]).select("fp", "tile", F.explode("groups").alias("left"))
+    # plan has a row per tile
+    dealt = cells.join(F.broadcast(plan), ["a", "b", "s"]).select("fp", "tile", F.explode("groups").alias("of"))
+    return dealt.select("fp", "tile", "of.g", "of.left", "of.first")
+
+
+def simhash_links(fingerprints: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """``u, v``: links that connect all fingerprints (column ``fp``, distinct)
+    within ``radius`` bits of each other, as spanning forests per group."""
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         fp = pdf["fp"].to_numpy(np.int64).view(np.uint64)
         order = np.argsort(pdf["tile"].to_numpy(), kind="stable")
         fp, tile = fp[order], pdf["tile"].to_numpy()[order]
+        # bundles hold tiles numbered from the left one up, so it sorts first
         mine = np.searchsorted(tile, pdf["left"].iloc[0], "right")
-        # groups hold tiles numbered from the left one up, so it sorts first
-        edges = _forest(len(fp), close_pairs(fp[:mine], fp, radius))
+        skip = 0 if pdf["first"].iloc[0] else mine
+        edges = _forest(len(fp), ((p, q + skip) for p, q in close_pairs(fp[:mine], fp[skip:], radius)))
         i = np.array(edges, np.int64).reshape(-1, 2)
         v = fp.view(np.int64)
         return pd.DataFrame({"u": v[i[:, 0]], "v": v[i[:, 1]]})
 
-    return dealt.groupBy("left").applyInPandas(compare, "u long, v long")
+    return deal(fingerprints, radius).groupBy("g").applyInPandas(compare, "u long, v long")
 
 
 def _classes(docs: DataFrame, shingle: int, radius: int) -> tuple[DataFrame, DataFrame]:

@@ -55,6 +55,20 @@ def test_query_against_brute_force(spark, monkeypatch, tile):
     check(by_id(QUERIES["op8_simhash"](spark, TESTDATA)), {d.doc_id: d.text for d in docs})
 
 
+def test_no_group_grows_with_the_fingerprints(spark, monkeypatch):
+    monkeypatch.setattr(S, "TILE_ROWS", 20)
+    monkeypatch.setattr(S, "TILE_MOST", 20)
+    rng = random.Random(3)
+    prints = list({rng.getrandbits(64) - (1 << 63) for _ in range(6000)})
+    prints += [p ^ 1 << rng.randrange(63) for p in prints[:300]]
+    df = spark.createDataFrame([(p,) for p in set(prints)], "fp long")
+    groups = S.deal(df).groupBy("g").count().collect()
+    assert max(r["count"] for r in groups) <= 5 * 20
+    near = {tuple(sorted((p, q))) for p, q in zip(prints[:300], prints[-300:])}
+    comp = {r.node: r.root for r in connected_components(S.simhash_links(df)).collect()}
+    assert all(comp.get(p, p) == comp.get(q, q) for p, q in near)
+
+
 def test_odd_texts(spark):
     docs = documents(spark, [*ODD, "   ", "A B c", "a\x0bb\x1cc d e f"]).withColumn("fp", F.lit("clash")).withColumn("u", F.lit(1))
     got = by_id(S.simhash_classes(docs))
