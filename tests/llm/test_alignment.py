@@ -1,0 +1,124 @@
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from canvass.llm import alignment as A
+from canvass.llm.catalog import QUERIES
+from tests.llm.helpers import DOC, ODD, documents
+
+TESTDATA = "/root/testdata/sf0.001"
+ascending = st.lists(st.integers(1, 400), min_size=1, unique=True).map(sorted)
+
+
+@given(ascending, ascending)
+@settings(deadline=None, max_examples=200)
+def test_gallop_is_lower_bound(short, long):
+    got = A.gallop_ranks(np.array(short), np.array(long))
+    assert got.tolist() == np.searchsorted(long, short, "left").tolist()
+
+
+@given(st.sets(st.integers(1, 60)), st.sets(st.integers(1, 60)))
+@settings(deadline=None, max_examples=200)
+def test_overlaps_against_all_pairs(a, b):
+    a, b = sorted(a | {61}), sorted(b | {61})
+    link_a, link_b, common_a, common_b = A.overlaps(np.array(a), np.array(b))
+    spans = [[(x - (e[i - 1] if i else 0), e[i - 1] if i else 0, x) for i, x in enumerate(e)] for e in (a, b)]
+    want = [(i, j) for i, (_, s, e) in enumerate(spans[0]) for j, (_, t, f) in enumerate(spans[1]) if max(s, t) < min(e, f)]
+    assert sorted(zip(link_a.tolist(), link_b.tolist())) == want
+    assert [x for x, c in zip(a, common_a) if c] == [x for x, c in zip(b, common_b) if c] == sorted({*a} & {*b})
+
+
+def plain(texts):
+    """Whole texts through the libraries, all pairs of a group compared."""
+    m = A.models(A.MODEL_A, A.MODEL_B)
+    docs, held = [], Counter()
+    for t in texts:
+        want = f" {t}".encode()
+        a = m.a.encode(f" {t}", add_special_tokens=False).ids if t else []
+        b = m.b.encode(t) if t else []
+        if b"".join(m.bytes_a[i] for i in a) != want or b"".join(m.bytes_b[i] for i in b) != want:
+            docs.append(None)
+            continue
+        groups, links, i, j, end_a, end_b = [], [], 0, 0, 0, 0
+        while i < len(a):
+            own, other = [a[i]], [b[j]]
+            links.append((a[i], b[j]))
+            end_a, end_b = end_a + len(m.bytes_a[a[i]]), end_b + len(m.bytes_b[b[j]])
+            while end_a != end_b:
+                if end_a < end_b:
+                    i += 1
+                    end_a += len(m.bytes_a[a[i]])
+                    own.append(a[i])
+                else:
+                    j += 1
+                    end_b += len(m.bytes_b[b[j]])
+                    other.append(b[j])
+                links.append((a[i], b[j]))
+            groups.append((own, other))
+            i, j = i + 1, j + 1
+        held.update(set(links))
+        docs.append((len(a), len(b), groups, links))
+    top = {}
+    for (x, _), n in held.items():
+        top[x] = max(top.get(x, 0), n)
+    out = []
+    for d in docs:
+        if d is None:
+            out.append((0, 0, 0, 0, 0, 0, ""))
+            continue
+        text = ";".join(f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in d[2])
+        best = sum(held[link] == top[link[0]] for link in d[3])
+        out.append((d[0], d[1], len(d[2]), len(d[3]), best, sum(held[link] for link in d[3]), text))
+    return out
+
+
+def columns(r, whole=True):
+    digest = r.groups if whole else r.groups_sha256
+    return (r.n_a, r.n_b, r.n_groups, r.n_links, r.n_best, r.count_sum, digest)
+
+
+def test_odd_rows_against_brute_force(spark):
+    rng = random.Random(5)
+    letters = ["a", "b", " ", "  ", "\n", "é", "中", "▁", "<s>", "<|endoftext|>", "<0x41>", "'s", "12", ".", "\x00", "\x85", " ", "😀"]
+    made = ["".join(rng.choices(letters, k=rng.randint(1, 40))) for _ in range(150)]
+    lines = "one.two\nthree(four)\nfünf\n" * 3000  # no space at all
+    texts = [*ODD, *made, *made[:20], lines, "中文字" * 20000, "</s> <|endoftext|> <s>"]
+    docs = documents(spark, texts).withColumn("block", F.lit("clash")).withColumn("n_a", F.lit(-1)).repartition(7)
+    got = {r.doc_id: columns(r) for r in A.align_documents(docs, whole_groups=True).collect()}
+    want = dict(enumerate(plain(texts)))
+    assert got == want
+    assert sum(w[0] > 0 for w in want.values()) > 60 and got[2][-1] != "" and want[5][0] == 0  # a word mark in a text is not given back
+
+
+def test_units_add_up(spark):
+    m = A.models(A.MODEL_A, A.MODEL_B)
+    assert m.cuts
+    rng = random.Random(6)
+    for _ in range(300):
+        t = "".join(rng.choices(["ab", " ", "\n", "x.", "'s", "é", "  ", "▁", "\t", "  \n", "7", "中"], k=60))
+        parts = list(A.units(t, True, 5))
+        a, b = m.encode([p for p, _ in parts], [s for _, s in parts])
+        assert "".join((" " if s else "") + p for p, s in parts) == f" {t}"
+        assert sum(a, []) == m.a.encode(f" {t}", add_special_tokens=False).ids and sum(b, []) == m.b.encode(t)
+    assert list(A.units("a b c", False, 1)) == [("a b c", True)]
+
+
+def test_query_and_empty_table(spark):
+    docs = spark.read.parquet(f"{TESTDATA}/documents.parquet").orderBy("doc_id").collect()
+    got = {r.doc_id: columns(r, False) for r in QUERIES["op11_alignment"](spark, TESTDATA).collect()}
+    for d, (*numbers, text) in zip(docs, plain([d.text for d in docs])):
+        assert got[d.doc_id] == (*numbers, hashlib.sha256(text.encode()).hexdigest() if text else "")
+    empty = A.align_documents(spark.createDataFrame([], DOC))
+    assert empty.count() == 0 and empty.columns[0] == "doc_id"
+
+
+def test_null_and_repeated_ids_are_rows_of_their_own(spark):
+    docs = spark.createDataFrame([(None, "ab cd", "en", "s", 5)] * 3 + [(1, "ab", "en", "s", 2)] * 2, DOC)
+    rows = A.align_documents(docs).collect()
+    assert sorted((r.doc_id is None, r.n_links) for r in rows) == [(False, 1)] * 2 + [(True, 2)] * 3
+    assert {r.count_sum for r in rows if r.doc_id is None} == {5 + 3}
