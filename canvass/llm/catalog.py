@@ -7,7 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from canvass.llm import chat_format, decontaminate, language_id, pii, quality, sentencepiece_bpe, sharding, simhash, token_count, winnowing
+from canvass.llm import alignment, chat_format, decontaminate, language_id, pii, quality, quality_rules, ranked_search, sentencepiece_bpe
+from canvass.llm import sharding, simhash, token_count, winnowing
 from canvass.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +63,21 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), shards=8)
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(table(spark, sf_dir, "documents")).withColumnRenamed("groups", "groups_sha256")
+
+
+RULE_COLUMNS = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge_documents(table(spark, sf_dir, "documents")).select(*RULE_COLUMNS)
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op2_chat_format": op2_chat_format,
@@ -73,6 +89,13 @@ QUERIES: dict[str, Query] = {
     "op8_simhash": op8_simhash,
     "op9_token_counts": op9_token_counts,
     "op10_sharding": op10_sharding,
+    "op11_alignment": op11_alignment,
+    "op12_quality_rules": op12_quality_rules,
+    "op13_ranked_search": op13_ranked_search,
 }
 
-ORACLE_SQL: dict[str, str] = {"op2_chat_format": chat_format.ORACLE_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op2_chat_format": chat_format.ORACLE_SQL,
+    "op12_quality_rules": quality_rules.ORACLE_SQL,
+    "op13_ranked_search": ranked_search.ORACLE_SQL,
+}
