@@ -19,11 +19,13 @@ and the sums go back to the blocks, where the documents' own pairs, kept as
 places in the block's list, meet them. A pair that is in every document is
 one row a block.
 
-A text longer than ``UNIT_CHARS`` is encoded in units cut before a single
-space or line end between two other characters: there both tokenizers end a
-token whatever follows (``Models`` checks this once; other models encode
-whole texts). Memory therefore depends on ``UNIT_CHARS``, ``CALL_BYTES`` and
-``BLOCK_BYTES``; a text without such a place is one unit.
+Before a single space between two other characters both tokenizers end a
+token whatever follows (``Models`` checks this once; other models encode whole
+texts), and before a single line end too. So a text goes through in units,
+its words, and units that recur in ``TEXT_AT_ONCE`` of text are encoded and
+aligned once; a stretch of ``UNIT_CHARS`` without such a space is cut at line
+ends. Memory therefore depends on the sizes above; a text without such a
+place is one unit, whose encoding takes some hundred bytes a byte.
 
 Edge cases: null and empty texts, and texts whose bytes A or B does not give
 back (B normalises some), have no tokens: zeros and an empty digest. Every
@@ -39,6 +41,7 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -47,15 +50,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from canvass.llm.common import materialise
+from canvass.llm.common import by_bytes, materialise
 from canvass.llm.token_count import MARK, processor, tokenizer_path
 
 MODEL_A, MODEL_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 UNIT_CHARS = 1 << 15
-CALL_BYTES = 1 << 19
-BLOCK_BYTES = 16 << 20
+CALL_BYTES, TEXT_AT_ONCE, BLOCK_CHARS = 1 << 19, 4 << 20, 16 << 20
 MERGE_AT = 64
-_CUT = re.compile(rf"(?<=[^\s{MARK}])[ \n](?=[^\s{MARK}])")
+_CUT = re.compile(rf"(?<=[^\s{MARK}])(?: (?=[^\s{MARK}])|(?=\n[^\s{MARK}]))")
+_SPACE = re.compile(rf"(?<=[^\s{MARK}]) (?=[^\s{MARK}])")
 _LAST = np.iinfo(np.int64).max
 
 
@@ -159,17 +162,17 @@ class Models:
         text behind one as its own."""
         if any(MARK in p[1:] and p.strip(MARK) for p in pieces) or any("\n" in p and len(p) > 1 for p in pieces):
             return False
-        a, b = self.encode(["x. y\nz"], [True])
-        parts = self.encode(["x.", "y", "\nz"], [True, True, False])
+        a, b = self.encode([" x. y\nz"])
+        parts = self.encode([" x.", " y", "\nz"])
         return a[0] == sum(parts[0], []) and b[0] == sum(parts[1], [])
 
-    def encode(self, texts: list[str], spaced: list[bool]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of A and of B; a unit that is not ``spaced`` starts with a line
-        end, so A gets no space and B's own mark before it goes."""
-        own = [f" {t}" if s else t for t, s in zip(texts, spaced)]
-        a = [e.ids for e in self.a.encode_batch_fast(own, add_special_tokens=False)]
-        b = self.b.encode(texts, num_threads=1)
-        return a, [ids if s else ids[1:] for ids, s in zip(b, spaced)]
+    def encode(self, units: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+        """Ids of A and of B for units as :func:`units` gives them. B adds a
+        mark itself: a unit's own space goes before, and where it starts with
+        a line end the mark goes after."""
+        a = [e.ids for e in self.a.encode_batch_fast(units, add_special_tokens=False)]
+        b = self.b.encode([u.removeprefix(" ") for u in units], num_threads=1)
+        return a, [ids if u[0] == " " else ids[1:] for u, ids in zip(units, b)]
 
 
 @lru_cache(maxsize=2)
@@ -177,14 +180,62 @@ def models(a: str, b: str) -> Models:
     return Models(a, b)
 
 
-def units(text: str, cuts: bool, limit: int = UNIT_CHARS) -> Iterator[tuple[str, bool]]:
-    """Parts of a text, each with whether a space stands before it."""
-    start, spaced = 0, True
-    while cuts and len(text) - start > limit and (m := _CUT.search(text, start + limit)):
-        yield text[start : m.start()], spaced
-        spaced = m.group() == " "
-        start = m.start() + spaced
-    yield text[start:], spaced
+def units(text: str, cuts: bool, limit: int = UNIT_CHARS) -> Iterator[list[str]]:
+    """The units of a space and ``text`` in order, in lists of about ``limit``
+    (at least 1) characters: words at single spaces, and in a stretch without one lines."""
+    if not cuts:
+        yield [f" {text}"]
+        return
+    start, before = 0, " "
+    while True:
+        m = _CUT.search(text, start + limit) if len(text) - start > limit else None
+        words = _SPACE.split(text[start : m.start() if m else len(text)])
+        yield [before + words[0], *[f" {w}" for w in words[1:]]]
+        if not m:
+            return
+        before, start = m.group(), m.end()
+
+
+class Aligned:
+    """Distinct units with what their alignment gives: numbers of tokens and
+    groups, the pairs of the links (those of unit i from ``first[i]`` to
+    ``first[i + 1]``), the groups as text, and whether the bytes are right."""
+
+    def __init__(self, m: Models, found: list[str]):
+        parts = [_align_call(m, call) for call in by_bytes(found, CALL_BYTES)]
+        self.n_a, self.n_b, self.groups, self.n_links, self.codes, self.ok = (np.concatenate([p[i] for p in parts]) for i in range(6))
+        self.text = [t for p in parts for t in p[6]]
+        self.first = np.concatenate([[0], np.cumsum(self.n_links)])
+
+
+def _align_call(m: Models, found: list[str]) -> tuple:
+    all_a, all_b = m.encode(found)
+    n_a = np.fromiter(map(len, all_a), np.int64, len(found))
+    n_b = np.fromiter(map(len, all_b), np.int64, len(found))
+    ok = np.ones(len(found), bool)
+    for i, (u, x, y) in enumerate(zip(found, all_a, all_b)):
+        ok[i] = b"".join([m.bytes_a[t] for t in x]) == u.encode() == b"".join([m.bytes_b[t] for t in y])
+    n_a[~ok] = n_b[~ok] = 0
+    if not ok.any():
+        none = np.zeros(len(found), np.int64)
+        return n_a, n_b, none, none, none[:0], ok, [""] * len(found)
+    a = np.fromiter(chain.from_iterable(compress(all_a, ok)), np.int64, n_a.sum())
+    b = np.fromiter(chain.from_iterable(compress(all_b, ok)), np.int64, n_b.sum())
+    # units stand behind one another, so their bounds are common ends too
+    link_a, link_b, common_a, common_b = overlaps(np.cumsum(m.length_a[a]), np.cumsum(m.length_b[b]))
+    unit = np.repeat(np.arange(len(found)), n_a)
+    groups = np.bincount(unit, common_a, len(found)).astype(np.int64)
+    n_links = np.bincount(unit[link_a], minlength=len(found))
+    # A's tokens of a group stand before B's: every place moves by the other's
+    last_a, last_b = np.flatnonzero(common_a) + 1, np.flatnonzero(common_b) + 1
+    before = np.concatenate([[0], last_b])
+    order = np.empty(len(a) + len(b), np.int64)
+    order[np.arange(len(a)) + before[np.cumsum(common_a) - common_a]] = 2 * a + common_a
+    order[np.arange(len(b)) + last_a[np.cumsum(common_b) - common_b]] = 2 * (m.size_a + b) + common_b
+    written = m.decimal[order].tolist()
+    to = np.cumsum(n_a + n_b).tolist()
+    text = ["".join(written[lo:hi])[:-1] for lo, hi in zip([0, *to], to)]
+    return n_a, n_b, groups, n_links, a[link_a] * m.size_b + b[link_b], ok, text
 
 
 class Found:
@@ -199,7 +250,7 @@ class Found:
         self.sha = hashlib.sha256()
 
     def add(self, a: int, b: int, groups: int, codes: np.ndarray, times: np.ndarray, text: str) -> None:
-        text = text[:-1] if not self.a else f";{text[:-1]}"
+        text = f";{text}" if self.a else text
         self.text.append(text) if self.whole else self.sha.update(text.encode())
         self.a, self.b, self.groups, self.links = self.a + a, self.b + b, self.groups + groups, self.links + int(times.sum())
         self.codes.append(codes)
@@ -218,41 +269,30 @@ class Found:
         return self.doc_id, self.a, self.b, self.groups, self.links, "".join(self.text) if self.whole else self.sha.hexdigest()
 
 
-def align_units(m: Models, found: list[Found], texts: list[str], spaced: list[bool]) -> None:
-    """Encode and align units; ``found[i]`` takes what unit i gives."""
-    all_a, all_b = m.encode(texts, spaced)
-    keep = []
-    for i, (t, s) in enumerate(zip(texts, spaced)):
-        want = (f" {t}" if s else t).encode()
-        if b"".join(map(m.bytes_a.__getitem__, all_a[i])) == want == b"".join(map(m.bytes_b.__getitem__, all_b[i])):
-            keep.append(i)
-        else:
-            found[i].ok = False
-    if not keep:
+def align_call(m: Models, docs: list[tuple[Found, list[str]]]) -> None:
+    """Align the units of some documents, equal ones once, and give every
+    document its own."""
+    number: dict[str, int] = {}
+    use = [np.array([number.setdefault(u, len(number)) for u in own]) for _, own in docs]
+    if not number:
         return
-    n_a = np.array([len(all_a[i]) for i in keep])
-    n_b = np.array([len(all_b[i]) for i in keep])
-    a = np.fromiter((x for i in keep for x in all_a[i]), np.int64, n_a.sum())
-    b = np.fromiter((x for i in keep for x in all_b[i]), np.int64, n_b.sum())
-    # units stand behind one another, so their bounds are common ends too
-    link_a, link_b, common_a, common_b = overlaps(np.cumsum(m.length_a[a]), np.cumsum(m.length_b[b]))
-    unit = np.repeat(np.arange(len(keep)), n_a)
+    al = Aligned(m, list(number))
+    unit = np.concatenate(use)
+    owner = np.repeat(np.arange(len(use)), [len(x) for x in use])
+    bad = np.bincount(owner, ~al.ok[unit], len(use)) > 0
+    a, b, groups = (np.bincount(owner, x[unit], len(use)).astype(np.int64) for x in (al.n_a, al.n_b, al.groups))
+    width = al.n_links[unit]
+    at = np.arange(width.sum()) + np.repeat(al.first[unit] - (np.cumsum(width) - width), width)
     pairs = m.size_a * m.size_b
-    keys, times = np.unique(unit[link_a] * pairs + a[link_a] * m.size_b + b[link_b], return_counts=True)
-    cut = np.searchsorted(keys, np.arange(len(keep) + 1) * pairs)
-    groups = np.bincount(unit, common_a, len(keep)).astype(np.int64)
-    # A's tokens of a group stand before B's: every place moves by the other's
-    last_a, last_b = np.flatnonzero(common_a) + 1, np.flatnonzero(common_b) + 1
-    before = np.concatenate([[0], last_b])
-    order = np.empty(len(a) + len(b), np.int64)
-    order[np.arange(len(a)) + before[np.cumsum(common_a) - common_a]] = 2 * a + common_a
-    order[np.arange(len(b)) + last_a[np.cumsum(common_b) - common_b]] = 2 * (m.size_a + b) + common_b
-    written = m.decimal[order].tolist()
-    to = np.cumsum(n_a + n_b)
-    for k, i in enumerate(keep):
-        lo, hi = cut[k], cut[k + 1]
-        text = "".join(written[to[k] - n_a[k] - n_b[k] : to[k]])
-        found[i].add(int(n_a[k]), int(n_b[k]), int(groups[k]), keys[lo:hi] - k * pairs, times[lo:hi], text)
+    keys, times = np.unique(np.repeat(owner, width) * pairs + al.codes[at], return_counts=True)
+    cut = np.searchsorted(keys, np.arange(len(use) + 1) * pairs)
+    for i, (found, _) in enumerate(docs):
+        if bad[i]:
+            found.ok = False
+        elif found.ok:
+            lo, hi = cut[i], cut[i + 1]
+            text = ";".join([al.text[u] for u in use[i].tolist()])
+            found.add(int(a[i]), int(b[i]), int(groups[i]), keys[lo:hi] - i * pairs, times[lo:hi], text)
 
 
 _NUMBERS = ("n_a", "n_b", "n_groups", "n_links")
@@ -295,28 +335,26 @@ def aligned_blocks(docs: DataFrame, whole_groups: bool = False, a: str = MODEL_A
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = models(a, b)
-        task, block, size = TaskContext.get().partitionId(), 0, 0
+        task, block, size, waiting = TaskContext.get().partitionId(), 0, 0, 0
         done: list[Found] = []
-        call: tuple[list, list, list] = ([], [], [])
-        waiting = 0
+        call: list[tuple[Found, list[str]]] = []
 
         def flush() -> None:
-            nonlocal call, waiting
-            if call[0]:
-                align_units(m, *call)
-            call, waiting = ([], [], []), 0
+            nonlocal waiting
+            align_call(m, call)
+            call.clear()
+            waiting = 0
 
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 done.append(Found(doc_id, whole_groups))
-                for part, spaced in units(text, m.cuts) if text else ():
-                    for column, value in zip(call, (done[-1], part, spaced)):
-                        column.append(value)
-                    waiting += len(part.encode())
-                    size += len(part.encode())
-                    if waiting >= CALL_BYTES:
+                for own in units(text, m.cuts) if text else ():
+                    call.append((done[-1], own))
+                    n = sum(map(len, own))
+                    waiting, size = waiting + n, size + n
+                    if waiting >= TEXT_AT_ONCE:
                         flush()
-                if size >= BLOCK_BYTES:
+                if size >= BLOCK_CHARS:
                     flush()
                     yield _block_rows(task << 32 | block, done)
                     done, block, size = [], block + 1, 0

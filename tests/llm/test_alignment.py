@@ -101,15 +101,17 @@ def test_units_add_up(spark):
     rng = random.Random(6)
     for _ in range(300):
         t = "".join(rng.choices(["ab", " ", "\n", "x.", "'s", "é", "  ", "▁", "\t", "  \n", "7", "中"], k=60))
-        parts = list(A.units(t, True, 5))
-        a, b = m.encode([p for p, _ in parts], [s for _, s in parts])
-        assert "".join((" " if s else "") + p for p, s in parts) == f" {t}"
+        parts = [u for own in A.units(t, True, rng.choice([1, 5, 200])) for u in own]
+        a, b = m.encode(parts)
+        assert "".join(parts) == f" {t}"
         assert sum(a, []) == m.a.encode(f" {t}", add_special_tokens=False).ids and sum(b, []) == m.b.encode(t)
-    assert list(A.units("a b c", False, 1)) == [("a b c", True)]
+    assert list(A.units("a b c", False, 1)) == [[" a b c"]]
+    assert list(A.units("a b\nc.d", True, 2)) == [[" a", " b"], ["\nc.d"]]
 
 
 def test_query_and_empty_table(spark):
     docs = spark.read.parquet(f"{TESTDATA}/documents.parquet").orderBy("doc_id").collect()
+    assert QUERIES["op11_alignment"](spark, TESTDATA).columns == ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
     got = {r.doc_id: columns(r, False) for r in QUERIES["op11_alignment"](spark, TESTDATA).collect()}
     for d, (*numbers, text) in zip(docs, plain([d.text for d in docs])):
         assert got[d.doc_id] == (*numbers, hashlib.sha256(text.encode()).hexdigest() if text else "")
