@@ -10,8 +10,8 @@ tally-national-province, stats, corrected, read-results or all. With
 URI and every report reads the copy (column-pruned, predicate-pushed scans
 instead of one CSV parse per pass over the fact). The tables are loaded
 once; the shared bases (votes by contest / candidate / province,
-one row per precinct, reception pairs / counts / times) are computed once
-per run and written as Parquet tables under the shared ``spark.checkpoint.dir``, which
+one row per precinct, reception counts / times) come from one scan of the
+fact, only those that the named reports need, and are written as Parquet tables under the shared ``spark.checkpoint.dir``, which
 cuts their lineage (a lost executor does not replay the fact scan) and
 gives every report a column-pruned scan of a small table; they are deleted
 when the run ends. Each report runs
@@ -42,14 +42,14 @@ import argparse
 import sys
 import time
 import traceback
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from canvass.plans import base, stats, tallies
-from canvass.session import checkpoint_root, discard, get_spark, scratch_path
+from canvass.session import checkpoint_root, get_spark, scratch_scope, stored
 from canvass.sinks import export_flat, write_csv, write_partitioned_csv, write_text
 from canvass.sources.bundle import Election
 from canvass.sources.delimited import load_election, read_tables
@@ -70,12 +70,12 @@ COMMANDS = (
 class Run:
     """One job run: the bundle, lazily materialised bases, the output root."""
 
-    def __init__(self, spark: SparkSession, e: Election, out: str):
+    def __init__(self, spark: SparkSession, e: Election, out: str, wanted: Sequence[str] = base.BASES):
         self.spark = spark
         self.e = e
         self.out = out.rstrip("/")
+        self.wanted = wanted
         self._begun: set[str] = set()
-        self._bases: list[str] = []
 
     def by_key(self, df: DataFrame, name: str, keys: list[str], order: list) -> None:
         """Write ``df`` split by ``keys`` into output tree ``name``. The first
@@ -85,36 +85,30 @@ class Run:
         write_partitioned_csv(df, self.path(name), keys, order, mode)
         self._begun.add(name)
 
-    def _table(self, df: DataFrame, name: str) -> DataFrame:
-        path = scratch_path(self.spark, f"base-{name}")
-        self._bases.append(path)
-        df.write.parquet(path)
-        return self.spark.read.parquet(path)
-
-    def close(self) -> None:
-        """Delete the bases of this run; its outputs do not depend on them."""
-        while self._bases:
-            discard(self.spark, self._bases.pop())
+    @cached_property
+    def fact(self) -> DataFrame:
+        """Every base that the named reports need, from one scan of the fact."""
+        return stored(base.fact_bases(self.e, self.wanted), "bases")
 
     @cached_property
     def votes(self) -> DataFrame:
-        return self._table(base.vote_base(self.e), "votes")
+        return stored(base.votes_from(self.e, self.fact), "base-votes")
 
     @cached_property
     def precincts(self) -> DataFrame:
-        return self._table(base.precinct_base(self.e), "precincts")
+        return stored(base.precincts_from(self.e, self.fact), "base-precincts")
 
     @cached_property
-    def pairs(self) -> DataFrame:
-        return self._table(base.reception_pairs(self.e), "reception-pairs")
+    def receptions(self) -> DataFrame:
+        return base.receptions_from(self.e, self.fact)
 
     @cached_property
     def counts(self) -> DataFrame:
-        return self._table(base.reception_counts(self.e, self.pairs), "reception-counts")
+        return stored(base.reception_counts(self.e, self.receptions), "reception-counts")
 
     @cached_property
     def times(self) -> DataFrame:
-        return self._table(base.reception_times(self.e, self.pairs), "reception-times")
+        return stored(base.reception_times(self.e, self.receptions), "reception-times")
 
     def path(self, name: str) -> str:
         return f"{self.out}/{name}"
@@ -198,6 +192,17 @@ REPORTS: dict[str, Callable[[Run], None]] = {
     "read-results": read_results,
 }
 
+# Bases of the fact that each report reads (see plans.base).
+NEEDS: dict[str, tuple[str, ...]] = {
+    "tally-national": ("votes", "precincts"),
+    "tally-local": ("votes",),
+    "leading-candidate-province": ("votes",),
+    "tally-national-province": ("votes", "precincts"),
+    "stats": base.BASES,
+    "corrected": base.BASES,
+    "read-results": ("votes", "precincts"),
+}
+
 
 def run(spark: SparkSession, e: Election, out: str, cmds: list[str], log=print) -> dict[str, float | None]:
     """Run the named reports; returns seconds per report (None = failed)."""
@@ -207,9 +212,9 @@ def run(spark: SparkSession, e: Election, out: str, cmds: list[str], log=print)
     if "all" in cmds:
         cmds = [c for c in COMMANDS if c not in ("all", "read-results")]
     checkpoint_root(spark)  # make sure bases have a shared place to land
-    r = Run(spark, e, out)
+    r = Run(spark, e, out, [b for b in base.BASES if any(b in NEEDS[c] for c in cmds)])
     done: dict[str, float | None] = {}
-    try:
+    with scratch_scope(spark):  # outputs do not depend on the bases
         for c in cmds:
             t0 = time.perf_counter()
             try:
@@ -219,8 +224,6 @@ def run(spark: SparkSession, e: Election, out: str, cmds: list[str], log=print)
             except Exception:  # noqa: BLE001 - one failing report must not stop the others
                 done[c] = None
                 log(f"{c} failed:\n{traceback.format_exc()}")
-    finally:
-        r.close()
     return done
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from canvass.functions import is_finite, json_number, n_unique, nan_to_zero, pct_guarded, pearson, ratio, sum0
-from canvass.operators import bucketed_running_total, reported_precincts, with_existence_flag
+from canvass.operators import reported_precincts, running_total, with_existence_flag
 from canvass.plans.base import precinct_base, reception_counts, reception_times
 from canvass.sources.bundle import Election
 
@@ -226,11 +226,9 @@ def correlation_json(correlation: DataFrame) -> DataFrame:
 
 def vcm_received(e: Election, counts: DataFrame | None = None) -> DataFrame:
     """Cumulative result rows over RECEPTION_DATE sorted as text (nulls
-    first). The running total is bucketed by the 10-character date prefix,
-    which is monotone in the text order."""
+    first), whatever the text is."""
     rc = reception_counts(e) if counts is None else counts
-    bucket = F.substring(F.col("RECEPTION_DATE"), 1, 10)
-    run = bucketed_running_total(rc, "RECEPTION_DATE", "VCM_COUNT", bucket, "VCM_RECEIVED")
+    run = running_total(rc, "RECEPTION_DATE", "VCM_COUNT", "VCM_RECEIVED")
     return run.select("RECEPTION_DATE", "VCM_RECEIVED")
 
 
@@ -253,7 +251,7 @@ def vcm_received_by_time(e: Election, times: DataFrame | None = None) -> DataFra
     time are left out. RECEPTION_TIME is ``yyyy-MM-dd HH:mm:ss``."""
     rt = reception_times(e) if times is None else times
     counts = rt.where(F.col("RECEPTION_TS").isNotNull()).groupBy("RECEPTION_TS").agg(F.count(F.lit(1)).alias("VCM_COUNT"))
-    run = bucketed_running_total(counts, "RECEPTION_TS", "VCM_COUNT", F.to_date("RECEPTION_TS"), "VCM_RECEIVED")
+    run = running_total(counts, "RECEPTION_TS", "VCM_COUNT", "VCM_RECEIVED")
     return run.select(F.date_format("RECEPTION_TS", "yyyy-MM-dd HH:mm:ss").alias("RECEPTION_TIME"), "VCM_RECEIVED")
 
 

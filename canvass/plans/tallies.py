@@ -3,7 +3,7 @@
 Each report accepts the shared bases (``votes`` = :func:`vote_base`,
 ``precincts`` = :func:`precinct_base`) so the job computes them once. When
 ``votes`` is omitted the report aggregates the narrow merged fact
-(:func:`merged_votes`) directly: every report only filters on and sums
+(:func:`summed_votes`) directly: every report only filters on and sums
 over columns both frames share, so either input gives the same result, and
 a standalone report saves one shuffle. The contest / province split of
 the output files is a column here and a ``partitionBy`` at write time.
@@ -17,7 +17,7 @@ from pyspark.sql.window import Window
 
 from canvass.functions import is_national, nan_to_zero, ratio, sum0
 from canvass.operators import top1_per_group, with_group_total
-from canvass.plans.base import merged_votes, precinct_base
+from canvass.plans.base import precinct_base, summed_votes
 from canvass.sources.bundle import Election
 
 V = "VOTES_AMOUNT"
@@ -30,14 +30,14 @@ def _named(df: DataFrame, candidates: DataFrame) -> DataFrame:
 
 
 def votes_by_contest_candidate(e: Election, votes: DataFrame | None = None) -> DataFrame:
-    votes = merged_votes(e) if votes is None else votes
+    votes = summed_votes(e) if votes is None else votes
     return votes.groupBy("CONTEST_CODE", "CANDIDATE_CODE").agg(sum0(V).alias(V))
 
 
 def votes_by_province_candidate(e: Election, votes: DataFrame | None = None) -> DataFrame:
     """National votes by (CONTEST_CODE, PRV_NAME, CANDIDATE_CODE); the
     null-province group of unmatched precincts is kept."""
-    votes = merged_votes(e) if votes is None else votes
+    votes = summed_votes(e) if votes is None else votes
     return (
         votes.where(is_national())
         .groupBy("CONTEST_CODE", "PRV_NAME", "CANDIDATE_CODE")
@@ -55,7 +55,7 @@ def tally_national(e: Election, votes: DataFrame | None = None, precincts: DataF
     100 * votes / voters of every reporting precinct (multi-seat contests
     therefore add up to more than 100). Names are attached after the
     percentage, so unknown candidates vanish without changing it."""
-    votes = merged_votes(e) if votes is None else votes
+    votes = summed_votes(e) if votes is None else votes
     precincts = precinct_base(e) if precincts is None else precincts
     nat = (
         votes.where(is_national())
@@ -71,7 +71,7 @@ def tally_local(e: Election, votes: DataFrame | None = None) -> DataFrame:
     """Per local contest (every code that is not national): PERCENTAGE =
     100 * votes / all votes of the contest, fixed before names are joined
     (unknown candidates stay in the denominator)."""
-    votes = merged_votes(e) if votes is None else votes
+    votes = summed_votes(e) if votes is None else votes
     loc = votes.where(~is_national()).groupBy("CONTEST_CODE", "CANDIDATE_CODE").agg(sum0(V).alias(V))
     # one row per candidate by now: a window, so the fact is scanned once
     loc = loc.withColumn("_contest_votes", F.sum(V).over(Window.partitionBy("CONTEST_CODE")))
@@ -112,13 +112,13 @@ def candidate_by_region(e: Election, votes: DataFrame | None = None) -> DataFram
     dropped before the denominator is taken. As in the original, the merged
     rows meet the precinct table a second time: a code with k precinct rows
     counts each of them k times (``candidate_by_region_once`` does not)."""
-    votes = merged_votes(e, copies=True) if votes is None else votes
+    votes = summed_votes(e) if votes is None else votes
     return _by_region(e, votes, F.col(V) * F.col("COPIES"))
 
 
 def candidate_by_region_once(e: Election, votes: DataFrame | None = None) -> DataFrame:
     """The same with the precinct table joined once, as in every other report."""
-    return _by_region(e, merged_votes(e) if votes is None else votes, F.col(V))
+    return _by_region(e, summed_votes(e) if votes is None else votes, F.col(V))
 
 
 def _by_region(e: Election, votes: DataFrame, amount: Column) -> DataFrame:

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Defaults for the batch job. The broadcast threshold is the size check
 # behind every dimension join: Catalyst broadcasts a side only when its
@@ -84,6 +86,32 @@ def discard(spark: SparkSession, uri: str) -> None:
     fs.delete(path, True)
 
 
+_scopes: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused folder under the checkpoint root."""
-    return f"{checkpoint_root(spark)}/canvass/{name}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_root(spark)}/canvass/{name}-{uuid.uuid4().hex}"
+    for made in _scopes[-1:]:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Folders that :func:`scratch_path` names inside are deleted at the end;
+    results that are read later must stand elsewhere by then."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            discard(spark, path)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared scratch folder and read from there:
+    its lineage is cut, and every reader sees the same rows."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

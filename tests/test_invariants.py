@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from canvass.operators import bucketed_running_total, first_row_per_key, top1_per_group
+from canvass.operators import first_row_per_key, running_total, top1_per_group
 from canvass.plans import base, stats, tallies
 from canvass.sources.testdata import election_from_testdata
 
@@ -93,7 +93,7 @@ def test_top1_matches_brute_force(spark, data):
 def test_running_total_matches_brute_force(spark, keys):
     data = [(k, (k % 7) + 1) for k in keys]
     df = spark.createDataFrame(data, "t bigint, n bigint")
-    got = {r["t"]: r["run"] for r in bucketed_running_total(df, "t", "n", (F.col("t") / 100).cast("bigint"), "run").collect()}
+    got = {r["t"]: r["run"] for r in running_total(df, "t", "n", "run").collect()}
     run, want = 0, {}
     for k, n in sorted(data):
         run += n

@@ -3,9 +3,12 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from canvass import job
+from canvass.plans import base
 from canvass.session import scratch_path
+from canvass.sources.bundle import Election
 from tests.conftest import make_election, result_row
 from tests.test_io import FILES, _write
 
@@ -147,16 +150,45 @@ def test_export_flat_names(spark, tmp_path):
     assert again == names and not [n for n in os.listdir(dest) if n.startswith("_export")]
 
 
-def test_bases_are_deleted_after_the_run(spark):
+def _exists(spark, path):
     from canvass.session import hadoop_path
 
-    e = make_election(spark, [result_row(1, 199000, 19900001, 3)], [(1, "R", "P", 5)])
-    r = job.Run(spark, e, scratch_path(spark, "t-bases"))
-    r.votes, r.precincts  # noqa: B018
-    made = list(r._bases)
-    assert len(made) == 2 and all(hadoop_path(spark, p)[0].exists(hadoop_path(spark, p)[1]) for p in made)
-    r.close()
-    assert not any(hadoop_path(spark, p)[0].exists(hadoop_path(spark, p)[1]) for p in made)
+    fs, p = hadoop_path(spark, path)
+    return fs.exists(p)
+
+
+def test_bases_are_deleted_after_the_run(spark):
+    from canvass.session import discard, scratch_scope, stored
+
+    with scratch_scope(spark):
+        kept = stored(spark.range(3), "t-scope")
+        path = kept.inputFiles()[0].rsplit("/", 1)[0]
+        assert _exists(spark, path) and kept.count() == 3
+    assert not _exists(spark, path)
+    discard(spark, path)  # none there: nothing happens
+
+
+def test_one_scan_of_the_fact_serves_every_report(spark):
+    """After the bases are written, the results may be gone."""
+    from canvass.session import discard
+
+    e = make_election(
+        spark,
+        [result_row(1, 199000, 19900001, 3), result_row(2, 2000001, 200000101, 5), result_row(9, 399000, 39900001, 7)],
+        [(1, "R", "P", 5), (2, "S", "Q", 9), (2, "S", "Q", 9)],
+    )
+    path = scratch_path(spark, "t-fact")
+    e.results.write.parquet(path)
+    fact = spark.read.schema(e.results.schema).parquet(path)
+    e = Election(fact, e.candidates, e.precincts, e.contests, e.parties)
+    r = job.Run(spark, e, scratch_path(spark, "t-one-scan"))
+    plan = base.fact_bases(e)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "SortAggregate" not in plan and "HashAggregate" in plan
+    assert r.fact.count()
+    discard(spark, path)
+    for name in ("tally-national", "tally-local", "leading-candidate-province", "tally-national-province", "stats", "corrected"):
+        job.REPORTS[name](r)
+    assert r.votes.agg(F.sum("VOTES_AMOUNT")).first()[0] == 3 + 2 * 5 + 7
 
 
 def test_job_on_a_drop_without_results(spark, tmp_path):

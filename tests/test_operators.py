@@ -2,8 +2,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from canvass.operators import (
-    bucketed_running_total,
     first_row_per_key,
+    row_positions,
+    running_total,
     top1_per_group,
     with_existence_flag,
     with_group_total,
@@ -45,12 +46,12 @@ def test_with_group_total_null_key_is_a_group(spark):
     assert rows(out, "k", "v", "t") == [("r", 1, 3), ("r", 2, 3), (None, 5, 11), (None, 6, 11)]
 
 
-def test_bucketed_running_total_equals_global_window(spark):
+def test_running_total_equals_global_window(spark):
     keys = [f"{d:02d}/x - {s:05d}" for d in range(1, 6) for s in range(0, 400, 7)] + [None]
     df = spark.createDataFrame([(k, (i % 13) + 1) for i, k in enumerate(keys)], "key string, n bigint")
     w = Window.orderBy(F.col("key").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
     ref = df.withColumn("run", F.sum("n").over(w))
-    got = bucketed_running_total(df, "key", "n", F.substring("key", 1, 2), "run")
+    got = running_total(df, "key", "n", "run")
     assert rows(got, "key", "run") == rows(ref, "key", "run")
 
 
