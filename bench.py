@@ -36,7 +36,7 @@ from canvass import job  # noqa: E402
 from canvass.catalog import ELECTION_QUERIES  # noqa: E402
 from canvass.session import scratch_path  # noqa: E402
 from canvass.sources.testdata import copies_of, full_tables  # noqa: E402
-from canvass.sources.warehouse import ingest, load_warehouse  # noqa: E402
+from canvass.sources.warehouse import ingest, load_warehouse, warehouse_table  # noqa: E402
 
 BUDGET_ROWS_PER_SEC = 400_000
 HEADLINE = [
@@ -81,10 +81,10 @@ def main() -> None:
         if copies < 2:
             return None
         e = load_warehouse(spark, warehouses[-1])
-        res, pre = copies_of(e.results, spark.read.parquet(f"{warehouses[-1]}/precincts"), copies)
+        res, pre = copies_of(e.results, warehouse_table(spark, warehouses[-1], "precincts"), copies)
         wh = scratch_path(spark, "bench-volume")
         t0 = time.perf_counter()
-        small = {n: spark.read.parquet(f"{warehouses[-1]}/{n}") for n in ("candidates", "contests", "parties")}
+        small = {n: warehouse_table(spark, warehouses[-1], n) for n in ("candidates", "contests", "parties")}
         ingest({"results": res.drop("_k"), "precincts": pre.drop("_k"), **small}, wh)
         t1 = time.perf_counter()
         reports = job.run(spark, load_warehouse(spark, wh), scratch_path(spark, "bench-volume-out"), ["all"], log=lambda *_: None)
@@ -108,7 +108,7 @@ def main() -> None:
         t0 = time.perf_counter()
         src = full_tables(spark, sf_dir, spread=max(8, cpus))
         ingest({"results": src["results"]}, wh)
-        stored = spark.read.parquet(f"{wh}/results")
+        stored = warehouse_table(spark, wh, "results")
         dims = full_tables(spark, sf_dir, results=stored)
         ingest({k: v for k, v in dims.items() if k != "results"}, wh)
         times["ingest"] = round(time.perf_counter() - t0, 3)
@@ -124,7 +124,7 @@ def main() -> None:
     cold, cold_job, _ = one_pass("cold")  # first pass pays JVM JIT + codegen compilation
     times, job_all, per_report = one_pass("warm")
 
-    rows = spark.read.parquet(f"{warehouses[-1]}/results").count()
+    rows = warehouse_table(spark, warehouses[-1], "results").count()
 
     m = re.search(r"sf([0-9.]+)$", sf_dir)
     print(

@@ -10,20 +10,22 @@ folder, then read them back through the library's readers.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from canvass import job
 from canvass import schema as S
 from canvass.functions import is_national
-from canvass.operators import reported_precincts
+from canvass.operators import reported_precincts, row_positions
 from canvass.plans import base, stats, tallies
 from canvass.session import scratch_path
 from canvass.sinks import LINE_ORDER, read_csv, with_line_order, write_csv, write_delimited_tables, write_partitioned_csv, write_text
 from canvass.sources.bundle import Election, merged_results
-from canvass.sources.delimited import read_table
+from canvass.sources.delimited import load_election, read_table
 from canvass.sources.testdata import election_from_testdata, full_tables, results_from
 from canvass.streaming import reception as live
 from canvass.streaming.common import append_table, overwrite_table, read_appended, run_available
@@ -178,6 +180,70 @@ def sink_reception_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("RECEPTION_DATE", "VCM_RECEIVED", "POSITION")
 
 
+def sink_reception_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cumulative reception file with the place of every row among all
+    rows of the file, without gaps."""
+    df = stats.vcm_received(election_from_testdata(spark, sf_dir))
+    path = scratch_path(spark, "reception-positions")
+    write_csv(df.orderBy(F.col("RECEPTION_DATE").asc_nulls_first()), path)
+    lines = with_line_order(read_csv(spark, path, df.schema))
+    return row_positions(lines, [F.col(c).asc() for c in LINE_ORDER], "POSITION").select(*df.columns, "POSITION")
+
+
+def job_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job itself: every report over a delimited drop of the tables, and
+    the rows of its outputs read back (KEY and NAME say whose AMOUNT and
+    SHARE they are)."""
+    out = scratch_path(spark, "job-outputs")
+    done = job.run(spark, load_election(spark, exported_tables(spark, sf_dir)), out, ["all"], log=lambda *_: None)
+    failed = [name for name, sec in done.items() if sec is None]
+    if failed:
+        raise RuntimeError(f"reports failed: {', '.join(failed)}")
+
+    def csv(name: str, schema: str) -> DataFrame:
+        return read_csv(spark, f"{out}/{name}", T.StructType.fromDDL(schema))
+
+    def rows(df: DataFrame, output: str, key: str, name: str, amount: str, share: str) -> DataFrame:
+        cells = ((key, "KEY", "string"), (name, "NAME", "string"), (amount, "AMOUNT", "bigint"), (share, "SHARE", "double"))
+        return df.select(F.lit(output).alias("OUTPUT"), *[F.expr(f"CAST({c} AS {t}) AS {n}") for c, n, t in cells])
+
+    tally = "CANDIDATE_NAME string, VOTES_AMOUNT bigint, PERCENTAGE double, CONTEST_CODE bigint"
+    documents = spark.read.text(f"{out}/map_stats.json")
+    per_province = F.from_json("value", "map<string,struct<total_voters:bigint,voter_turnout:double>>")
+    totals = F.from_json("value", "map<string,bigint>")
+    parts = [
+        rows(csv("contest", tally), "contest", "CONTEST_CODE", "CANDIDATE_NAME", "VOTES_AMOUNT", "PERCENTAGE"),
+        rows(csv("province", f"{tally}, PRV_KEY string"), "province", "concat_ws('_', PRV_KEY, CONTEST_CODE)", "CANDIDATE_NAME", "VOTES_AMOUNT", "PERCENTAGE"),
+        rows(
+            csv("map", "PRV_NAME string, CANDIDATE_NAME string, VOTES_AMOUNT bigint, CONTEST_CODE bigint"),
+            "map", "concat_ws('_', PRV_NAME, CONTEST_CODE)", "CANDIDATE_NAME", "VOTES_AMOUNT", "NULL",
+        ),
+        rows(
+            csv("candidate_performance_by_region", "REG_NAME string, CANDIDATE_CODE bigint, CANDIDATE_NAME string, VOTES_AMOUNT bigint, PERCENTAGE double"),
+            "region", "REG_NAME", "CANDIDATE_NAME", "VOTES_AMOUNT", "PERCENTAGE",
+        ),
+        rows(csv("vcm_received", "RECEPTION_DATE string, VCM_RECEIVED bigint"), "received", "RECEPTION_DATE", "NULL", "VCM_RECEIVED", "NULL"),
+        rows(
+            csv("vcm_reception_rate", "RECEPTION_DATE_ONLY string, RECEPTION_HOUR string, RECEPTION_MINUTE string, VCM_COUNT bigint"),
+            "rate", "concat_ws('|', RECEPTION_DATE_ONLY, RECEPTION_HOUR, RECEPTION_MINUTE)", "NULL", "VCM_COUNT", "NULL",
+        ),
+        rows(
+            csv("voter_turnout_by_precinct", "PRECINCT_CODE bigint, NUMBER_VOTERS bigint, REGISTERED_VOTERS bigint, VOTER_TURNOUT double"),
+            "turnout", "PRECINCT_CODE", "NULL", "NUMBER_VOTERS", "VOTER_TURNOUT",
+        ),
+        rows(
+            csv(
+                "spoiled_ballots_analysis",
+                "PRV_NAME string, PRECINCT_CODE bigint, UNDERVOTE bigint, OVERVOTE bigint, NUMBER_VOTERS bigint, TOTAL_SPOILED bigint, SPOILED_PERCENTAGE double",
+            ),
+            "spoiled", "PRECINCT_CODE", "PRV_NAME", "TOTAL_SPOILED", "SPOILED_PERCENTAGE",
+        ),
+        rows(documents.select(F.explode(per_province).alias("k", "v")), "map_stats", "k", "NULL", "v.total_voters", "v.voter_turnout"),
+        rows(spark.read.text(f"{out}/voter_stats.json").select(F.explode(totals).alias("k", "v")), "voter_stats", "k", "NULL", "v", "NULL"),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def sink_map_leaders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leading candidates, one file set per contest, read back."""
     df = tallies.leading_candidate_province(election_from_testdata(spark, sf_dir))
@@ -268,6 +334,8 @@ def all_queries() -> dict[str, Query]:
             "sink_by_province": sink_by_province,
             "sink_province_order": sink_province_order,
             "sink_reception_order": sink_reception_order,
+            "sink_reception_positions": sink_reception_positions,
+            "job_outputs": job_outputs,
             "sink_map_leaders": sink_map_leaders,
             "sink_correlation_json": sink_correlation_json,
             "sink_map_document": sink_map_document,

@@ -3,11 +3,13 @@
     python -m canvass.job --input URI [--input-format csv|parquet]
                           [--ingest-to URI] --output URI [--export-flat URI]
                           REPORT [REPORT ...]
+    python -m canvass.job --drops URI [--every SECONDS] --output URI
+                          [--export-flat URI] REPORT [REPORT ...]
 
 REPORT is one of tally-national, tally-local, leading-candidate-province,
 tally-national-province, stats, corrected, read-results or all. With
 ``--ingest-to`` a delimited drop is parsed once into a Parquet copy at that
-URI and every report reads the copy (column-pruned, predicate-pushed scans
+URI (``sources.warehouse``) and every report reads the copy (column-pruned, predicate-pushed scans
 instead of one CSV parse per pass over the fact). The tables are loaded
 once; the shared bases (votes by contest / candidate / province,
 one row per precinct, reception counts / times) come from one scan of the
@@ -17,7 +19,12 @@ gives every report a column-pruned scan of a small table; they are deleted
 when the run ends. Each report runs
 even if another failed; the exit status is 1 when any report failed.
 
-Output layout under ``--output`` (one dataset per report, CSV with header
+With ``--drops`` the job follows a folder that complete drops arrive in: the
+reports run on each newer drop into a root of its own under ``--output``, and
+a row in ``published`` makes it the current one when all have ended well. It
+ends with the drops that are there, or goes on with ``--every``.
+
+Output layout under ``--output`` (with ``--drops``: under each root) (one dataset per report, CSV with header
 unless noted):
 
   contest/CONTEST_CODE=<code>/            national and local tallies
@@ -227,16 +234,37 @@ def run(spark: SparkSession, e: Election, out: str, cmds: list[str], log=print)
     return done
 
 
+def _follow(spark: SparkSession, a: argparse.Namespace) -> int:
+    """``--drops``: the reports of every newer drop, published under
+    ``--output`` (see streaming.snapshot); progress stands in
+    ``{output}/_checkpoint``, so a restarted job goes on where it ended."""
+    from canvass.streaming.snapshot import publish_all_reports
+
+    out = a.output.rstrip("/")
+    root = publish_all_reports(spark, a.drops, out, f"{out}/_checkpoint", tuple(a.reports), a.every, a.export_flat)
+    print(f"published: {root}" if root else "no drop yet")
+    return 0
+
+
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
-    ap.add_argument("--input", required=True, help="folder of the five tables")
+    source = ap.add_mutually_exclusive_group(required=True)
+    source.add_argument("--input", help="folder of the five tables")
+    source.add_argument("--drops", help="folder that complete drops arrive in, each in a folder named MM-dd-yy--HH-mm")
+    ap.add_argument("--every", type=float, help="with --drops: look for new drops each so many seconds, until stopped")
     ap.add_argument("--input-format", choices=("csv", "parquet"), default="csv")
     ap.add_argument("--ingest-to", help="write a Parquet copy of a csv input here first and read from it")
     ap.add_argument("--output", required=True)
     ap.add_argument("--export-flat", help="also copy the outputs to the original flat file names here")
     ap.add_argument("reports", nargs="+")
     a = ap.parse_args(argv)
+    unknown = [c for c in a.reports if c not in COMMANDS]
+    if unknown:
+        print(f"unknown report(s) {unknown}; available: {', '.join(COMMANDS)}", file=sys.stderr)
+        return 2
     spark = get_spark("canvass-job")
+    if a.drops:
+        return _follow(spark, a)
     if a.input_format == "csv" and a.ingest_to:
         ingest(read_tables(spark, a.input), a.ingest_to)
         e = load_warehouse(spark, a.ingest_to)
@@ -244,11 +272,7 @@ def main(argv: list[str] | None = None) -> int:
         e = load_election(spark, a.input)
     else:
         e = load_warehouse(spark, a.input)
-    try:
-        done = run(spark, e, a.output, a.reports)
-    except ValueError as ex:
-        print(ex, file=sys.stderr)
-        return 2
+    done = run(spark, e, a.output, a.reports)
     if a.export_flat:
         export_flat(a.output, a.export_flat)
     return 1 if any(v is None for v in done.values()) else 0

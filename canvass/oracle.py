@@ -325,7 +325,38 @@ CORRELATION_FINITE = q(
 )
 
 
+# Rows of the job's outputs, as (output, key of the report's SQL, KEY, NAME,
+# AMOUNT, SHARE).
+JOB_OUTPUTS = (
+    ("contest", "sink_by_contest", "CONTEST_CODE", "CANDIDATE_NAME", "VOTES_AMOUNT", "PERCENTAGE"),
+    ("province", "sink_by_province", "concat_ws('_', PRV_KEY, CONTEST_CODE)", "CANDIDATE_NAME", "VOTES_AMOUNT", "PERCENTAGE"),
+    ("map", "sink_map_leaders", "concat_ws('_', PRV_NAME, CONTEST_CODE)", "CANDIDATE_NAME", "VOTES_AMOUNT", "NULL"),
+    ("region", "candidate_by_region", "REG_NAME", "CANDIDATE_NAME", "VOTES_AMOUNT", "PERCENTAGE"),
+    ("received", "vcm_received", "RECEPTION_DATE", "NULL", "VCM_RECEIVED", "NULL"),
+    ("rate", "reception_rate_text", "concat_ws('|', RECEPTION_DATE_ONLY, RECEPTION_HOUR, RECEPTION_MINUTE)", "NULL", "VCM_COUNT", "NULL"),
+    ("turnout", "turnout_by_precinct", "PRECINCT_CODE", "NULL", "NUMBER_VOTERS", "VOTER_TURNOUT"),
+    ("spoiled", "spoiled_ballots", "PRECINCT_CODE", "PRV_NAME", "TOTAL_SPOILED", "SPOILED_PERCENTAGE"),
+    ("map_stats", "map_stats", "PRV_NAME", "NULL", "total_voters", "voter_turnout"),
+    *(("voter_stats", "voter_stats", f"'{f}'", "NULL", f, "NULL") for f in VOTER_STATS_FIELDS),
+)
+
+
+def _job_outputs(sql: dict[str, str]) -> str:
+    parts = [
+        f"SELECT '{output}' AS OUTPUT, CAST({key} AS VARCHAR) AS KEY, CAST({name} AS VARCHAR) AS NAME, "
+        f"CAST({amount} AS BIGINT) AS AMOUNT, CAST({share} AS DOUBLE) AS SHARE FROM ({sql[report]}) r"
+        + (" WHERE PRV_NAME IS NOT NULL" if output == "map_stats" else "")
+        for output, report, key, name, amount, share in JOB_OUTPUTS
+    ]
+    return "\nUNION ALL\n".join(parts)
+
+
 def all_sql() -> dict[str, str]:
+    sql = _report_sql()
+    return {**sql, "job_outputs": _job_outputs(sql)}
+
+
+def _report_sql() -> dict[str, str]:
     return {
         # sources (written as pipe-delimited files, read back with the schema)
         "scan_candidates": q("SELECT CONTEST_CODE, CANDIDATE_CODE, CANDIDATE_NAME FROM candidates"),
@@ -434,6 +465,7 @@ FROM c""",
         ),
         "sink_reception_order": "SELECT *, CAST(row_number() OVER (PARTITION BY substring(RECEPTION_DATE, 1, 10) "
         f"ORDER BY RECEPTION_DATE NULLS FIRST) AS INTEGER) AS POSITION FROM ({VCM_RECEIVED}) v",
+        "sink_reception_positions": f"SELECT *, row_number() OVER (ORDER BY RECEPTION_DATE NULLS FIRST) AS POSITION FROM ({VCM_RECEIVED}) v",
         "sink_map_leaders": LEADING,
         "sink_correlation_json": CORRELATION_FINITE,
         "sink_map_document": "SELECT CAST(row_number() OVER (ORDER BY PRV_NAME) - 1 AS INTEGER) AS POSITION, "

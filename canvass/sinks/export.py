@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from canvass.session import discard, hadoop_path
-from canvass.sinks.writers import LINE_ORDER, with_line_order
+from canvass.sinks.writers import AS_IS, LINE_ORDER, with_line_order
 
 # Flat file names of the original output layout.
 FLAT_CSV = {
@@ -75,7 +75,7 @@ def _one_file_per_key(df: DataFrame, keys: Sequence[str], path: str) -> None:
     rows = with_line_order(df)
     rows = rows.repartition(*keys) if keys else rows.repartition(1)
     rows = rows.sortWithinPartitions(*keys, *LINE_ORDER).drop(*LINE_ORDER)
-    out = rows.write.option("header", True).option("maxRecordsPerFile", 0)
+    out = rows.write.options(header=True, maxRecordsPerFile=0, **AS_IS)
     (out.partitionBy(*keys) if keys else out).csv(path)
 
 

@@ -15,9 +15,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+# Spark's writer drops outer spaces unless told not to.
+AS_IS = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Headered, comma separated CSV."""
-    df.write.mode(mode).option("header", True).csv(path)
+    """Headered, comma separated CSV; values keep their outer spaces."""
+    df.write.mode(mode).options(header=True, **AS_IS).csv(path)
 
 
 def write_partitioned_csv(
@@ -43,7 +47,7 @@ def write_partitioned_csv(
         out.write.mode(mode)
         .option("partitionOverwriteMode", "static")
         .partitionBy(*keys)
-        .option("header", True)
+        .options(header=True, **AS_IS)
         .csv(path)
     )
 
@@ -75,4 +79,4 @@ def write_delimited_tables(tables: dict[str, DataFrame], root: str, mode: str =
     """Write election tables as ``{root}/{name}.csv`` folders, ``|``
     separated with a header: the layout ``sources.load_election`` reads."""
     for name, df in tables.items():
-        df.write.mode(mode).option("header", True).option("sep", "|").csv(f"{root.rstrip('/')}/{name}.csv")
+        df.write.mode(mode).options(header=True, sep="|", **AS_IS).csv(f"{root.rstrip('/')}/{name}.csv")

@@ -39,13 +39,15 @@ def read_appended(spark, path: str, schema) -> DataFrame:
     return spark.read.schema(full).parquet(path).drop("epoch_id")
 
 
-def run_available(stream: DataFrame, sink, checkpoint: str, output_mode: str = "complete") -> None:
-    """Process everything available now, then stop (``availableNow``)."""
+def run_available(stream: DataFrame, sink, checkpoint: str, output_mode: str = "complete", every: float | None = None) -> None:
+    """Process everything available now, then stop (``availableNow``); with
+    ``every``, go on looking for more each ``every`` seconds until stopped."""
+    trigger = {"availableNow": True} if every is None else {"processingTime": f"{every} seconds"}
     q = (
         stream.writeStream.outputMode(output_mode)
         .foreachBatch(sink)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**trigger)
         .start()
     )
     q.awaitTermination()

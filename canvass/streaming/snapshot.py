@@ -9,7 +9,7 @@ keeps only the newest drop it contains (stamps are parsed to timestamps: as
 text they do not sort across years), re-runs the report on the whole of
 that drop (results and dimensions read from its folder) into a fresh folder,
 which one row in a log then makes the published one. A drop older than that
-is ignored.
+is ignored. The root published before stays for its readers, older ones go.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from canvass import schema as S
+from canvass.session import discard
 from canvass.sources.bundle import Election
 from canvass.sources.delimited import read_table
 from canvass.streaming.common import run_available
@@ -29,6 +30,7 @@ from canvass.streaming.common import run_available
 # Fixed value: drop folders are named by arrival time in this layout.
 STAMP_FORMAT = "MM-dd-yy--HH-mm"
 SIGNAL_TABLE = "precincts"
+KEEP = 2  # published roots that stay, the current one among them
 PUBLISHED = "DROP_STAMP string, DROP_TS timestamp, ROOT string"
 
 
@@ -76,6 +78,18 @@ def published(spark: SparkSession, out: str) -> tuple | None:
     return None if row.last is None else (row.last.DROP_TS, row.last.ROOT)
 
 
+def trim(spark: SparkSession, out: str, keep: int = KEEP) -> list[str]:
+    """Delete the published roots before the newest ``keep`` and their rows of
+    the log, of which each is a file (run after every publication, so there
+    are ``keep`` + 1 of them). Returns the deleted roots."""
+    log = spark.read.schema(PUBLISHED).parquet(f"{out.rstrip('/')}/published")
+    rows = log.select("DROP_TS", "ROOT", F.input_file_name().alias("file")).orderBy(F.desc("DROP_TS"), F.desc("ROOT")).collect()
+    for r in rows[keep:]:
+        discard(spark, r.ROOT)  # first: a row without its root is deleted the next time
+        discard(spark, r.file)
+    return [r.ROOT for r in rows[keep:]]
+
+
 def snapshot_sink(spark: SparkSession, drops: str, out: str, write: Callable[[Election, str], None]):
     """foreachBatch function: ``write(election, root)`` puts the outputs of
     the newest drop under a fresh ``root`` below ``out``; when it has ended,
@@ -99,6 +113,7 @@ def snapshot_sink(spark: SparkSession, drops: str, out: str, write: Callable[[El
         write(election_of_drop(spark, drops, newest["stamp"], read_table(spark, f"{source}/results.csv", "results")), root)
         row = spark.createDataFrame([(newest["stamp"], newest["ts"], root)], PUBLISHED)
         row.coalesce(1).write.mode("append").parquet(f"{out.rstrip('/')}/published")
+        trim(spark, out)
 
     return _sink
 
@@ -113,16 +128,31 @@ def publish_newest_drop(
     return spark.read.parquet(published(spark, out)[1])
 
 
-def publish_all_reports(spark: SparkSession, drops: str, out: str, checkpoint: str, cmds: tuple[str, ...] = ("all",)) -> str:
-    """Run the drop stream over everything present; every newer drop runs the
-    named reports of the batch job into a root of its own, published only if
-    all of them ended well. Returns the published root."""
+def publish_all_reports(
+    spark: SparkSession,
+    drops: str,
+    out: str,
+    checkpoint: str,
+    cmds: tuple[str, ...] = ("all",),
+    every: float | None = None,
+    static: str | None = None,
+) -> str | None:
+    """Run the drop stream; every newer drop runs the named reports of the
+    batch job into a root of its own, published only if all of them ended
+    well. Without ``every`` it ends with the drops that are there; with it,
+    new drops are looked for each ``every`` seconds until the stream is
+    stopped. ``static`` also takes the flat export of each published drop.
+    Returns the published root (None: no drop yet)."""
     from canvass import job
+    from canvass.sinks import export_flat
 
     def write(e: Election, root: str) -> None:
         failed = [name for name, sec in job.run(spark, e, root, list(cmds)).items() if sec is None]
         if failed:
             raise RuntimeError(f"reports failed, drop not published: {', '.join(failed)}")
+        if static:
+            export_flat(root, static)
 
-    run_available(arrival_stream(spark, drops), snapshot_sink(spark, drops, out, write), checkpoint, "append")
-    return published(spark, out)[1]
+    run_available(arrival_stream(spark, drops), snapshot_sink(spark, drops, out, write), checkpoint, "append", every)
+    last = published(spark, out)
+    return last and last[1]

@@ -10,17 +10,17 @@ from canvass.sinks import read_csv, write_csv, write_partitioned_csv
 from canvass.sources import load_election, merged_results
 
 FILES = {
-    "candidates.csv": "CONTEST_CODE|CANDIDATE_CODE|CANDIDATE_NAME\n00199000|0019900001|\"JOSE RIZAL (IND)\"\n",
-    "contests.csv": "CONTEST_CODE|CONTEST_NAME\n00199000|PRESIDENT\n",
-    "parties.csv": "PARTIES_CODE|PARTIES_NAME|PARTIES_ALIAS\n000|INDEPENDENT|IDP\n",
+    "candidates.csv": "CONTEST_CODE|CANDIDATE_CODE|CANDIDATE_NAME\n00199000|0019900001|\"MIRA SOLT (XYZ)\"\n",
+    "contests.csv": "CONTEST_CODE|CONTEST_NAME\n00199000|FIRST OFFICE\n",
+    "parties.csv": "PARTIES_CODE|PARTIES_NAME|PARTIES_ALIAS\n009|GREY LIST|GRL\n",
     "precincts.csv": (
         "VCM_ID|REG_NAME|PRV_NAME|MUN_NAME|BRGY_NAME|POLLPLACE|CLUSTERED_PREC|REGISTERED_VOTERS\n"
-        "00000001|REGION I|ILOCOS NORTE|ADAMS|ADAMS (POB.)|ADAMS CENTRAL ES|00000007|120\n"
+        "00000031|EAST WING|HIGH COAST|LOWTOWN|QUAY SIDE|HALL 4|00000007|120\n"
     ),
     "results.csv": (
         "PRECINCT_CODE|CONTEST_CODE|CANDIDATE_CODE|PARTY_CODE|VOTES_AMOUNT|TOTALIZATION_ORDER|NUMBER_VOTERS"
         "|UNDERVOTE|OVERVOTE|RECEPTION_DATE\n"
-        "00000007|00199000|0019900001|0000000000|9|1|100|3|1|05/09/2022 - 08:07:08 PM\n"
+        "00000007|00199000|0019900001|0000000009|9|2|100|3|1|05/09/2022 - 09:41:30 PM\n"
     ),
 }
 
@@ -38,24 +38,34 @@ def test_load_election_reads_padded_codes_and_prunes(spark, tmp_path):
     assert e.candidates.first().asDict() == {
         "CONTEST_CODE": 199000,
         "CANDIDATE_CODE": 19900001,
-        "CANDIDATE_NAME": "JOSE RIZAL (IND)",
+        "CANDIDATE_NAME": "MIRA SOLT (XYZ)",
     }
     assert e.precincts.columns == ["VCM_ID", "REG_NAME", "PRV_NAME", "CLUSTERED_PREC", "REGISTERED_VOTERS"]
     assert e.contests.columns == ["CONTEST_CODE"]
     m = merged_results(e).first()
-    assert (m["PRV_NAME"], m["REGISTERED_VOTERS"], m["VOTES_AMOUNT"]) == ("ILOCOS NORTE", 120, 9)
+    assert (m["PRV_NAME"], m["REGISTERED_VOTERS"], m["VOTES_AMOUNT"]) == ("HIGH COAST", 120, 9)
     plan = e.precincts.select("PRV_NAME")._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<PRV_NAME:string>" in plan
 
 
 def test_malformed_row_fails_fast(spark, tmp_path):
     bad = dict(FILES)
-    bad["results.csv"] = FILES["results.csv"].replace("|9|1|", "|x|1|")
+    bad["results.csv"] = FILES["results.csv"].replace("|9|2|", "|x|2|")
     _write(str(tmp_path), bad)
     with pytest.raises(Exception):
         load_election(spark, str(tmp_path)).results.collect()
 
 
+def test_csv_keeps_outer_spaces(spark):
+    """The hour of the text slices is "- " on the documented layout."""
+    df = spark.createDataFrame([("- ", " x", 1)], "h string, p string, k bigint")
+    path = scratch_path(spark, "t-spaces")
+    write_csv(df, path)
+    assert read_csv(spark, path, df.schema).collect() == df.collect()
+    write_partitioned_csv(df, path, ["k"])
+    assert read_csv(spark, path, df.schema).collect() == df.collect()
+
+
 def test_csv_roundtrip_keeps_inf_nan_null(spark):
     df = spark.createDataFrame([(1, 1.5), (2, float("inf")), (3, float("nan")), (4, None)], "k bigint, v double")
     path = scratch_path(spark, "t-roundtrip")
@@ -66,7 +76,7 @@ def test_csv_roundtrip_keeps_inf_nan_null(spark):
 
 def test_partitioned_write_one_folder_per_key_sorted(spark):
     df = spark.createDataFrame(
-        [(199000, "ILOCOS NORTE", "A", 5), (199000, "ILOCOS NORTE", "B", 9), (299000, None, "C", 1)],
+        [(199000, "HIGH COAST", "A", 5), (199000, "HIGH COAST", "B", 9), (299000, None, "C", 1)],
         "CONTEST_CODE bigint, PRV_KEY string, CANDIDATE_NAME string, VOTES_AMOUNT bigint",
     )
     path = scratch_path(spark, "t-part")
@@ -77,7 +87,7 @@ def test_partitioned_write_one_folder_per_key_sorted(spark):
 
     assert [f for f in ls(local) if f != "_SUCCESS"] == ["CONTEST_CODE=199000", "CONTEST_CODE=299000"]
     assert ls(f"{local}/CONTEST_CODE=299000") == ["PRV_KEY=__HIVE_DEFAULT_PARTITION__"]
-    folder = f"{local}/CONTEST_CODE=199000/PRV_KEY=ILOCOS NORTE"
+    folder = f"{local}/CONTEST_CODE=199000/PRV_KEY=HIGH COAST"
     part = [f for f in os.listdir(folder) if f.endswith(".csv")]
     assert len(part) == 1
     with open(f"{folder}/{part[0]}") as fh:

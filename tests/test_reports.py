@@ -25,7 +25,7 @@ def e(spark):
         result_row(9, PRES, B, 7, nv=0, under=1),  # precinct 9 is not in the precinct table
     ]
     precincts = [
-        (1, "R1", "ILOCOS NORTE", 200),
+        (1, "R1", "HIGH COAST", 200),
         (2, "R1", "ABRA", 0),
         (3, "R2", "CEBU", 100),  # never transmitted
         (None, "R2", "CEBU", 50),  # null key: neither transmitted nor not
@@ -48,14 +48,14 @@ def test_tally_national_province_drops_unmatched(e):
     assert got == [
         (PRES, "ABRA", "A", 5, 50.0),
         (PRES, "ABRA", "B", 5, 50.0),
-        (PRES, "ILOCOS NORTE", "A", 60, 60.0),
-        (PRES, "ILOCOS NORTE", "B", 40, 40.0),
+        (PRES, "HIGH COAST", "A", 60, 60.0),
+        (PRES, "HIGH COAST", "B", 40, 40.0),
     ]
 
 
 def test_leader_tie_lowest_code_and_null_province_kept(e):
     got = rows(tallies.leading_candidate_province(e))
-    assert got == [(PRES, "ABRA", "A", 5), (PRES, "ILOCOS NORTE", "A", 60), (PRES, None, "B", 7)]
+    assert got == [(PRES, "ABRA", "A", 5), (PRES, "HIGH COAST", "A", 60), (PRES, None, "B", 7)]
 
 
 def test_leader_without_candidate_row_is_absent(spark):
@@ -92,12 +92,12 @@ def test_transmission_by_province(e):
 
 def test_map_stats_full_join_and_json_skips_null_province(e):
     m = {r["PRV_NAME"]: r.asDict() for r in stats.map_stats(e).collect()}
-    assert set(m) == {"ILOCOS NORTE", "ABRA", "CEBU", None}
+    assert set(m) == {"HIGH COAST", "ABRA", "CEBU", None}
     assert m[None]["total_clustered_precincts"] == 0 and m[None]["total_undervotes"] == 1
-    assert m["ILOCOS NORTE"]["voter_turnout"] == 50.0
+    assert m["HIGH COAST"]["voter_turnout"] == 50.0
     assert m["CEBU"]["total_voters"] == 0  # filled
     js = stats.map_stats_json(e).collect()
-    assert {r["PRV_NAME"] for r in js} == {"ILOCOS NORTE", "ABRA", "CEBU"}
+    assert {r["PRV_NAME"] for r in js} == {"HIGH COAST", "ABRA", "CEBU"}
     assert all(r["STATS_JSON"].startswith('{"number_of_voters_not_transmitted":') for r in js)
 
 

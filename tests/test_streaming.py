@@ -92,6 +92,77 @@ def test_every_report_is_republished_for_a_newer_drop(spark):
         assert spark.read.text(f"{two}/{name}").count() > 0
 
 
+def _drop_files(results):
+    from tests.test_io import FILES
+
+    header = FILES["results.csv"].splitlines()[0]
+    return {**FILES, "results.csv": "\n".join([header, *results]) + "\n"}
+
+
+def test_job_follows_drops_and_trims_old_roots(spark, tmp_path):
+    """Three drops, one run of the job after each: what is published equals a
+    full run on the newest drop, and two roots stay."""
+    import os
+
+    from canvass import job
+    from canvass.session import hadoop_path
+    from canvass.streaming.snapshot import published
+    from tests.test_io import _write
+
+    drops, out, flat = tmp_path / "drops", str(tmp_path / "out"), tmp_path / "flat"
+    drops.mkdir()
+    assert job.main(["--drops", str(drops), "--output", out, "no-such-report"]) == 2
+    assert job.main(["--drops", str(drops), "--output", out, "all"]) == 0 and published(spark, out) is None
+    lines = [
+        "00000007|00199000|0019900001|0|9|1|100|3|1|05/09/2022 - 08:07:08 PM",
+        "00000007|00299000|0029900001|0|4|1|100|3|1|05/09/2022 - 08:07:08 PM",
+        "00000099|00199000|0019900001|0|5|1|60|0|1|05/10/2022 - 01:00:00 AM",
+    ]
+    roots = []
+    for i, stamp in enumerate(("12-31-21--23-59", "01-02-22--08-00", "01-02-22--09-30")):
+        _write(str(drops / stamp), _drop_files(lines[: i + 1]))
+        assert job.main(["--drops", str(drops), "--output", out, "--export-flat", str(flat), "all"]) == 0
+        roots.append(published(spark, out)[1])
+    assert len(set(roots)) == 3 and "01-02-22--09-30" in roots[-1]
+    stay = [hadoop_path(spark, r)[0].exists(hadoop_path(spark, r)[1]) for r in roots]
+    assert stay == [False, True, True]
+    assert spark.read.parquet(f"{out}/published").count() == 2
+    job.main(["--drops", str(drops), "--output", out, "all"])  # nothing new: nothing happens
+    assert published(spark, out)[1] == roots[-1]
+
+    whole, again = str(tmp_path / "whole"), str(tmp_path / "whole-flat")
+    assert job.main(["--input", str(drops / "01-02-22--09-30"), "--output", whole, "--export-flat", again, "all"]) == 0
+    assert sorted(os.listdir(flat)) == sorted(os.listdir(again))
+    for name in os.listdir(again):
+        if not name.startswith((".", "_")):
+            assert sorted((flat / name).read_text().splitlines()) == sorted(open(f"{again}/{name}").read().splitlines()), name
+
+
+def test_drops_are_followed_until_stopped(spark, tmp_path):
+    import threading
+    import time
+
+    from canvass.streaming.snapshot import publish_all_reports, published
+    from tests.test_io import FILES, _write
+
+    drops, out = tmp_path / "drops", str(tmp_path / "out")
+    drops.mkdir()
+    args = (spark, str(drops), out, str(tmp_path / "ckpt"), ("tally-national",), 0.5)
+    follower = threading.Thread(target=publish_all_reports, args=args)
+    follower.start()
+    try:
+        _write(str(drops / "01-02-22--08-00"), FILES)
+        until = time.time() + 60
+        while published(spark, out) is None and time.time() < until:
+            time.sleep(0.5)
+        assert "01-02-22--08-00" in published(spark, out)[1]
+    finally:
+        for q in spark.streams.active:
+            q.stop()
+        follower.join(60)
+    assert not follower.is_alive()
+
+
 def test_marker_failures_are_raised(spark, tmp_path):
     import pytest
 

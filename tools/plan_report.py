@@ -21,7 +21,7 @@ from pyspark.sql import SparkSession  # noqa: E402
 from canvass.catalog import ELECTION_QUERIES  # noqa: E402
 from canvass.session import scratch_path  # noqa: E402
 from canvass.sources.testdata import full_tables  # noqa: E402
-from canvass.sources.warehouse import ingest, load_warehouse  # noqa: E402
+from canvass.sources.warehouse import ingest, load_warehouse, warehouse_table  # noqa: E402
 
 REPORTS = [
     "tally_national",
@@ -78,7 +78,7 @@ def main() -> None:
     wh = scratch_path(spark, "plans")
     src = full_tables(spark, sf_dir, spread=8)
     ingest({"results": src["results"]}, wh)
-    dims = full_tables(spark, sf_dir, results=spark.read.parquet(f"{wh}/results"))
+    dims = full_tables(spark, sf_dir, results=warehouse_table(spark, wh, "results"))
     ingest({k: v for k, v in dims.items() if k != "results"}, wh)
     e = load_warehouse(spark, wh)
     out = [

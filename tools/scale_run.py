@@ -36,7 +36,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from canvass import job  # noqa: E402
 from canvass.session import get_spark, scratch_path  # noqa: E402
 from canvass.sources.testdata import copies_of, full_tables  # noqa: E402
-from canvass.sources.warehouse import ingest, load_warehouse  # noqa: E402
+from canvass.sources.warehouse import ingest, load_warehouse, warehouse_table  # noqa: E402
 
 
 def main() -> None:
@@ -74,13 +74,13 @@ def main() -> None:
     base_wh = scratch_path(spark, "scale-base")
     src = full_tables(spark, sf_dir, spread=cpus)
     ingest({"results": src["results"]}, base_wh)
-    stored = spark.read.parquet(f"{base_wh}/results")
+    stored = warehouse_table(spark, base_wh, "results")
     dims = full_tables(spark, sf_dir, results=stored)
     ingest({n: d for n, d in dims.items() if n != "results"}, base_wh)
     out["base_ingest_sec"] = round(time.perf_counter() - t0, 2)
 
     base = load_warehouse(spark, base_wh)
-    res, pre = copies_of(base.results, spark.read.parquet(f"{base_wh}/precincts"), copies)
+    res, pre = copies_of(base.results, warehouse_table(spark, base_wh, "precincts"), copies)
     if skew:
         hot = F.abs(F.xxhash64("PRECINCT_CODE", "CONTEST_CODE", "CANDIDATE_CODE", "_k")) % 3 == 0
         res = res.withColumn("PRECINCT_CODE", F.when(hot, F.lit(7)).otherwise(F.col("PRECINCT_CODE")))
@@ -93,9 +93,9 @@ def main() -> None:
         {
             "results": res,
             "precincts": pre,
-            "candidates": spark.read.parquet(f"{base_wh}/candidates"),
-            "contests": spark.read.parquet(f"{base_wh}/contests"),
-            "parties": spark.read.parquet(f"{base_wh}/parties"),
+            "candidates": warehouse_table(spark, base_wh, "candidates"),
+            "contests": warehouse_table(spark, base_wh, "contests"),
+            "parties": warehouse_table(spark, base_wh, "parties"),
         },
         wh,
     )
