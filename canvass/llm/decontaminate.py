@@ -23,7 +23,7 @@ Benchmark items go to all documents in blocks of bounded size. For a block:
    least ``COVER`` of the part's weight along its direction. Passages shorter
    than the second condition allows are skipped beforehand, exactly.
 4. Around a candidate, the longest common subsequence with the whole item,
-   within a stretch of about one and a half times its length, decides: a share
+   within any stretch of about one and a half times its length, decides: a share
    of ``LCS`` of the item's words, or ``PARAPHRASE`` together with its answer
    (the last ``ANSWER`` words, three quarters of them in order). Items under
    eight words must be there in full.
@@ -95,24 +95,32 @@ def stretch(n: int) -> int:
 
 
 def verify(item: list, region: list) -> tuple[float, bool] | None:
-    """(LCS share, answer found) of the best stretch of ``region``, or None
-    if it holds too little of the item."""
+    """(LCS share, answer found) of the best stretch of ``region`` that
+    passes, None if none does. Every stretch is looked at: runs of
+    neighbouring ones are left out together where all their words hold too
+    little of the item, since then each of them does."""
     n = len(item)
     m, least = masks(item), least_of(n)
     if lcs_length(m, region) < least:
         return None
-    size, step = stretch(n), max(1, n // 4)
-    best, at = 0, 0
-    for i in range(0, max(1, len(region) - size + step), step):
-        if (k := lcs_length(m, region[i : i + size])) > best:
-            best, at = k, i
-    if best < least:
-        return None
     end = item[-ANSWER:]
-    answer = lcs_length(masks(end), region[at : at + size]) >= 0.75 * len(end)
-    if best >= LCS * n or answer:
-        return best / n, answer
-    return None
+    answer_masks = masks(end)
+    size, step = stretch(n), max(1, n // 4)
+    last = max(0, len(region) - size)
+    best = None
+    for i in range(0, last + 1, step):
+        run = range(i, min(i + step, last + 1))
+        if lcs_length(m, region[i : run[-1] + size]) < least:
+            continue
+        for j in run:
+            words = region[j : j + size]
+            k = lcs_length(m, words)
+            if k < least:
+                continue
+            answer = lcs_length(answer_masks, words) >= 0.75 * len(end)
+            if k >= LCS * n or answer:
+                best = max(best or (0.0, False), (k / n, answer))
+    return best
 
 
 @dataclass

@@ -26,6 +26,58 @@ def test_lcs_against_table():
         assert D.lcs_length(D.masks(a), b) == brute_lcs(a, b)
 
 
+def brute_verify(item, words):
+    """Every stretch, one by one."""
+    n, size, end = len(item), D.stretch(len(item)), item[-D.ANSWER :]
+    found = []
+    for i in range(max(1, len(words) - size + 1)):
+        part = words[i : i + size]
+        k, answer = brute_lcs(item, part), brute_lcs(end, part) >= 0.75 * len(end)
+        if k >= D.least_of(n) and (k >= D.LCS * n or answer):
+            found.append((k / n, answer))
+    return max(found, default=None)
+
+
+def test_verify_against_every_stretch():
+    rng = random.Random(2)
+    for _ in range(250):
+        item = [rng.choice("abcdefghij") + rng.choice("xy") for _ in range(rng.randint(1, 30))]
+        words = [rng.choice(item) if rng.random() < 0.3 else rng.choice("abcdefghij") for _ in range(rng.randint(0, 90))]
+        kept = [x for x in item if rng.random() > 0.25]
+        at = rng.randint(0, len(words))
+        region = words[:at] + kept + words[at:]
+        assert D.verify(item, region) == brute_verify(item, region)
+
+
+def spread_leaks(rng, n, width, count):
+    """Documents with exactly 0.80 of an item's words in order, the first and
+    the last of them at the ends of a stretch of ``width`` words."""
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(7))
+    items, texts = [], []
+    for _ in range(count):
+        item = [word() for _ in range(n)]
+        kept = [item[i] for i in sorted(rng.sample(range(n), round(0.8 * n)))]
+        inside = sorted(rng.sample(range(1, width - 1), len(kept) - 2))
+        span = [word() for _ in range(width)]
+        for place, w in zip([0, *inside, width - 1], kept):
+            span[place] = w
+        before, after = ([word() for _ in range(rng.randint(0, 90))] for _ in range(2))
+        items.append(" ".join(item))
+        texts.append(" ".join(before + span + after))
+    return texts, items
+
+
+def test_leaks_that_fill_their_stretch_are_found(spark):
+    rng = random.Random(4)
+    texts, items = [], []
+    for n, width in ((20, 32), (20, 30), (10, 17), (20, 28), (10, 15), (8, 14), (30, 47)):
+        t, x = spread_leaks(rng, n, min(width, D.stretch(n)), 40)
+        texts, items = texts + t, items + x
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in D.leaks(documents(spark, texts), benchmark).collect()}
+    assert got >= {(i, i) for i in range(len(items)) if round(0.8 * len(items[i].split())) >= 0.8 * len(items[i].split())}
+
+
 def brute_leaks(texts, items):
     """Every stretch of every text against every item, without a search."""
     out = set()
@@ -33,8 +85,7 @@ def brute_leaks(texts, items):
         w = D.words_of(t)
         for i, x in items.items():
             item = D.words_of(x)
-            step = len(item) or 1
-            if item and any(D.verify(item, w[max(0, s - step) : s + 2 * step + 64]) for s in range(0, max(1, len(w)), step)):
+            if item and D.verify(item, w):
                 out.add((d, i))
     return out
 
