@@ -5,9 +5,12 @@ Base spans (email, ip, card, phone) are the leftmost non-overlapping matches
 of fixed patterns per kind; matches that fail their check are dropped. They
 always stay.
 
-The field labels the tokens (runs of other than white space) that hold a
-digit or ``@``; all other tokens are fixed to "no entity", which cuts the
-chain between them, so inference over the labelled runs equals inference over
+The field labels the tokens that hold a digit or ``@``. Tokens are runs of
+the characters that the kinds are made of (and Latin letters), so that items
+in comma lists, in JSON or between characters of other scripts are tokens of
+their own without a space between them; runs of other characters are tokens
+too. Words without digits are fixed to "no entity", which cuts the
+chain between them (signs alone do not), so inference over the labelled runs equals inference over
 the whole document. Factors: token features (shapes, counts of digits,
 letters and signs, the token's own checksum, the shapes of both neighbours;
 not the base matches), chain
@@ -17,7 +20,8 @@ six digits on, or the same characters; each is tied to one of them, a base
 match if there is one, so the number of ties grows with the tokens). Tokens
 under a base span are observed. Loopy sum-product passes messages over both
 kinds of ties until they settle, and a token takes a kind if its marginal is
-over one half. Runs of one kind that touch no base span become added spans.
+over one half. Runs of one kind with white space between them that touch no
+base span become added spans.
 
 Training is by pseudo-likelihood with the base spans as labels, on a bounded
 sample found in a scan of all rows: for every kind ``KIND_DOCS`` documents with
@@ -61,7 +65,8 @@ _card = re.compile(r"[0-9](?:[\x20-]?[0-9])+").finditer
 _phone = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]").finditer
 _digit = re.compile(r"[0-9]").search
 _candidate = re.compile(r"[0-9@]").search
-_token = re.compile(r"\S+").finditer
+_KIND_CHARS = "A-Za-z\u00c0-\u024f0-9._%+()@-"  # characters that the kinds are made of, and Latin letters
+_token = re.compile(rf"[{_KIND_CHARS}]+|[^\s{_KIND_CHARS}]+").finditer
 _nondigit = re.compile(r"[^0-9]+")
 
 Span = tuple[int, int, int]  # start, number of the kind, stop
@@ -112,7 +117,7 @@ def base_spans(text: str) -> list[Span]:
 def shape(token: str) -> str:
     """Runs of digits as 9, of letters as a; other characters as they are."""
     out: list[str] = []
-    for c in token[:64]:
+    for c in token:
         k = "9" if c in "0123456789" else "a" if c.isalpha() else c
         if not out or out[-1] != k or k not in "9a":
             out.append(k)
@@ -178,21 +183,23 @@ def graph(texts: list[str], spans: list[list[Span]], most: int | None = None) ->
         words = [text[a:b] for a, b in toks]
         hub: dict[str, int] = {}
         mine: list[tuple[str, int]] = []
-        last, left = -2, 0
+        linked, left = False, 0
         for i, w in enumerate(words):
             if not _candidate(w):
+                linked = linked and not any(c.isalnum() for c in w)
                 continue
             a, b = toks[i]
-            while left < len(base) and max(x[2] for x in base[left : left + 1]) <= a:
+            while left < len(base) and base[left][2] <= a:
                 left += 1
-            over = [x for x in base[left : left + 8] if x[0] < b and x[2] > a]
+            upto = itertools.takewhile(lambda x: x[0] < b, itertools.islice(base, left, None))
+            kind = next((k for _, k, end in upto if end > a), None)
             n = len(doc)
             doc.append(d), start.append(a), stop.append(b)
-            label.append(over[0][1] + 1 if over else -1)
+            label.append(-1 if kind is None else kind + 1)
             feats.append(_features(w, words[i - 1] if i else "", words[i + 1] if i + 1 < len(words) else ""))
-            if last == i - 1:
+            if linked:
                 chain.append((n - 1, n))
-            last = i
+            linked = True
             if (key := _key(w)) is None:
                 continue
             if key not in hub or (label[hub[key]] < 0 <= label[n]):
@@ -328,7 +335,7 @@ def added_spans(texts: list[str], base: list[list[Span]], w: Field | None) -> li
     while i < n:
         j = i
         if best[i] and g.label[i] < 0:
-            while (j, j + 1) in joined and best[j + 1] == best[i] and g.label[j + 1] < 0:
+            while (j, j + 1) in joined and best[j + 1] == best[i] and g.label[j + 1] < 0 and texts[g.doc[i]][g.stop[j] : g.start[j + 1]].isspace():
                 j += 1
             d, a, b = g.doc[i], int(g.start[i]), int(g.stop[j])
             text = texts[d]

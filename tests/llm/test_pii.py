@@ -98,6 +98,30 @@ def test_skip_ties_spread_a_label_to_repeats(spark):
     assert sum(len(r.spans.split(",")) for d, r in got.items() if d % 2 and d < 240) == 120
 
 
+@pytest.mark.parametrize(
+    "text",
+    [
+        "list +1 (555) 867-5309,10.0.0.1,867-5309,then",
+        '{"tel":"+1 (555) 867-5309","ip":"10.0.0.1","short":"867-5309","v":"then"}',
+        "电话+1 (555) 867-5309号码867-5309在",
+    ],
+)
+def test_items_without_spaces_between_them(spark, text):
+    docs = documents(spark, [*training_texts(), text])
+    got = by_id(P.span_report(docs))
+    spans = [s.split(":") for s in got[max(got)].spans.split(",")]
+    assert [text[int(a) : int(b)] for k, a, b in spans if k == "phone"] == ["+1 (555) 867-5309", "867-5309"]
+
+
+def test_shapes_and_labels_read_whole_tokens():
+    assert P.shape("a" * 100 + "9" * 100 + ".") == "a9."
+    assert P._features("x" * 70 + "1.2", "", "") != P._features("x" * 70 + "1-2", "", "")
+    text = "+1 " + "1 " * 6 + "a@b.cd"  # many spans over and before one token
+    many = [(0, 3, 14), *((0, 0, 1) for _ in range(20)), (15, 0, 21)]
+    g = P.graph([text], [sorted(many)])
+    assert g.label.tolist()[-1] == 1 and g.label.tolist()[1:-1] == [4] * 6
+
+
 def test_a_rare_kind_is_trained_on(spark, monkeypatch):
     monkeypatch.setattr(P, "SAMPLE_DOCS", 20)
     plain = [f"version {i % 9}.{i % 7} of {1900 + i % 99} then on the" for i in range(600)]
