@@ -28,7 +28,7 @@ from canvass.sources.bundle import Election, merged_results
 from canvass.sources.delimited import load_election, read_table
 from canvass.sources.testdata import election_from_testdata, full_tables, results_from
 from canvass.streaming import reception as live
-from canvass.streaming.common import append_table, overwrite_table, read_appended, run_available
+from canvass.streaming.common import least_table, overwrite_table, read_least, run_available
 from canvass.streaming.running_tally import running_tally
 from canvass.streaming.snapshot import publish_newest_drop
 
@@ -290,16 +290,17 @@ def stream_running_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_reception_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T3: the results table arrives as ``FEED_FILES`` files whose rows are
     in no time order, one file per micro-batch. The stream keeps each
-    machine's earliest reception time and writes every change per epoch; the
-    result counts machines per minute of their earliest time, as the batch
+    machine's earliest reception time, writes every change per epoch and
+    merges the epochs to one row a machine on the way; the result counts machines per minute of their earliest time, as the batch
     report does."""
     feed, out = scratch_path(spark, "reception-feed"), scratch_path(spark, "reception-rate")
     results = full_tables(spark, sf_dir)["results"]
     part = F.pmod(F.xxhash64("PRECINCT_CODE", "CANDIDATE_CODE", "RECEPTION_DATE"), F.lit(FEED_FILES))
     results.repartition(FEED_FILES, part).write.parquet(feed)
     stream = spark.readStream.schema(results.schema).option("maxFilesPerTrigger", 1).parquet(feed)
-    run_available(live.earliest_reception(stream), append_table(out), scratch_path(spark, "ckpt"), "update")
-    return live.machines_per_minute(read_appended(spark, out, live.EARLIEST))
+    sink = least_table(out, "PRECINCT_CODE", "RECEPTION_TS", every=FEED_FILES // 2)
+    run_available(live.earliest_reception(stream), sink, scratch_path(spark, "ckpt"), "update")
+    return live.machines_per_minute(read_least(spark, out, live.EARLIEST))
 
 
 def stream_snapshot_tally(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -192,3 +192,33 @@ def test_reception_rate_stream_equals_batch_in_any_order(spark):
     got = _reception(spark, batches)
     assert got == rows(stats.reception_rate_by_minute(make_election(spark, [r for b in batches for r in b], [])))
     assert got == [("2022-05-09 00:01", 1), ("2022-05-09 18:00", 1), ("2022-05-09 18:05", 1), ("2022-05-09 21:00", 1)]
+
+
+def test_least_table_stays_as_large_as_its_keys(spark):
+    """Fifty epochs of the same machines, some replayed: rows on disk stay
+    within the machines and the epochs since two merges."""
+    import random
+    from datetime import datetime, timedelta
+
+    from canvass.streaming import reception as live
+    from canvass.streaming.common import _epochs, least_table, read_least
+
+    out, every, machines = scratch_path(spark, "t-least"), 5, 40
+    sink = least_table(out, "PRECINCT_CODE", "RECEPTION_TS", every)
+    rng, start, want, sizes = random.Random(1), datetime(2022, 5, 9, 12), {}, []
+    assert read_least(spark, out, live.EARLIEST).count() == 0
+    for epoch in range(50):
+        rows = [(m, start + timedelta(seconds=rng.randint(0, 9999))) for m in rng.sample(range(machines), 10)]
+        batch = spark.createDataFrame(rows, live.EARLIEST).coalesce(1)
+        for _ in range(2 if epoch % 7 == 4 else 1):  # epochs 4 and 39 are replayed after their merge
+            sink(batch, epoch)
+        for m, t in rows:
+            want[m] = min(want.get(m, t), t)
+        if epoch % every == every - 1:
+            stored = spark.read.schema(live.EARLIEST).option("recursiveFileLookup", True).parquet(f"{out}/merged", f"{out}/appended")
+            sizes.append(stored.count())
+            assert {r.PRECINCT_CODE: r.RECEPTION_TS for r in read_least(spark, out, live.EARLIEST).collect()} == want
+    assert max(sizes[2:]) <= 2 * machines + 2 * every * 10
+    assert len(_epochs(spark, f"{out}/merged")) <= 2 and len(_epochs(spark, f"{out}/appended")) <= 2 * every
+    sink(spark.createDataFrame([(0, start - timedelta(days=1))], live.EARLIEST), 50)
+    assert {r.PRECINCT_CODE: r.RECEPTION_TS for r in read_least(spark, out, live.EARLIEST).collect()}[0] == start - timedelta(days=1)
