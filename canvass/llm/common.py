@@ -53,16 +53,22 @@ def hold_alone(name: str, forget: Callable[[], None]) -> None:
         _held.append((name, forget))
 
 
-def by_bytes(texts: list[str], limit: int) -> Iterator[list[str]]:
-    """Consecutive slices of ``texts`` of about ``limit`` characters each
-    (a longer text is a slice of its own)."""
+def utf8_length(text: str) -> int:
+    return len(text) if text.isascii() else len(text.encode())
+
+
+def by_bytes(texts: list[str], limit: int, size: Callable[[str], int] = len) -> Iterator[list[str]]:
+    """Consecutive slices of ``texts`` of about ``limit`` each in ``size``
+    (characters, or bytes with :func:`utf8_length`); a longer text is a slice
+    of its own."""
     part: list[str] = []
-    size = 0
+    total = 0
     for t in texts:
-        if part and size + len(t) > limit:
+        n = size(t)
+        if part and total + n > limit:
             yield part
-            part, size = [], 0
+            part, total = [], 0
         part.append(t)
-        size += len(t)
+        total += n
     if part:
         yield part

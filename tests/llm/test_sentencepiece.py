@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from canvass.llm import sentencepiece_bpe as B
 from canvass.llm import token_count as T
 from canvass.llm.catalog import QUERIES
+from canvass.llm.common import by_bytes, utf8_length
 from tests.llm.helpers import DOC, ODD, by_id, documents
 
 TESTDATA = "/root/testdata/sf0.001"
@@ -65,12 +66,29 @@ def test_empty_table_and_null_ids(spark):
 
 
 def test_split_parts_add_up():
-    rng = random.Random(3)
-    for _ in range(60):
-        s = "".join(rng.choice(["the", " ", "  ", "▁", "\n", "ing", "中", " a"]) for _ in range(rng.randint(0, 300)))
-        parts = T.split_safely(s, limit=20)
-        assert sum(len(library(p)) for p in parts) == len(library(s)), s
-        assert "".join(parts) == s or len(parts) > 1
+    sp = T.processor(T.DEFAULT_MODEL)
+    assert T.safe_to_split(T.DEFAULT_MODEL)
+    rng = random.Random(8)
+    for _ in range(600):
+        s = "".join(rng.choice(["ab", " ", "  ", "\n", "\n\n", "▁", "\t", "é", "中", ".", "<s>", " \n", "12", "x"]) for _ in range(60))
+        parts = T.split_safely(s, limit=rng.choice([1, 7, 20]))
+        less = sum(p.startswith("\n") for p in parts[1:])
+        assert sum(len(sp.encode(p)) for p in parts) - less == len(sp.encode(s)), parts
+
+
+def test_texts_of_lines_without_spaces_are_cut(monkeypatch):
+    text = "one.two\nthree(four)\nfünf,中文\n" * 3000
+    assert max(map(len, T.split_safely(text))) < T.SPLIT_CHARS + 50
+    assert T.count_tokens([text, "a b"]) == [len(T.processor(T.DEFAULT_MODEL).encode(text)), 2]
+
+
+def test_calls_are_balanced_by_bytes():
+    texts = ["中" * 100] * 10 + ["x" * 100] * 10
+    calls = list(by_bytes(texts, 600, utf8_length))
+    assert [sum(len(t.encode()) for t in c) for c in calls] == [600] * 6 + [400] and [t for c in calls for t in c] == texts
+
+
+def test_split_without_a_boundary():
     assert T.split_safely("x" * 100, limit=10) == ["x" * 100]
 
 
