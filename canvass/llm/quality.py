@@ -113,19 +113,28 @@ def sigmoid(z):
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def _dense(rows: list[list[int]], size: int) -> np.ndarray:
-    x = np.zeros((len(rows), size), np.float32)
-    for i, r in enumerate(rows):
-        x[i, r] = 1
-    return x
+class Ones:
+    """Rows of 0 and 1 by the places of their ones (each row has one)."""
 
+    def __init__(self, rows: list, size: int):
+        self.size, self.width = size, np.array([len(r) for r in rows])
+        self.flat = np.concatenate([np.empty(0, np.int64), *rows]).astype(np.int64)
+        self.first = np.cumsum(self.width) - self.width
 
-def logistic(x: np.ndarray, y: np.ndarray, shift=0.0, scale: float = 1.0, decay: float = 1.0, steps: int = 250, rate: float = 0.3) -> np.ndarray:
+    def dot(self, w: np.ndarray) -> np.ndarray:
+        return np.add.reduceat(w[self.flat], self.first)
+
+    def sums(self, r: np.ndarray) -> np.ndarray:
+        """Sum of ``r`` over the rows that hold each place."""
+        return np.bincount(self.flat, np.repeat(r, self.width), self.size)
+
+
+def logistic(x: Ones, y: np.ndarray, shift=0.0, scale: float = 1.0, decay: float = 1.0, steps: int = 250, rate: float = 0.3) -> np.ndarray:
     """Weights that maximise ``scale`` times the likelihood of the rows, plus
     ``shift`` times the weights, less the decay."""
-    w, seen = np.zeros(x.shape[1]), np.full(x.shape[1], 1e-8)
+    w, seen = np.zeros(x.size), np.full(x.size, 1e-8)
     for _ in range(steps):
-        g = scale * (x.T @ (y - sigmoid(x @ w))) + shift - decay * w
+        g = scale * x.sums(y - sigmoid(x.dot(w))) + shift - decay * w
         seen += g**2
         w += rate * g / np.sqrt(seen)
     return w
@@ -282,7 +291,7 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[Model | None, DataFrame |
         [meta_ids(a, b, c) for a, b, c in zip(got["source"], got["lang"], got["n_chars"])],
     ]
     names, sizes = ("text_ids", "meta_ids"), (len(m.edges) * BINS + len(words) + 1, META + 1)
-    known = [(_dense([v[i] for i in np.flatnonzero(teach)], size), y[teach]) for v, size in zip(views, sizes)]
+    known = [(Ones([v[i] for i in np.flatnonzero(teach)], size), y[teach]) for v, size in zip(views, sizes)]
     stored = materialise(features(docs, m), "quality-features")
     pool = join_dimension(stored, known_labels(labels), "doc_id", "id").where("y IS NULL").select(*names)
     pool = materialise(pool, "quality-pool")
@@ -307,14 +316,14 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[Model | None, DataFrame |
     return m, stored
 
 
-def taught(x: np.ndarray, y: np.ndarray, w: np.ndarray, gradient: np.ndarray, docs: np.ndarray) -> np.ndarray:
+def taught(x: Ones, y: np.ndarray, w: np.ndarray, gradient: np.ndarray, docs: np.ndarray) -> np.ndarray:
     """Weights for labelled rows and pseudo-labels, of which ``gradient`` at
     ``w`` and ``docs`` are known by class. The labelled rows stand for the
     shape of both losses, and the linear term makes the sum right at ``w``."""
     own = np.array([(y == 0).sum(), (y == 1).sum()])
     weight = np.minimum(1.0, own / np.maximum(docs, 1))
     scale = 1.0 + (docs * weight).sum() / own.sum()
-    here = x.T @ (y - sigmoid(x @ w))
+    here = x.sums(y - sigmoid(x.dot(w)))
     return logistic(x, y, weight @ gradient - (scale - 1.0) * here, scale)
 
 

@@ -61,7 +61,8 @@ def plain_rounds(text_x, meta_x, y, fold):
     is no label. Returns calibrated logits of both views and of the mix."""
     views = [text_x, meta_x]
     teach, tune, pool = ~np.isnan(y) & (fold < 7), ~np.isnan(y) & (fold >= 7) & (fold < 9), np.isnan(y)
-    weights = [Q.logistic(x[teach].astype(np.float32), y[teach]) for x in views]
+    known = [Q.Ones([np.flatnonzero(r) for r in x[teach]], x.shape[1]) for x in views]
+    weights = [Q.logistic(x, y[teach]) for x in known]
     scales = [Q.platt(x[tune] @ w, y[tune]) for x, w in zip(views, weights)]
     lent = [np.full(len(y), np.nan) for _ in views]  # what each view was told by the other
     used = []
@@ -77,7 +78,7 @@ def plain_rounds(text_x, meta_x, y, fold):
                 r = lent[v][told] - Q.sigmoid(x[told] @ weights[v])
                 by_class = np.stack([(x[told] * (r * (lent[v][told] == c))[:, None]).sum(0) for c in (0, 1)])
                 n = np.array([(lent[v][told] == c).sum() for c in (0, 1)])
-                weights[v] = Q.taught(x[teach].astype(np.float32), y[teach], weights[v], by_class, n)
+                weights[v] = Q.taught(known[v], y[teach], weights[v], by_class, n)
             scales[v] = Q.platt(x[tune] @ weights[v], y[tune])
     logits = [s[0] + s[1] * (x @ w) for s, x, w in zip(scales, views, weights)]
     mix = Q.platt(np.column_stack([z[tune] for z in logits]), y[tune])
@@ -107,7 +108,7 @@ def test_rounds_against_all_rows_in_one_place(spark):
     known = {i: float(q) for i, q, _ in labels}
     y = np.array([known.get(r.doc_id, np.nan) for r in got])
     fold = np.array([zlib.crc32(str(r.doc_id).encode()) % 10 for r in got])
-    dense = [Q._dense([list(r[c]) for r in got], size).astype(float) for c, size in (("text_ids", len(m.text)), ("meta_ids", Q.META + 1))]
+    dense = [np.stack([np.bincount(r[c], minlength=size) for r in got]).astype(float) for c, size in (("text_ids", len(m.text)), ("meta_ids", Q.META + 1))]
     text, meta, both, used = plain_rounds(*dense, y, fold)
     assert min(used) > 100  # far more than the sure ones of a small pool
     want = sorted((str(r.doc_id), *np.round(s, 5)) for r, s in zip(got, zip(text, meta, both)))
