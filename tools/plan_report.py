@@ -88,7 +88,7 @@ def main() -> None:
         "(initial plans; AQE may still coalesce partitions, switch a shuffle join to a",
         "broadcast join when runtime sizes allow, and split skewed join partitions).",
         "Broadcasts of the precinct / candidate tables come from Catalyst's size check",
-        "(`spark.sql.autoBroadcastJoinThreshold`), not from hints.",
+        "(`spark.sql.autoBroadcastJoinThreshold`); the one hint is on the bounded hot-key list.",
         "",
     ]
     for name in REPORTS:
