@@ -66,4 +66,4 @@ def test_stages_take_odd_rows(spark):
 
 def test_every_operator_has_one_query():
     numbers = sorted(int(k[2:].split("_")[0]) for k in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
