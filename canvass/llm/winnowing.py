@@ -17,8 +17,9 @@ Edge cases: null is the empty text, whose fingerprint is empty; a text
 shorter than ``K`` has one entry, the hash of the whole; a text with fewer
 than ``W`` k-grams is one window; two empty fingerprints are alike (1.0), an
 empty and another are not (0.0). Documents are ordered by descending doc_id,
-null ids last, equal ids by text; a table of one row follows itself. Rows
-that repeat an id are kept, and stand in one range of ids.
+null ids last, equal ids by a hash of the text; a table of one row follows
+itself. Rows that repeat an id, or have none, are kept and spread over ranges
+by their texts; rows equal in both stand in one range and cost one comparison.
 """
 
 from __future__ import annotations
@@ -31,8 +32,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from canvass.llm.common import materialise
+
 K, W = 24, 48
 PART_BYTES = 24 << 20
+PARTS_MOST = 100_000
+WEIGHT = 4096
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _S32 = np.uint64(32)
 _FIRST = -(1 << 63)
@@ -126,75 +131,98 @@ def fingerprint_documents(docs: DataFrame, k: int = K, w: int = W) -> DataFrame:
     return found.withColumn("winnow_hashes", F.col("_w.h")).withColumn("winnow_positions", F.col("_w.p")).drop("_w")
 
 
+def _packed(k: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """(k, h) pairs as 16 bytes that compare like them."""
+    sign = np.uint64(1 << 63)
+    pairs = np.stack((k.astype(np.int64).view(np.uint64) ^ sign, h.astype(np.int64).view(np.uint64) ^ sign), 1)
+    return np.ascontiguousarray(pairs.astype(">u8")).view("S16").ravel()
+
+
+def _part_of(cuts: np.ndarray):
+    """Number of the range of a (k, h) pair; ``cuts`` are the last pairs of
+    all ranges but the highest, ascending."""
+
+    @F.pandas_udf("int")
+    def number(k: pd.Series, h: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(cuts, _packed(k.to_numpy(), h.to_numpy()), "left").astype(np.int32))
+
+    return number
+
+
 def with_next(docs: DataFrame) -> DataFrame:
-    """``part, own, k, doc_id, text``: rows dealt out by ranges of doc_id, so
-    that the next document in descending order is in the same range. The last
-    row before a range (and for the lowest range the highest row of all) is
-    there once more with ``own`` false. Only range bounds reach the driver,
-    one per ``PART_BYTES`` of text or shuffle partition."""
+    """``part, own, k, h, doc_id, text``: rows dealt out by ranges of (doc_id,
+    hash of the text) and sorted, so that the next document in descending
+    order is the row before. The last row before a range (and for the lowest
+    range the highest row of all) stands first in it with ``own`` false.
+
+    Ranges are even in rows plus ``WEIGHT`` bytes of text; rows that share an
+    id, or have none, spread over as many ranges as they need. The driver
+    takes two rows per range; there is a range per ``PART_BYTES`` or shuffle
+    partition and never more than ``PARTS_MOST``, beyond which ranges grow (a
+    task sorts its range on disk and holds one row of it)."""
     spark = docs.sparkSession
     rows = docs.select(
         "doc_id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce("doc_id", F.lit(_FIRST)).alias("k")
-    )
-    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), -(-total // PART_BYTES))
-    at = [i / parts for i in range(1, parts)]
-    cuts = rows.agg(F.percentile_approx("k", at, 10 * parts).alias("c")).first().c if at else []
-    cuts = np.unique(np.array(cuts or [], np.int64))
-
-    @F.pandas_udf("int")
-    def part_of(k: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(cuts, k.to_numpy(np.int64), "left").astype(np.int32))
-
-    top = sorted((r.part, r.k) for r in rows.select("k", part_of("k").alias("part")).groupBy("part").agg(F.max("k").alias("k")).collect())
-    after = {k: top[(i + 1) % len(top)][0] for i, (_, k) in enumerate(top)}
+    ).withColumn("h", F.xxhash64("text"))
+    keys = materialise(rows.select("k", "h", F.octet_length("text").alias("size")), "winnow-keys")
+    total = keys.agg(F.sum("size")).first()[0] or 0
+    parts = min(PARTS_MOST, max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), -(-total // PART_BYTES)))
+    weighted = keys.select("k", "h", F.explode(F.sequence(F.lit(0), F.floor(F.col("size") / WEIGHT).cast("int"))).alias("w"))
+    ranges = weighted.repartitionByRange(parts, "k", "h").groupBy(F.spark_partition_id().alias("r"))
+    last = ranges.agg(F.max(F.struct("k", "h")).alias("m")).select("m.k", "m.h").toPandas().sort_values(["k", "h"])
+    cuts = _packed(last["k"].to_numpy(), last["h"].to_numpy())[:-1]
+
+    part_of = _part_of(cuts)
+    top = keys.groupBy(part_of("k", "h").alias("part")).agg(F.max(F.struct("k", "h")).alias("m"))
+    top = top.select("part", "m.k", "m.h").toPandas().sort_values("part")
+    ends, after = _packed(top["k"].to_numpy(), top["h"].to_numpy()), np.roll(top["part"].to_numpy(), -1)
 
     @F.pandas_udf("array<int>")
-    def places(k: pd.Series) -> pd.Series:
-        own = np.searchsorted(cuts, k.to_numpy(np.int64), "left").tolist()
-        return pd.Series([[p, after[x]] if x in after else [p] for p, x in zip(own, k.tolist())])
+    def places(k: pd.Series, h: pd.Series) -> pd.Series:
+        pair = _packed(k.to_numpy(), h.to_numpy())
+        own = np.searchsorted(cuts, pair, "left")
+        i = np.minimum(np.searchsorted(ends, pair, "left"), len(ends) - 1)
+        end = ends[i] == pair
+        return pd.Series([[p, a] if e else [p] for p, a, e in zip(own.tolist(), after[i].tolist(), end.tolist())])
 
-    dealt = rows.select("doc_id", "text", "k", F.posexplode(places("k")).alias("place", "part"))
-    return dealt.select("part", (F.col("place") == 0).alias("own"), "k", "doc_id", "text").repartition(parts, "part")
+    dealt = rows.select("k", "h", "doc_id", "text", F.posexplode(places("k", "h")).alias("place", "part"))
+    dealt = dealt.select("part", (F.col("place") == 0).alias("own"), "k", "h", "doc_id", "text")
+    return dealt.repartitionById(parts, "part").sortWithinPartitions("part", "own", "k", "h", "text")
 
 
 def _compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    ranges: dict[int, list[tuple]] = {}
+    """The rows of :func:`with_next` in their order; only the row before is held."""
+    part, near, last, made = None, None, None, None  # range, text before, its hashes, the row made of a copy of it
     for pdf in batches:
-        for part, own, k, doc, text in pdf.itertuples(index=False):
-            ranges.setdefault(part, []).append((k, text, own, doc))
-    for rows in ranges.values():
-        rows.sort(key=lambda r: (r[0], r[1]))
-        before = [r for r in rows if not r[2]]
-        mine = [r for r in rows if r[2]]
         out = []
-        for i, (_, text, _, doc) in enumerate(mine):
-            near = mine[i - 1] if i else before[-1]
-            if not i:
-                last = np.unique(winnow(near[1])[0])
-            n = len(text)
-            cut = n // 3
-            edited = text[: n - cut] + near[1][:cut]
-            h, p = winnow(text)
-            eh, ep = winnow(edited)
-            own, changed = np.unique(h), np.unique(eh)
-            out.append(
-                (
-                    None if pd.isna(doc) else int(doc),
-                    n,
-                    hashlib.sha256(edited.encode()).hexdigest(),
-                    as_text(h, p),
-                    as_text(eh, ep),
-                    likeness(own, changed),
-                    likeness(own, last),
-                )
-            )
-            last = own
-            if len(out) >= 500:
-                yield pd.DataFrame(out, columns=COLUMNS).astype({"doc_id": "Int64"})
-                out = []
-        if out:
-            yield pd.DataFrame(out, columns=COLUMNS).astype({"doc_id": "Int64"})
+        for p, own, doc, text in zip(pdf["part"].tolist(), pdf["own"].tolist(), pdf["doc_id"].tolist(), pdf["text"].tolist()):
+            if p != part:
+                part, near, last, made = p, None, None, None
+            if not own:
+                if text != near:
+                    near, last = text, None
+                continue
+            if made is None or text != near:
+                h, at = winnow(text)
+                if last is None:
+                    last = np.unique(winnow(near)[0])
+                kept = np.unique(h)
+                row = _row(text, near, h, at, kept, last)
+                made = row if text == near else None
+                near, last = text, kept
+            else:
+                row = made
+            out.append((None if pd.isna(doc) else int(doc), *row))
+        yield pd.DataFrame(out, columns=COLUMNS).astype({"doc_id": "Int64"})
+
+
+def _row(text: str, near: str, h: np.ndarray, at: np.ndarray, kept: np.ndarray, last: np.ndarray) -> tuple:
+    n = len(text)
+    cut = n // 3
+    edited = text[: n - cut] + near[:cut]
+    eh, ep = winnow(edited)
+    sha = hashlib.sha256(edited.encode()).hexdigest()
+    return n, sha, as_text(h, at), as_text(eh, ep), likeness(kept, np.unique(eh)), likeness(kept, last)
 
 
 COLUMNS = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]

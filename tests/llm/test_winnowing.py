@@ -88,3 +88,34 @@ def test_query_on_fixture(spark):
 def test_array_columns(spark):
     r = by_id(N.fingerprint_documents(documents(spark, ["a" * 80, None])))
     assert list(r[0].winnow_positions) == brute_winnow("a" * 80)[1] and list(r[1].winnow_hashes) == []
+
+
+def test_rows_without_id_spread_over_ranges(spark, monkeypatch):
+    """A third of the rows share no id, another tenth one id."""
+    monkeypatch.setattr(N, "PART_BYTES", 8000)
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefgh ") for _ in range(rng.randint(60, 400)))
+    ids = [None] * 600 + [77] * 180 + [1000 + i for i in range(1020)]
+    rows = [(i, word(), None, None, None) for i in ids] + [(2000, "y" * 30000, None, None, None), (None, "copy " * 40, None, None, None)] * 2
+    docs = spark.createDataFrame(rows, DOC)
+    dealt = N.with_next(docs)
+    sizes = sorted(r.b for r in dealt.where("own").groupBy("part").agg(F.sum(F.length("text") + N.WEIGHT).alias("b")).collect())
+    assert len(sizes) > 30 and sizes[-2] <= 2 * sizes[len(sizes) // 2]  # the last holds the long text twice
+    got = [tuple(r) for r in N.edited_likeness(docs).collect()]
+
+    order = {t: h for t, h in docs.select("text", F.xxhash64("text")).distinct().collect()}
+    ranked = sorted(((d if d is not None else N._FIRST, order[t], t, d) for d, t, *_ in rows), key=lambda r: r[:3])
+    want = []
+    for i, (_, _, text, doc) in enumerate(ranked):
+        near = ranked[i - 1][2]
+        h, at = N.winnow(text)
+        want.append((doc, *N._row(text, near, h, at, np.unique(h), np.unique(N.winnow(near)[0]))))
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
+def test_order_of_packed_pairs():
+    rng = np.random.default_rng(3)
+    some = np.array([-(1 << 63), -1, 0, 1, 255, 256, (1 << 63) - 1])
+    k, h = rng.choice(some, 400), rng.choice(some, 400)
+    by = np.argsort(N._packed(k, h), kind="stable")
+    assert by.tolist() == np.lexsort((h, k)).tolist()
