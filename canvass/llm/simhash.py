@@ -129,37 +129,52 @@ def close_pairs(left: np.ndarray, right: np.ndarray, radius: int, rows: int = 25
 def deal(fingerprints: DataFrame, radius: int = RADIUS) -> DataFrame:
     """``fp, tile, g, left, first``: the fingerprints of every group ``g``, which
     compares tile ``left`` to a bundle of near tiles with higher numbers (the
-    first bundle holds the tile itself too)."""
+    first bundle holds the tile itself too).
+
+    A cell (population counts of both halves) is cut into tiles, numbered
+    through all cells. Seen from a cell, the near cells from itself up lie on
+    a line, and a bundle is the tiles that begin in a stretch of it as long as
+    a tile. So tiles, groups and bundles are computed from a row per cell (33
+    x 33 at most); there is no list of them."""
     low = F.bit_count(F.col("fp").bitwiseAND(F.lit(HALF)))
     cells = fingerprints.select("fp", low.alias("a"), (F.bit_count("fp") - low).alias("b"))
-    sizes = {(r.a, r.b): r.n for r in cells.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).collect()}  # 33 x 33 at most
+    sizes = {(r.a, r.b): r.n for r in cells.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).collect()}
     tile_rows = max(TILE_ROWS, min(TILE_MOST, sum(sizes.values()) // TILES))
     parts = {c: -(-n // tile_rows) for c, n in sizes.items()}
-    tiles = [(c, k) for c in sorted(parts) for k in range(parts[c])]
-    first: dict[tuple[int, int], int] = {}
-    for t, (c, _) in enumerate(tiles):
-        first.setdefault(c, t)
-    groups: list[list[tuple[int, int, bool]]] = [[] for _ in tiles]  # of a tile: (group, its left tile, first bundle)
-    g = -1
-    for left, ((a, b), _) in enumerate(tiles):
-        held, own = tile_rows, None
-        for c in sorted(c for c in parts if abs(c[0] - a) + abs(c[1] - b) <= radius):
-            for t in range(max(left + 1, first[c]), first[c] + parts[c]):
-                if held >= tile_rows:
-                    g, held, own = g + 1, 0, own is None
-                    groups[left].append((g, left, own))
-                groups[t].append((g, left, own))
-                held += -(-sizes[c] // parts[c])
-        if own is None:  # no other is near it
-            g += 1
-            groups[left].append((g, left, True))
-    rows = [(*c, k, t, groups[t]) for t, (c, k) in enumerate(tiles)]
-    schema = "a int, b int, s int, tile int, groups array<struct<g: int, left: int, first: boolean>>"
-    plan = fingerprints.sparkSession.createDataFrame(rows, schema)
-    split = F.coalesce(*[F.when((F.col("a") == a) & (F.col("b") == b), F.lit(n)) for (a, b), n in parts.items() if n > 1], F.lit(1))
-    cells = cells.withColumn("s", F.pmod(id_hash(F.col("fp")), split).cast("int"))
-    # plan has a row per tile
-    dealt = cells.join(F.broadcast(plan), ["a", "b", "s"]).select("fp", "tile", F.explode("groups").alias("of"))
+    rows_each = {c: -(-n // parts[c]) for c, n in sizes.items()}
+    first, top, number = {}, {}, 0
+    lefts: dict[tuple[int, int], list[tuple]] = {c: [] for c in sizes}  # of a cell: the cells that see it
+    for c in sorted(sizes):
+        first[c], number, place = number, number + parts[c], 0
+        for near in sorted(n for n in sizes if n >= c and abs(n[0] - c[0]) + abs(n[1] - c[1]) <= radius):
+            lefts[near].append((first[c], parts[c], rows_each[c], place, near == c))
+            top[c] = (place + (parts[near] - 1) * rows_each[near]) // tile_rows
+            place += sizes[near]
+    span = max(top.values(), default=0) + 1
+    rows = [(*c, parts[c], rows_each[c], first[c], top[c], lefts[c]) for c in sizes]
+    seen = "lefts array<struct<first: long, parts: long, each: long, place: long, same: boolean>>"
+    plan = fingerprints.sparkSession.createDataFrame(rows, f"a int, b int, parts long, each long, start long, top long, {seen}")
+    cells = cells.join(F.broadcast(plan), ["a", "b"]).withColumn("s", F.pmod(id_hash(F.col("fp")), F.col("parts")))
+
+    def begins(s: Column, each: Column, place: Column | int = 0) -> Column:
+        return F.floor((place + s * each) / tile_rows)
+
+    def group(left: Column, bundle: Column, own: Column) -> Column:
+        return F.struct((left * span + bundle).alias("g"), left.alias("left"), (bundle == own).alias("first"))
+
+    def counted(n: Column) -> Column:
+        return F.when(n > 0, F.sequence(F.lit(0).cast("long"), n - 1)).otherwise(F.array().cast("array<bigint>"))
+
+    def seen_from(c: Column) -> Column:
+        bundle = begins(F.col("s"), F.col("each"), c["place"])
+        tiles = counted(F.when(c["same"], F.col("s")).otherwise(c["parts"]))
+        return F.transform(tiles, lambda i: group(c["first"] + i, bundle, begins(i, c["each"])))
+
+    own = begins(F.col("s"), F.col("each"))
+    tile = F.col("start") + F.col("s")
+    as_left = F.transform(F.sequence(own, F.col("top")), lambda x: group(tile, x, own))
+    as_right = F.flatten(F.transform("lefts", seen_from))
+    dealt = cells.select("fp", tile.alias("tile"), F.explode(F.concat(as_left, as_right)).alias("of"))
     return dealt.select("fp", "tile", "of.g", "of.left", "of.first")
 
 

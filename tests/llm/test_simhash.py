@@ -99,3 +99,30 @@ def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(50)] + [(100, 100 + i) for i in range(40)] + [(7, 7), (3, 4), (4, 3)]
     got = {r.node: r.root for r in connected_components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {**{i: 0 for i in range(1, 51)}, **{100 + i: 100 for i in range(1, 40)}}
+
+
+def test_every_pair_of_near_tiles_meets_once(spark, monkeypatch):
+    monkeypatch.setattr(S, "TILE_ROWS", 15)
+    monkeypatch.setattr(S, "TILE_MOST", 15)
+    rng = random.Random(8)
+    prints = {sum(1 << b for b in rng.sample(range(64), rng.choice([2, 3, 30, 31, 32, 33]))) for _ in range(500)}
+    prints |= {0, 1, (1 << 64) - 1}
+    signed = [p - (1 << 64) if p >> 63 else p for p in prints]
+    rows = S.deal(spark.createDataFrame([(p,) for p in signed], "fp long")).collect()
+    groups, met = {}, {}
+    for r in rows:
+        groups.setdefault(r.g, []).append(r)
+    for rs in groups.values():
+        assert len({(r.left, r.first) for r in rs}) == 1 and min(r.tile for r in rs) == rs[0].left
+        mine = [r.fp for r in rs if r.tile == r.left]
+        for q in rs:
+            if q.tile != q.left or q.first:
+                for p in mine:
+                    pair = (min(p, q.fp), max(p, q.fp))
+                    met[pair] = met.get(pair, 0) + (2 if q.tile != q.left or p == q.fp else 1)
+    half = (1 << 32) - 1
+    counts = {p: ((p & half).bit_count(), (p >> 32 & half).bit_count()) for p in signed}
+    for p in signed:
+        for q in signed:
+            near = sum(abs(x - y) for x, y in zip(counts[p], counts[q])) <= S.RADIUS
+            assert met.get((min(p, q), max(p, q)), 0) == (2 if near else 0)
