@@ -36,6 +36,14 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_name(name: str, df: DataFrame) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def id_hash(c: Column, *more: Column) -> Column:
     """Non-negative 63-bit hash for bucketing."""
     return F.xxhash64(c, *more).bitwiseAND(F.lit((1 << 63) - 1))

@@ -44,12 +44,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from canvass.llm.common import hold_alone, materialise
+from canvass.llm.common import free_name, hold_alone, materialise
 
 ORDER = 5
 CALIBRATION = 8
 MIN_SCORE = 0.5
-WORDS_KEPT = 150_000
+WORDS_BYTES = 40 << 20  # of remembered words and their scores, about
+PIECE = 1 << 19  # characters of a long text that are split into words at once
 WORDS_AT_ONCE = 10_000
 FLUSH_WORDS = 100_000
 START, STOP = "^", "$"
@@ -57,12 +58,22 @@ UND = "und"
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 _runs = re.compile(r"[^\W\d_]+").findall
+_space = re.compile(r"\s").search
 
 
 def words_of(text: str) -> list[str]:
     return _runs(text.lower())
 
 
+def pieces_of(text: str) -> Iterator[str]:
+    """A text in pieces of ``PIECE`` characters, cut before white space."""
+    start = 0
+    while len(text) - start > PIECE and (m := _space(text, start + PIECE)):
+        yield text[start : m.start()]
+        start = m.start()
+    yield text[start:]
+
+
 def letters(word: str) -> str:
     return word if word.isalpha() else "".join(c for c in word if c.isalpha())
 
@@ -190,11 +201,11 @@ class Scorer:
     """Scores whole texts; each distinct word is looked up once and kept."""
 
     def __init__(self, model: LanguageModel):
-        self.model, self.index = model, {}
+        self.model, self.index, self.held = model, {}, 0
         self.total, self.size = np.zeros((0, len(model.languages))), np.zeros(0, np.int64)
 
     def add(self, texts: list[list[str]]) -> None:
-        if len(self.index) > WORDS_KEPT:
+        if self.held > WORDS_BYTES:
             self.__init__(self.model)
         new = [w for w in set().union(*texts) if w not in self.index] if texts else []
         if new:
@@ -202,21 +213,28 @@ class Scorer:
             self.index.update(zip(new, range(len(self.index), len(self.index) + len(new))))
             self.total = np.concatenate((self.total, *(t for t, _ in parts)))
             self.size = np.concatenate((self.size, *(n for _, n in parts)))
+            self.held += sum(map(len, new)) * 4 + len(new) * (160 + 8 * self.total.shape[1])
 
     def entropies(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(nats per character by language, characters) of each text."""
-        split = [words_of(t) for t in texts]
-        self.add(split)
-        get = self.index.__getitem__
         n = np.zeros(len(texts), np.int64)
         h = np.zeros((len(texts), len(self.model.languages)))
-        for i, words in enumerate(split):
+        short = [i for i, t in enumerate(texts) if len(t) <= PIECE]
+        self._sum([words_of(texts[i]) for i in short], short, h, n)
+        for i, t in enumerate(texts):
+            if len(t) > PIECE:
+                for piece in pieces_of(t):
+                    self._sum([words_of(piece)], [i], h, n)
+        return -h / np.maximum(n, 1)[:, None], n
+
+    def _sum(self, split: list[list[str]], rows: list[int], h: np.ndarray, n: np.ndarray) -> None:
+        self.add(split)
+        get = self.index.__getitem__
+        for i, words in zip(rows, split):
             if words:
                 at = np.fromiter(map(get, words), np.int64, len(words))
-                n[i] = self.size[at].sum()
-                if n[i]:
-                    h[i] = -self.total[at].sum(axis=0) / n[i]
-        return h, n
+                n[i] += self.size[at].sum()
+                h[i] += self.total[at].sum(axis=0)
 
 
 def _predict(model: LanguageModel, texts: list[str]) -> pd.DataFrame:
@@ -347,23 +365,26 @@ def calibrate(model: LanguageModel, rows: DataFrame) -> None:
 
 def identify(docs: DataFrame, model: LanguageModel | None = None, min_score: float = MIN_SCORE) -> DataFrame:
     """``docs`` with ``language``: a struct of lang_pred, score (0 to 1),
-    entropy (bits per character), letters and rejected."""
+    entropy (bits per character), letters and rejected. A column ``language``
+    of ``docs`` is replaced; any other name may occur."""
     model = model or train(docs)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    some = F.col("_p.letters") > 0
-    z = F.lit(model.offset) + F.lit(model.slope) * F.col("_p.margin")
+    raw, scored = free_name("_p", docs), free_name("_score", docs)
+    p = F.col(raw)
+    some = p["letters"] > 0
+    z = F.lit(model.offset) + F.lit(model.slope) * p["margin"]
     score = F.when(some & F.lit(bool(model.languages)), 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), z))))).otherwise(0.0)
-    found = docs.withColumn("_p", raw_prediction(F.col("text"), shared)).withColumn("_score", score)
+    found = docs.withColumn(raw, raw_prediction(F.col("text"), shared)).withColumn(scored, score)
     return found.withColumn(
         "language",
         F.struct(
-            F.col("_p.lang_pred").alias("lang_pred"),
-            F.col("_score").alias("score"),
-            (F.col("_p.entropy") / float(np.log(2))).alias("entropy"),
-            F.col("_p.letters").alias("letters"),
-            (~some | (F.col("_p.margin") <= 0) & (F.col("_p.entropy") >= -model.uniform) | (F.col("_score") < min_score)).alias("rejected"),
+            p["lang_pred"].alias("lang_pred"),
+            F.col(scored).alias("score"),
+            (p["entropy"] / float(np.log(2))).alias("entropy"),
+            p["letters"].alias("letters"),
+            (~some | (p["margin"] <= 0) & (p["entropy"] >= -model.uniform) | (F.col(scored) < min_score)).alias("rejected"),
         ),
-    ).drop("_p", "_score")
+    ).drop(raw, scored)
 
 
 def predict_languages(docs: DataFrame) -> DataFrame:

@@ -14,14 +14,18 @@ tokens.
 
 Words are independent: no vocabulary entry has a word mark after another
 character, so text is cut before each run of marks and the table is built
-once per distinct word (a bounded memory of words is kept per worker). Runs
+once per distinct word (words are remembered per worker, up to a number of
+bytes). Runs
 of marks tie in score, so a run in front of a word is merged directly, after
 the word has taken its own mark (all word entries score higher; checked when
 the model is loaded). A character outside the vocabulary becomes its UTF-8
 byte ids.
 
 Edge cases: null or empty text has no ids and decodes to the empty string;
-very long texts are processed whole, word by word. A model that normalises
+very long texts are processed whole, word by word; equal pieces that could be
+merged next go leftmost first, as in the library; repeated rows are encoded
+each; an empty table gives no rows; other columns stay, but for one that has
+the name of the column added, which is replaced. A model that normalises
 text, is not BPE, or breaks one of the checks above is refused (ValueError).
 """
 
@@ -41,7 +45,7 @@ from pyspark.sql import functions as F
 from canvass.llm.common import hold_alone
 from canvass.llm.token_count import DEFAULT_MODEL, MARK, tokenizer_path
 
-WORDS_KEPT = 250_000
+WORDS_BYTES = 64 << 20  # of remembered words, about; a longer word than a 64th is not kept
 PAIRS_KEPT = 200_000
 ROWS_AT_ONCE = 500
 
@@ -93,6 +97,7 @@ class PrefixTableEncoder:
         self.pairs: dict[str, dict[str, bool]] = {}
         self.pairs_kept = 0
         self.words: dict[str, tuple[int, ...]] = {}
+        self.words_held = 0
         self.decimal = [str(i) for i in range(len(proto.pieces))]
 
     def _chunk_pattern(self) -> str:
@@ -182,8 +187,6 @@ class PrefixTableEncoder:
         return out
 
     def _word(self, chunk: str) -> tuple[int, ...]:
-        if len(self.words) >= WORDS_KEPT:
-            self.words.clear()
         word = chunk.lstrip(MARK)
         run = len(chunk) - len(word)
         if run > 1 or not word:
@@ -193,7 +196,14 @@ class PrefixTableEncoder:
             toks = [*self.merge(MARK * left), *rest]
         else:
             toks = self.tokens(chunk)
-        self.words[chunk] = got = tuple(self._ids(toks))
+        got = tuple(self._ids(toks))
+        size = 200 + 4 * len(chunk) + 8 * len(got)
+        if size <= WORDS_BYTES // 64:
+            if self.words_held + size > WORDS_BYTES:
+                self.words.clear()
+                self.words_held = 0
+            self.words[chunk] = got
+            self.words_held += size
         return got
 
     def encode(self, text: str | None) -> list[int]:

@@ -7,7 +7,10 @@ the score as ``-w / ln(u)``, which gives each shard a share of keys in
 proportion to its weight. Plain Catalyst expressions: no shuffle, no state.
 
 Edge cases: a null key scores as a value of its own, so all null keys share
-one shard; equal keys always share one; a shard of weight 0 takes nothing.
+one shard; equal keys always share one; a shard of weight 0 takes nothing;
+equal scores go to the lower shard; rows equal in all they are numbered by
+take slots in any order; an empty table gives no rows; other columns are
+ignored, whatever their names.
 """
 
 from __future__ import annotations

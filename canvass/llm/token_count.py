@@ -15,7 +15,7 @@ check is encoded whole).
 
 Edge cases: null counts as the empty text, which has 0 tokens; a text
 without a safe boundary is encoded whole, at about 50 bytes a byte; repeated
-rows count each; an empty table gives no rows; other columns are ignored,
+rows and rows of one id count each; ties cannot occur; an empty table gives no rows; other columns are ignored,
 whatever their names.
 """
 

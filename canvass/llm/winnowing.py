@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from canvass.llm.common import materialise
+from canvass.llm.common import free_name, materialise
 
 K, W = 24, 48
 PART_BYTES = 24 << 20
@@ -119,7 +119,7 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
 
 def fingerprint_documents(docs: DataFrame, k: int = K, w: int = W) -> DataFrame:
     """``docs`` with ``winnow_hashes`` (array<long>) and ``winnow_positions``
-    (array<int>) added."""
+    (array<int>) added; columns of these names are replaced."""
 
     @F.pandas_udf("h array<long>, p array<int>")
     def entries(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -127,8 +127,10 @@ def fingerprint_documents(docs: DataFrame, k: int = K, w: int = W) -> DataFrame:
             got = [winnow(t or "", k, w) for t in s]
             yield pd.DataFrame({"h": [h.astype(np.int64) for h, _ in got], "p": [p.astype(np.int32) for _, p in got]})
 
-    found = docs.withColumn("_w", entries(F.coalesce(F.col("text"), F.lit(""))))
-    return found.withColumn("winnow_hashes", F.col("_w.h")).withColumn("winnow_positions", F.col("_w.p")).drop("_w")
+    name = free_name("_w", docs)
+    found = docs.withColumn(name, entries(F.coalesce(F.col("text"), F.lit(""))))
+    made = F.col(name)
+    return found.withColumn("winnow_hashes", made["h"]).withColumn("winnow_positions", made["p"]).drop(name)
 
 
 def _packed(k: np.ndarray, h: np.ndarray) -> np.ndarray:

@@ -103,3 +103,38 @@ def test_gibberish_is_rejected(spark):
     odd = spark.createDataFrame([(10**6 + i, "xqzv wqkj zzxq jjqx vvwk " * 20, None, None, 1) for i in range(3)], DOC)
     got = by_id(L.predict_languages(docs.unionByName(odd)).where("doc_id >= 1000000"))
     assert all(r.rejected for r in got.values())
+
+
+def small_model():
+    rows = []
+    for lang, corpus in (("a", ["theater", "the", "then", "ether"]), ("b", ["sono", "casa", "cosa", "notte"])):
+        rows += L._count_grams(iter([pd.DataFrame({"text": corpus, "lang": lang})]))
+    return L.build_model(pd.concat(rows), ["a", "b"])
+
+
+def test_long_texts_in_pieces_equal_whole(monkeypatch):
+    text = "The then  cosa\nnotte é ether, theater sono\tΑΣ ΑΣ. " * 40
+    whole, n = L.Scorer(small_model()).entropies([text, "casa"])
+    monkeypatch.setattr(L, "PIECE", 37)
+    assert "".join(L.pieces_of(text)) == text and max(map(len, L.pieces_of(text))) < 60
+    assert list(L.pieces_of("x" * 99)) == ["x" * 99] and list(L.pieces_of("")) == [""]
+    parts, m = L.Scorer(small_model()).entropies([text, "casa"])
+    assert n.tolist() == m.tolist()
+    np.testing.assert_allclose(parts, whole, rtol=1e-9)
+
+
+def test_memory_of_words_is_bounded_by_bytes(monkeypatch):
+    monkeypatch.setattr(L, "WORDS_BYTES", 20_000)
+    s = L.Scorer(small_model())
+    words = ["x" * 500 + "abcdefghij"[i % 10] * (i // 10 + 1) for i in range(100)]
+    most = 0
+    for w in words:
+        s.entropies([w])
+        most = max(most, sum(map(len, s.index)))
+    assert most * 4 <= 25_000 and s.held < 25_000
+
+
+def test_clashing_names_stay(spark):
+    docs = documents(spark, ["the then", None]).withColumn("_p", F.lit("mine")).withColumn("_SCORE", F.lit(7))
+    got = L.identify(docs).collect()
+    assert {(r["_p"], r["_SCORE"]) for r in got} == {("mine", 7)}

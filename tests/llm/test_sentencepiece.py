@@ -99,3 +99,15 @@ def test_queries_against_library(spark, name):
     assert len(got) == len(text)
     for i, t in text.items():
         assert got[i].n_tokens == len(library(t))
+
+
+def test_memory_of_words_is_bounded_by_bytes(monkeypatch):
+    monkeypatch.setattr(B, "WORDS_BYTES", 1 << 18)
+    enc = B.PrefixTableEncoder(B.DEFAULT_MODEL)
+    rng = random.Random(11)
+    for n in [30] * 300 + [3000] * 5 + [5] * 300:
+        t = "".join(chr(rng.randint(0x4E00, 0x9FFF)) for _ in range(n))
+        assert enc.encode(t) == library(t)
+        held = sum(200 + 4 * len(w) + 8 * len(ids) for w, ids in enc.words.items())
+        assert held == enc.words_held <= 1 << 18
+        assert n < 3000 or all(len(w) < 3000 for w in enc.words)

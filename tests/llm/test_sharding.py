@@ -2,6 +2,7 @@ import math
 import zlib
 from collections import Counter
 
+import xxhash
 from pyspark.sql import functions as F
 
 from canvass.llm import sharding as S
@@ -54,3 +55,21 @@ def test_weights_and_few_moves(spark):
         assert math.isclose(share[i] / 40000, x / 8, abs_tol=0.01)
     moved = [r for r in rows if r.a != r.b]
     assert all(r.b == 4 for r in moved) and math.isclose(len(moved) / 40000, 0.2, abs_tol=0.01)
+
+
+def test_shards_equal_the_scores_computed_outside_spark(spark):
+    """Highest of one draw per shard: XXH64 of the key, then of the shard's
+    number under that seed, as a fraction between 0 and 1."""
+
+    def shard(key, n):
+        name = "\x00null" if key is None else str(key)
+        seed = xxhash.xxh64_intdigest(name.encode(), seed=42)
+        draws = [xxhash.xxh64_intdigest(i.to_bytes(4, "little"), seed=seed) >> 11 for i in range(n)]
+        return draws.index(max(draws))
+
+    docs = spark.read.parquet(f"{TESTDATA}/documents.parquet").select("doc_id", "text")
+    docs = docs.unionByName(spark.createDataFrame([(None, "a"), (-5, "b"), (1 << 62, None)], "doc_id long, text string"))
+    rows = S.shard_documents(docs, 8).collect()
+    assert len(rows) == docs.count() and {r.shard for r in rows} == set(range(8))
+    for r in rows:
+        assert (r.shard, r.grown_shard) == (shard(r.doc_id, 8), shard(r.doc_id, 9))

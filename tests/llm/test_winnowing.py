@@ -88,6 +88,8 @@ def test_query_on_fixture(spark):
 def test_array_columns(spark):
     r = by_id(N.fingerprint_documents(documents(spark, ["a" * 80, None])))
     assert list(r[0].winnow_positions) == brute_winnow("a" * 80)[1] and list(r[1].winnow_hashes) == []
+    mine = N.fingerprint_documents(documents(spark, ["abc"]).withColumn("_w", F.lit(3))).first()
+    assert mine["_w"] == 3 and len(mine.winnow_hashes) == 1
 
 
 def test_rows_without_id_spread_over_ranges(spark, monkeypatch):
