@@ -9,10 +9,11 @@ Benchmark items go to all documents in blocks of bounded size. For a block:
    under ``LEAST_TERMS`` weighted terms (their words are common, or the item
    itself is all over the corpus) form a second group with plain IDF over
    its own terms, searched apart.
-2. A distributed randomised SVD (subspace iteration on A'A, sums per
-   partition) of the TF-IDF passages of a bounded sample of documents
-   (``SAMPLE_DOCS``, lowest hash of id first, one text an id) and of all item parts gives a
-   latent space of rank ``RANK``.
+2. A distributed randomised SVD (A'A added up over partitions, subspace
+   iteration on it) of the TF-IDF passages of all documents and of all item
+   parts gives a latent space of rank ``RANK``. Documents are turned into
+   numbers of the block's terms once, which the frequencies and the passages
+   come from.
 3. Shared words give every candidate there is. An item that loses at most
    ``spare`` of its words must show ``least`` of its rarest ``spare + least``
    ones (``Shared``); every stretch of a document that does is a candidate,
@@ -35,13 +36,16 @@ columns are ignored; texts are read whole, whatever their length.
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -50,8 +54,9 @@ from canvass.llm.common import hold_alone, materialise
 COMMON = 0.02
 LEAST_TERMS = 4
 RANK, OVERSAMPLE, ROUNDS = 128, 10, 3
-SAMPLE_DOCS = 400
 BLOCK_WORDS, PART_WORDS = 16, 48
+HALF_WORDS = 32  # half a passage of the latent space
+ROWS_IN_SUM, CELLS_AT_ONCE, DENSE_AT_ONCE = 1 << 10, 1 << 21, 1 << 22
 COSINE, COVER = 0.55, 0.45
 LCS, PARAPHRASE, ANSWER = 0.8, 0.6, 4
 ITEMS_AT_ONCE, BYTES_AT_ONCE = 2000, 4 << 20
@@ -125,10 +130,10 @@ def verify(item: list, region: list) -> tuple[float, bool] | None:
 
 @dataclass
 class Space:
-    """One group of items: words as numbers, their latent vectors (weight
-    included), and the item parts in latent space."""
+    """One group of items: the group's number of each term (-1: none), their
+    latent vectors (weight included), and the item parts in latent space."""
 
-    vocabulary: dict[bytes, int]
+    number: np.ndarray
     vectors: np.ndarray
     parts: np.ndarray
     norms: np.ndarray
@@ -138,10 +143,11 @@ class Space:
 @dataclass
 class Shared:
     """The rarest words of every item, as many as may be missing from it and
-    ``least`` more: word -> its items (a range of ``item``), and per item the
-    length of a stretch and the least number of these words in one."""
+    ``least`` more: term -> number (-1: none) -> its items (a range of
+    ``item``), and per item the length of a stretch and the least number of
+    these words in one."""
 
-    vocabulary: dict[bytes, int]
+    number: np.ndarray
     first: np.ndarray
     item: np.ndarray
     stretch: np.ndarray
@@ -151,6 +157,7 @@ class Shared:
 @dataclass
 class Search:
     items: list[tuple[int | None, list[bytes]]]
+    terms: dict[bytes, int]
     spaces: list[Space]
     shared: Shared
 
@@ -170,99 +177,249 @@ def _tf(words: list, number: dict, weight: np.ndarray) -> tuple[np.ndarray, np.n
     return ids, v / np.linalg.norm(v)
 
 
-def document_frequencies(docs: DataFrame, terms: dict[bytes, int]) -> tuple[np.ndarray, int]:
-    """Per term the number of documents that hold it, and all documents."""
+def _flat(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray]:
+    """Values of a list column one after the other, and the lengths."""
+    c = batch.column(name)
+    lengths = c.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    return c.flatten().to_numpy(zero_copy_only=False), lengths
+
+
+def _lists(values: np.ndarray, lengths: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(lengths)), pa.int32()), pa.array(values))
+
+
+def numbered(docs: DataFrame, terms: dict[bytes, int]) -> DataFrame:
+    """A row per text: the numbers of its words among ``terms``, in order, and
+    for each the number of the run of ``HALF_WORDS`` words that holds it."""
     shared = docs.sparkSession.sparkContext.broadcast(terms)
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = shared.value.keys()
-        seen: Counter = Counter()
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        get = shared.value.get
+        for batch in batches:
+            texts = batch.column(0).to_pylist()
+            for i, j in _runs(texts):
+                split = [words_of(t) for t in texts[i:j]]
+                lengths = np.array([len(w) for w in split], np.int64)
+                ids = np.fromiter((get(w, -1) for w in itertools.chain.from_iterable(split)), np.int32, lengths.sum())
+                text = np.repeat(np.arange(len(split)), lengths)
+                half = (np.arange(len(ids)) - (np.cumsum(lengths) - lengths)[text]) // HALF_WORDS
+                known = ids >= 0
+                n = np.bincount(text[known], minlength=len(split))
+                yield pa.RecordBatch.from_arrays([_lists(ids[known], n), _lists(half[known].astype(np.int32), n)], ["term", "half"])
+
+    texts = docs.select("text").where(F.col("text").isNotNull())
+    return materialise(texts.mapInArrow(number, "term array<int>, half array<int>"), "numbered")
+
+
+def document_frequencies(rows: DataFrame, size: int) -> tuple[np.ndarray, int]:
+    """Per term the number of documents of :func:`numbered` that hold it, and
+    all documents."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(size, np.int64)
         n = 0
-        for pdf in batches:
-            for t in pdf["text"]:
-                seen.update(known & set(words_of(t)))
-            n += len(pdf)
-        rows = [(shared.value[w], k) for w, k in seen.items()]
-        yield pd.DataFrame([(-1, n), *rows], columns=["term", "n"])
-
-    rows = docs.select("text").where(F.col("text").isNotNull()).mapInPandas(count, "term int, n long")
-    got = rows.groupBy("term").agg(F.sum("n").alias("n")).toPandas()  # a row per term of the block
-    df = np.zeros(len(terms))
+        for batch in batches:
+            term, lengths = _flat(batch, "term")
+            pairs = np.unique(np.repeat(np.arange(len(lengths)), lengths) * size + term)
+            held += np.bincount(pairs % size, minlength=size)
+            n += len(lengths)
+        some = np.flatnonzero(held)
+        both = [pa.array(np.append(-1, some), pa.int32()), pa.array(np.append(n, held[some]), pa.int64())]
+        yield pa.RecordBatch.from_arrays(both, ["term", "n"])
+
+    got = rows.select("term").mapInArrow(count, "term int, n long")
+    got = got.groupBy("term").agg(F.sum("n").alias("n")).toPandas()  # a row per term of the block
+    df = np.zeros(size)
     some = got[got["term"] >= 0]
     df[some["term"]] = some["n"]
     return df, int(got.loc[got["term"] < 0, "n"].sum())
 
 
+def _products(ids: np.ndarray, vals: np.ndarray, lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Cells (i, j, sum), i <= j, of A'A of a few sparse rows A."""
+    if 16 * len(ids) >= len(lengths) * size:
+        a = np.zeros((len(lengths), size))
+        a[np.repeat(np.arange(len(lengths)), lengths), ids] = vals
+        full = np.triu(a.T @ a)
+        i, j = np.nonzero(full)
+        return i, j, full[i, j]
+    left = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(ids))  # from each value to the end of its row
+    one = np.repeat(np.arange(len(ids)), left)
+    other = one + np.arange(len(one)) - np.repeat(np.cumsum(left) - left, left)
+    x, y = ids[one].astype(np.int64), ids[other]
+    keys, at = np.unique(np.minimum(x, y) * size + np.maximum(x, y), return_inverse=True)
+    return keys // size, keys % size, np.bincount(at, vals[one].astype(float) * vals[other])
+
+
+def products(rows: DataFrame, size: int, cut: Callable[[Iterator], Iterator] = iter) -> DataFrame:
+    """Cells (i, j, sum), i <= j, to be added up to A'A, where the rows of A
+    (ids, vals) are those that ``cut`` makes of the Arrow batches of ``rows``."""
+
+    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in cut(batches):
+            ids, lengths = _flat(batch, "ids")
+            vals, _ = _flat(batch, "vals")
+            lengths = lengths[lengths > 0]
+            ends, pairs = np.cumsum(lengths), np.cumsum(lengths**2)
+            a = 0
+            while a < len(ends):
+                x = int(ends[a] - lengths[a])
+                b = max(a + 1, int(np.searchsorted(pairs, pairs[a] - lengths[a] ** 2 + PAIRS_AT_ONCE, "right")))
+                i, j, total = _products(ids[x : ends[b - 1]], vals[x : ends[b - 1]], lengths[a:b], size)
+                yield pa.RecordBatch.from_arrays([pa.array(i, pa.int32()), pa.array(j, pa.int32()), pa.array(total)], ["i", "j", "s"])
+                a = b
+
+    return rows.mapInArrow(cells, "i int, j int, s double")
+
+
+def _times(i: np.ndarray, j: np.ndarray, s: np.ndarray, q: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(rows, their sums) of G Q for cells of the matrix G sorted by i."""
+    first = np.flatnonzero(np.diff(i, prepend=-1))
+    sizes = np.diff(np.append(first, len(i)))
+    step = max(1, DENSE_AT_ONCE // len(q))
+    for a in range(0, len(first), step):
+        n, x = sizes[a : a + step], first[a]
+        of = slice(x, x + n.sum())
+        rows = i[first[a : a + step]]
+        if 64 * n.sum() >= len(n) * len(q):
+            g = np.zeros((len(n), len(q)))
+            np.add.at(g, (np.repeat(np.arange(len(n)), n), j[of]), s[of])
+            yield rows, g @ q
+        else:
+            yield rows, np.add.reduceat(s[of, None] * q[j[of]], first[a : a + step] - x)
+
+
 def latent_vectors(passages: DataFrame, size: int, rank: int = RANK, seed: int = 7) -> np.ndarray:
     """Right singular vectors (``size`` x rank) of the rows of ``passages``
-    (ids array<int>, vals array<float>), by randomised subspace iteration:
-    every round sums A'(A Q) over partitions."""
+    (ids array<int>, vals array<float>)."""
+    rows = passages.select(F.col("ids").cast("array<int>"), F.col("vals").cast("array<float>"))
+    return leading_vectors(products(rows, size), size, rank, seed)
+
+
+def leading_vectors(cells: DataFrame, size: int, rank: int = RANK, seed: int = 7) -> np.ndarray:
+    """Leading eigenvectors (``size`` x rank) of the matrix A'A that
+    ``cells`` (:func:`products`) add up to, by randomised subspace iteration:
+    A'A is added up once, with the cells of a row in one partition, and every
+    round sums A'A Q per partition, then by ranges of rows, so the driver
+    takes one matrix however many partitions there are."""
     k = min(size, rank + OVERSAMPLE)
     q = np.linalg.qr(np.random.default_rng(seed).normal(size=(size, k)))[0]
-    sc = passages.sparkSession.sparkContext
-    for i in range(ROUNDS + 1):
-        shared = sc.broadcast(q.astype(np.float32))
-        last = i == ROUNDS
-
-        def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    sc = cells.sparkSession.sparkContext
+    added = cells.groupBy("i", "j").agg(F.sum("s").alias("s"))
+    mirrored = F.when(F.col("i") == F.col("j"), F.array(F.struct("i", "j"))).otherwise(F.array(F.struct("i", "j"), F.struct(F.col("j").alias("i"), F.col("i").alias("j"))))
+    whole = added.select(F.explode(mirrored).alias("at"), "s").select("at.i", "at.j", "s")
+    matrix = materialise(whole.repartition(max(8, sc.defaultParallelism), "i"), "products")
+    for r in range(ROUNDS + 1):
+        shared = sc.broadcast(q)
+        last = r == ROUNDS
+
+        def partial(batches: Iterator[pa.RecordBatch], shared=shared, last=last) -> Iterator[pa.RecordBatch]:
             q = shared.value
-            out = np.zeros((q.shape[1] if last else len(q), q.shape[1]))
-            for pdf in batches:
-                for ids, vals in zip(pdf["ids"], pdf["vals"]):
-                    y = vals @ q[ids]
+            out = np.zeros((k if last else size, k))
+            batches = iter(batches)
+            while some := list(_up_to(batches, CELLS_AT_ONCE)):
+                i, j, s = (np.concatenate([b.column(c).to_numpy(zero_copy_only=False) for b in some]) for c in range(3))
+                order = np.argsort(i, kind="stable")
+                for at, add in _times(i[order], j[order], s[order], q):
                     if last:
-                        out += np.outer(y, y)
+                        out += q[at].T @ add
                     else:
-                        out[ids] += np.outer(vals, y)
-            yield pd.DataFrame({"m": [out.astype(np.float32).tobytes()]})
-
-        sums = passages.coalesce(8).mapInPandas(partial, "m binary").collect()
-        total = sum(np.frombuffer(r.m, np.float32).astype(float) for r in sums).reshape(-1, k)
+                        out[at] += add
+            part = TaskContext.get().partitionId()
+            for first in range(0, len(out), ROWS_IN_SUM):
+                m = out[first : first + ROWS_IN_SUM]
+                if m.any():
+                    fields = [pa.array([first], pa.int32()), pa.array([part], pa.int32()), pa.array([m.tobytes()], pa.binary())]
+                    yield pa.RecordBatch.from_arrays(fields, ["first", "part", "m"])
+
+        def add_up(pdf: pd.DataFrame) -> pd.DataFrame:
+            parts = pdf.sort_values("part")["m"]  # in one order, so that a retry adds up to the same
+            return pd.DataFrame({"first": pdf["first"][:1], "m": [sum(np.frombuffer(m) for m in parts).tobytes()]})
+
+        sums = matrix.mapInArrow(partial, "first int, part int, m binary").groupBy("first").applyInPandas(add_up, "first int, m binary")
+        total = np.zeros((k if last else size, k))
+        for row in sums.collect():  # a row per ROWS_IN_SUM terms of the block
+            m = np.frombuffer(row["m"]).reshape(-1, k)
+            total[row["first"] : row["first"] + len(m)] = m
         if last:
             values, u = np.linalg.eigh(total)
             return q @ u[:, np.argsort(-values)[:rank]]
         q = np.linalg.qr(total)[0]
 
 
-def _space(docs: DataFrame, items: list[tuple[int, list]], weight_of: dict[bytes, float]) -> Space:
+def _up_to(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """Batches until they hold ``rows`` rows."""
+    for batch in batches:
+        yield batch
+        rows -= len(batch)
+        if rows <= 0:
+            return
+
+
+def _cut_passages(number: np.ndarray, weight: np.ndarray) -> Callable[[Iterator], Iterator]:
+    """Function of Arrow batches of :func:`numbered`: unit TF-IDF rows (ids,
+    vals) of the passages of its documents, two neighbouring runs of words
+    each."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            term, lengths = _flat(batch, "term")
+            half, _ = _flat(batch, "half")
+            text = np.repeat(np.arange(len(lengths)), lengths)
+            size = np.zeros(len(lengths), np.int64)
+            np.maximum.at(size, text, half + 1)
+            word = number[term]
+            known = word >= 0
+            run = ((np.cumsum(size) - size)[text] + half)[known]
+            word, second = word[known], half[known] > 0
+            keys = np.concatenate((run, run[second] - 1)) * len(weight) + np.concatenate((word, word[second]))
+            keys, n = np.unique(keys, return_counts=True)
+            if not len(keys):
+                continue
+            passage, ids = keys // len(weight), (keys % len(weight)).astype(np.int32)
+            first = np.flatnonzero(np.diff(passage, prepend=-1))
+            sizes = np.diff(np.append(first, len(keys)))
+            vals = n * weight[ids]
+            vals /= np.repeat(np.sqrt(np.add.reduceat(vals**2, first)), sizes)
+            yield pa.RecordBatch.from_arrays([_lists(ids, sizes), _lists(vals, sizes)], ["ids", "vals"])
+
+    return cut
+
+
+def _space(rows: DataFrame, items: list[tuple[int, list]], weight_of: dict[bytes, float], terms: dict[bytes, int]) -> Space:
+    """``rows``: all documents as :func:`numbered` by ``terms``."""
     number = {w: i for i, w in enumerate(sorted(weight_of))}
     weight = np.array([weight_of[w] for w in sorted(weight_of)])
+    number_of_term = _renumbered(number, terms)
     parts, owner = [], []
     for i, words in items:
         for p in _split_item(words):
             if (row := _tf(p, number, weight)) is not None:
                 parts.append(row)
                 owner.append((i, np.linalg.norm([weight_of.get(w, 0.0) * n for w, n in Counter(p).items()])))
-    spark = docs.sparkSession
-    own = spark.createDataFrame([(r[0].tolist(), r[1].tolist()) for r in parts], "ids array<int>, vals array<float>")
-    shared = spark.sparkContext.broadcast((number, weight))
-
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        number, weight = shared.value
-        for pdf in batches:
-            for t in pdf["text"]:
-                w = words_of(t)
-                got = [r for i in range(0, len(w), 32) if (r := _tf(w[i : i + 64], number, weight)) is not None]
-                if got:
-                    yield pd.DataFrame({"ids": [r[0] for r in got], "vals": [r[1] for r in got]})
-
-    key = F.xxhash64(F.col("doc_id"), F.lit("lsa"))
-    chosen = docs.select(key.alias("_h")).orderBy("_h").limit(SAMPLE_DOCS).distinct()
-    sample = docs.select(key.alias("h"), "text").join(F.broadcast(chosen), F.col("h") == F.col("_h"), "left_semi")
-    sample = sample.groupBy("h").agg(F.min("text").alias("text"))  # one text of an id, however often it repeats
-    sample = sample.select("text").where(F.col("text").isNotNull()).mapInPandas(rows, "ids array<int>, vals array<float>")
-    v = latent_vectors(materialise(own.unionByName(sample), "passages"), len(number))
+    own = rows.sparkSession.createDataFrame([(r[0].tolist(), r[1].tolist()) for r in parts], "ids array<int>, vals array<double>")
+    cells = products(own, len(number)).unionByName(products(rows, len(number), _cut_passages(number_of_term, weight)))
+    v = leading_vectors(cells, len(number))
     vectors = (v * weight[:, None]).astype(np.float32)
     latent = np.array([r[1] @ v[r[0]] * norm for r, (_, norm) in zip(parts, owner)], np.float32)
     norms = np.linalg.norm(latent, axis=1)
     good = norms > 0
     unit = latent[good] / norms[good, None]
-    return Space(number, vectors, unit, norms[good], np.array([i for i, _ in owner])[good])
+    return Space(number_of_term, vectors, unit, norms[good], np.array([i for i, _ in owner])[good])
+
+
+def _renumbered(number: dict[bytes, int], terms: dict[bytes, int]) -> np.ndarray:
+    """Per term its number in ``number``, -1 where it has none."""
+    out = np.full(len(terms), -1, np.int64)
+    for w, i in number.items():
+        out[terms[w]] = i
+    return out
 
 
 def build_search(docs: DataFrame, items: list[tuple[int | None, list[bytes]]]) -> Search:
     terms = {w: i for i, w in enumerate(sorted({w for _, words in items for w in words}))}
-    df, n = document_frequencies(docs, terms)
+    rows = numbered(docs, terms)
+    df, n = document_frequencies(rows, len(terms))
     idf = np.log((n + 1) / (df + 1))
     rare = np.maximum(0.0, idf - np.log(1 / COMMON))
     weighted = [sum(rare[terms[w]] > 0 for w in set(words)) >= min(LEAST_TERMS, len(set(words))) for _, words in items]
@@ -271,8 +428,8 @@ def build_search(docs: DataFrame, items: list[tuple[int | None, list[bytes]]]) -
         group = [(i, words) for i, (_, words) in enumerate(items) if weighted[i] == flag]
         of = {w: weight[terms[w]] for _, words in group for w in words if weight[terms[w]] > 0}
         if of:
-            spaces.append(_space(docs, group, of))
-    return Search(items, spaces, _shared(items, terms, df))
+            spaces.append(_space(rows, group, of, terms))
+    return Search(items, terms, spaces, _shared(items, terms, df))
 
 
 def _shared(items: list[tuple[int | None, list[bytes]]], terms: dict[bytes, int], df: np.ndarray) -> Shared:
@@ -292,20 +449,19 @@ def _shared(items: list[tuple[int | None, list[bytes]]], terms: dict[bytes, int]
         least.append(hits)
     first = np.cumsum([0, *map(len, held.values())])
     item = np.array([i for x in held.values() for i in x], np.int64)
-    return Shared({w: k for k, w in enumerate(held)}, first, item, np.array(sizes, np.int64), np.array(least, np.int64))
+    number = _renumbered({w: k for k, w in enumerate(held)}, terms)
+    return Shared(number, first, item, np.array(sizes, np.int64), np.array(least, np.int64))
 
 
-def _sharing(shared: Shared, split: list[list[bytes]]) -> Iterator[tuple[int, int, int]]:
+def _sharing(shared: Shared, terms: np.ndarray, lengths: np.ndarray) -> Iterator[tuple[int, int, int]]:
     """All candidates (document, first word of a stretch, item) of a few texts
-    by shared words. Texts are cut into stretches of each item's length; one
+    by shared words, from the numbers of their words (-1: none). Texts are cut into stretches of each item's length; one
     that an item could be in lies within two neighbouring ones."""
-    get = shared.vocabulary.get
-    lengths = np.array([len(w) for w in split])
-    ids = np.fromiter((get(w, -1) for words in split for w in words), np.int64, lengths.sum())
+    ids = np.append(shared.number, -1)[terms]
     hit = np.flatnonzero(ids >= 0)
     if not len(hit):
         return
-    text = np.repeat(np.arange(len(split)), lengths)[hit]
+    text = np.repeat(np.arange(len(lengths)), lengths)[hit]
     place = hit - (np.cumsum(lengths) - lengths)[text]
     base = np.cumsum(lengths + 2) - (lengths + 2)  # no stretch is next to one of another text
     width = int(base[-1] + lengths[-1] + 2)
@@ -336,23 +492,22 @@ def _cosine(search: Search, i: int, words: list[bytes]) -> float:
     best = 0.0
     for space in search.spaces:
         mine = space.part_item == i
-        known = [k for w in words if (k := space.vocabulary.get(w)) is not None]
+        known = [k for w in words if (t := search.terms.get(w)) is not None and (k := space.number[t]) >= 0]
         if mine.any() and known:
             v = space.vectors[known].sum(0)
             best = max(best, float((space.parts[mine] @ v).max() / max(np.linalg.norm(v), 1e-9)))
     return best
 
 
-def _windows(space: Space, split: list[list[bytes]]):
-    """Candidates (document, first word, item, cosine) of a few texts."""
+def _windows(space: Space, terms: np.ndarray, lengths: np.ndarray):
+    """Candidates (document, first word, item, cosine) of a few texts, from
+    the numbers of their words (-1: none)."""
     rank = space.vectors.shape[1]
-    get = space.vocabulary.get
-    blocks = np.array([-(-len(w) // BLOCK_WORDS) for w in split])
+    blocks = -(-lengths // BLOCK_WORDS)
     first = np.cumsum(blocks + 3) - (blocks + 3)  # three empty blocks after each text
     total = int((blocks + 3).sum())
-    ids = np.fromiter((get(w, -1) for words in split for w in words), np.int64, sum(map(len, split)))
-    lengths = np.array([len(w) for w in split])
-    text = np.repeat(np.arange(len(split)), lengths)
+    ids = np.append(space.number, -1)[terms]
+    text = np.repeat(np.arange(len(lengths)), lengths)
     place = np.arange(len(ids)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
     hit = np.flatnonzero(ids >= 0)
     if not len(hit):
@@ -383,10 +538,13 @@ def _windows(space: Space, split: list[list[bytes]]):
 def find_leaks(search: Search, texts: list[str | None]) -> list[tuple[int, int, float, float, bool]]:
     """(text, item, cosine, LCS share, answer found) for a few texts."""
     split = [words_of(t) for t in texts]
+    lengths = np.array([len(w) for w in split], np.int64)
+    get = search.terms.get
+    terms = np.fromiter((get(w, -1) for w in itertools.chain.from_iterable(split)), np.int64, lengths.sum())
     out = []
     done: dict[tuple[int, int], set] = {}
     for space in search.spaces:
-        for d, start, i, cosine in sorted(_windows(space, split), key=lambda c: (c[0], c[2], -c[3], c[1])):
+        for d, start, i, cosine in sorted(_windows(space, terms, lengths), key=lambda c: (c[0], c[2], -c[3], c[1])):
             tried = done.setdefault((d, i), set())
             if None in tried or start in tried:
                 continue
@@ -396,7 +554,7 @@ def find_leaks(search: Search, texts: list[str | None]) -> list[tuple[int, int,
             if got := verify(item, split[d][max(0, start - n) : start + 4 * BLOCK_WORDS + n]):
                 tried.add(None)
                 out.append((d, i, cosine, *got))
-    for d, start, i in _sharing(search.shared, split):
+    for d, start, i in _sharing(search.shared, terms, lengths):
         tried = done.setdefault((d, i), set())
         if None not in tried:
             size = int(search.shared.stretch[i])

@@ -171,3 +171,46 @@ def test_latent_vectors_span_the_leading_directions(spark):
     v = D.latent_vectors(spark.createDataFrame(rows, "ids array<int>, vals array<float>").repartition(3), 40, rank=6)
     want = np.linalg.svd(a)[2][:6].T
     np.testing.assert_allclose(np.linalg.svd(want.T @ v)[1], np.ones(6), atol=1e-3)
+
+
+def test_latent_space_takes_all_documents(spark):
+    """Two item words share passages only in documents behind the 400 lowest
+    hashes, and on both sides of a passage's middle."""
+    ids = [r.id for r in spark.range(900).orderBy(F.xxhash64("id", F.lit("lsa"))).collect()]
+    items = [(i, [b"%s%d" % (c, k) for k in range(12)]) for i, c in enumerate((b"a", b"b"))]
+    texts = {d: ["w"] * 100 for d in ids}
+    for n, d in enumerate(ids[400:416]):
+        texts[d][20 + n], texts[d][36 + 3 * n] = "a0", "b0"
+        texts[d][95 - n] = "a1"
+    rows = [(d, " ".join(texts[d]), "en", "s", 1) for d in ids]
+    (space,) = D.build_search(spark.createDataFrame(rows, DOC).repartition(5), items).spaces
+    words = sorted(w for _, x in items for w in x)
+    found = {w: sum(w in t for t in ([x.encode() for x in t] for t in texts.values())) for w in words}
+    weight = np.array([np.log(901 / (found[w] + 1)) - np.log(1 / D.COMMON) for w in words])
+    passages = [x for _, x in items] + [t[i : i + 64] for t in ([x.encode() for x in t] for t in texts.values()) for i in range(0, 100, 32)]
+    a = np.array([[p.count(w) for w in words] for p in passages]) * weight
+    a = a[a.any(1)]
+    want = np.linalg.svd(a / np.linalg.norm(a, axis=1, keepdims=True))[2]
+    got = (space.vectors / weight[:, None]).T
+    np.testing.assert_allclose(np.abs((got * want).sum(1))[:3], 1, atol=1e-4)
+
+
+def test_products_of_sparse_and_full_rows_agree():
+    rng = np.random.default_rng(3)
+    for size in (7, 4000):
+        lengths = rng.integers(1, 6, 50)
+        ids = np.concatenate([rng.choice(size, n, False) for n in lengths]).astype(np.int32)
+        vals = rng.random(len(ids))
+        a = np.zeros((50, size))
+        a[np.repeat(np.arange(50), lengths), ids] = vals
+        i, j, s = D._products(ids, vals, lengths, size)
+        got = np.zeros((size, size))
+        got[i, j] = s
+        np.testing.assert_allclose(got, np.triu(a.T @ a), atol=1e-9)
+        q = rng.normal(size=(size, 5))
+        full = a.T @ a
+        i, j = np.nonzero(full)
+        out = np.zeros((size, 5))
+        for at, add in D._times(i, j, full[i, j], q):
+            out[at] += add
+        np.testing.assert_allclose(out, full @ q, atol=1e-9)
