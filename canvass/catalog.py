@@ -22,11 +22,11 @@ from canvass import schema as S
 from canvass.functions import is_national
 from canvass.operators import reported_precincts, row_positions
 from canvass.plans import base, stats, tallies
-from canvass.session import scratch_path
+from canvass.session import count_files, scratch_path
 from canvass.sinks import LINE_ORDER, read_csv, with_line_order, write_csv, write_delimited_tables, write_partitioned_csv, write_text
 from canvass.sources.bundle import Election, merged_results
 from canvass.sources.delimited import load_election, read_table
-from canvass.sources.testdata import election_from_testdata, full_tables, results_from
+from canvass.sources.testdata import election_from_testdata, full_tables, results_from, results_raw
 from canvass.streaming import reception as live
 from canvass.streaming.common import least_table, overwrite_table, read_least, run_available
 from canvass.streaming.running_tally import running_tally
@@ -87,7 +87,7 @@ ELECTION_QUERIES: dict[str, Callable[[Election], DataFrame]] = {
     "reception_rate_by_minute": stats.reception_rate_by_minute,
 }
 
-FEED_FILES = 6  # files, and so micro-batches, of the reception feed
+FEED_BATCHES = 6  # micro-batches of the reception feed
 
 _EXPORTS: dict[tuple[str, str], str] = {}
 
@@ -288,17 +288,22 @@ def stream_running_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_reception_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T3: the results table arrives as ``FEED_FILES`` files whose rows are
-    in no time order, one file per micro-batch. The stream keeps each
+    """T3: the results table arrives in ``FEED_BATCHES`` micro-batches whose
+    rows are in no time order. Every task that derives the table writes its
+    rows as ``FEED_BATCHES`` files, dealt by hash, so files and tasks stay of
+    one size as the table grows, and a micro-batch takes as many files as
+    there were tasks. The stream keeps each
     machine's earliest reception time, writes every change per epoch and
     merges the epochs to one row a machine on the way; the result counts machines per minute of their earliest time, as the batch
     report does."""
     feed, out = scratch_path(spark, "reception-feed"), scratch_path(spark, "reception-rate")
-    results = full_tables(spark, sf_dir)["results"]
-    part = F.pmod(F.xxhash64("PRECINCT_CODE", "CANDIDATE_CODE", "RECEPTION_DATE"), F.lit(FEED_FILES))
-    results.repartition(FEED_FILES, part).write.parquet(feed)
-    stream = spark.readStream.schema(results.schema).option("maxFilesPerTrigger", 1).parquet(feed)
-    sink = least_table(out, "PRECINCT_CODE", "RECEPTION_TS", every=FEED_FILES // 2)
+    results = results_raw(spark, sf_dir)
+    part = F.pmod(F.xxhash64("PRECINCT_CODE", "CANDIDATE_CODE", "RECEPTION_DATE"), F.lit(FEED_BATCHES))
+    results.withColumn("ARRIVAL", part).write.partitionBy("ARRIVAL").parquet(feed)
+    files = max(1, -(-count_files(spark, feed, ".parquet") // FEED_BATCHES))
+    arriving = T.StructType([*results.schema.fields, T.StructField("ARRIVAL", T.LongType())])
+    stream = spark.readStream.schema(arriving).option("maxFilesPerTrigger", files).parquet(feed)
+    sink = least_table(out, "PRECINCT_CODE", "RECEPTION_TS", every=FEED_BATCHES // 2)
     run_available(live.earliest_reception(stream), sink, scratch_path(spark, "ckpt"), "update")
     return live.machines_per_minute(read_least(spark, out, live.EARLIEST))
 

@@ -86,6 +86,15 @@ def discard(spark: SparkSession, uri: str) -> None:
     fs.delete(path, True)
 
 
+def count_files(spark: SparkSession, uri: str, suffix: str) -> int:
+    """Files below ``uri`` whose names end in ``suffix``."""
+    fs, path = hadoop_path(spark, uri)
+    found, n = fs.listFiles(path, True), 0
+    while found.hasNext():
+        n += found.next().getPath().getName().endswith(suffix)
+    return n
+
+
 _scopes: list[list[str]] = []
 
 

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from canvass import schema as S
+from canvass.session import stored
 from canvass.sources.bundle import Election
 
 
@@ -156,6 +157,15 @@ def full_tables(
     }
 
 
+def derived_tables(spark: SparkSession, sf_dir: str, results: DataFrame) -> dict[str, DataFrame]:
+    """The four tables beside a stored copy of the results. Candidates and
+    contests come from its distinct code pairs, read from it once."""
+    pairs = stored(results.select("CONTEST_CODE", "CANDIDATE_CODE").distinct(), "contest-candidates")
+    tables = full_tables(spark, sf_dir, pairs)
+    del tables["results"]
+    return tables
+
+
 COPY_SHIFT = 10_000_000
 
 

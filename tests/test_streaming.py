@@ -222,3 +222,40 @@ def test_least_table_stays_as_large_as_its_keys(spark):
     assert len(_epochs(spark, f"{out}/merged")) <= 2 and len(_epochs(spark, f"{out}/appended")) <= 2 * every
     sink(spark.createDataFrame([(0, start - timedelta(days=1))], live.EARLIEST), 50)
     assert {r.PRECINCT_CODE: r.RECEPTION_TS for r in read_least(spark, out, live.EARLIEST).collect()}[0] == start - timedelta(days=1)
+
+
+def _derived(spark, folder, orders=400):
+    """lineitem, orders and the dimensions below ``folder``, three lines an order."""
+    from pyspark.sql import functions as F
+
+    o = spark.range(orders).select(F.col("id").alias("o_orderkey"), (F.col("id") % 150).alias("o_custkey"))
+    line = F.explode(F.sequence(F.lit(1), F.lit(3)))
+    li = o.select(F.col("o_orderkey").alias("l_orderkey"), (F.col("o_custkey") % 10).alias("l_suppkey"), line.alias("l_linenumber"), F.lit(7.0).alias("l_quantity"))
+    c = spark.range(150).select(F.col("id").alias("c_custkey"), F.lit("C").alias("c_name"), F.lit(1).alias("c_nationkey"), F.lit("M").alias("c_mktsegment"))
+    n = spark.createDataFrame([(1, "N", 2)], "n_nationkey int, n_name string, n_regionkey int")
+    r = spark.createDataFrame([(2, "R")], "r_regionkey int, r_name string")
+    for name, df in {"orders": o, "lineitem": li, "customer": c, "nation": n, "region": r}.items():
+        df.coalesce(1).write.parquet(f"{folder}/{name}.parquet")
+
+
+def test_reception_feed_has_more_files_where_more_tasks_write_it(spark, tmp_path, monkeypatch):
+    """Six micro-batches however many files there are, so no task reads a
+    fixed share of the table."""
+    from canvass import catalog
+    from canvass.plans import stats
+    from canvass.sources.testdata import election_from_testdata
+
+    _derived(spark, str(tmp_path / "in"))
+    monkeypatch.setattr(catalog, "scratch_path", lambda _, name: str(tmp_path / name))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        got = rows(catalog.stream_reception_rate(spark, str(tmp_path / "in")))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(list((tmp_path / "reception-feed").rglob("*.parquet"))) > 6
+    assert len(list((tmp_path / "ckpt" / "commits").glob("[0-9]*"))) == 6
+    assert sum(n for _, n in got) == 135 and stats.reception_rate_by_minute(election_from_testdata(spark, str(tmp_path / "in"))).count() > 0
