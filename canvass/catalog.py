@@ -26,7 +26,7 @@ from canvass.session import count_files, scratch_path
 from canvass.sinks import LINE_ORDER, read_csv, with_line_order, write_csv, write_delimited_tables, write_partitioned_csv, write_text
 from canvass.sources.bundle import Election, merged_results
 from canvass.sources.delimited import load_election, read_table
-from canvass.sources.testdata import election_from_testdata, full_tables, results_from, results_raw
+from canvass.sources.testdata import derived_tables, election_from_testdata, results_from, results_raw
 from canvass.streaming import reception as live
 from canvass.streaming.common import least_table, overwrite_table, read_least, run_available
 from canvass.streaming.running_tally import running_tally
@@ -94,15 +94,26 @@ _EXPORTS: dict[tuple[str, str], str] = {}
 
 def exported_tables(spark: SparkSession, sf_dir: str) -> str:
     """Write the five election tables derived from ``sf_dir`` as
-    pipe-delimited CSV (once per application) and return their folder."""
+    pipe-delimited CSV (once per application) and return their folder. The
+    fact is derived once: the others come from the file written of it."""
     key = (spark.conf.get("spark.app.id", ""), sf_dir)
     if key not in _EXPORTS:
         root = scratch_path(spark, "tables")
-        write_delimited_tables(full_tables(spark, sf_dir), root)
+        _write_drop(spark, sf_dir, root)
         _EXPORTS[key] = root
     return _EXPORTS[key]
 
 
+def _write_drop(spark: SparkSession, sf_dir: str, root: str) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Write the five tables below ``root``; returns the results as read from
+    there and the other four."""
+    write_delimited_tables({"results": results_raw(spark, sf_dir)}, root)
+    results = read_table(spark, f"{root}/results.csv", "results")
+    others = derived_tables(spark, sf_dir, results)
+    write_delimited_tables(others, root)
+    return results, others
+
+
 def _scan(table: str, cols: tuple[str, ...] | None = None) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         df = read_table(spark, f"{exported_tables(spark, sf_dir)}/{table}.csv", table)
@@ -312,9 +323,8 @@ def stream_snapshot_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two snapshot drops land, the older one with only the even precincts'
     results; the drop stream publishes the national tally of the newer."""
     drops = scratch_path(spark, "drops")
-    tables = full_tables(spark, sf_dir)
-    older = {**tables, "results": tables["results"].where(F.col("PRECINCT_CODE") % 2 == 0)}
-    write_delimited_tables(tables, f"{drops}/01-02-22--08-00")
+    results, others = _write_drop(spark, sf_dir, f"{drops}/01-02-22--08-00")
+    older = {"results": results.where(F.col("PRECINCT_CODE") % 2 == 0), **others}
     write_delimited_tables(older, f"{drops}/12-31-21--23-59")
     out = scratch_path(spark, "snapshot_tally")
     return publish_newest_drop(spark, drops, out, scratch_path(spark, "ckpt"), tallies.tally_national)

@@ -259,3 +259,23 @@ def test_reception_feed_has_more_files_where_more_tasks_write_it(spark, tmp_path
     assert len(list((tmp_path / "reception-feed").rglob("*.parquet"))) > 6
     assert len(list((tmp_path / "ckpt" / "commits").glob("[0-9]*"))) == 6
     assert sum(n for _, n in got) == 135 and stats.reception_rate_by_minute(election_from_testdata(spark, str(tmp_path / "in"))).count() > 0
+
+
+def test_tables_beside_the_results_do_not_derive_the_fact_again(spark, tmp_path, monkeypatch):
+    """Candidates, contests and the older drop come from the file written of
+    the results, not from another join of lineitem and orders."""
+    from canvass import catalog
+
+    _derived(spark, str(tmp_path / "in"))
+    written, write = [], catalog.write_delimited_tables
+
+    def watched(tables, root):
+        written.extend((root, name, df.inputFiles()) for name, df in tables.items())
+        write(tables, root)
+
+    monkeypatch.setattr(catalog, "write_delimited_tables", watched)
+    assert catalog.all_queries()["scan_results"](spark, str(tmp_path / "in")).count() == 1080
+    assert catalog.stream_snapshot_tally(spark, str(tmp_path / "in")).count() == 27  # nine candidates in each of three contests
+    assert len(written) == 15
+    joined = [(root.rsplit("/", 1)[1], name) for root, name, files in written if any("/orders.parquet" in f for f in files)]
+    assert [name for _, name in joined] == ["results", "results"]
