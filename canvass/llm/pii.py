@@ -23,16 +23,16 @@ kinds of ties until they settle, and a token takes a kind if its marginal is
 over one half. Runs of one kind with white space between them that touch no
 base span become added spans.
 
-Training is by pseudo-likelihood with the base spans as labels, on a bounded
-sample found in a scan of all rows: for every kind ``KIND_DOCS`` documents with
-a base span of it, and ``SAMPLE_DOCS`` of all documents with candidate tokens
-(lowest hash of id and text first, equal rows once). ``SAMPLE_TOKENS`` come
-from each, from anywhere in the text: up to half around its base spans, kinds
-in turn, the rest by hash of their place. Every text is then labelled whole.
+Training is by pseudo-likelihood with the base spans as labels, on all tokens
+of all rows. What the likelihood of a token depends on (its features, its label
+and those of the tokens it is tied to) is its pattern; Spark counts the
+patterns in one scan, and gradients are sums over the distinct ones: in the
+driver up to ``IN_DRIVER`` of them, in Spark tasks beyond that. Every text is
+then labelled whole.
 
 Edge cases: null is the empty text, without spans; a table without candidate
 tokens trains nothing and adds nothing; spans are code points, end exclusive;
-repeated rows are labelled each; an empty table gives no rows.
+repeated rows count and are labelled each; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -41,22 +41,26 @@ import hashlib
 import itertools
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from canvass.llm.common import hold_alone, materialise
+from canvass.llm.common import by_bytes, hold_alone, materialise
 
 KINDS = ["email", "ip", "card", "phone"]
-SAMPLE_DOCS, KIND_DOCS, SAMPLE_TOKENS = 2000, 500, 200
-FEATURES = 1 << 12
+SAMPLE_DOCS, SAMPLE_TOKENS = 2000, 200  # for callers that look at a part of the rows; training takes all
+FEATURES, WIDTH = 1 << 12, 14  # feature numbers, and features of a token
+IN_DRIVER = 1 << 15  # distinct patterns whose gradient the driver adds up itself
+LEAST_SHARE, LEAST_TOKENS = 1e-4, 10  # a feature is learned in full from such a share of the tokens, or from so many
 ROUNDS, SETTLED, DAMPING = 30, 1e-4, 0.3
 SAME = 2.0  # prior skip potential of equal labels
 LABELS = len(KINDS) + 1  # 0: no entity
+PATTERN = np.dtype([("features", "<u2", WIDTH), ("left", "i1"), ("right", "i1"), ("label", "i1"), ("skip", "<i4", LABELS)])
 
 _LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 _domain = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+").match
@@ -207,8 +211,7 @@ def graph(texts: list[str], spans: list[list[Span]], most: int | None = None) ->
             mine.append((key, n))
         skip += [(hub[k], n) for k, n in mine if hub[k] != n]
     as_int = lambda x, *shape_: np.array(x, np.int64).reshape(len(x), *shape_)
-    width = 14
-    g = Graph(as_int(doc), as_int(start), as_int(stop), as_int(feats, width), as_int(label), as_int(chain, 2), as_int(skip, 2))
+    g = Graph(as_int(doc), as_int(start), as_int(stop), as_int(feats, WIDTH), as_int(label), as_int(chain, 2), as_int(skip, 2))
     return g if most is None else _part(g, most)
 
 
@@ -253,45 +256,55 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return x / x.sum(1, keepdims=True)
 
 
-def fit(g: Graph, steps: int = 300, rate: float = 0.2, decay: float = 1e-3) -> Field | None:
-    """Pseudo-likelihood: every token given its features and the labels of
-    the tokens it is tied to. A token without a base span has the label of the
-    base match it repeats, else none. Skip potentials start from, and decay
-    to, a preference for equal labels, so that a sample without repeats still
-    ties them."""
-    n = len(g.label)
-    if not n or (g.label >= 0).sum() == 0:
-        return None
-    y = np.maximum(g.label, 0)
+def patterns(g: Graph) -> np.ndarray:
+    """The pattern of each token: features, own label, the labels before and
+    after in the chain (-1: no tie), and how many skip ties lead to each
+    label. A token without a base span has the label of the base match it
+    repeats, else none."""
     hub, other = g.skip.T
+    y = np.maximum(g.label, 0)
     y[other] = np.where(g.label[other] < 0, y[hub], y[other])
-    one = np.eye(LABELS)[y]
-    prior = SAME * np.eye(LABELS)
-    w = Field(np.zeros((FEATURES, LABELS)), np.zeros((LABELS, LABELS)), prior.copy())
-    rest = (np.zeros(1), np.zeros(1), prior)
-    sq = [np.full_like(x, 1e-8) for x in (w.unary, w.chain, w.skip)]
     a, b = g.chain.T
-    p, q = g.skip.T
+    out = np.zeros(len(y), PATTERN)
+    out["features"], out["label"], out["left"], out["right"] = g.features, y, -1, -1
+    out["right"][a], out["left"][b] = y[b], y[a]
+    np.add.at(out["skip"], (hub, y[other]), 1)
+    np.add.at(out["skip"], (other, y[hub]), 1)
+    return out
+
+
+def _field(x: np.ndarray) -> Field:
+    unary, chain, skip = np.split(x, (FEATURES * LABELS, FEATURES * LABELS + LABELS**2))
+    return Field(unary.reshape(-1, LABELS), chain.reshape(LABELS, LABELS), skip.reshape(LABELS, LABELS))
+
+
+def gradient(p: np.ndarray, n: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Gradient of the log pseudo-likelihood of patterns that occur ``n``
+    times each, by the weights ``x`` (those of a :class:`Field` in a row)."""
+    w = _field(x)
+    f = p["features"].astype(np.int64)
+    left, right = (np.eye(LABELS + 1)[p[side]][:, :LABELS] for side in ("left", "right"))  # -1: all zero
+    s = sum(w.unary[c] for c in f.T) + right @ w.chain.T + left @ w.chain + p["skip"] @ w.skip
+    err = (np.eye(LABELS)[p["label"]] - _softmax(s)) * n[:, None]
+    unary = [np.bincount(f.ravel(), np.repeat(e, WIDTH), FEATURES) for e in err.T]
+    skip = p["skip"].T @ err
+    return np.concatenate((np.stack(unary, 1).ravel(), (err.T @ right + left.T @ err).ravel(), ((skip + skip.T) / 2).ravel()))
+
+
+def fit(gradient_at: Callable[[np.ndarray], np.ndarray], n: int, steps: int = 300, rate: float = 0.2, decay: float = 1e-3) -> Field:
+    """Pseudo-likelihood of ``n`` tokens: each given its features and the
+    labels of the tokens it is tied to; ``gradient_at`` takes weights as
+    :func:`gradient` does. Skip potentials start from, and decay to, a
+    preference for equal labels, so that texts without repeats still tie
+    them."""
+    prior = np.concatenate((np.zeros(FEATURES * LABELS + LABELS**2), SAME * np.eye(LABELS).ravel()))
+    x = prior.copy()
+    sq = np.full_like(x, min(LEAST_SHARE, LEAST_TOKENS / n) ** 2)
     for _ in range(steps):
-        s = sum(w.unary[f] for f in g.features.T)
-        np.add.at(s, a, w.chain[:, y[b]].T)
-        np.add.at(s, b, w.chain[y[a]])
-        np.add.at(s, p, w.skip[y[q]])
-        np.add.at(s, q, w.skip[y[p]])
-        err = (one - _softmax(s)) / n
-        gu = np.zeros_like(w.unary)
-        np.add.at(gu, g.features, err[:, None, :])
-        gc, gs = np.zeros_like(w.chain), np.zeros_like(w.skip)
-        np.add.at(gc.T, y[b], err[a])
-        np.add.at(gc, y[a], err[b])
-        np.add.at(gs, y[q], err[p])
-        np.add.at(gs, y[p], err[q])
-        gs = (gs + gs.T) / 2
-        for x, grad, acc, x0 in zip((w.unary, w.chain, w.skip), (gu, gc, gs), sq, rest):
-            grad = grad - decay * (x - x0) / n**0.5
-            acc += grad**2
-            x += rate * grad / np.sqrt(acc)
-    return w
+        grad = gradient_at(x) / n - decay * (x - prior) / n**0.5
+        sq += grad**2
+        x += rate * grad / np.sqrt(sq)
+    return _field(x)
 
 
 def marginals(g: Graph, w: Field) -> np.ndarray:
@@ -353,48 +366,49 @@ def find_spans(texts: list[str], w: Field | None) -> list[tuple[list[Span], list
     return [(b, sorted(b + a)) for b, a in zip(base, added_spans(texts, base, w))]
 
 
+def count_patterns(docs: DataFrame) -> DataFrame:
+    """``pattern`` (bytes of a ``PATTERN``), ``label`` and ``n`` of all tokens
+    of all rows."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for texts in by_bytes(batch.column(0).to_pylist(), 1 << 20):
+                p = patterns(graph(texts, [base_spans(t) for t in texts]))
+                some, n = np.unique(p.view(np.dtype((np.void, PATTERN.itemsize))), return_counts=True)
+                label = some.view(PATTERN)["label"].astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(some.tolist(), pa.binary()), pa.array(label), pa.array(n, pa.int64())], ["pattern", "label", "n"])
+
+    texts = docs.select("text").where(F.col("text").rlike("[0-9@]"))
+    counted = texts.mapInArrow(count, "pattern binary, label int, n long")
+    return counted.groupBy("pattern", "label").agg(F.sum("n").alias("n"))
+
+
+def _added_up(counted: DataFrame, x: np.ndarray) -> np.ndarray:
+    """:func:`gradient` over all patterns, summed in tasks."""
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros_like(x)
+        for batch in batches:
+            total += gradient(*_counts(batch), x)
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["m"])
+
+    few = counted.coalesce(max(8, counted.sparkSession.sparkContext.defaultParallelism))
+    return sum(np.frombuffer(r["m"]) for r in few.mapInArrow(part, "m binary").collect())  # a row per task
+
+
+def _counts(some: pa.RecordBatch | pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(b"".join(some.column("pattern").to_pylist()), PATTERN), some.column("n").to_numpy()
+
+
 def train(docs: DataFrame) -> Field | None:
-    rows = docs.select(F.xxhash64("doc_id", "text", F.lit("pii")).alias("h"), "text").where(F.col("text").rlike("[0-9@]"))
-
-    @F.pandas_udf("int")
-    def kinds(texts: pd.Series) -> pd.Series:
-        return pd.Series([sum(1 << k for k in {k for _, k, _ in base_spans(t)}) for t in texts], dtype="int32")
-
-    held = materialise(rows.select("h", kinds("text").alias("kinds")), "pii-kinds")
-    lowest = lambda some, n: some.select("h").distinct().orderBy("h").limit(n)
-    chosen = lowest(held, SAMPLE_DOCS)
-    for k in range(len(KINDS)):
-        chosen = chosen.unionByName(lowest(held.where(F.col("kinds").bitwiseAND(1 << k) > 0), KIND_DOCS))
-    chosen = chosen.distinct().select(F.col("h").alias("ch"))
-    sample = rows.join(F.broadcast(chosen), F.col("h") == F.col("ch"), "left_semi")
-    sample = sample.groupBy("h").agg(F.min("text").alias("text"))  # equal rows once
-
-    def tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for h, text in zip(pdf["h"], pdf["text"]):
-                g = graph([text], [base_spans(text)], SAMPLE_TOKENS)
-                if len(g.label):
-                    yield pd.DataFrame(
-                        {
-                            "h": [h],
-                            "features": [g.features.ravel()],
-                            "label": [g.label],
-                            "chain": [g.chain.ravel()],
-                            "skip": [g.skip.ravel()],
-                        }
-                    )
-
-    got = sample.select("h", "text").mapInPandas(tokens, "h long, features array<int>, label array<int>, chain array<int>, skip array<int>")
-    got = got.orderBy("h").toPandas()  # SAMPLE_DOCS and KIND_DOCS of each kind at most
-    if not len(got):
+    counted = materialise(count_patterns(docs), "pii-patterns")
+    size, n, kinds = counted.agg(F.count(F.lit(1)), F.sum("n"), F.max("label")).first()
+    if not kinds:
         return None
-    sizes = got["label"].map(len).to_numpy()
-    first = np.cumsum(sizes) - sizes
-    flat = lambda c: np.concatenate([np.asarray(x, np.int64) for x in got[c]])
-    ties = lambda c: np.concatenate([np.asarray(x, np.int64).reshape(-1, 2) + f for x, f in zip(got[c], first)])
-    label = flat("label")
-    none = np.zeros(len(label), np.int64)
-    return fit(Graph(none, none, none, flat("features").reshape(len(label), -1), label, ties("chain"), ties("skip")))
+    if size > IN_DRIVER:
+        return fit(lambda x: _added_up(counted, x), n)
+    p, times = _counts(counted.toArrow().sort_by("pattern"))
+    return fit(lambda x: gradient(p, times, x), n)
 
 
 def _each(s: pd.Series, w: Field | None, chars: int = 1 << 20) -> Iterator[tuple[str, list[Span], list[Span]]]:

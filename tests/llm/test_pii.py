@@ -1,3 +1,4 @@
+import functools
 import hashlib
 import itertools
 import random
@@ -146,6 +147,82 @@ def test_sampled_tokens_come_from_the_whole_text():
     assert (whole.features[same] == g.features).all() and (whole.label[same] == g.label).all()
 
 
+def brute_fit(g, steps):
+    """Gradient steps token by token."""
+    y = np.maximum(g.label, 0)
+    for a, b in g.skip:
+        y[b] = y[a] if g.label[b] < 0 else y[b]
+    n, prior = len(y), P.SAME * np.eye(P.LABELS)
+    w = [np.zeros((P.FEATURES, P.LABELS)), np.zeros((P.LABELS, P.LABELS)), prior.copy()]
+    sq = [np.full_like(x, 1e-8) for x in w]
+    for _ in range(steps):
+        s = w[0][g.features].sum(1)
+        for a, b in g.chain:
+            s[a] += w[1][:, y[b]]
+            s[b] += w[1][y[a]]
+        for a, b in g.skip:
+            s[a] += w[2][y[b]]
+            s[b] += w[2][y[a]]
+        e = np.exp(s - s.max(1, keepdims=True))
+        err = np.eye(P.LABELS)[y] - e / e.sum(1, keepdims=True)
+        grad = [np.zeros_like(x) for x in w]
+        for i, f in enumerate(g.features):
+            for c in f:
+                grad[0][c] += err[i]
+        for a, b in g.chain:
+            grad[1][:, y[b]] += err[a]
+            grad[1][y[a]] += err[b]
+        for a, b in g.skip:
+            grad[2][y[b]] += err[a]
+            grad[2][y[a]] += err[b]
+        grad[2] = (grad[2] + grad[2].T) / 2
+        for x, d, a, x0 in zip(w, grad, sq, (0, 0, prior)):
+            d = d / n - 1e-3 * (x - x0) / n**0.5
+            a += d**2
+            x += 0.2 * d / np.sqrt(a)
+    return w
+
+
+def many_tokens():
+    long = " ".join(f"{i}.5 10.0.0.{i % 256}, x{i % 7} of" for i in range(150)) + " +1 (555) 867-5309 or 867-5309 and 867-5309 by a@b.co"
+    return [long, long, *list(training_texts())[:40], None, "no token"]
+
+
+def test_training_takes_every_token_of_every_row(spark, monkeypatch):
+    monkeypatch.setattr(P, "fit", functools.partial(P.fit, steps=12))
+    texts = many_tokens()
+    some = [t for t in texts if t]
+    whole = P.graph(some, [P.base_spans(t) for t in some])
+    assert len(whole.label) > 2 * 2 * P.SAMPLE_TOKENS
+    w = P.train(documents(spark, texts))
+    for got, want in zip((w.unary, w.chain, w.skip), brute_fit(whole, 12)):
+        np.testing.assert_allclose(got, want, atol=1e-9)
+
+
+def test_gradients_of_tasks_and_driver_are_the_same(spark, monkeypatch):
+    docs = documents(spark, many_tokens()).repartition(3)
+    counted = P.count_patterns(docs).collect()
+    assert len({bytes(r.pattern) for r in counted}) == len(counted) < sum(r.n for r in counted) / 2
+    monkeypatch.setattr(P, "fit", functools.partial(P.fit, steps=4))
+    one = P.train(docs)
+    monkeypatch.setattr(P, "IN_DRIVER", 0)
+    other = P.train(docs)
+    for a, b in ((one.unary, other.unary), (one.chain, other.chain), (one.skip, other.skip)):
+        assert np.abs(a).max() > 0.1
+        np.testing.assert_allclose(a, b, atol=1e-9)
+
+
+def test_a_kind_is_learned_among_many_other_tokens():
+    texts = [*list(training_texts())[:60], *(f"build {i}.5 of x{i}" for i in range(60))]
+    g = P.graph(texts, [P.base_spans(t) for t in texts])
+    p = P.patterns(g)
+    plain = np.isin(g.doc, range(60, 120))
+    n = np.where(plain, 1_000_000, 1)
+    w = P.fit(lambda x: P.gradient(p, n, x), int(n.sum()))
+    text = "call +1 (555) 867-5309 the of on in then 867-5309 of 2.0"
+    assert [text[a:b] for a, k, b in P.find_spans([text], w)[0][1] if k == 3] == ["+1 (555) 867-5309", "867-5309"]
+
+
 def test_odd_rows_and_mask(spark):
     docs = documents(spark, [*ODD, "a@b.co, +1 (555) 867-5309, on 10.0.0.1 x 4111 1111 1111 1111"]).withColumn("r", F.lit(1)).withColumn("h", F.lit("clash"))
     got = by_id(P.span_report(docs))
