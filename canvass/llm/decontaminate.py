@@ -12,8 +12,8 @@ Benchmark items go to all documents in blocks of bounded size. For a block:
 2. A distributed randomised SVD (A'A added up over partitions, subspace
    iteration on it) of the TF-IDF passages of all documents and of all item
    parts gives a latent space of rank ``RANK``. Documents are turned into
-   numbers of the block's terms once, which the frequencies and the passages
-   come from.
+   numbers of the block's terms once, which the frequencies, the passages and
+   the search come from; the row filter alone reads the texts again.
 3. Shared words give every candidate there is. An item that loses at most
    ``spare`` of its words must show ``least`` of its rarest ``spare + least``
    ones (``Shared``); every stretch of a document that does is a candidate,
@@ -38,13 +38,17 @@ from __future__ import annotations
 
 import itertools
 import math
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -60,7 +64,7 @@ ROWS_IN_SUM, CELLS_AT_ONCE, DENSE_AT_ONCE = 1 << 10, 1 << 21, 1 << 22
 COSINE, COVER = 0.55, 0.45
 LCS, PARAPHRASE, ANSWER = 0.8, 0.6, 4
 ITEMS_AT_ONCE, BYTES_AT_ONCE = 2000, 4 << 20
-TEXT_AT_ONCE = 1 << 19
+WORDS_AT_ONCE, WINDOWS_AT_ONCE = 1 << 17, 256
 PAIRS_AT_ONCE = 1 << 20
 
 _KEEP = bytes(c if 48 <= c < 58 or 97 <= c < 123 or c >= 128 else c + 32 if 65 <= c < 91 else 32 for c in range(256))
@@ -70,6 +74,33 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode().translate(_KEEP).split()
 
 
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The :func:`words_of` all texts of a column, one after the other, and
+    how many each text has."""
+    texts = texts.cast(pa.large_binary())
+    ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
+    ends = ends - ends[0]
+    data = np.frombuffer(_KEEP, np.uint8)[data]
+    inside = data != 32
+    cut = np.ones(len(data) + 1, bool)  # no word goes on from the byte before
+    cut[1:-1] = ~inside[:-1]
+    cut[ends] = True
+    first = np.flatnonzero(inside & cut[:-1])
+    cut[:-1] |= ~inside
+    last = np.flatnonzero(inside & cut[1:])
+    offsets = np.append(0, np.cumsum(last + 1 - first))
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(data[inside])]
+    return pa.Array.from_buffers(pa.large_binary(), len(first), buffers), np.diff(np.searchsorted(first, ends))
+
+
+def _numbers(texts: pa.Array, terms: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the words of all texts among ``terms`` (-1: none), one text
+    after the other, and how many words each has."""
+    words, lengths = split_words(texts)
+    return pc.index_in(words, value_set=terms).fill_null(-1).to_numpy(zero_copy_only=False), lengths
+
+
 def lcs_length(item: dict, words: list) -> int:
     """Longest common subsequence with an item given as word -> bit mask of
     its places (bit-parallel, one integer)."""
@@ -99,39 +130,67 @@ def stretch(n: int) -> int:
     return n + n // 2 + 2
 
 
-def verify(item: list, region: list) -> tuple[float, bool] | None:
-    """(LCS share, answer found) of the best stretch of ``region`` that
-    passes, None if none does. Every stretch is looked at: runs of
-    neighbouring ones are left out together where all their words hold too
-    little of the item, since then each of them does."""
-    n = len(item)
-    m, least = masks(item), least_of(n)
-    if lcs_length(m, region) < least:
-        return None
-    end = item[-ANSWER:]
-    answer_masks = masks(end)
-    size, step = stretch(n), max(1, n // 4)
-    last = max(0, len(region) - size)
-    best = None
-    for i in range(0, last + 1, step):
-        run = range(i, min(i + step, last + 1))
-        if lcs_length(m, region[i : run[-1] + size]) < least:
-            continue
-        for j in run:
-            words = region[j : j + size]
-            k = lcs_length(m, words)
-            if k < least:
+class Sought:
+    """An item, made ready to be sought in many regions of text."""
+
+    def __init__(self, item: list):
+        self.item, self.n, self.least = item, len(item), least_of(len(item))
+        count = Counter(item)
+        self.words, self.count = list(count), np.array([0, *count.values()])
+
+    @cached_property
+    def masks(self) -> tuple[dict, dict]:
+        return masks(self.item), masks(self.item[-ANSWER:])
+
+    def may_be_in(self, held: np.ndarray) -> bool:
+        """Whether a region holds enough of the item in any order, from the
+        place of each of its words in ``words``, from 1 (0: not there)."""
+        return np.minimum(np.bincount(held, minlength=len(self.count)), self.count).sum() >= self.least
+
+    def verify(self, region: list) -> tuple[float, bool] | None:
+        """(LCS share, answer found) of the best stretch of ``region`` that
+        passes, None if none does. Every stretch is looked at: runs of
+        neighbouring ones are left out together where all their words hold too
+        little of the item, since then each of them does, and one with the
+        same words of the item as the stretch before gives the same."""
+        n, least = self.n, self.least
+        m, end = self.masks
+        places = [p for p, w in enumerate(region) if w in m]
+        held = [region[p] for p in places]
+        if lcs_length(m, held) < least:
+            return None
+        size, step = stretch(n), max(1, n // 4)
+        last = max(0, len(region) - size)
+        best = before = None
+        for i in range(0, last + 1, step):
+            run = range(i, min(i + step, last + 1))
+            if lcs_length(m, held[bisect_left(places, i) : bisect_left(places, run[-1] + size)]) < least:
                 continue
-            answer = lcs_length(answer_masks, words) >= 0.75 * len(end)
-            if k >= LCS * n or answer:
-                best = max(best or (0.0, False), (k / n, answer))
-    return best
+            for j in run:
+                of = slice(bisect_left(places, j), bisect_left(places, j + size))
+                if of == before:
+                    continue
+                before, words = of, held[of]
+                k = lcs_length(m, words)
+                if k < least:
+                    continue
+                answer = lcs_length(end, words) >= 0.75 * end[None]
+                if k >= LCS * n or answer:
+                    best = max(best or (0.0, False), (k / n, answer))
+                    if best == (1.0, True):
+                        return best
+        return best
+
+
+def verify(item: list, region: list) -> tuple[float, bool] | None:
+    return Sought(item).verify(region)
 
 
 @dataclass
 class Space:
     """One group of items: the group's number of each term (-1: none), their
-    latent vectors (weight included), and the item parts in latent space."""
+    latent vectors (weight included), and the item parts in latent space,
+    shortest first."""
 
     number: np.ndarray
     vectors: np.ndarray
@@ -156,8 +215,10 @@ class Shared:
 
 @dataclass
 class Search:
-    items: list[tuple[int | None, list[bytes]]]
-    terms: dict[bytes, int]
+    """A block's items as numbers of its ``terms``, and the ways to them."""
+
+    items: list[tuple[int | None, list[int]]]
+    terms: pa.Array
     spaces: list[Space]
     shared: Shared
 
@@ -188,27 +249,24 @@ def _lists(values: np.ndarray, lengths: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(lengths)), pa.int32()), pa.array(values))
 
 
+def _terms(items: list[tuple[int | None, list[bytes]]]) -> dict[bytes, int]:
+    return {w: i for i, w in enumerate(sorted({w for _, words in items for w in words}))}
+
+
 def numbered(docs: DataFrame, terms: dict[bytes, int]) -> DataFrame:
-    """A row per text: the numbers of its words among ``terms``, in order, and
-    for each the number of the run of ``HALF_WORDS`` words that holds it."""
-    shared = docs.sparkSession.sparkContext.broadcast(terms)
+    """A row per text: in place of ``text`` its words' numbers among
+    ``terms`` (-1: none) as ``term``, in order; other columns stay."""
+    shared = docs.sparkSession.sparkContext.broadcast(pa.array(list(terms), pa.large_binary()))
+    others = [c for c in docs.columns if c != "text"]
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get = shared.value.get
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for i, j in _runs(texts):
-                split = [words_of(t) for t in texts[i:j]]
-                lengths = np.array([len(w) for w in split], np.int64)
-                ids = np.fromiter((get(w, -1) for w in itertools.chain.from_iterable(split)), np.int32, lengths.sum())
-                text = np.repeat(np.arange(len(split)), lengths)
-                half = (np.arange(len(ids)) - (np.cumsum(lengths) - lengths)[text]) // HALF_WORDS
-                known = ids >= 0
-                n = np.bincount(text[known], minlength=len(split))
-                yield pa.RecordBatch.from_arrays([_lists(ids[known], n), _lists(half[known].astype(np.int32), n)], ["term", "half"])
+            ids, lengths = _numbers(batch.column("text"), shared.value)
+            yield pa.RecordBatch.from_arrays([*map(batch.column, others), _lists(ids, lengths)], [*others, "term"])
 
-    texts = docs.select("text").where(F.col("text").isNotNull())
-    return materialise(texts.mapInArrow(number, "term array<int>, half array<int>"), "numbered")
+    texts = docs.where(F.col("text").isNotNull())
+    schema = docs.select(*others, F.lit(None).cast("array<int>").alias("term")).schema
+    return materialise(texts.mapInArrow(number, schema), "numbered")
 
 
 def document_frequencies(rows: DataFrame, size: int) -> tuple[np.ndarray, int]:
@@ -220,7 +278,8 @@ def document_frequencies(rows: DataFrame, size: int) -> tuple[np.ndarray, int]:
         n = 0
         for batch in batches:
             term, lengths = _flat(batch, "term")
-            pairs = np.unique(np.repeat(np.arange(len(lengths)), lengths) * size + term)
+            known = term >= 0
+            pairs = np.unique(np.repeat(np.arange(len(lengths)) * size, lengths)[known] + term[known])
             held += np.bincount(pairs % size, minlength=size)
             n += len(lengths)
         some = np.flatnonzero(held)
@@ -364,14 +423,13 @@ def _cut_passages(number: np.ndarray, weight: np.ndarray) -> Callable[[Iterator]
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             term, lengths = _flat(batch, "term")
-            half, _ = _flat(batch, "half")
-            text = np.repeat(np.arange(len(lengths)), lengths)
-            size = np.zeros(len(lengths), np.int64)
-            np.maximum.at(size, text, half + 1)
-            word = number[term]
-            known = word >= 0
-            run = ((np.cumsum(size) - size)[text] + half)[known]
-            word, second = word[known], half[known] > 0
+            word = np.append(number, -1)[term]
+            hit = np.flatnonzero(word >= 0)
+            text = np.repeat(np.arange(len(lengths)), lengths)[hit]
+            half = (hit - (np.cumsum(lengths) - lengths)[text]) // HALF_WORDS
+            size = -(-lengths // HALF_WORDS)
+            run = (np.cumsum(size) - size)[text] + half
+            word, second = word[hit], half > 0
             keys = np.concatenate((run, run[second] - 1)) * len(weight) + np.concatenate((word, word[second]))
             keys, n = np.unique(keys, return_counts=True)
             if not len(keys):
@@ -404,8 +462,8 @@ def _space(rows: DataFrame, items: list[tuple[int, list]], weight_of: dict[bytes
     latent = np.array([r[1] @ v[r[0]] * norm for r, (_, norm) in zip(parts, owner)], np.float32)
     norms = np.linalg.norm(latent, axis=1)
     good = norms > 0
-    unit = latent[good] / norms[good, None]
-    return Space(number_of_term, vectors, unit, norms[good], np.array([i for i, _ in owner])[good])
+    good = np.flatnonzero(good)[np.argsort(norms[good], kind="stable")]
+    return Space(number_of_term, vectors, latent[good] / norms[good, None], norms[good], np.array([i for i, _ in owner])[good])
 
 
 def _renumbered(number: dict[bytes, int], terms: dict[bytes, int]) -> np.ndarray:
@@ -417,8 +475,12 @@ def _renumbered(number: dict[bytes, int], terms: dict[bytes, int]) -> np.ndarray
 
 
 def build_search(docs: DataFrame, items: list[tuple[int | None, list[bytes]]]) -> Search:
-    terms = {w: i for i, w in enumerate(sorted({w for _, words in items for w in words}))}
-    rows = numbered(docs, terms)
+    terms = _terms(items)
+    return _search(numbered(docs.select("text"), terms), items, terms)
+
+
+def _search(rows: DataFrame, items: list[tuple[int | None, list[bytes]]], terms: dict[bytes, int]) -> Search:
+    """``rows``: all documents as :func:`numbered` by ``terms``."""
     df, n = document_frequencies(rows, len(terms))
     idf = np.log((n + 1) / (df + 1))
     rare = np.maximum(0.0, idf - np.log(1 / COMMON))
@@ -429,7 +491,8 @@ def build_search(docs: DataFrame, items: list[tuple[int | None, list[bytes]]]) -
         of = {w: weight[terms[w]] for _, words in group for w in words if weight[terms[w]] > 0}
         if of:
             spaces.append(_space(rows, group, of, terms))
-    return Search(items, terms, spaces, _shared(items, terms, df))
+    of_terms = [(i, [terms[w] for w in words]) for i, words in items]
+    return Search(of_terms, pa.array(list(terms), pa.large_binary()), spaces, _shared(items, terms, df))
 
 
 def _shared(items: list[tuple[int | None, list[bytes]]], terms: dict[bytes, int], df: np.ndarray) -> Shared:
@@ -486,14 +549,15 @@ def _sharing(shared: Shared, terms: np.ndarray, lengths: np.ndarray) -> Iterator
         yield x
 
 
-def _cosine(search: Search, i: int, words: list[bytes]) -> float:
+def _cosine(search: Search, i: int, words: np.ndarray) -> float:
     """Cosine of a passage and the nearest part of an item, 0 if the passage
     has no weight."""
     best = 0.0
     for space in search.spaces:
         mine = space.part_item == i
-        known = [k for w in words if (t := search.terms.get(w)) is not None and (k := space.number[t]) >= 0]
-        if mine.any() and known:
+        known = np.append(space.number, -1)[words]
+        known = known[known >= 0]
+        if mine.any() and len(known):
             v = space.vectors[known].sum(0)
             best = max(best, float((space.parts[mine] @ v).max() / max(np.linalg.norm(v), 1e-9)))
     return best
@@ -516,64 +580,80 @@ def _windows(space: Space, terms: np.ndarray, lengths: np.ndarray):
     start = np.flatnonzero(np.diff(at, prepend=-1))
     sums = np.zeros((total + 3, rank), np.float32)
     sums[at[start]] = np.add.reduceat(space.vectors[ids[hit]], start, axis=0)
-    owner = np.full(total, -1)
-    for d, (a, k) in enumerate(zip(first, blocks)):
-        owner[a : a + k] = d
-    real = np.flatnonzero(owner >= 0)
+    owner = np.repeat(np.arange(len(blocks)), blocks + 3)
+    real = np.arange(total) - first[owner] < blocks[owner]
     two = sums[:-1] + sums[1:]
-    least = COVER * space.norms.min()
+    least = COVER * space.norms[0]
     for window in (two, two[:-2] + two[2:]):
-        size = np.sqrt(np.einsum("ij,ij->i", window[real], window[real]))
-        big = size >= least  # a shorter passage cannot hold enough of any part
-        w, size = real[big], size[big]
-        for i in range(0, len(w), 4096):
-            dot = window[w[i : i + 4096]] @ space.parts.T
-            ok = (dot >= COSINE * size[i : i + 4096, None]) & (dot >= COVER * space.norms)
-            for r, c in zip(*np.nonzero(ok)):
-                b = w[i + r]
-                d = owner[b]
-                yield int(d), int(b - first[d]) * BLOCK_WORDS, int(space.part_item[c]), float(dot[r, c] / size[i + r])
-
-
-def find_leaks(search: Search, texts: list[str | None]) -> list[tuple[int, int, float, float, bool]]:
-    """(text, item, cosine, LCS share, answer found) for a few texts."""
-    split = [words_of(t) for t in texts]
-    lengths = np.array([len(w) for w in split], np.int64)
-    get = search.terms.get
-    terms = np.fromiter((get(w, -1) for w in itertools.chain.from_iterable(split)), np.int64, lengths.sum())
+        size = np.sqrt(np.einsum("ij,ij->i", window[:total], window[:total]))
+        big = np.flatnonzero(real & (size >= least))  # a shorter passage cannot hold enough of any part
+        big = big[np.argsort(size[big])]
+        for i in range(0, len(big), WINDOWS_AT_ONCE):
+            w = big[i : i + WINDOWS_AT_ONCE]
+            parts = np.searchsorted(space.norms, size[w[-1]] / COVER * 1.0001, "right")  # nor of a longer part
+            dot = window[w] @ space.parts[:parts].T
+            r, c = np.nonzero((dot >= COSINE * size[w, None]) & (dot >= COVER * space.norms[:parts]))
+            b, d = w[r], owner[w[r]]
+            yield from zip(d.tolist(), ((b - first[d]) * BLOCK_WORDS).tolist(), space.part_item[c].tolist(), (dot[r, c] / size[b]).tolist())
+
+
+def find_leaks(search: Search, terms: np.ndarray, lengths: np.ndarray) -> list[tuple[int, int, float, float, bool]]:
+    """(text, item, cosine, LCS share, answer found) for a few texts, from the
+    numbers of their words (-1: none)."""
     out = []
+    terms = terms.astype(np.int64)
+    ends = np.cumsum(lengths)
+    begins = ends - lengths
     done: dict[tuple[int, int], set] = {}
+    place = np.zeros(len(search.terms) + 1, np.int64)  # of each term in one item; -1 is the last, in none
+
+    def region(d: int, first: int, end: int) -> np.ndarray:
+        return terms[begins[d] + max(0, first) : min(begins[d] + end, ends[d])]
+
     for space in search.spaces:
-        for d, start, i, cosine in sorted(_windows(space, terms, lengths), key=lambda c: (c[0], c[2], -c[3], c[1])):
-            tried = done.setdefault((d, i), set())
-            if None in tried or start in tried:
-                continue
-            tried.add(start)
-            item = search.items[i][1]
-            n = len(item)
-            if got := verify(item, split[d][max(0, start - n) : start + 4 * BLOCK_WORDS + n]):
-                tried.add(None)
-                out.append((d, i, cosine, *got))
-    for d, start, i in _sharing(search.shared, terms, lengths):
-        tried = done.setdefault((d, i), set())
-        if None not in tried:
-            size = int(search.shared.stretch[i])
-            region = split[d][max(0, start - size) : start + 2 * size]
-            if got := verify(search.items[i][1], region):
-                tried.add(None)
-                out.append((d, i, _cosine(search, i, region), *got))
+        found = sorted(_windows(space, terms, lengths), key=lambda c: (c[2], c[0], -c[3], c[1]))
+        for i, candidates in itertools.groupby(found, key=lambda c: c[2]):
+            sought = Sought(search.items[i][1])
+            with _placed(place, sought.words):
+                for d, start, _, cosine in candidates:
+                    tried = done.setdefault((d, i), set())
+                    if None in tried or start in tried:
+                        continue
+                    tried.add(start)
+                    words = region(d, start - sought.n, start + 4 * BLOCK_WORDS + sought.n)
+                    if sought.may_be_in(place[words]) and (got := sought.verify(words.tolist())):
+                        tried.add(None)
+                        out.append((d, i, cosine, *got))
+    for i, candidates in itertools.groupby(_sharing(search.shared, terms, lengths), key=lambda c: c[2]):
+        sought, size = Sought(search.items[i][1]), int(search.shared.stretch[i])
+        with _placed(place, sought.words):
+            for d, start, _ in candidates:
+                tried = done.setdefault((d, i), set())
+                if None not in tried:
+                    words = region(d, start - size, start + 2 * size)
+                    if sought.may_be_in(place[words]) and (got := sought.verify(words.tolist())):
+                        tried.add(None)
+                        out.append((d, i, _cosine(search, i, words), *got))
     return out
 
 
-def _runs(texts: list[str]) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about ``TEXT_AT_ONCE`` characters."""
+@contextmanager
+def _placed(place: np.ndarray, terms: list[int]) -> Iterator[None]:
+    place[terms] = np.arange(1, len(terms) + 1)
+    yield
+    place[terms] = 0
+
+
+def _leaks_of(search: Search, terms: np.ndarray, lengths: np.ndarray) -> Iterator[tuple[int, int, float, float, bool]]:
+    """:func:`find_leaks` of any number of texts, about ``WORDS_AT_ONCE``
+    words at a time."""
+    ends = np.cumsum(lengths)
     i = 0
-    while i < len(texts):
-        j, size = i, 0
-        while j < len(texts) and (j == i or size < TEXT_AT_ONCE):
-            size += len(texts[j])
-            j += 1
-        yield i, j
+    while i < len(ends):
+        a = int(ends[i] - lengths[i])
+        j = max(i + 1, int(np.searchsorted(ends, a + WORDS_AT_ONCE, "right")))
+        for d, *rest in find_leaks(search, terms[a : ends[j - 1]], lengths[i:j]):
+            yield i + d, *rest
         i = j
 
 
@@ -600,26 +680,23 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``doc_id, item_id, cosine, lcs_share, answer``: a row for every
     document and benchmark item found in it."""
     spark = docs.sparkSession
-    rows = docs.select("doc_id", "text")
+    texts = docs.select(F.col("doc_id").cast("long"), "text")
     found = spark.createDataFrame([], SCHEMA)
     for items in _item_blocks(benchmark):
-        shared = spark.sparkContext.broadcast(build_search(rows, items))
+        terms = _terms(items)
+        rows = numbered(texts, terms)
+        shared = spark.sparkContext.broadcast(_search(rows, items, terms))
 
-        def scan(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
+        def scan(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             search = shared.value
-            for pdf in batches:
-                ids, texts = pdf["doc_id"].tolist(), pdf["text"].tolist()
-                out = []
-                for i, j in _runs(texts):
-                    for d, k, *rest in find_leaks(search, texts[i:j]):
-                        doc = ids[i + d]
-                        out.append((None if pd.isna(doc) else int(doc), search.items[k][0], *rest))
-                if out:
-                    got = pd.DataFrame(out, columns=["doc_id", "item_id", "cosine", "lcs_share", "answer"])
-                    yield got.astype({"doc_id": "Int64", "item_id": "Int64"})
-
-        texts = rows.where(F.col("text").isNotNull())
-        found = found.unionByName(texts.mapInPandas(scan, SCHEMA))
+            for batch in batches:
+                if got := list(_leaks_of(search, *_flat(batch, "term"))):
+                    d, i, *rest = zip(*got)
+                    of = pa.array([search.items[k][0] for k in i], pa.int64())
+                    columns = [batch.column("doc_id").take(pa.array(d)), of, *map(pa.array, rest)]
+                    yield pa.RecordBatch.from_arrays(columns, ["doc_id", "item_id", "cosine", "lcs_share", "answer"])
+
+        found = found.unionByName(rows.mapInArrow(scan, SCHEMA))
     return found
 
 
@@ -628,7 +705,7 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     null and repeated ids need no care and no text is shuffled."""
     spark = docs.sparkSession
     for items in _item_blocks(benchmark):
-        shared = spark.sparkContext.broadcast(build_search(docs.select("doc_id", "text"), items))
+        shared = spark.sparkContext.broadcast(build_search(docs, items))
         docs = docs.where(_clean(shared)(F.coalesce(F.col("text"), F.lit(""))))
     return docs
 
@@ -641,9 +718,8 @@ def _clean(shared):
         hold_alone("none", int)
         for s in batches:
             ok = np.ones(len(s), bool)
-            texts = s.tolist()
-            for i, j in _runs(texts):
-                ok[[i + d for d, *_ in find_leaks(shared.value, texts[i:j])]] = False
+            terms, lengths = _numbers(pa.array(s, pa.large_string()), shared.value.terms)
+            ok[[d for d, *_ in _leaks_of(shared.value, terms, lengths)]] = False
             yield pd.Series(ok)
 
     return clean

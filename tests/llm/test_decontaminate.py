@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from canvass.llm import decontaminate as D
@@ -214,3 +215,77 @@ def test_products_of_sparse_and_full_rows_agree():
         for at, add in D._times(i, j, full[i, j], q):
             out[at] += add
         np.testing.assert_allclose(out, full @ q, atol=1e-9)
+
+
+def test_words_of_a_column_are_those_of_its_texts():
+    texts = [*(t for t in ODD if t is not None), "a", "b c", "", "d", " e", "f ", "A-b_C\u00c9\x00z"]
+    for column in (pa.array(texts), pa.array(texts)[3:-2], pa.array(texts, pa.large_string())[1:2], pa.array(["", " "]), pa.array([], pa.string())):
+        words, lengths = D.split_words(column)
+        want = [D.words_of(t) for t in column.to_pylist()]
+        assert words.to_pylist() == [w for x in want for w in x]
+        assert lengths.tolist() == [len(x) for x in want]
+
+
+def test_texts_are_split_once_for_all_steps(spark, tmp_path):
+    """The search runs on the numbers of the words, not on the texts again."""
+    item = "zz yy xx ww vv uu tt ss"
+    rows = [(None, f"aa {item} bb", "en", "s", 1), (4, f"{item} cc", "en", "s", 1), (4, f"{item} cc", "en", "s", 1), (5, "zz yy xx", "en", "s", 1), (6, None, "en", "s", 1)]
+    spark.createDataFrame(rows, DOC).write.parquet(f"{tmp_path}/documents")
+    bench = spark.createDataFrame([(8, item), (None, item)], "item_id long, text string")
+    found = D.leaks(spark.read.parquet(f"{tmp_path}/documents"), bench)
+    assert found.inputFiles() and not any(f"{tmp_path}/documents" in f for f in found.inputFiles())
+    got = [(r.doc_id, r.item_id) for r in found.collect()]
+    assert sorted(got, key=str) == sorted([(d, i) for d in (None, 4, 4) for i in (8, None)], key=str)
+
+
+def test_bound_before_the_subsequence_drops_no_leak():
+    rng = random.Random(12)
+    dropped = 0
+    for _ in range(400):
+        item = [rng.randrange(25) for _ in range(rng.randint(1, 30))]
+        region = [rng.choice(item) if rng.random() < 0.4 else rng.randrange(-1, 25) for _ in range(rng.randint(0, 90))]
+        sought = D.Sought(item)
+        held = np.array([sought.words.index(w) + 1 if w in sought.words else 0 for w in region], np.int64)
+        share = sum(min(region.count(w), item.count(w)) for w in set(item))
+        assert sought.may_be_in(held) == (share >= D.least_of(len(item)))
+        if not sought.may_be_in(held):
+            dropped += 1
+            assert brute_verify(item, region) is None
+    assert dropped > 20
+
+
+def test_subsequences_are_sought_only_where_enough_words_are(spark, monkeypatch):
+    rng = random.Random(3)
+    item = ["".join(rng.choice("abcdefghijklmnop") for _ in range(5)) for _ in range(40)]
+    texts = [" ".join([*rng.sample(item, 12), *(["w"] * 60)]) for _ in range(200)] + [" ".join(item)]
+    bench = [(1, [w.encode() for w in item])]
+    search = D.build_search(documents(spark, texts), bench)
+    calls, lcs = [], D.lcs_length
+    monkeypatch.setattr(D, "lcs_length", lambda m, words: calls.append(1) or lcs(m, words))
+    got = D.find_leaks(search, *D._numbers(pa.array(texts), search.terms))
+    assert [(d, i) for d, i, *_ in got] == [(200, 0)]
+    assert len(calls) < 20
+
+
+def test_windows_against_every_passage_and_part():
+    rng = np.random.default_rng(5)
+    vectors = rng.normal(size=(40, 6)).astype(np.float32)
+    parts = rng.normal(size=(300, 6)).astype(np.float32)
+    norms = np.sort(rng.uniform(0.5, 12, 300).astype(np.float32))
+    parts /= np.linalg.norm(parts, axis=1, keepdims=True)
+    space = D.Space(np.append(np.arange(40), [-1] * 20), vectors, parts, norms, np.arange(300))
+    lengths = np.array([0, 5, 400, 64, 0, 1000, 1])
+    terms = np.where(rng.random(lengths.sum()) < 0.2, rng.integers(0, 60, lengths.sum()), -1)
+    got = {c[:3] for c in D._windows(space, terms, lengths)}
+    want, ends = set(), np.cumsum(lengths)
+    for d, n in enumerate(lengths):
+        ids = np.append(space.number, -1)[terms[ends[d] - n : ends[d]]]
+        for start in range(0, n, 16):
+            for size in (32, 64):
+                some = ids[start : start + size]
+                v = vectors[some[some >= 0]].sum(0)
+                dot = parts @ v
+                ok = (dot >= D.COSINE * np.linalg.norm(v) * (1 + 1e-5)) & (dot >= D.COVER * norms * (1 + 1e-5)) & (np.linalg.norm(v) > 0)
+                want |= {(d, start, int(i)) for i in np.flatnonzero(ok)}
+    assert len(want) > 500 and want <= got
+    assert len(got) <= 1.01 * len(want)
